@@ -4,13 +4,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def time_parts(ts: Column) -> dict[str, Column]:
-    return {
+def time_parts(ts: Column, non_null: bool = False) -> dict[str, Column]:
+    """Hour, day of month, month and year of ``ts``.
+
+    Date parts of a TIMESTAMP_NTZ are typed nullable (an ANSI cast to date
+    sits inside).  When ``ts`` is known non-null the parts are wrapped in a
+    coalesce that can never fire; typed non-nullable, joins on them infer no
+    null checks that Catalyst would push down to the scan.
+    """
+    parts = {
         "view_hour": F.hour(ts),
         "view_day": F.dayofmonth(ts),
         "view_month": F.month(ts),
         "view_year": F.year(ts),
     }
+    if non_null:
+        parts = {k: F.coalesce(v, F.lit(0)) for k, v in parts.items()}
+    return parts
 
 
 def is_weekend(ts: Column) -> Column:

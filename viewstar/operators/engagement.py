@@ -38,7 +38,8 @@ def row_triple() -> list[Column]:
 
 def fact_cube(fact: DataFrame, keys: Sequence[str] = ("apartment_id",)) -> DataFrame:
     """Viewings folded to (keys, year, month, day, hour) with the three counts."""
-    return (fact.withColumns(time_parts(F.col("viewed_at")))
+    non_null = not fact.schema["viewed_at"].nullable
+    return (fact.withColumns(time_parts(F.col("viewed_at"), non_null))
             .groupBy(*keys, *schemas.CALENDAR_HOUR_KEYS)
             .agg(*row_counts()))
 

@@ -84,10 +84,15 @@ def fill_value(data_type: T.DataType) -> Column | None:
     """The typed fill literal for a column type; None leaves the column alone."""
     if isinstance(data_type, T.StringType):
         return F.lit(schemas.FILL_STRING)
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit(schemas.FILL_TIMESTAMP).cast(data_type)
+    # Typed SQL literals, not casts of text: they are non-nullable when the
+    # plan is analysed, so joins on derived time parts infer no null checks
+    # (which Catalyst would push down with the whole parse inlined).
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'")
+    if isinstance(data_type, T.TimestampType):
+        return F.expr(f"TIMESTAMP_LTZ '{schemas.FILL_TIMESTAMP}'")
     if isinstance(data_type, T.DateType):
-        return F.lit(schemas.FILL_DATE).cast(data_type)
+        return F.expr(f"DATE '{schemas.FILL_DATE}'")
     if isinstance(data_type, T.NumericType):
         return F.lit(schemas.FILL_NUMBER).cast(data_type)
     # Booleans keep their nulls; binary and nested types cannot take a text
@@ -172,7 +177,7 @@ def clean_viewings(raw: DataFrame, keys: Sequence[str] = schemas.VIEWING_KEY,
     df = handle_nulls(df, drop_all_null)
     df = dedup(df, keys)
     if drop_sentinel and "viewed_at" in df.columns:
-        df = df.filter(F.col("viewed_at") != F.lit(schemas.FILL_TIMESTAMP).cast("timestamp_ntz"))
+        df = df.filter(F.col("viewed_at") != F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'"))
     return df
 
 

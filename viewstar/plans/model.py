@@ -21,7 +21,8 @@ def listing_dim(apartments: DataFrame, attributes: DataFrame,
 
 def with_time_parts(df: DataFrame, ts: str = "viewed_at") -> DataFrame:
     """P6 + P7: hour, day of month, month, year and the weekend flag."""
-    return df.withColumns({**time_parts(F.col(ts)), "is_weekend": is_weekend(F.col(ts))})
+    non_null = not df.schema[ts].nullable
+    return df.withColumns({**time_parts(F.col(ts), non_null), "is_weekend": is_weekend(F.col(ts))})
 
 
 def full_detail(fact: DataFrame, listing: DataFrame,
