@@ -346,3 +346,25 @@ ORACLE_SQL: dict[str, str] = {
     "kpi_hour_summary_lineitem": q(time_summary("view_hour", src="large_wide")),
     "kpi_platform_lineitem": q(platform(src="large_wide")),
 }
+
+VIEWING_COLS = "user_id, apartment_id, viewed_at, is_wishlisted, call_to_action"
+
+ORACLE_SQL.update({
+    "json_roundtrip": q("SELECT * FROM raw_apartments"),
+    "json_batches": q("SELECT * FROM raw_attributes"),
+    "dt_partition_scan": q(
+        f"SELECT {VIEWING_COLS}, CAST({parse_ts('viewed_at')} AS DATE) AS dt FROM raw_viewings"),
+    "csv_roundtrip": q("SELECT * FROM raw_viewings"),
+    "time_batches": q("SELECT * FROM raw_viewings"),
+    "kpi_table_load": q(
+        f"SELECT *, DATE '2025-06-27' AS dt FROM ({time_summary('view_hour')}) UNION ALL "
+        f"SELECT *, DATE '2025-06-28' AS dt FROM ({time_summary('view_hour')})"),
+    "fact_append_load": q("SELECT * FROM clean_viewings UNION ALL SELECT * FROM clean_viewings"),
+    "dim_truncate_load": q("SELECT * FROM listing"),
+    "topic_messages": q(
+        "SELECT CAST(row_number() OVER (ORDER BY viewed_at NULLS FIRST, user_id NULLS FIRST, "
+        "apartment_id NULLS FIRST, is_wishlisted NULLS FIRST, call_to_action NULLS FIRST) - 1 AS VARCHAR) "
+        "AS key, CAST(to_json(struct_pack(user_id := user_id, apartment_id := apartment_id, "
+        "viewed_at := viewed_at, is_wishlisted := is_wishlisted, call_to_action := call_to_action)) "
+        "AS VARCHAR) AS value FROM raw_viewings"),
+})

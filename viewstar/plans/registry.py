@@ -179,3 +179,8 @@ QUERIES: dict[str, Query] = {
     "kpi_hour_summary_lineitem": lambda s, sf: kpis.hour_summary(large_cube(s, sf)),
     "kpi_platform_lineitem": lambda s, sf: kpis.platform(large_cube(s, sf)),
 }
+
+
+def _all_queries() -> dict[str, Query]:
+    from viewstar.plans.io_queries import IO_QUERIES
+    return {**QUERIES, **IO_QUERIES}
