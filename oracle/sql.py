@@ -368,3 +368,11 @@ ORACLE_SQL.update({
         "viewed_at := viewed_at, is_wishlisted := is_wishlisted, call_to_action := call_to_action)) "
         "AS VARCHAR) AS value FROM raw_viewings"),
 })
+
+ORACLE_SQL.update({
+    "stream_land_by_date": ORACLE_SQL["dt_partition_scan"],
+    "stream_dedup": q("SELECT * FROM clean_viewings"),
+    "stream_hour_engagement": q(
+        f"SELECT {CAL_HOUR}, {TRIPLE} FROM (SELECT *, {time_parts()} FROM clean_viewings "
+        f"WHERE viewed_at <> {SENTINEL}) GROUP BY {CAL_HOUR}"),
+})

@@ -26,3 +26,17 @@ def time_parts(ts: Column, non_null: bool = False) -> dict[str, Column]:
 def is_weekend(ts: Column) -> Column:
     """Saturday or Sunday; a null time counts as a weekday (false)."""
     return F.coalesce(F.dayofweek(ts).isin(1, 7), F.lit(False))
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def as_instant(ntz: Column) -> Column:
+    """Wall-clock TIMESTAMP_NTZ -> TIMESTAMP read as UTC, whatever the session
+    zone (watermarks and event-time windows need a TIMESTAMP column)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ntz))
+
+
+def as_wall_clock(instant: Column) -> Column:
+    """Inverse of :func:`as_instant`."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))

@@ -183,4 +183,5 @@ QUERIES: dict[str, Query] = {
 
 def _all_queries() -> dict[str, Query]:
     from viewstar.plans.io_queries import IO_QUERIES
-    return {**QUERIES, **IO_QUERIES}
+    from viewstar.plans.stream_queries import STREAM_QUERIES
+    return {**QUERIES, **IO_QUERIES, **STREAM_QUERIES}

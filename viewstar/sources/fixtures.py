@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewstar import schemas
+from viewstar.sources.readers import balanced
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +26,7 @@ def _every(c: Column, n: int, r: int = 0) -> Column:
 def raw_viewings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty raw viewings from ``events``: five time layouts, bad times,
     free-text flags, missing listings and exact repeats."""
-    ev = table(spark, sf_dir, "events")
+    ev = balanced(table(spark, sf_dir, "events"))
     eid = F.col("event_id")
     ts = F.col("ts")
     text_time = (F.when(_every(eid, 91, 4), F.lit("not-a-date"))
@@ -101,7 +102,7 @@ def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def large_viewings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean raw viewings from ``lineitem``, one per line (the bench fact)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = balanced(table(spark, sf_dir, "lineitem"))
     when_viewed = F.timestamp_add("HOUR", F.col("l_orderkey") % 24, F.col("l_shipdate"))
     return li.select(
         F.col("l_orderkey").cast("string").alias("user_id"),

@@ -13,6 +13,18 @@ from viewstar import schemas
 from viewstar.operators.quality import nan_to_null
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over at least the cluster's parallelism.
+
+    A large file written as one row group scans as one task, leaving every
+    later per-row step (regex parsing, partial dedup) single-threaded.  Only
+    then is the input spread round-robin; a scan that already has enough
+    splits (any table at cluster scale) is returned untouched, no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """JSON lines (a folder or a glob such as ``.../apartments_batch*.json``)."""
     return spark.read.schema(ddl).json(path)
