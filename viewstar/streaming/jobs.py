@@ -21,7 +21,8 @@ from viewstar.functions.timestamps import parse_timestamp
 from viewstar.operators import quality as qa
 from viewstar.operators.engagement import row_counts
 
-SENTINEL = F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'")
+def _sentinel():
+    return F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'")
 
 
 def viewing_stream(spark: SparkSession, source: str, fmt: str = "json",
@@ -83,8 +84,8 @@ def dedup_stream(spark: SparkSession, stream: DataFrame, out: str, checkpoint: s
     Output: ``out/valid`` (append) and ``out/unparsed`` (replaced per batch).
     """
     cleaned = clean_stream(stream)
-    valid = cleaned.filter(F.col("viewed_at") != SENTINEL)
-    unparsed = cleaned.filter(F.col("viewed_at") == SENTINEL)
+    valid = cleaned.filter(F.col("viewed_at") != _sentinel())
+    unparsed = cleaned.filter(F.col("viewed_at") == _sentinel())
 
     deduped = (valid.withColumn("_event_time", as_instant(F.col("viewed_at")))
                .withWatermark("_event_time", delay)
