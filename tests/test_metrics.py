@@ -69,3 +69,19 @@ def test_broadcast_only_under_budget(spark):
     fact = spark.range(1000).withColumn("k", F.col("id") % 100)
     plan = fact.join(broadcast_if_small(small.withColumnRenamed("id", "k")), "k", "left")
     assert "broadcast" in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_salted_join_equals_plain_join(spark):
+    from viewstar.operators.joins import salted_left_join
+    # one key holds a third of the rows, one key has no dimension row
+    keys = ["hot"] * 300 + [f"k{i % 50}" for i in range(500)] + ["none"] * 100
+    fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "row long, key string")
+    dim = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"V{i}") for i in range(50)], "id string, v string")
+    counts = fact.groupBy("key").agg(F.count("*").alias("rows"))
+    salted = salted_left_join(fact, dim, "key", "id", counts, partitions=8)
+    plain = fact.join(dim, fact["key"] == dim["id"], "left")
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    assert salted.count() == 900
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_fact_salt" in plan and "xxhash64" in plan

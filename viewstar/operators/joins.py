@@ -62,3 +62,50 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     side = broadcast_if_small(dim, max_broadcast_bytes)
     return fact.join(side, fact[fact_key] == side[dim_key], "left")
+
+
+def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                     key_rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``fact`` LEFT JOIN ``dim`` as a shuffle join that splits hot keys.
+
+    ``key_rows`` holds (``fact_key``, ``rows``): fact rows per key, e.g. from
+    the engagement cube.  A key is hot when it holds more than a fair task's
+    share, ``total / partitions`` rows, so fewer than ``partitions`` keys can
+    be hot: that list is broadcast with a proven bound.  A hot key's fact
+    rows are spread over ``ceil(rows / share)`` salt buckets by a hash of the
+    row (deterministic, so a retried task sends each row where it went
+    before); its one dimension row is copied once per bucket.  Cold keys keep
+    salt 0.  No row is dropped or capped; one key holding a third of all rows
+    lands in many tasks instead of one.
+    """
+    spark = fact.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = key_rows.agg(F.sum("rows")).first()[0] or 0
+    share = max(total // max(partitions, 1), 1)
+    hot = F.broadcast(key_rows.filter(F.col("rows") > share).select(
+        F.col(fact_key).alias("_hot_key"), F.ceil(F.col("rows") / F.lit(share)).cast("int").alias("_buckets")))
+
+    salted_fact = fact.join(hot, fact[fact_key] == hot["_hot_key"], "left").withColumn(
+        "_fact_salt", F.when(F.col("_buckets").isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.col("_buckets"))))
+    salted_fact = salted_fact.drop("_hot_key", "_buckets")
+    copied_dim = dim.join(hot, dim[dim_key] == hot["_hot_key"], "left").withColumn(
+        "_dim_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))
+    copied_dim = copied_dim.drop("_hot_key", "_buckets")
+    joined = salted_fact.join(
+        copied_dim, (salted_fact[fact_key] == copied_dim[dim_key])
+        & (salted_fact["_fact_salt"] == copied_dim["_dim_salt"]), "left")
+    return joined.drop("_fact_salt", "_dim_salt")
+
+
+def left_join_dim_skew_safe(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                            key_rows: DataFrame | None = None,
+                            max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``dim`` if its measured size allows; else a salted shuffle join
+    (given per-key row counts), else a plain shuffle join left to AQE."""
+    if max_broadcast_bytes and measured_size(dim, max_broadcast_bytes) is not None:
+        side = F.broadcast(dim)
+        return fact.join(side, fact[fact_key] == side[dim_key], "left")
+    if key_rows is not None:
+        return salted_left_join(fact, dim, fact_key, dim_key, key_rows)
+    return fact.join(dim, fact[fact_key] == dim[dim_key], "left")

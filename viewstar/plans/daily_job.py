@@ -76,7 +76,7 @@ def run(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
         written[f"kpi_{name}"] = path
     if opts.write_full_detail:
         path = f"{silver}/rentapart_fulldetailed_cleaned"
-        w.write_dated(model.full_detail(fact, listing, opts.max_broadcast_bytes), path, dt)
+        w.write_dated(model.full_detail(fact, listing, opts.max_broadcast_bytes, cube), path, dt)
         written["rentapart_fulldetailed_cleaned"] = path
     return written
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from viewstar.functions.calendar import is_weekend, time_parts
 from viewstar.operators.engagement import fact_cube
-from viewstar.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small, left_join_dim
+from viewstar.operators.joins import (DEFAULT_BROADCAST_BYTES, broadcast_if_small, left_join_dim,
+                                      left_join_dim_skew_safe)
 
 # Listing columns the KPI rollups need; the cube carries only these.
 CUBE_LISTING_COLUMNS = ("source", "state", "cityname", "is_active", "price")
@@ -26,9 +27,18 @@ def with_time_parts(df: DataFrame, ts: str = "viewed_at") -> DataFrame:
 
 
 def full_detail(fact: DataFrame, listing: DataFrame,
-                max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Every viewing with its listing and time parts (a row-level join)."""
-    return with_time_parts(left_join_dim(fact, listing, "apartment_id", "id", max_broadcast_bytes))
+                max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                cube: DataFrame | None = None) -> DataFrame:
+    """Every viewing with its listing and time parts (a row-level join).
+
+    With ``cube`` given, per-listing view counts come from it for free, so a
+    listing side too large to broadcast is joined with hot listings salted.
+    """
+    key_rows = None
+    if cube is not None:
+        key_rows = cube.groupBy("apartment_id").agg(F.sum("views").alias("rows"))
+    joined = left_join_dim_skew_safe(fact, listing, "apartment_id", "id", key_rows, max_broadcast_bytes)
+    return with_time_parts(joined.select(*fact.columns, *listing.columns))
 
 
 def engagement_cube(fact: DataFrame, listing: DataFrame,
