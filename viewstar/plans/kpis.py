@@ -79,6 +79,23 @@ def platform(cube: DataFrame) -> DataFrame:
         "top_apartments")
 
 
+# Output orders for showing a KPI (O3, O4); never planned under a window.
+DISPLAY_ORDER = {
+    "hour_summary": [F.col("view_hour")],
+    "dayofmonth_summary": [F.col("view_day")],
+    "calendar_hour": [F.col("view_year").desc(), F.col("view_month").desc(), F.col("view_day"),
+                      F.col("view_hour")],
+    "daily": [F.col("view_year").desc(), F.col("view_month").desc(), F.col("view_day")],
+    "state": [F.col("state"), F.col("rank_city")],
+    "platform": [F.col("total_views").desc(), F.col("source")],
+}
+
+
+def for_display(df: DataFrame, kpi: str) -> DataFrame:
+    """A KPI table sorted for output (a range-partitioned sort, at the sink only)."""
+    return df.orderBy(*DISPLAY_ORDER[kpi])
+
+
 KPIS = {
     "hour_summary": hour_summary,
     "calendar_hour": calendar_hour,
