@@ -80,20 +80,22 @@ def platform(cube: DataFrame) -> DataFrame:
 
 
 # Output orders for showing a KPI (O3, O4); never planned under a window.
+# (column, descending) pairs, turned into Columns only when a session is up.
 DISPLAY_ORDER = {
-    "hour_summary": [F.col("view_hour")],
-    "dayofmonth_summary": [F.col("view_day")],
-    "calendar_hour": [F.col("view_year").desc(), F.col("view_month").desc(), F.col("view_day"),
-                      F.col("view_hour")],
-    "daily": [F.col("view_year").desc(), F.col("view_month").desc(), F.col("view_day")],
-    "state": [F.col("state"), F.col("rank_city")],
-    "platform": [F.col("total_views").desc(), F.col("source")],
+    "hour_summary": [("view_hour", False)],
+    "dayofmonth_summary": [("view_day", False)],
+    "calendar_hour": [("view_year", True), ("view_month", True), ("view_day", False),
+                      ("view_hour", False)],
+    "daily": [("view_year", True), ("view_month", True), ("view_day", False)],
+    "state": [("state", False), ("rank_city", False)],
+    "platform": [("total_views", True), ("source", False)],
 }
 
 
 def for_display(df: DataFrame, kpi: str) -> DataFrame:
     """A KPI table sorted for output (a range-partitioned sort, at the sink only)."""
-    return df.orderBy(*DISPLAY_ORDER[kpi])
+    return df.orderBy(*[F.col(c).desc() if desc else F.col(c)
+                        for c, desc in DISPLAY_ORDER[kpi]])
 
 
 KPIS = {
