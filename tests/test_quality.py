@@ -79,3 +79,12 @@ def test_cleaning_is_idempotent(spark):
     once = qa.clean_viewings(fx.raw_viewings(spark, SF_TINY))
     twice = qa.clean_viewings(once.withColumn("is_wishlisted", once["is_wishlisted"].cast("string")))
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+def test_all_null_probe_then_exact_count(spark):
+    # 'late' has its only value past the probe: the full count must keep it.
+    rows = [(i, None, "x" if i == 49 else None) for i in range(50)]
+    df = spark.createDataFrame(rows, "k int, dead string, late string").repartition(4, "k")
+    assert qa.all_null_columns(df, probe_rows=5) == ["dead"]
+    assert qa.all_null_columns(df, probe_rows=500) == ["dead"]
+    assert qa.all_null_columns(df.filter("k < 0"), probe_rows=5) == []

@@ -61,16 +61,28 @@ def any_null(df: DataFrame) -> DataFrame:
     return df.agg(F.coalesce(F.max(cond), F.lit(False)).alias("has_nulls"))
 
 
-def all_null_columns(df: DataFrame) -> list[str]:
+def all_null_columns(df: DataFrame, probe_rows: int = 1000) -> list[str]:
     """Columns null in every row; empty tables have none.
 
-    Runs one aggregate; the result is one row whatever the table size.
+    Exact, and in the usual case without a pass over the table: the first
+    ``probe_rows`` rows (an incremental take, which reads the first splits
+    only) settle every column that shows a value there.  Only columns still
+    without a value are counted over the whole table, in one aggregate that
+    reads just those columns.  The driver sees at most ``probe_rows`` rows of
+    booleans and then one row.
     """
-    row = null_counts(df).first()
-    total = row["total_rows"]
-    if not total:
+    cols = df.columns
+    if not cols:
         return []
-    return [c for c in df.columns if row[c] == total]
+    probe = df.select(*[F.col(f"`{c}`").isNotNull().alias(f"_{i}") for i, c in enumerate(cols)])
+    rows = probe.head(probe_rows)
+    if not rows:
+        return []
+    open_cols = [c for i, c in enumerate(cols) if not any(r[i] for r in rows)]
+    if not open_cols or len(rows) < probe_rows:
+        return open_cols
+    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(open_cols)]).first()
+    return [c for i, c in enumerate(open_cols) if row[i] == 0]
 
 
 # -- C6 -------------------------------------------------------------------------

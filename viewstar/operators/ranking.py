@@ -48,3 +48,58 @@ def top_list(df: DataFrame, keys: Sequence[str], item: str, n: int, out: str,
     pairs = F.array_sort(F.collect_list(F.struct("row_num", item)))
     return ranked.groupBy(*keys).agg(
         F.array_join(F.transform(pairs, lambda p: p[item]), sep).alias(out))
+
+
+def summary_with_leaders(df: DataFrame, keys: Sequence[str], aggs: Sequence,
+                         leaders: Sequence[tuple[str, int, str]],
+                         weight: str = "total_views", sep: str = ", ") -> DataFrame:
+    """Per group of ``keys``: ``aggs`` plus the leading items of each leader column.
+
+    ``leaders`` holds (item, n, out): with n = 1, ``out`` is the item with most
+    ``weight`` (the mode); with n > 1 it is the top n items joined by ``sep``,
+    best first.  Ties go to the smaller item, nulls last.  ``aggs`` must
+    produce ``weight``.
+
+    One linear flow, however many leaders: a GROUPING SETS aggregate makes
+    the group rows and the (group, item) rows in one pass over ``df`` (one
+    shuffle, partial aggregation first), a row_number window filtered to
+    the largest n ranks the items (planned as a partial ``WindowGroupLimit``,
+    so a group with millions of items ships at most n rows per map task),
+    and a last aggregate folds the at most 1 + sum(n) rows per group into
+    one.  Unlike one aggregate per output joined back, ``df`` is read once.
+
+    A group with a null key gets null leaders: the original assembled these
+    tables with equality joins, which never match a null key.
+    """
+    keys = list(keys)
+    items = [item for item, _, _ in leaders]
+    sets = [keys] + [[*keys, item] for item in items]
+    kind = F.lit(0)
+    for i, item in reversed(list(enumerate(items, start=1))):
+        kind = F.when(F.grouping(item) == 0, F.lit(i)).otherwise(kind)
+    value = None
+    for i, item in enumerate(items, start=1):
+        value = (F.when(F.col("_kind") == i, F.col(item)) if value is None
+                 else value.when(F.col("_kind") == i, F.col(item)))
+    rows = df.groupingSets(sets, *keys, *items).agg(*aggs, kind.alias("_kind"))
+    rows = rows.withColumn("_item", value if value is not None else F.lit(None))
+    w = Window.partitionBy(*keys, "_kind").orderBy(*_order(weight, "_item"))
+    top = max([n for _, n, _ in leaders], default=1)
+    ranked = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top)
+
+    out_names = [f.name for f in rows.schema.fields
+                 if f.name not in (*keys, *items, "_kind", "_item")]
+    is_group = F.col("_kind") == 0
+    folded = [F.max(F.when(is_group, F.col(c))).alias(c) for c in out_names]
+    all_keys = F.lit(True)
+    for k in keys:
+        all_keys = all_keys & F.col(k).isNotNull()
+    for i, (item, n, out) in enumerate(leaders, start=1):
+        mine = (F.col("_kind") == i) & (F.col("_rn") <= n)
+        if n == 1:
+            folded.append(F.max(F.when(mine, F.col("_item"))).alias(out))
+        else:
+            pairs = F.array_sort(F.collect_list(F.when(mine, F.struct("_rn", "_item"))))
+            folded.append(F.array_join(F.transform(pairs, lambda p: p["_item"]), sep).alias(out))
+    result = ranked.groupBy(*keys).agg(*folded)
+    return result.withColumns({out: F.when(all_keys, F.col(out)) for _, _, out in leaders})

@@ -13,12 +13,16 @@ Shape of the work at scale:
   broadcast when its measured size allows, otherwise a shuffle join with
   AQE skew splitting;
 * dated outputs use dynamic partition overwrite, so a rerun replaces its
-  own date and nothing else.
+  own date and nothing else;
+* outputs that do not depend on each other (the three silver tables, then
+  the KPI tables and the full detail) are submitted as concurrent Spark jobs,
+  so small rollups fill the slots a single job leaves idle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +42,38 @@ class JobOptions:
     max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES
     write_full_detail: bool = True
     kpis: Sequence[str] = field(default_factory=lambda: ["apartment_performance", *kpis.KPIS])
+    # Independent outputs written at once (1 = one after another).
+    parallel_writes: int = 4
+
+
+def run_all(steps: dict[str, Callable[[], None]], workers: int) -> None:
+    """Run independent write steps as concurrent Spark jobs, then raise the
+    first failure, if any, after every step has finished."""
+    if workers <= 1:
+        for step in steps.values():
+            step()
+        return
+    with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="viewstar-write") as pool:
+        futures = [pool.submit(step) for step in steps.values()]
+    for fut in futures:
+        fut.result()
 
 
 def clean_to_silver(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
                     raw_attributes: DataFrame, silver: str, dt: str,
                     opts: JobOptions) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clean the three raw tables, write them, and return them read back."""
-    fact = qa.clean_viewings(raw_viewings, opts.dedup_keys, drop_sentinel=opts.drop_sentinel)
-    w.write_dated(fact, f"{silver}/user_viewings_cleaned", dt)
-    w.write_parquet(qa.clean_apartments(raw_apartments), f"{silver}/apartments_cleaned")
-    w.write_parquet(qa.clean_attributes(raw_attributes), f"{silver}/apartment_attributes_cleaned")
+    def fact_step():
+        fact = qa.clean_viewings(raw_viewings, opts.dedup_keys, drop_sentinel=opts.drop_sentinel)
+        w.write_dated(fact, f"{silver}/user_viewings_cleaned", dt)
+
+    run_all({
+        "user_viewings_cleaned": fact_step,
+        "apartments_cleaned": lambda: w.write_parquet(
+            qa.clean_apartments(raw_apartments), f"{silver}/apartments_cleaned"),
+        "apartment_attributes_cleaned": lambda: w.write_parquet(
+            qa.clean_attributes(raw_attributes), f"{silver}/apartment_attributes_cleaned"),
+    }, opts.parallel_writes)
     fact = rd.read_parquet(spark, f"{silver}/user_viewings_cleaned").where(f"dt = DATE'{dt}'").drop("dt")
     return (fact, rd.read_parquet(spark, f"{silver}/apartments_cleaned"),
             rd.read_parquet(spark, f"{silver}/apartment_attributes_cleaned"))
@@ -68,16 +94,19 @@ def run(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
         "apartments_cleaned": f"{silver}/apartments_cleaned",
         "apartment_attributes_cleaned": f"{silver}/apartment_attributes_cleaned",
     }
+    steps: dict[str, Callable[[], None]] = {}
     for name in opts.kpis:
         table = (kpis.apartment_performance(cube, listing) if name == "apartment_performance"
                  else kpis.KPIS[name](cube))
         path = f"{silver}/kpi_{name}"
-        w.write_dated(table, path, dt)
+        steps[f"kpi_{name}"] = lambda table=table, path=path: w.write_dated(table, path, dt)
         written[f"kpi_{name}"] = path
     if opts.write_full_detail:
         path = f"{silver}/rentapart_fulldetailed_cleaned"
-        w.write_dated(model.full_detail(fact, listing, opts.max_broadcast_bytes, cube), path, dt)
+        steps["rentapart_fulldetailed_cleaned"] = lambda path=path: w.write_dated(
+            model.full_detail(fact, listing, opts.max_broadcast_bytes, cube), path, dt)
         written["rentapart_fulldetailed_cleaned"] = path
+    run_all(steps, opts.parallel_writes)
     return written
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar import schemas
-from viewstar.operators.engagement import (engagement, price_stats, triple, views_by,
-                                           with_engagement_rate, with_rates)
-from viewstar.operators.ranking import mode_of, top_list, top_n
+from viewstar.operators.engagement import (engagement, price_stats, triple, with_engagement_rate,
+                                           with_rates)
+from viewstar.operators.ranking import summary_with_leaders, top_n
 
 TRIPLE = ("total_views", "total_wishlists", "total_contact_agent")
 
@@ -26,14 +26,12 @@ def apartment_performance(cube: DataFrame, listing: DataFrame) -> DataFrame:
 def time_summary(cube: DataFrame, keys: Sequence[str], top_k: int | None = 3) -> DataFrame:
     """Q2 / Q3 / Q4 / Q7: the triple, top platform, top listings and rate per time group."""
     keys = list(keys)
-    out = engagement(cube, keys).join(
-        mode_of(views_by(cube, keys, "source"), keys, "source", "most_viewed_platform"),
-        keys, "left")
+    leaders = [("source", 1, "most_viewed_platform")]
     cols = [*keys, *TRIPLE, "most_viewed_platform"]
     if top_k:
-        out = out.join(top_list(views_by(cube, keys, "apartment_id"), keys, "apartment_id",
-                                top_k, "top_apartments"), keys, "left")
+        leaders.append(("apartment_id", top_k, "top_apartments"))
         cols.append("top_apartments")
+    out = summary_with_leaders(cube, keys, triple(), leaders)
     return with_engagement_rate(out).select(*cols, "engagement_rate")
 
 
@@ -60,20 +58,18 @@ def daily(cube: DataFrame) -> DataFrame:
 def state_city(cube: DataFrame, top_cities: int = 5) -> DataFrame:
     """Q5: the 5 most viewed cities per state, with their top platform."""
     keys = ["state", "cityname"]
-    base = with_rates(cube.groupBy(*keys).agg(*triple(), *price_stats()))
-    ranked = top_n(base, ["state"], "cityname", top_cities, rank_col="rank_city")
-    platform = mode_of(views_by(cube, keys, "source"), keys, "source")
-    return ranked.join(platform, keys, "left").select(
+    base = summary_with_leaders(cube, keys, [*triple(), *price_stats()], [("source", 1, "source")])
+    ranked = top_n(with_rates(base), ["state"], "cityname", top_cities, rank_col="rank_city")
+    return ranked.select(
         *keys, *TRIPLE, "min_price", "max_price", "total_active_apartment", "avg_price",
         "wishlist_rate", "contact_rate", "rank_city", "source")
 
 
 def platform(cube: DataFrame) -> DataFrame:
     """Q6: per platform (listing source), with its top 3 listings."""
-    base = with_rates(cube.groupBy("source").agg(*triple(), *price_stats(non_active=True)))
-    top = top_list(views_by(cube, ["source"], "apartment_id"), ["source"], "apartment_id", 3,
-                   "top_apartments")
-    return base.join(top, "source", "left").select(
+    base = summary_with_leaders(cube, ["source"], [*triple(), *price_stats(non_active=True)],
+                                [("apartment_id", 3, "top_apartments")])
+    return with_rates(base).select(
         "source", *TRIPLE, "min_price", "max_price", "total_active_apartment",
         F.col("`total_non-active_apartment`"), "avg_price", "wishlist_rate", "contact_rate",
         "top_apartments")

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # partition counts are left to AQE coalescing instead of a fixed number.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
