@@ -36,9 +36,15 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_time_batches(df: DataFrame, path: str, time_col: str, batches: int = 5) -> None:
-    """``batches`` JSON files cut by time range, each sorted by time."""
-    (df.repartitionByRange(batches, time_col).sortWithinPartitions(time_col)
-     .write.mode("overwrite").json(path))
+    """``batches`` JSON files cut by time range, each sorted by time.
+
+    A row id breaks time ties, so rows of one hot time (the fill sentinel)
+    can straddle a cut and the files stay near equal in size, as the
+    original's equal slices of the sorted rows were.
+    """
+    with_id = df.withColumn("_row", F.monotonically_increasing_id())
+    (with_id.repartitionByRange(batches, time_col, "_row").sortWithinPartitions(time_col, "_row")
+     .drop("_row").write.mode("overwrite").json(path))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "overwrite",
@@ -97,9 +103,16 @@ def topic_frame(df: DataFrame, order_by: Sequence[str], first_index: int = 0) ->
     each row's index is its partition's offset plus its place inside it.
     Offsets come from one row per partition, so the broadcast is bounded
     by the partition count, not the data.
+
+    A row id from the input ends the sort key: equal rows (one group of
+    copies may hold a third of the data) then still spread over many range
+    partitions instead of landing in one task.  Equal rows give equal
+    values, so which copy takes which index changes no message.
     """
     order = list(order_by) + [c for c in df.columns if c not in order_by]
-    ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).checkpoint()
+    with_id = df.withColumn("_row", F.monotonically_increasing_id())
+    ordered = with_id.orderBy(*[F.col(c).asc_nulls_first() for c in order], "_row") \
+        .drop("_row").checkpoint()
     pid = F.spark_partition_id()
     sized = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sized.withColumn(

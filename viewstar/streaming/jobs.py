@@ -79,9 +79,12 @@ def dedup_stream(spark: SparkSession, stream: DataFrame, out: str, checkpoint: s
     ``delay`` of each other are dropped and dedup state older than the
     watermark is released.  Rows holding the fill sentinel (time did not
     parse) are split off first -- year 9999 would push the watermark past
-    every later row -- and folded per key by a streaming aggregate whose
-    state holds only the bad keys; each batch rewrites that small table.
-    Output: ``out/valid`` (append) and ``out/unparsed`` (replaced per batch).
+    every later row -- and folded per key by a streaming aggregate in update
+    mode: each batch writes only the keys it changed, under its own
+    ``batch_id=`` folder (a retried batch overwrites itself), so the work
+    per batch follows the batch, not the number of bad keys seen so far.
+    Output: ``out/valid`` (append) and ``out/unparsed`` (read with
+    :func:`read_deduped`, which keeps the newest row per key).
     """
     cleaned = clean_stream(stream)
     valid = cleaned.filter(F.col("viewed_at") != _sentinel())
@@ -102,22 +105,31 @@ def dedup_stream(spark: SparkSession, stream: DataFrame, out: str, checkpoint: s
     folded = unparsed.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first")) \
         .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*cleaned.columns)
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/unparsed")
+    def write_changed(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").parquet(f"{out}/unparsed/batch_id={batch_id}"))
 
-    q_bad = _run(folded.writeStream.outputMode("complete").foreachBatch(replace)
+    q_bad = _run(folded.writeStream.outputMode("update").foreachBatch(write_changed)
                  .option("checkpointLocation", f"{checkpoint}/unparsed"), available_now)
     return q_valid, q_bad
 
 
-def read_deduped(spark: SparkSession, out: str) -> DataFrame:
-    """The de-duplicated stream output as one table."""
+def read_deduped(spark: SparkSession, out: str,
+                 keys: Sequence[str] = schemas.VIEWING_KEY) -> DataFrame:
+    """The de-duplicated stream output as one table.
+
+    Unparsed rows: the newest version of each key across batches, as one
+    aggregate (a key's later version is its min over more rows).
+    """
     valid = spark.read.parquet(f"{out}/valid")
     try:
-        unparsed = spark.read.parquet(f"{out}/unparsed")
+        updates = spark.read.parquet(f"{out}/unparsed")
     except Exception:  # noqa: BLE001 - no unparsed rows were ever seen
         return valid
-    return valid.unionByName(unparsed)
+    rest = [c for c in valid.columns if c not in keys]
+    latest = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_t"))
+    unparsed = latest.select(*keys, *[F.col(f"_t.{c}").alias(c) for c in rest])
+    return valid.unionByName(unparsed.select(*valid.columns))
 
 
 # -- T3 -------------------------------------------------------------------------------
