@@ -85,3 +85,30 @@ def test_salted_join_equals_plain_join(spark):
     assert salted.count() == 900
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
     assert "_fact_salt" in plan and "xxhash64" in plan
+
+
+def test_leaders_in_one_pass_equal_joined_branches(spark):
+    """summary_with_leaders == triple, mode and top list built apart and joined
+    with equality (null keys get null leaders), on ties and null items."""
+    from viewstar.operators.engagement import triple, views_by
+    from viewstar.operators.ranking import summary_with_leaders
+    rows = [(h, a, s, v, v // 2, v % 3) for h, a, s, v in [
+        (0, "10", "x", 5), (0, "20", "y", 5), (0, "30", None, 5), (0, "40", "y", 1),
+        (1, "10", None, 7), (1, "20", "x", 2), (1, "20", "y", 2),
+        (None, "50", "x", 4), (None, "60", "y", 9), (2, "70", "z", 1)]]
+    c = spark.createDataFrame(rows, "view_hour int, apartment_id string, source string, views long, "
+                                    "wishlists long, contacts long")
+    keys = ["view_hour"]
+    one_pass = summary_with_leaders(c, keys, triple(), [("source", 1, "platform"),
+                                                        ("apartment_id", 3, "top")])
+    joined = (engagement(c, keys)
+              .join(mode_of(views_by(c, keys, "source"), keys, "source", "platform"),
+                    keys, "left")
+              .join(top_list(views_by(c, keys, "apartment_id"), keys, "apartment_id", 3, "top"),
+                    keys, "left"))
+    cols = ["view_hour", "total_views", "total_wishlists", "total_contact_agent", "platform", "top"]
+    got = sorted(one_pass.select(*cols).collect(), key=lambda r: (r[0] is None, r[0]))
+    want = sorted(joined.select(*cols).collect(), key=lambda r: (r[0] is None, r[0]))
+    assert got == want
+    assert got[0]["platform"] == "y" and got[0]["top"] == "10, 20, 30"
+    assert got[-1]["view_hour"] is None and got[-1]["platform"] is None and got[-1]["top"] is None
