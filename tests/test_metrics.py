@@ -65,7 +65,7 @@ def test_broadcast_only_under_budget(spark):
     assert measured_size(small, 1 << 20) == (100, 800)
     assert measured_size(small, 100) is None
     big = spark.range(10_000_000)
-    assert measured_size(big, 1 << 10) is None   # bounded check: stops early
+    assert measured_size(big, 1 << 10) is None
     fact = spark.range(1000).withColumn("k", F.col("id") % 100)
     plan = fact.join(broadcast_if_small(small.withColumnRenamed("id", "k")), "k", "left")
     assert "broadcast" in plan._jdf.queryExecution().optimizedPlan().toString().lower()
@@ -112,3 +112,10 @@ def test_leaders_in_one_pass_equal_joined_branches(spark):
     assert got == want
     assert got[0]["platform"] == "y" and got[0]["top"] == "10, 20, 30"
     assert got[-1]["view_hour"] is None and got[-1]["platform"] is None and got[-1]["top"] is None
+
+
+def test_display_order_calendar_hour(spark):
+    rows = [(2024, 5, 3, 1), (2024, 6, 1, 2), (2024, 6, 1, 0), (2023, 12, 31, 23)]
+    df = spark.createDataFrame(rows, "view_year int, view_month int, view_day int, view_hour int")
+    got = [tuple(r) for r in kpis.for_display(df, "calendar_hour").collect()]
+    assert got == [(2024, 6, 1, 0), (2024, 6, 1, 2), (2024, 5, 3, 1), (2023, 12, 31, 23)]
