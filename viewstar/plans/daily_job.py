@@ -7,8 +7,8 @@ Shape of the work at scale:
   executor recomputes from files, not from the raw scan);
 * the viewing fact is folded once into the engagement cube (partial
   aggregation before the shuffle absorbs hot keys), joined to the narrow
-  listing columns, and checkpointed to the shared checkpoint folder; every
-  KPI is a rollup of that cube;
+  listing columns, and written as Parquet to the shared checkpoint folder;
+  every KPI is a rollup of that cube;
 * only the full-detail table joins the fact row by row: the listing side is
   broadcast when its measured size allows, otherwise a shuffle join with
   AQE skew splitting;
@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstar import schemas
+from viewstar.session import scratch_path
 from viewstar.operators import quality as qa
 from viewstar.operators.joins import DEFAULT_BROADCAST_BYTES
 from viewstar.plans import kpis, model
@@ -87,25 +88,36 @@ def run(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
     fact, apartments, attributes = clean_to_silver(
         spark, raw_viewings, raw_apartments, raw_attributes, silver, dt, opts)
     listing = model.listing_dim(apartments, attributes, opts.max_broadcast_bytes)
-    cube = model.engagement_cube(fact, listing, opts.max_broadcast_bytes).checkpoint()
+    # The cube is written once as Parquet in the shared checkpoint folder and
+    # read back: the lineage is cut (a lost executor re-reads files), it is
+    # computed once (an unpersisted checkpoint() computes it twice), and each
+    # KPI reads only the cube columns it uses.
+    cube_path = scratch_path(spark, "engagement_cube")
+    w.write_parquet(model.engagement_cube(fact, listing, opts.max_broadcast_bytes), cube_path)
+    cube = rd.read_parquet(spark, cube_path)
 
     written = {
         "user_viewings_cleaned": f"{silver}/user_viewings_cleaned",
         "apartments_cleaned": f"{silver}/apartments_cleaned",
         "apartment_attributes_cleaned": f"{silver}/apartment_attributes_cleaned",
     }
+    # Plans are built inside the steps, so their analysis overlaps too; the
+    # longest write (the row-level full detail) starts first.
     steps: dict[str, Callable[[], None]] = {}
-    for name in opts.kpis:
-        table = (kpis.apartment_performance(cube, listing) if name == "apartment_performance"
-                 else kpis.KPIS[name](cube))
-        path = f"{silver}/kpi_{name}"
-        steps[f"kpi_{name}"] = lambda table=table, path=path: w.write_dated(table, path, dt)
-        written[f"kpi_{name}"] = path
     if opts.write_full_detail:
         path = f"{silver}/rentapart_fulldetailed_cleaned"
         steps["rentapart_fulldetailed_cleaned"] = lambda path=path: w.write_dated(
             model.full_detail(fact, listing, opts.max_broadcast_bytes, cube), path, dt)
         written["rentapart_fulldetailed_cleaned"] = path
+    for name in opts.kpis:
+        path = f"{silver}/kpi_{name}"
+
+        def kpi_step(name=name, path=path):
+            table = (kpis.apartment_performance(cube, listing) if name == "apartment_performance"
+                     else kpis.KPIS[name](cube))
+            w.write_dated(table, path, dt)
+        steps[f"kpi_{name}"] = kpi_step
+        written[f"kpi_{name}"] = path
     run_all(steps, opts.parallel_writes)
     return written
 
