@@ -1,7 +1,7 @@
-"""Registered streaming queries: the fixture viewings are written as a time-
-ordered message log (five files, as the producer replayed them), then
-consumed by the streaming jobs with ``availableNow``; the result tables are
-returned for comparison with their batch equivalents."""
+"""Registered streaming queries: the fixture viewings arrive as a time-
+ordered message log (five time ranges, as the producer replayed them), each
+range consumed by the streaming jobs with ``availableNow`` as it lands; the
+result tables are returned for comparison with their batch equivalents."""
 
 from __future__ import annotations
 
@@ -16,14 +16,15 @@ from viewstar.sources import readers as rd
 from viewstar.streaming import jobs
 
 
-def message_log(spark: SparkSession, sf: str, batches: int = 5) -> str:
+def message_ranges(spark: SparkSession, sf: str, batches: int = 5):
     """Raw viewings replayed as the producer sent them: in time order.
 
     The log is cut into ``batches`` time ranges (bounds from one percentile
-    aggregate: ``batches - 1`` values reach the driver); each range is
-    written as one sorted file after the previous one, so the file source,
-    which takes files by modification time, sees them in time order.
-    Unparsed times go first.
+    aggregate: ``batches - 1`` values reach the driver); unparsed times go
+    first.  Yields one folder per range, each written by a parallel job
+    (sorted within its files) just before it is yielded, so a stream run
+    after each yield sees the ranges arrive in time order without any range
+    having to sit in one file or one task.
     """
     path = scratch_path(spark, "viewing_messages")
     raw = fx.raw_viewings(spark, sf).withColumn("_t", parse_timestamp(F.col("viewed_at")))
@@ -33,35 +34,43 @@ def message_log(spark: SparkSession, sf: str, batches: int = 5) -> str:
     micros = F.col("_m")
     cuts = raw.agg(F.percentile_approx(micros, [i / batches for i in range(1, batches)])).first()[0]
     bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds, bounds[1:]):
+    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
         cond = F.lit(True) if lo is None else (micros >= lo)
         if hi is not None:
             cond = cond & (micros < hi)
         part = raw.filter(cond | F.col("_t").isNull()) if lo is None else raw.filter(cond)
-        part.coalesce(1).sortWithinPartitions(F.col("_t").asc_nulls_first()) \
-            .drop("_t", "_m").write.mode("append").json(path)
-    return path
+        part.sortWithinPartitions(F.col("_t").asc_nulls_first()) \
+            .drop("_t", "_m").write.mode("overwrite").json(f"{path}/r{i}")
+        yield f"{path}/r*"
 
 
-def _stream(spark, sf):
-    return jobs.viewing_stream(spark, message_log(spark, sf), max_files_per_trigger=1)
+def _replay(spark, sf, run_job) -> None:
+    """Run a stream job once per arriving range (``availableNow`` each time,
+    one checkpoint throughout): each range is one distributed micro-batch."""
+    for source in message_ranges(spark, sf):
+        run_job(jobs.viewing_stream(spark, source))
 
 
 def stream_land_by_date(spark: SparkSession, sf: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
-    jobs.land_by_date(_stream(spark, sf), landing, scratch_path(spark, "ckpt_land"))
+    ckpt = scratch_path(spark, "ckpt_land")
+    _replay(spark, sf, lambda stream: jobs.land_by_date(stream, landing, ckpt))
     return rd.read_viewings_for_date(spark, landing)
 
 
-def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+def _dedup(spark, sf) -> str:
     out = scratch_path(spark, "stream_dedup")
-    jobs.dedup_stream(spark, _stream(spark, sf), out, scratch_path(spark, "ckpt_dedup"))
-    return jobs.read_deduped(spark, out)
+    ckpt = scratch_path(spark, "ckpt_dedup")
+    _replay(spark, sf, lambda stream: jobs.dedup_stream(spark, stream, out, ckpt))
+    return out
+
+
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.read_deduped(spark, _dedup(spark, sf))
 
 
 def stream_hour_engagement(spark: SparkSession, sf: str) -> DataFrame:
-    out = scratch_path(spark, "stream_dedup")
-    jobs.dedup_stream(spark, _stream(spark, sf), out, scratch_path(spark, "ckpt_dedup"))
+    out = _dedup(spark, sf)
     hours = scratch_path(spark, "stream_hours")
     jobs.hour_engagement_stream(spark, f"{out}/valid", hours, scratch_path(spark, "ckpt_hours"))
     return jobs.read_hour_engagement(spark, hours)
