@@ -87,6 +87,32 @@ def test_salted_join_equals_plain_join(spark):
     assert "_fact_salt" in plan and "xxhash64" in plan
 
 
+def test_salted_join_spreads_identical_copies(spark):
+    """A hot key made of identical rows, over several input splits: joined
+    rows equal the plain join, and the copies reach more than one task."""
+    from viewstar.operators.joins import salted_left_join
+    fact = spark.createDataFrame([("hot", 1)] * 400 + [(f"k{i}", 2) for i in range(400)],
+                                 "key string, x int").repartition(8)
+    dim = spark.createDataFrame([("hot", "H")], "id string, v string")
+    counts = fact.groupBy("key").agg(F.count("*").alias("rows"))
+    salted = salted_left_join(fact, dim, "key", "id", counts, partitions=8)
+    plain = fact.join(dim, fact["key"] == dim["id"], "left")
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    # A shuffle join, not coalesced, so the task of a row is its salt's hash partition.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = salted.filter("key = 'hot'").select(F.spark_partition_id().alias("p"))
+        assert hot.distinct().count() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_leaders_in_one_pass_equal_joined_branches(spark):
     """summary_with_leaders == triple, mode and top list built apart and joined
     with equality (null keys get null leaders), on ties and null items."""

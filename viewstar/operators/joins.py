@@ -74,8 +74,9 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
     share, ``total / partitions`` rows, so fewer than ``partitions`` keys can
     be hot: that list is broadcast with a proven bound.  A hot key's fact
     rows are spread over ``ceil(rows / share)`` salt buckets by a hash of the
-    row (deterministic, so a retried task sends each row where it went
-    before); its one dimension row is copied once per bucket.  Cold keys keep
+    row and its input partition id (deterministic, so a retried task sends
+    each row where it went before; the partition id spreads even identical
+    copies, split by split); its one dimension row is copied once per bucket.  Cold keys keep
     salt 0.  No row is dropped or capped; one key holding a third of all rows
     lands in many tasks instead of one.
     """
@@ -88,7 +89,8 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
 
     salted_fact = fact.join(hot, fact[fact_key] == hot["_hot_key"], "left").withColumn(
         "_fact_salt", F.when(F.col("_buckets").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.col("_buckets"))))
+        .otherwise(F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns]),
+                          F.col("_buckets"))))
     salted_fact = salted_fact.drop("_hot_key", "_buckets")
     copied_dim = dim.join(hot, dim[dim_key] == hot["_hot_key"], "left").withColumn(
         "_dim_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))
