@@ -271,7 +271,8 @@ ORACLE_SQL: dict[str, str] = {
         "bedrooms, fee, has_photo, pets_allowed, price_display, price_type, square_feet, address, cityname, "
         "state, latitude, longitude FROM raw_attributes"),
     "duplicate_report": q(
-        "SELECT sum(n) AS total_rows, count(*) AS distinct_keys, sum(n) - count(*) AS duplicate_rows, "
+        "SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_rows, count(*) AS distinct_keys, "
+        "CAST(coalesce(sum(n), 0) - count(*) AS BIGINT) AS duplicate_rows, "
         "sum(n) > count(*) AS has_duplicates FROM (SELECT user_id, apartment_id, viewed_at, count(*) AS n "
         "FROM filled_viewings GROUP BY ALL)"),
     "dedup_viewings": q("SELECT * FROM clean_viewings"),
