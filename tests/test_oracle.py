@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_TINY
-from tools.check_oracle import rows_of
+from tools.check_oracle import SPARK_TO_DUCK, rows_of
 
 NAMES = sorted(entry.queries())
 
@@ -23,7 +23,10 @@ def con():
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_TINY)
-    res = con.execute(entry.oracle_sql()[name])
-    cols = [d[0] for d in res.description]
+    rel = con.sql(entry.oracle_sql()[name])
+    cols = rel.columns
     assert sorted(df.columns) == sorted(cols)
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, res.fetchall())
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: SPARK_TO_DUCK.get(spark_types[c], spark_types[c]) for c in cols} == \
+        {c: str(t) for c, t in zip(cols, rel.types)}
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, rel.fetchall())
