@@ -64,14 +64,21 @@ def test_csv_reader_turns_nan_to_null(spark):
 def test_time_batches_are_sorted_ranges(spark):
     path = scratch_path(spark, "t_time_batches")
     parsed = fx.large_viewings(spark, SF_TINY)
-    w.write_time_batches(parsed, path, "viewed_at", batches=5)
-    files = sorted(glob.glob(path.removeprefix("file:") + "/part-*.json"))
-    spans = []
-    for f in files:
-        times = [json.loads(line)["viewed_at"] for line in open(f)]
-        assert times == sorted(times)
+    w.write_time_batches(parsed, path, "viewed_at", batches=5, parts=20)
+    root = path.removeprefix("file:")
+    spans, sizes = [], []
+    for b in range(5):
+        files = sorted(glob.glob(f"{root}/batch={b}/part-*.json"))
+        assert len(files) > 1                          # a batch is written by many tasks
+        times = []
+        for f in files:
+            chunk = [json.loads(line)["viewed_at"] for line in open(f)]
+            assert chunk == sorted(chunk)
+            times += chunk
+        assert times == sorted(times)                  # part numbers follow time
         spans.append((times[0], times[-1]))
-    assert len(files) == 5
-    spans.sort()
+        sizes.append(len(times))
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(sizes) < 2 * min(sizes)
+    assert sum(sizes) == parsed.count()
     assert rd.read_json(spark, path, schemas.VIEWINGS_DDL).count() == parsed.count()

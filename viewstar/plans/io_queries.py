@@ -58,7 +58,7 @@ def time_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Viewings cut into 5 time-range batches, read back."""
     path = scratch_path(spark, "user_viewings_batches")
     w.write_time_batches(fx.raw_viewings(spark, sf), path, "viewed_at")
-    return rd.read_json(spark, path, schemas.VIEWINGS_DDL)
+    return rd.read_json(spark, path, schemas.VIEWINGS_DDL).drop("batch")
 
 
 def _database(spark: SparkSession) -> str:

@@ -35,16 +35,26 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_time_batches(df: DataFrame, path: str, time_col: str, batches: int = 5) -> None:
-    """``batches`` JSON files cut by time range, each sorted by time.
-
-    A row id breaks time ties, so rows of one hot time (the fill sentinel)
-    can straddle a cut and the files stay near equal in size, as the
-    original's equal slices of the sorted rows were.
+def write_time_batches(df: DataFrame, path: str, time_col: str, batches: int = 5,
+                       parts: int | None = None) -> None:
+    """The rows cut into ``batches`` consecutive time ranges of near equal
+    size, one folder each (``batch=0`` first), every file sorted by time.
+
+    The rows are range-partitioned on (time, row id) into ``parts`` ranges
+    (default: the session's shuffle partition count), and consecutive ranges
+    are grouped into the batches, so each batch is written by many tasks, not
+    one.  Within a batch, file part numbers follow time.  The row id breaks
+    time ties, so rows of one hot time (the fill sentinel) can straddle a cut
+    and the batches stay near equal, as the original's equal slices of the
+    sorted rows were.
     """
+    spark = df.sparkSession
+    parts = max(parts or int(spark.conf.get("spark.sql.shuffle.partitions")), batches)
     with_id = df.withColumn("_row", F.monotonically_increasing_id())
-    (with_id.repartitionByRange(batches, time_col, "_row").sortWithinPartitions(time_col, "_row")
-     .drop("_row").write.mode("overwrite").json(path))
+    ranged = with_id.repartitionByRange(parts, time_col, "_row")
+    batch = F.floor(F.spark_partition_id() * F.lit(batches) / F.lit(parts)).cast("int")
+    (ranged.withColumn("batch", batch).sortWithinPartitions("batch", time_col, "_row")
+     .drop("_row").write.mode("overwrite").partitionBy("batch").json(path))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "overwrite",
