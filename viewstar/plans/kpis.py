@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar import schemas
+from viewstar.functions.calendar import is_weekend
 from viewstar.operators.engagement import (engagement, price_stats, triple, with_engagement_rate,
                                            with_rates)
 from viewstar.operators.ranking import summary_with_leaders, top_n
@@ -75,6 +76,16 @@ def platform(cube: DataFrame) -> DataFrame:
         "top_apartments")
 
 
+def weekend_split(cube: DataFrame) -> DataFrame:
+    """P7 as a rollup: the triple for weekend and for weekday viewings.
+
+    The cube's calendar keys carry each viewing's date, so the flag needs no
+    row-level join of the fact with its listing.
+    """
+    day = F.make_date("view_year", "view_month", "view_day")
+    return cube.withColumn("is_weekend", is_weekend(day)).groupBy("is_weekend").agg(*triple())
+
+
 # Output orders for showing a KPI (O3, O4); never planned under a window.
 # (column, descending) pairs, turned into Columns only when a session is up.
 DISPLAY_ORDER = {

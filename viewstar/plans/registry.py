@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from viewstar import schemas
 from viewstar.operators import quality as qa
-from viewstar.operators.engagement import (engagement, fact_cube, price_stats, row_triple, triple,
+from viewstar.operators.engagement import (engagement, fact_cube, price_stats, triple,
                                            views_by, with_engagement_rate, with_rates)
 from viewstar.operators.ranking import mode_of, ranked_with_ties, top_list, top_n
 from viewstar.plans import kpis, model
@@ -138,7 +138,7 @@ QUERIES: dict[str, Query] = {
     "listing_dim": listing,
     "full_detail": wide,
     "time_parts": lambda s, sf: model.with_time_parts(clean_viewings(s, sf)).drop("is_weekend"),
-    "weekend_split": lambda s, sf: wide(s, sf).groupBy("is_weekend").agg(*row_triple()),
+    "weekend_split": _on_cube(kpis.weekend_split),
     # aggregates
     "engagement_by_listing": lambda s, sf: engagement(fact_cube(clean_viewings(s, sf)), ["apartment_id"]),
     "engagement_by_hour": _on_cube(lambda c: engagement(c, HOUR)),
