@@ -36,3 +36,26 @@ def test_unbroadcast_listing_gives_same_tables(spark):
         x, y = spark.read.parquet(a[name]), spark.read.parquet(b[name])
         assert x.columns == y.columns
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_run_all_finishes_every_step_then_raises():
+    import threading
+
+    import pytest
+    done, lock = [], threading.Lock()
+
+    def ok(i):
+        def step():
+            with lock:
+                done.append(i)
+        return step
+
+    def bad():
+        raise RuntimeError("write failed")
+
+    steps = {"a": ok(1), "b": bad, "c": ok(2), "d": ok(3)}
+    for workers in (1, 3):
+        done.clear()
+        with pytest.raises(RuntimeError, match="write failed"):
+            daily_job.run_all(steps, workers)
+        assert sorted(done) == [1, 2, 3]

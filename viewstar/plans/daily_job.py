@@ -48,13 +48,10 @@ class JobOptions:
 
 
 def run_all(steps: dict[str, Callable[[], None]], workers: int) -> None:
-    """Run independent write steps as concurrent Spark jobs, then raise the
-    first failure, if any, after every step has finished."""
-    if workers <= 1:
-        for step in steps.values():
-            step()
-        return
-    with ThreadPoolExecutor(max_workers=workers, thread_name_prefix="viewstar-write") as pool:
+    """Run independent write steps as concurrent Spark jobs (``workers`` at a
+    time; 1 = one after another), then raise the first failure, if any,
+    after every step has finished."""
+    with ThreadPoolExecutor(max_workers=max(workers, 1), thread_name_prefix="viewstar-write") as pool:
         futures = [pool.submit(step) for step in steps.values()]
     for fut in futures:
         fut.result()
