@@ -84,7 +84,8 @@ clean_viewings_two_key AS (
                                           call_to_action NULLS LAST) AS _rn
     FROM filled_viewings) WHERE _rn = 1),
 raw_apartments AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS title,
+  SELECT CAST(CASE WHEN p_partkey % 11 = 0 THEN -(p_partkey + 1) ELSE p_partkey END AS VARCHAR) AS id,
+         p_name AS title,
          CASE WHEN p_partkey % 17 <> 0 THEN p_type END AS source,
          CASE WHEN p_partkey % 13 <> 0 THEN CAST(floor(p_retailprice) AS INTEGER) END AS price,
          'USD' AS currency,
@@ -94,7 +95,7 @@ raw_apartments AS (
            AS listing_created_on,
          CAST(p_size % 2 AS TINYINT) AS is_active,
          TIMESTAMP '2023-06-01 00:00:00' + to_hours(CAST(p_partkey % 5000 AS BIGINT)) AS last_modified_timestamp
-  FROM part WHERE p_partkey % 11 <> 0),
+  FROM part),
 typed_apartments AS (
   SELECT id, title, source, price, currency,
          {parse_ts('CAST(listing_created_on AS VARCHAR)')} AS listing_created_on,
@@ -109,7 +110,8 @@ clean_apartments AS (
          COALESCE(last_modified_timestamp, {SENTINEL}) AS last_modified_timestamp
   FROM typed_apartments),
 raw_attributes AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS category, p_name AS body,
+  SELECT CAST(CASE WHEN p_partkey % 7 = 0 THEN -(p_partkey + 1) ELSE p_partkey END AS VARCHAR) AS id,
+         p_brand AS category, p_name AS body,
          CAST(NULL AS VARCHAR) AS amenities,
          CAST(p_size % 3 + 0.5 AS FLOAT) AS bathrooms,
          CAST(CASE WHEN p_partkey % 31 <> 0 THEN p_size % 4 END AS FLOAT) AS bedrooms,
@@ -124,7 +126,7 @@ raw_attributes AS (
          'ST' || CAST(p_partkey % 5 AS VARCHAR) AS state,
          CAST(30 + p_partkey % 20 AS DOUBLE) AS latitude,
          CAST(-120 + p_partkey % 50 AS DOUBLE) AS longitude
-  FROM part WHERE p_partkey % 7 <> 0),
+  FROM part),
 clean_attributes AS (
   SELECT COALESCE(id, 'Unknown') AS id, COALESCE(category, 'Unknown') AS category,
          COALESCE(body, 'Unknown') AS body, COALESCE(bathrooms, 0) AS bathrooms,

@@ -23,6 +23,14 @@ def _every(c: Column, n: int, r: int = 0) -> Column:
     return (c % n) == r
 
 
+def _id_unless_every(key: Column, n: int) -> Column:
+    """The key as text, except every ``n``-th key, which gets ``-(key + 1)``:
+    an id no viewing uses.  Every part row stays; the renamed ones make
+    viewings without a listing (or listings without attributes) and
+    listings nobody viewed."""
+    return F.when(_every(key, n), -(key + 1)).otherwise(key).cast("string")
+
+
 def raw_viewings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty raw viewings from ``events``: five time layouts, bad times,
     free-text flags, missing listings and exact repeats."""
@@ -54,15 +62,15 @@ def raw_viewings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings from ``part``; every 11th key has no listing (unmatched views)."""
+    """Listings from ``part``; every 11th key is renamed, so its views find no listing."""
     p = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     hours = key % 5000
     created = (F.when(_every(key, 19), F.lit(None).cast("timestamp_ntz"))
                .when(_every(key, 23), F.lit("2023-01-01 00:00:00.5").cast("timestamp_ntz"))
                .otherwise(F.timestamp_add("HOUR", hours, F.lit("2023-01-01 00:00:00").cast("timestamp_ntz"))))
-    return p.filter(~_every(key, 11)).select(
-        key.cast("string").alias("id"),
+    return p.select(
+        _id_unless_every(key, 11).alias("id"),
         F.col("p_name").alias("title"),
         F.when(~_every(key, 17), F.col("p_type")).alias("source"),
         F.when(~_every(key, 13), F.floor("p_retailprice").cast("int")).alias("price"),
@@ -75,12 +83,13 @@ def raw_apartments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing attributes from ``part``; every 7th key has none, amenities all null."""
+    """Listing attributes from ``part``; every 7th key is renamed (no attributes for
+    that listing), amenities all null."""
     p = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     size = F.col("p_size")
-    return p.filter(~_every(key, 7)).select(
-        key.cast("string").alias("id"),
+    return p.select(
+        _id_unless_every(key, 7).alias("id"),
         F.col("p_brand").alias("category"),
         F.col("p_name").alias("body"),
         F.lit(None).cast("string").alias("amenities"),
