@@ -94,3 +94,18 @@ def test_leaders_match_brute_force(spark, rows):
     got = {r["view_hour"]: (r["total_views"], r["total_wishlists"], r["total_contact_agent"],
                             r["src"], r["top"]) for r in got}
     assert got == _brute_leaders(rows, 3)
+
+
+def test_each_kpi_reads_the_cube_once(spark, cube):
+    """One scan of a written cube per KPI, ranking with a partial
+    WindowGroupLimit: the branches of a KPI are not recomputed."""
+    from viewstar import scratch_path
+    path = scratch_path(spark, "t_cube_plan")
+    cube.write.parquet(path)
+    stored = spark.read.parquet(path)
+    for name, build in kpis.KPIS.items():
+        plan = build(stored)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1, name
+        assert "Expand" in plan, name
+        if name in ("hour_summary", "dayofmonth_summary", "platform", "state"):
+            assert "WindowGroupLimit" in plan, name
