@@ -6,6 +6,8 @@ Prints one JSON line.  ``value`` is the wall time of the whole dated job
 the original job's timings use: the job runs twice into fresh folders and
 the faster run is reported (both are listed under ``daily_job_runs``); ``queries`` also times each KPI alone,
 each one from the raw tables through cleaning, executed with a no-op sink.
+Before any timing, one KPI and the whole dated job run once on sf0.001
+(untimed warm-up: JIT and class loading).
 """
 
 from __future__ import annotations
