@@ -4,32 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewstar.llm import decontaminate, langid, packing, toxicity
+from viewstar.llm import (ann, decontaminate, langid, license_scan, ngram_join, packing, pii, substring_dedup, toxicity,
+                          url_rules)
 from viewstar.llm.tables import crc_bucket, table
 
 
+def held_out(column: str, buckets: int, bucket: int) -> Column:
+    """Rows whose crc32(id as text) modulo ``buckets`` is ``bucket``; a row without id is held out."""
+    return F.coalesce(crc_bucket(column, buckets), F.lit(bucket)) == bucket
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    bucket = F.coalesce(crc_bucket("doc_id", 3), F.lit(1))  # a null id is held out
-    model = langid.train(docs.where(bucket != 1))
+    model = langid.train(docs.where(~held_out("doc_id", 3, 1)))
     return langid.identify(docs, model).select(
-        F.col("id").alias("doc_id"), (F.coalesce(crc_bucket("id", 3), F.lit(1)) == 1).alias("held_out"),
-        "lang_pred", "score")
+        F.col("id").alias("doc_id"), held_out("id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted; labels come from the rows that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    bucket = F.coalesce(crc_bucket("doc_id", 5), F.lit(0))
-    language = langid.train(docs.where(bucket != 0), sample_docs=300, max_order=2)
-    model = toxicity.train(docs, labels.where(bucket != 0), language)
+    language = langid.train(docs.where(~held_out("doc_id", 5, 0)), sample_docs=300, max_order=2)
+    model = toxicity.train(docs, labels.where(~held_out("doc_id", 5, 0)), language)
     return toxicity.score(docs, model).select(
-        F.col("id").alias("doc_id"), (F.coalesce(crc_bucket("id", 5), F.lit(0)) == 0).alias("held_out"),
-        "score", "predicted")
+        F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), "score", "predicted")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +68,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_pii": op2_pii,
+    "op3_ngram_join": op3_ngram_join,
+    "op4_license_scan": op4_license_scan,
+    "op5_ann": op5_ann,
     "op6_langid": op6_langid,
+    "op7_url_rules": op7_url_rules,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,

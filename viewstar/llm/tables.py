@@ -73,18 +73,30 @@ class Bitmap:
 
     def __init__(self, words: np.ndarray):
         self.words = words
+        self.bits = 64 * len(words)
 
     @classmethod
-    def of(cls, df: DataFrame, hash_column: str) -> "Bitmap":
-        slot = F.pmod(F.col(hash_column), F.lit(cls.BITS)).cast("long")
-        rows = (df.select(slot.alias("s")).select((F.col("s") / 64).cast("long").alias("w"),
-                                                  F.expr("shiftleft(1L, cast(s % 64 as int))").alias("b"))
-                .groupBy("w").agg(F.bit_or("b").alias("b")).toPandas())
-        words = np.zeros(cls.BITS // 64, dtype=np.int64)
-        words[rows["w"].to_numpy(dtype=np.int64)] = rows["b"].to_numpy(dtype=np.int64)
-        return cls(words.view(np.uint64))
+    def of(cls, df: DataFrame, hash_column: str, bits: int = BITS) -> "Bitmap":
+        return cls.of_levels(df.select(F.col(hash_column).alias("h"), F.lit(1).alias("level")), "h", "level", 1, bits)[0]
+
+    @classmethod
+    def of_levels(cls, df: DataFrame, hash_column: str, level_column: str, levels: int,
+                  bits: int = 1 << 24) -> list["Bitmap"]:
+        """Bitmap k holds the hashes of level k or above, k = 1 .. levels; one pass over ``df``."""
+        slot = F.pmod(F.shiftright(F.col(hash_column), 20), F.lit(bits)).cast("long").alias("s")
+        bit = F.expr("shiftleft(1L, cast(s % 64 as int))")
+        rows = df.select(slot, F.col(level_column).alias("level")) \
+            .select(F.expr("s div 64").alias("w"), *[F.when(F.col("level") >= k, bit).otherwise(F.lit(0).cast("long"))
+                                                     .alias(f"b{k}") for k in range(1, levels + 1)]) \
+            .groupBy("w").agg(*[F.bit_or(f"b{k}").alias(f"b{k}") for k in range(1, levels + 1)]).toPandas()
+        made = []
+        for k in range(1, levels + 1):
+            words = np.zeros(bits // 64, dtype=np.int64)
+            words[rows["w"].to_numpy(dtype=np.int64)] = rows[f"b{k}"].to_numpy(dtype=np.int64)
+            made.append(cls(words.view(np.uint64)))
+        return made
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        """``hashes`` as uint64; the slot is the signed value's positive remainder, as in ``of``."""
-        slot = (hashes & np.uint64(self.BITS - 1)).astype(np.int64)
+        """``hashes`` as uint64; the slot is taken from bit 20 upwards, as in ``of_levels``."""
+        slot = ((hashes >> np.uint64(20)) & np.uint64(self.bits - 1)).astype(np.int64)
         return ((self.words[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
