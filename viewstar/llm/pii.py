@@ -200,7 +200,8 @@ def digest(found: DataFrame) -> DataFrame:
     terms = F.transform("terms", lambda t: F.concat_ws(":", F.lit(TERM), t["start"].cast("string"), t["end"].cast("string")))
     return found.select(
         F.col("id").alias("doc_id"),
-        *[F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        *[F.size(F.array_remove(F.transform("spans", lambda s: (s["kind"] == i)), False)).cast("long").alias(f"n_{k}")
+          for i, k in enumerate(KINDS)],
         F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join(F.concat(base, terms), ",").alias("spans"), F.size("terms").cast("long").alias("n_terms"))
 
