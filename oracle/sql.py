@@ -7,7 +7,17 @@ repeating them.  Views ``events``, ``part`` and ``lineitem`` are assumed.
 
 from __future__ import annotations
 
-from viewstar.functions.timestamps import TIMESTAMP_FORMATS
+# The accepted time layouts with their guards, written out here
+# so that a slip in the code under test does not pass both sides.
+_DAY, _MONTH = "(0[1-9]|[12]\\d|3[01])", "(0[1-9]|1[0-2])"
+_CLOCK = "(0\\d|1\\d|2[0-3]):([0-5]\\d):([0-5]\\d)"
+TIMESTAMP_FORMATS = (
+    (f"^\\d{{4}}-{_MONTH}-{_DAY} {_CLOCK}$", "yyyy-MM-dd HH:mm:ss"),
+    (f"^{_DAY}-{_MONTH}-\\d{{4}} {_CLOCK}$", "dd-MM-yyyy HH:mm:ss"),
+    (f"^\\d{{4}}/{_MONTH}/{_DAY} {_CLOCK}$", "yyyy/MM/dd HH:mm:ss"),
+    (f"^{_DAY}/{_MONTH}/\\d{{4}} {_CLOCK}$", "dd/MM/yyyy HH:mm:ss"),
+    ("^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+)
 
 SENTINEL = "TIMESTAMP '9999-12-31 23:59:59'"
 CONTACT = "'contact_agent'"
@@ -365,8 +375,8 @@ ORACLE_SQL.update({
     "fact_append_load": q("SELECT * FROM clean_viewings UNION ALL SELECT * FROM clean_viewings"),
     "dim_truncate_load": q("SELECT * FROM listing"),
     "topic_messages": q(
-        "SELECT CAST(row_number() OVER (ORDER BY viewed_at NULLS FIRST, user_id NULLS FIRST, "
-        "apartment_id NULLS FIRST, is_wishlisted NULLS FIRST, call_to_action NULLS FIRST) - 1 AS VARCHAR) "
+        "SELECT CAST(row_number() OVER (ORDER BY viewed_at NULLS LAST, user_id NULLS LAST, "
+        "apartment_id NULLS LAST, is_wishlisted NULLS LAST, call_to_action NULLS LAST) - 1 AS VARCHAR) "
         "AS key, CAST(to_json(struct_pack(user_id := user_id, apartment_id := apartment_id, "
         "viewed_at := viewed_at, is_wishlisted := is_wishlisted, call_to_action := call_to_action)) "
         "AS VARCHAR) AS value FROM raw_viewings"),
@@ -376,6 +386,74 @@ ORACLE_SQL.update({
     "stream_land_by_date": ORACLE_SQL["dt_partition_scan"],
     "stream_dedup": q("SELECT * FROM clean_viewings"),
     "stream_hour_engagement": q(
-        f"SELECT {CAL_HOUR}, {TRIPLE} FROM (SELECT *, {time_parts()} FROM clean_viewings "
-        f"WHERE viewed_at <> {SENTINEL}) GROUP BY {CAL_HOUR}"),
+        f"SELECT {CAL_HOUR}, {TRIPLE} FROM (SELECT *, {time_parts()} FROM clean_viewings) GROUP BY {CAL_HOUR}"),
+})
+
+
+# -- the dated job: viewings of a date are those with an even (odd) user id ------------------
+def by_date(body) -> str:
+    """``body(src)`` for each date, with the wide table of that date's viewings as its source."""
+    parts = [f"SELECT *, DATE '{dt}' AS dt FROM ({body(f'(SELECT * FROM wide WHERE CAST(user_id AS BIGINT) % 2 = {k})')})"
+             for k, dt in enumerate(("2025-06-27", "2025-06-28"))]
+    return " UNION ALL ".join(parts)
+
+
+FULL_DETAIL = ("user_id, apartment_id, viewed_at, is_wishlisted, call_to_action, id, title, source, price, currency, "
+               "listing_created_on, is_active, last_modified_timestamp, category, body, CAST(NULL AS VARCHAR) AS amenities, "
+               "bathrooms, bedrooms, fee, has_photo, pets_allowed, price_display, price_type, square_feet, address, "
+               "cityname, state, latitude, longitude, view_hour, view_day, view_month, view_year, is_weekend")
+_REPORT_TABLES = {
+    "user_viewings": ("parsed_viewings", "user_id, apartment_id, viewed_at, is_wishlisted, call_to_action", ("viewed_at",),
+                      f"COALESCE(user_id, 'Unknown'), COALESCE(apartment_id, 'Unknown'), COALESCE(viewed_at, {SENTINEL})"),
+    "apartments": ("typed_apartments", "id, title, source, price, currency, listing_created_on, is_active, "
+                   "last_modified_timestamp", ("listing_created_on", "last_modified_timestamp"), "COALESCE(id, 'Unknown')"),
+    "apartment_attributes": ("raw_attributes", ATTRIBUTE_COLS.replace("body,", "body, amenities,"), (),
+                             "COALESCE(id, 'Unknown')"),
+}
+
+
+def _report() -> str:
+    out = []
+    for k, dt in enumerate(("2025-06-27", "2025-06-28")):
+        for name, (src, columns, times, key) in _REPORT_TABLES.items():
+            rows = f"(SELECT * FROM {src}" + (f" WHERE CAST(user_id AS BIGINT) % 2 = {k})" if name == "user_viewings" else ")")
+            for c in columns.split(", "):
+                out.append(
+                    f"SELECT DATE '{dt}' AS dt, '{name}' AS \"table\", '{c}' AS \"column\", count(*) AS \"rows\", "
+                    f"count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+                    + (f"count(*) FILTER (WHERE {c} IS NULL)" if c in times else "CAST(0 AS BIGINT)") + " AS invalid, "
+                    f"count(*) - count(DISTINCT ({key})) AS duplicates FROM {rows}")
+    return " UNION ALL ".join(out)
+
+
+def _warehouse() -> str:
+    dated = {"fact_user_viewings": lambda s: f"SELECT 1 FROM {s}", "fact_viewings_full_detail": lambda s: f"SELECT 1 FROM {s}",
+             "kpi_apartment_performance": lambda s: "SELECT 1 FROM listing",
+             "kpi_hour_summary": lambda s: f"SELECT DISTINCT view_hour FROM {s}",
+             "kpi_calendar_hour": lambda s: f"SELECT DISTINCT {CAL_HOUR} FROM {s}",
+             "kpi_dayofmonth_summary": lambda s: f"SELECT DISTINCT view_day FROM {s}",
+             "kpi_state": lambda s: f"SELECT 1 FROM ({state_city(s)})",
+             "kpi_platform": lambda s: f"SELECT DISTINCT source FROM {s}",
+             "kpi_daily": lambda s: f"SELECT DISTINCT {CAL_DAY} FROM {s}"}
+    out = [f"SELECT '{t}' AS \"table\", CAST(NULL AS DATE) AS dt, count(*) AS \"rows\" FROM {src}"
+           for t, src in (("dim_apartments", "clean_apartments"), ("dim_apartment_attributes", "clean_attributes"))]
+    for t, body in dated.items():
+        out.append(f"SELECT '{t}', dt, count(*) FROM ({by_date(body)}) GROUP BY dt")
+    return " UNION ALL ".join(out)
+
+
+ORACLE_SQL.update({
+    "landing_job_hour_summary": q(by_date(lambda s: time_summary("view_hour", src=s))),
+    "job_silver_viewings": q("SELECT *, CASE CAST(user_id AS BIGINT) % 2 WHEN 0 THEN DATE '2025-06-27' "
+                             "ELSE DATE '2025-06-28' END AS dt FROM clean_viewings"),
+    "job_full_detail": q(by_date(lambda s: f"SELECT {FULL_DETAIL} FROM {s}")),
+    "job_kpi_state": q(by_date(state_city)),
+    "job_quality_report": q(_report()),
+    "warehouse_load": q(_warehouse()),
+    "csv_listings_roundtrip": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS id, CASE p_partkey % 3 WHEN 0 THEN 'He said \"hi\", then left: ' || p_name "
+        "WHEN 1 THEN p_name || chr(10) || 'second line, with \"quotes\"' ELSE p_name END AS title, p_type AS source, "
+        "CAST(floor(p_retailprice) AS INTEGER) AS price, CASE WHEN p_partkey % 5 <> 0 THEN "
+        "'\"' || p_name || '\",' || chr(10) || '\"\"' || CAST(p_partkey AS VARCHAR) END AS body, "
+        "CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size + 0.5 AS DOUBLE) END AS fee, CAST(NULL AS VARCHAR) AS corrupt FROM part"),
 })

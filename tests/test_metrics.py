@@ -62,7 +62,8 @@ def test_weekend_flag(spark):
 
 def test_broadcast_only_under_budget(spark):
     small = spark.range(100)
-    assert measured_size(small, 1 << 20) == (100, 800)
+    rows, size = measured_size(small, 1 << 20)
+    assert rows == 100 and size >= 800
     assert measured_size(small, 100) is None
     big = spark.range(10_000_000)
     assert measured_size(big, 1 << 10) is None
@@ -145,3 +146,31 @@ def test_display_order_calendar_hour(spark):
     df = spark.createDataFrame(rows, "view_year int, view_month int, view_day int, view_hour int")
     got = [tuple(r) for r in kpis.for_display(df, "calendar_hour").collect()]
     assert got == [(2024, 6, 1, 0), (2024, 6, 1, 2), (2024, 5, 3, 1), (2023, 12, 31, 23)]
+
+
+def test_display_order_is_the_sinks_order(spark):
+    from viewstar.plans import kpis
+    rows = [(2024, 5, 2, 3), (2025, 1, 1, 0), (2024, 6, 1, 9), (2024, 6, 1, 2), (2024, 6, 3, 1)]
+    df = spark.createDataFrame(rows, "view_year int, view_month int, view_day int, view_hour int")
+    got = [tuple(r) for r in kpis.for_display(df.repartition(4), "calendar_hour").collect()]
+    assert got == [(2025, 1, 1, 0), (2024, 6, 1, 2), (2024, 6, 1, 9), (2024, 6, 3, 1), (2024, 5, 2, 3)]
+    hours = spark.createDataFrame([(h,) for h in (5, 1, 23, 0)], "view_hour int")
+    assert [r[0] for r in kpis.for_display(hours.repartition(3), "hour_summary").collect()] == [0, 1, 5, 23]
+
+
+def test_rank_runs_after_the_limit(spark):
+    from viewstar.operators.ranking import ranked_with_ties
+    df = spark.createDataFrame([("a", str(i), i % 7) for i in range(50)], "k string, item string, total_views long")
+    plan = ranked_with_ties(df, ["k"], "item", 3)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    at = lambda text: next(i for i, x in enumerate(lines) if text in x)
+    assert at("rank(total_views") < at("WindowGroupLimit")
+    got = [tuple(r) for r in ranked_with_ties(df, ["k"], "item", 3).orderBy("row_num").select("item", "rank", "row_num").collect()]
+    assert got == [("13", 1, 1), ("20", 1, 2), ("27", 1, 3)]
+
+
+def test_size_measure_is_an_upper_bound_or_none(spark):
+    from viewstar.operators.joins import measured_size
+    assert measured_size(spark.range(3).selectExpr("sequence(0, 1000) AS a"), 1 << 30) is None
+    rows, size = measured_size(spark.range(10), 1 << 20)
+    assert rows == 10 and size >= 160

@@ -1,36 +1,73 @@
 """Stream jobs on hand-made message files, batch by batch."""
 
+import glob
 import json
 
+import pytest
+
 from viewstar import scratch_path
+from viewstar.operators import quality as qa
 from viewstar.streaming import jobs
 
+COLUMNS = ["user_id", "apartment_id", "viewed_at", "is_wishlisted", "call_to_action"]
+
 
 def _write_batch(spark, folder, rows, n):
-    lines = [json.dumps(dict(zip(["user_id", "apartment_id", "viewed_at", "is_wishlisted",
-                                  "call_to_action"], r))) for r in rows]
+    lines = [json.dumps(dict(zip(COLUMNS, r))) for r in rows]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
         .write.mode("append").text(f"{folder}/b{n}")
 
 
-def test_unparsed_fold_keeps_min_across_batches(spark):
-    """A later batch that brings a smaller row for an old bad-time key wins;
-    a later, larger row does not; valid rows dedup within the watermark."""
+BATCHES = [
+    [("1", "a", "bad", "n", "reported"), ("2", "b", "bad", "y", "shortlisted"),
+     ("3", "c", "2024-06-01 15:00:00", "y", "contact_agent"), ("3", "c", "2024-06-01 15:00:00", "y", "contact_agent")],
+    [("1", "a", "bad", "n", "contact_agent"), ("2", "b", "nope", "y", "reported"),
+     ("3", "c", "2024-06-01 15:00:00", "n", "reported"), ("4", "d", "2024-05-01 09:00:00", None, None)],
+    [("4", "d", "01-05-2024 09:00:00", "y", "contact_agent"), ("5", "e", "2024-06-01 15:30:00", "y", "contact_agent"),
+     ("3", "c", "2024-06-01 15:00:00", "y", "reported")],
+]
+
+
+def _replay(spark, out):
     src = scratch_path(spark, "t_msgs")
-    out = scratch_path(spark, "t_dedup")
-    batches = [
-        [("1", "a", "bad", "n", "reported"), ("2", "b", "bad", "y", "shortlisted"),
-         ("3", "c", "2024-06-01 10:00:00", "y", "contact_agent")],
-        [("1", "a", "bad", "n", "contact_agent"), ("2", "b", "nope", "y", "reported"),
-         ("3", "c", "2024-06-01 10:00:00", "y", "contact_agent")],
-    ]
-    for n, rows in enumerate(batches):
+    for n, rows in enumerate(BATCHES):
         _write_batch(spark, src, rows, n)
-        stream = jobs.viewing_stream(spark, f"{src}/b*", max_files_per_trigger=1)
-        jobs.dedup_stream(spark, stream, out, f"{out}_ckpt")
-    got = {(r["user_id"], r["apartment_id"]): (r["is_wishlisted"], r["call_to_action"])
-           for r in jobs.read_deduped(spark, out).collect()}
-    assert got == {("1", "a"): (False, "contact_agent"),
-                   ("2", "b"): (True, "reported"),
-                   ("3", "c"): (True, "contact_agent")}
-    assert jobs.read_deduped(spark, out).count() == 3
+        jobs.dedup_stream(spark, jobs.viewing_stream(spark, f"{src}/b*", max_files_per_trigger=1), out, f"{out}_ckpt")
+    return spark.createDataFrame([r for b in BATCHES for r in b], ", ".join(f"{c} string" for c in COLUMNS))
+
+
+def test_stream_equals_batch_with_late_and_replaced_rows(spark):
+    """Late rows count, a later row that comes first in C9's order replaces the kept one, hours follow."""
+    out = scratch_path(spark, "t_dedup")
+    raw = _replay(spark, out)
+    clean = qa.clean_viewings(raw, drop_all_null=False)
+    got = jobs.read_deduped(spark, out)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, clean.select(*got.columns).collect()), key=str)
+    hours = {(r.view_year, r.view_month, r.view_day, r.view_hour): (r.total_views, r.total_wishlists, r.total_contact_agent)
+             for r in jobs.read_hour_engagement(spark, out).collect()}
+    assert hours == {(9999, 12, 31, 23): (2, 1, 1), (2024, 6, 1, 15): (2, 1, 1), (2024, 5, 1, 9): (1, 1, 1)}
+
+
+def test_damaged_output_raises(spark):
+    out = scratch_path(spark, "t_damaged")
+    _replay(spark, out)
+    root = out.removeprefix("file:")
+    files = glob.glob(f"{root}/rows/batch_id=*/event_date=9999-12-31/part-*.parquet")
+    assert files
+    with open(files[0], "wb") as f:
+        f.write(b"not a parquet file")
+    with pytest.raises(Exception):
+        jobs.read_deduped(spark, out).collect()
+    with pytest.raises(Exception):
+        jobs.read_deduped(spark, scratch_path(spark, "t_never_written")).collect()
+
+
+def test_arrival_date_landing_loses_nothing(spark):
+    from viewstar.sources import readers as rd
+    src, landing = scratch_path(spark, "t_src"), scratch_path(spark, "t_land")
+    for n, dt in enumerate(("2025-06-27", "2025-06-28")):
+        _write_batch(spark, f"{src}/{dt}", BATCHES[n], n)
+        jobs.land_by_date(jobs.viewing_stream(spark, f"{src}/*/b*"), landing, f"{landing}_ckpt", arrival_date=dt)
+    counts = [rd.read_viewings_for_date(spark, landing, dt).count() for dt in ("2025-06-27", "2025-06-28")]
+    assert counts == [len(BATCHES[0]), len(BATCHES[1])]
+    assert rd.read_viewings_for_date(spark, landing).count() == sum(counts)

@@ -9,33 +9,37 @@ from pyspark.sql import types as T
 # A side is broadcast only if its measured size stays under this budget.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-}
+_ONE_WORD = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.DateType, T.FloatType, T.LongType,
+             T.DoubleType, T.TimestampType, T.TimestampNTZType)
 
 
-def _cell_bytes(field: T.StructField) -> Column:
-    for kind, width in _FIXED_WIDTH.items():
-        if isinstance(field.dataType, kind):
-            return F.lit(width)
+def _cell_bytes(field: T.StructField) -> Column | None:
+    """Upper bound of a cell's bytes in Spark's row format; None if the type has no simple bound."""
+    if isinstance(field.dataType, _ONE_WORD):
+        return F.lit(8)
+    if isinstance(field.dataType, T.DecimalType):
+        return F.lit(24)
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 8
-    return F.lit(64)  # decimals and nested values: a generous flat guess
+        return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16  # offset word, padded bytes
+    return None
 
 
 def measured_size(df: DataFrame, max_bytes: int) -> tuple[int, int] | None:
-    """(rows, bytes) of ``df`` if it fits in ``max_bytes``, else None.
+    """(rows, bytes) of ``df`` if it fits in ``max_bytes``, else None; ``bytes`` is an upper bound.
+
+    A side with a nested column has no such bound and never fits.
 
     One distributed aggregate: each task sums the widths of its own rows and
     only one partial row per task moves.  (A ``limit`` before the sum would
     look cheaper, but Spark plans it as a single-partition exchange: on a
     huge side every task would ship its rows into one task.)
     """
-    width = F.lit(0)
+    width = F.lit(8 + 8 * (len(df.columns) // 64 + 1))  # row header and null bits
     for field in df.schema.fields:
-        width = width + _cell_bytes(field)
+        cell = _cell_bytes(field)
+        if cell is None:
+            return None
+        width = width + cell
     row = df.agg(F.count(F.lit(1)).alias("rows"),
                  F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     if row["bytes"] > max_bytes or row["rows"] > max(max_bytes // 8, 1):
@@ -87,10 +91,11 @@ def salted_left_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: st
     hot = F.broadcast(key_rows.filter(F.col("rows") > share).select(
         F.col(fact_key).alias("_hot_key"), F.ceil(F.col("rows") / F.lit(share)).cast("int").alias("_buckets")))
 
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
+    # A null key matches nothing, so its rows may go anywhere: they are spread over all partitions.
     salted_fact = fact.join(hot, fact[fact_key] == hot["_hot_key"], "left").withColumn(
-        "_fact_salt", F.when(F.col("_buckets").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns]),
-                          F.col("_buckets"))))
+        "_fact_salt", F.when(fact[fact_key].isNull(), F.pmod(spread, F.lit(max(partitions, 1))))
+        .when(F.col("_buckets").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("_buckets"))))
     salted_fact = salted_fact.drop("_hot_key", "_buckets")
     copied_dim = dim.join(hot, dim[dim_key] == hot["_hot_key"], "left").withColumn(
         "_dim_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)))

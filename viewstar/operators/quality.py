@@ -86,8 +86,9 @@ def all_null_columns(df: DataFrame, probe_rows: int = 1000) -> list[str]:
 
 
 # -- C6 -------------------------------------------------------------------------
-def drop_all_null_columns(df: DataFrame) -> DataFrame:
-    dead = all_null_columns(df)
+def drop_all_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep``: columns that stay in any case (a key is filled, never dropped)."""
+    dead = [c for c in all_null_columns(df) if c not in keep]
     return df.drop(*dead) if dead else df
 
 
@@ -122,10 +123,10 @@ def fill_nulls(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def handle_nulls(df: DataFrame, drop_all_null: bool = True) -> DataFrame:
-    """C4-C7 in order: drop columns with no value, then fill the rest by type."""
+def handle_nulls(df: DataFrame, drop_all_null: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """C4-C7 in order: drop columns with no value (but those in ``keep``), then fill the rest by type."""
     if drop_all_null:
-        df = drop_all_null_columns(df)
+        df = drop_all_null_columns(df, keep)
     return fill_nulls(df)
 
 
@@ -145,6 +146,39 @@ def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     })
 
 
+# -- one run's report (C2, C4, C5, C8) --------------------------------------------
+def quality_report(df: DataFrame, table: str, keys: Sequence[str], time_columns: Sequence[str] = (),
+                   dt: str | None = None) -> DataFrame:
+    """A row per column of ``table``: rows, nulls, invalid times and duplicate rows, in one aggregate.
+
+    ``df`` holds parsed but unfilled columns, so a null of a time column is an
+    invalid time.  Duplicates are rows beyond the first of their key, keys
+    being compared as they will be once nulls are filled.  The fold per key
+    is partial before its shuffle; what follows is one row per key.
+    """
+    keyed = df.select(*[F.col(c).isNull().cast("long").alias(c) for c in df.columns],
+                      *[c.alias(f"_key_{k}") for k, c in zip(keys, _fills(df, keys))])
+    per_key = keyed.groupBy(*[f"_key_{k}" for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in df.columns])
+    totals = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+                         (F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("_duplicates"),
+                         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in df.columns])
+    each = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(c).alias("nulls"),
+        (F.col(c) if c in time_columns else F.lit(0).cast("long")).alias("invalid")) for c in df.columns]))
+    return totals.select("_rows", "_duplicates", each.alias("e")).select(
+        F.lit(dt).cast("date").alias("dt"), F.lit(table).alias("table"), "e.column", F.col("_rows").alias("rows"),
+        "e.nulls", "e.invalid", F.col("_duplicates").alias("duplicates"))
+
+
+def _fills(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    out = []
+    for c in columns:
+        value = fill_value(df.schema[c].dataType)
+        out.append(F.col(c) if value is None else F.coalesce(F.col(c), value))
+    return out
+
+
 # -- C9 -------------------------------------------------------------------------
 def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the first by the other columns, ascending, nulls last.
@@ -186,7 +220,7 @@ def clean_viewings(raw: DataFrame, keys: Sequence[str] = schemas.VIEWING_KEY,
                    drop_all_null: bool = True, drop_sentinel: bool = False) -> DataFrame:
     df = normalise_timestamps(raw, ["viewed_at"])
     df = to_boolean(df, ["is_wishlisted"])
-    df = handle_nulls(df, drop_all_null)
+    df = handle_nulls(df, drop_all_null, (*keys, "viewed_at"))
     df = dedup(df, keys)
     if drop_sentinel and "viewed_at" in df.columns:
         df = df.filter(F.col("viewed_at") != F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'"))
@@ -198,10 +232,10 @@ def clean_apartments(raw: DataFrame, drop_all_null: bool = True,
     df = normalise_timestamps(raw, ["listing_created_on", "last_modified_timestamp"],
                               keep_fraction=keep_fraction)
     df = to_boolean(df, ["is_active"])
-    df = handle_nulls(df, drop_all_null)
+    df = handle_nulls(df, drop_all_null, schemas.LISTING_KEY)
     return dedup(df, schemas.LISTING_KEY)
 
 
 def clean_attributes(raw: DataFrame, drop_all_null: bool = True) -> DataFrame:
-    df = handle_nulls(raw, drop_all_null)
+    df = handle_nulls(raw, drop_all_null, schemas.LISTING_KEY)
     return dedup(df, schemas.LISTING_KEY)

@@ -26,12 +26,14 @@ def top_n(df: DataFrame, keys: Sequence[str], item: str, n: int,
 
 def ranked_with_ties(df: DataFrame, keys: Sequence[str], item: str, n: int,
                      weight: str = "total_views") -> DataFrame:
-    """Top n rows with both ``rank`` (views only: ties share) and ``row_num``."""
+    """Top n rows with both ``rank`` (views only: ties share) and ``row_num``.
+
+    The limit comes first (a partial ``WindowGroupLimit``): a kept row's rank
+    depends only on rows with more views, which are kept too, so ``rank`` is
+    computed on at most n rows per group.
+    """
     by_views = Window.partitionBy(*keys).orderBy(F.col(weight).desc())
-    w = Window.partitionBy(*keys).orderBy(*_order(weight, item))
-    return (df.withColumn("rank", F.rank().over(by_views))
-            .withColumn("row_num", F.row_number().over(w))
-            .filter(F.col("row_num") <= n))
+    return top_n(df, keys, item, n, weight).withColumn("rank", F.rank().over(by_views))
 
 
 def mode_of(df: DataFrame, keys: Sequence[str], item: str, out: str | None = None,

@@ -21,14 +21,16 @@ Shape of the work at scale:
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewstar import schemas
-from viewstar.session import scratch_path
+from viewstar.session import get_session, remove_path, scratch_path
 from viewstar.operators import quality as qa
 from viewstar.operators.joins import DEFAULT_BROADCAST_BYTES
 from viewstar.plans import kpis, model
@@ -45,6 +47,7 @@ class JobOptions:
     kpis: Sequence[str] = field(default_factory=lambda: ["apartment_performance", *kpis.KPIS])
     # Independent outputs written at once (1 = one after another).
     parallel_writes: int = 4
+    write_quality_report: bool = True
 
 
 def run_all(steps: dict[str, Callable[[], None]], workers: int) -> None:
@@ -57,72 +60,162 @@ def run_all(steps: dict[str, Callable[[], None]], workers: int) -> None:
         fut.result()
 
 
+def quality_reports(raw_viewings: DataFrame, raw_apartments: DataFrame, raw_attributes: DataFrame,
+                    dt: str | None, dedup_keys: Sequence[str] = schemas.VIEWING_KEY) -> DataFrame:
+    """The run's quality report: a row per table and column, one aggregate per table."""
+    times = ["listing_created_on", "last_modified_timestamp"]
+    viewings = qa.to_boolean(qa.normalise_timestamps(raw_viewings, ["viewed_at"]), ["is_wishlisted"])
+    apartments = qa.to_boolean(qa.normalise_timestamps(raw_apartments, times), ["is_active"])
+    return (qa.quality_report(viewings, "user_viewings", dedup_keys, ["viewed_at"], dt)
+            .unionByName(qa.quality_report(apartments, "apartments", schemas.LISTING_KEY, times, dt))
+            .unionByName(qa.quality_report(raw_attributes, "apartment_attributes", schemas.LISTING_KEY, (), dt)))
+
+
 def clean_to_silver(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
-                    raw_attributes: DataFrame, silver: str, dt: str,
+                    raw_attributes: DataFrame, silver: str, dt: str | None,
                     opts: JobOptions) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Clean the three raw tables, write them, and return them read back."""
-    def fact_step():
-        fact = qa.clean_viewings(raw_viewings, opts.dedup_keys, drop_sentinel=opts.drop_sentinel)
-        w.write_dated(fact, f"{silver}/user_viewings_cleaned", dt)
-
-    run_all({
-        "user_viewings_cleaned": fact_step,
+    """Clean the three raw tables, write them, and return them read back with their declared schemas.
+
+    A column null throughout is dropped from what this run writes (C6); the
+    declared schema reads it as null, on this date and beside other dates.
+    """
+    steps = {}
+    if opts.write_quality_report:
+        steps["quality_report"] = lambda: _write(
+            quality_reports(raw_viewings, raw_apartments, raw_attributes, dt, opts.dedup_keys).drop("dt"),
+            f"{silver}/quality_report", dt)
+
+    run_all(steps | {
+        "user_viewings_cleaned": lambda: _write(
+            qa.clean_viewings(raw_viewings, opts.dedup_keys, drop_sentinel=opts.drop_sentinel),
+            f"{silver}/user_viewings_cleaned", dt),
         "apartments_cleaned": lambda: w.write_parquet(
             qa.clean_apartments(raw_apartments), f"{silver}/apartments_cleaned"),
         "apartment_attributes_cleaned": lambda: w.write_parquet(
             qa.clean_attributes(raw_attributes), f"{silver}/apartment_attributes_cleaned"),
     }, opts.parallel_writes)
-    fact = rd.read_parquet(spark, f"{silver}/user_viewings_cleaned").where(f"dt = DATE'{dt}'").drop("dt")
-    return (fact, rd.read_parquet(spark, f"{silver}/apartments_cleaned"),
-            rd.read_parquet(spark, f"{silver}/apartment_attributes_cleaned"))
+    fact = rd.read_silver(spark, f"{silver}/user_viewings_cleaned", schemas.SILVER_VIEWINGS_DDL, dt, dt is not None)
+    return (fact.drop("dt"),
+            rd.read_silver(spark, f"{silver}/apartments_cleaned", schemas.SILVER_APARTMENTS_DDL, dated=False),
+            rd.read_silver(spark, f"{silver}/apartment_attributes_cleaned", schemas.SILVER_ATTRIBUTES_DDL, dated=False))
+
+
+def _write(df: DataFrame, path: str, dt: str | None) -> None:
+    w.write_dated(df, path, dt) if dt else w.write_parquet(df, path)
 
 
 def run(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
-        raw_attributes: DataFrame, silver: str, dt: str,
+        raw_attributes: DataFrame, silver: str, dt: str | None = None,
         opts: JobOptions | None = None) -> dict[str, str]:
-    """Run one date; returns {table name: path} of everything written."""
+    """Run one date (or, without ``dt``, the undated variant); returns {table name: path} of everything written."""
     opts = opts or JobOptions()
     fact, apartments, attributes = clean_to_silver(
         spark, raw_viewings, raw_apartments, raw_attributes, silver, dt, opts)
-    listing = model.listing_dim(apartments, attributes, opts.max_broadcast_bytes)
-    # The cube is written once as Parquet in the shared checkpoint folder and
-    # read back: the lineage is cut (a lost executor re-reads files), it is
-    # computed once (an unpersisted checkpoint() computes it twice), and each
-    # KPI reads only the cube columns it uses.
-    cube_path = scratch_path(spark, "engagement_cube")
-    w.write_parquet(model.engagement_cube(fact, listing, opts.max_broadcast_bytes), cube_path)
-    cube = rd.read_parquet(spark, cube_path)
-
+    # The listing dimension and the cube are written once as Parquet in the
+    # shared checkpoint folder and read back: the lineage is cut (a lost
+    # executor re-reads files), each is computed once, and each KPI reads only
+    # the columns it uses.  Both go when the run ends, failed or not.
+    scratch = scratch_path(spark, "daily_job")
+    try:
+        listing = model.listing_dim(apartments, attributes, None)
+        w.write_parquet(listing, f"{scratch}/listing")
+        listing = spark.read.schema(listing.schema).parquet(f"{scratch}/listing")
+        cube = model.engagement_cube(fact, listing, opts.max_broadcast_bytes)
+        w.write_parquet(cube, f"{scratch}/cube")
+        return _outputs(spark, fact, listing, spark.read.schema(cube.schema).parquet(f"{scratch}/cube"), silver, dt, opts)
+    finally:
+        remove_path(spark, scratch)
+
+
+def _outputs(spark: SparkSession, fact: DataFrame, listing: DataFrame, cube: DataFrame, silver: str,
+             dt: str | None, opts: JobOptions) -> dict[str, str]:
     written = {
         "user_viewings_cleaned": f"{silver}/user_viewings_cleaned",
         "apartments_cleaned": f"{silver}/apartments_cleaned",
         "apartment_attributes_cleaned": f"{silver}/apartment_attributes_cleaned",
     }
+    if opts.write_quality_report:
+        written["quality_report"] = f"{silver}/quality_report"
     # Plans are built inside the steps, so their analysis overlaps too; the
     # longest write (the row-level full detail) starts first.
     steps: dict[str, Callable[[], None]] = {}
     if opts.write_full_detail:
-        path = f"{silver}/rentapart_fulldetailed_cleaned"
-        steps["rentapart_fulldetailed_cleaned"] = lambda path=path: w.write_dated(
+        path = f"{silver}/viewings_full_detail"
+        steps["viewings_full_detail"] = lambda path=path: _write(
             model.full_detail(fact, listing, opts.max_broadcast_bytes, cube), path, dt)
-        written["rentapart_fulldetailed_cleaned"] = path
+        written["viewings_full_detail"] = path
     for name in opts.kpis:
         path = f"{silver}/kpi_{name}"
 
         def kpi_step(name=name, path=path):
             table = (kpis.apartment_performance(cube, listing) if name == "apartment_performance"
                      else kpis.KPIS[name](cube))
-            w.write_dated(table, path, dt)
+            _write(table, path, dt)
         steps[f"kpi_{name}"] = kpi_step
         written[f"kpi_{name}"] = path
     run_all(steps, opts.parallel_writes)
     return written
 
 
-def run_from_landing(spark: SparkSession, landing: str, silver: str, dt: str,
+def run_from_landing(spark: SparkSession, landing: str, silver: str, dt: str | None = None,
                      opts: JobOptions | None = None) -> dict[str, str]:
-    """The original layout: listings as JSON batches, viewings in ``dt=`` folders."""
+    """The original layout: listings as JSON batches, viewings in ``dt=`` folders.
+
+    Land viewings by arrival date (``land_by_date(..., arrival_date=...)``), so
+    those with unreadable times travel with their date; landed by event date
+    they would lie under no date, and only a run without ``dt`` reads them.
+    """
     viewings = rd.read_viewings_for_date(spark, f"{landing}/user_viewings", dt).drop("dt")
     apartments = rd.read_json(spark, f"{landing}/apartments", schemas.APARTMENTS_DDL)
     attributes = rd.read_json(spark, f"{landing}/apartment_attributes", schemas.ATTRIBUTES_DDL)
     return run(spark, viewings, apartments, attributes, silver, dt, opts)
+
+
+def load_warehouse(spark: SparkSession, silver: str, database: str, dt: str, location: str | None = None,
+                   kpi_names: Sequence[str] | None = None, workers: int = 4) -> list[str]:
+    """The warehouse step after a dated run, as one call: two dimensions truncated and loaded, the two
+    facts' date replaced, each KPI's date replaced.  Returns the table names.
+
+    The facts are loaded per date, so loading a date again leaves one copy
+    (plain appending, as the original did, is ``load_table(..., "append")``).
+    """
+    w.create_database(spark, database, location)
+    dims = {"dim_apartments": ("apartments_cleaned", schemas.SILVER_APARTMENTS_DDL),
+            "dim_apartment_attributes": ("apartment_attributes_cleaned", schemas.SILVER_ATTRIBUTES_DDL)}
+    facts = {"fact_user_viewings": ("user_viewings_cleaned", schemas.SILVER_VIEWINGS_DDL),
+             "fact_viewings_full_detail": ("viewings_full_detail", schemas.FULL_DETAIL_DDL)}
+    steps: dict[str, Callable[[], None]] = {}
+    for table, (name, ddl) in dims.items():
+        steps[table] = lambda table=table, name=name, ddl=ddl: w.load_table(
+            rd.read_silver(spark, f"{silver}/{name}", ddl, dated=False), f"{database}.{table}", "overwrite")
+    for table, (name, ddl) in facts.items():
+        steps[table] = lambda table=table, name=name, ddl=ddl: w.load_dated_table(
+            spark, rd.read_silver(spark, f"{silver}/{name}", ddl, dt).drop("dt"), f"{database}.{table}", dt)
+    for name in kpi_names if kpi_names is not None else JobOptions().kpis:
+        steps[f"kpi_{name}"] = lambda name=name: w.load_dated_table(
+            spark, rd.read_parquet(spark, f"{silver}/kpi_{name}").where(F.col("dt") == F.lit(dt).cast("date")).drop("dt"),
+            f"{database}.kpi_{name}", dt)
+    run_all(steps, workers)
+    return list(steps)
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    """spark-submit entry point: --landing, --silver, optional --dt, --warehouse-database, --two-column-key."""
+    parser = argparse.ArgumentParser(description="Clean one date of viewings and write its KPI tables.")
+    parser.add_argument("--landing", required=True, help="folder with user_viewings, apartments, apartment_attributes")
+    parser.add_argument("--silver", required=True, help="output folder")
+    parser.add_argument("--dt", help="run date, YYYY-MM-DD; without it all landed viewings, undated outputs")
+    parser.add_argument("--warehouse-database", help="also load the outputs of --dt into this database")
+    parser.add_argument("--two-column-key", action="store_true", help="dedup viewings on user and listing only")
+    args = parser.parse_args(argv)
+    if args.warehouse_database and not args.dt:
+        parser.error("--warehouse-database needs --dt")
+    spark = get_session()
+    opts = JobOptions(dedup_keys=schemas.VIEWING_KEY_TWO if args.two_column_key else schemas.VIEWING_KEY)
+    run_from_landing(spark, args.landing, args.silver, args.dt, opts)
+    if args.warehouse_database:
+        load_warehouse(spark, args.silver, args.warehouse_database, args.dt)
+
+
+if __name__ == "__main__":
+    main()

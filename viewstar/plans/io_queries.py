@@ -54,6 +54,26 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rd.read_csv(spark, path, schemas.VIEWINGS_DDL)
 
 
+def listings_with_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings whose titles and bodies hold quotes, commas and line breaks (``id`` as in ``part``)."""
+    key, name = F.col("p_partkey"), F.col("p_name")
+    title = (F.when(key % 3 == 0, F.concat(F.lit('He said "hi", then left: '), name))
+             .when(key % 3 == 1, F.concat(name, F.lit("\nsecond line, with \"quotes\""))).otherwise(name))
+    body = F.when(key % 5 != 0, F.concat(F.lit('"'), name, F.lit('",\n""'), key.cast("string")))
+    return fx.table(spark, sf, "part").select(
+        key.cast("string").alias("id"), title.alias("title"), F.col("p_type").alias("source"),
+        F.floor("p_retailprice").cast("int").alias("price"), body.alias("body"),
+        F.when(key % 4 == 0, F.lit(float("nan"))).otherwise(F.col("p_size") + 0.5).alias("fee"))
+
+
+def csv_listings_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K10 -> S4: listing text with quotes, commas and line breaks; NaN becomes null; no corrupt record."""
+    path = scratch_path(spark, "listings_csv")
+    w.write_csv(listings_with_text(spark, sf), path)
+    return rd.read_csv(spark, path, "id STRING, title STRING, source STRING, price INT, body STRING, fee DOUBLE",
+                       multi_line=True, corrupt_column="corrupt")
+
+
 def time_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Viewings cut into 5 time-range batches, read back."""
     path = scratch_path(spark, "user_viewings_batches")
@@ -104,6 +124,7 @@ IO_QUERIES = {
     "json_batches": json_batches,
     "dt_partition_scan": dt_partition_scan,
     "csv_roundtrip": csv_roundtrip,
+    "csv_listings_roundtrip": csv_listings_roundtrip,
     "time_batches": time_batches,
     "kpi_table_load": kpi_table_load,
     "fact_append_load": fact_append_load,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from viewstar import schemas
 from viewstar.operators import quality as qa
-from viewstar.operators.engagement import (engagement, fact_cube, price_stats, triple,
+from viewstar.operators.engagement import (engagement, fact_cube, price_stats, row_triple, triple,
                                            views_by, with_engagement_rate, with_rates)
 from viewstar.operators.ranking import mode_of, ranked_with_ties, top_list, top_n
 from viewstar.plans import kpis, model
@@ -52,41 +52,60 @@ def clean_attributes(spark, sf):
 
 
 def listing(spark, sf):
-    return model.listing_dim(clean_apartments(spark, sf), clean_attributes(spark, sf))
+    """Join sizes are left to AQE, so building the plan starts no size-measuring job."""
+    return model.listing_dim(clean_apartments(spark, sf), clean_attributes(spark, sf), None)
+
+
+def cube_listing(spark, sf):
+    """The listing for the cube's five columns: a column null throughout needs no probe there."""
+    return model.listing_dim(qa.clean_apartments(fx.raw_apartments(spark, sf), drop_all_null=False),
+                             qa.clean_attributes(fx.raw_attributes(spark, sf), drop_all_null=False), None)
+
+
+def viewings(spark, sf):
+    """Clean viewings with every declared column (no all-null probe)."""
+    return qa.clean_viewings(fx.raw_viewings(spark, sf), drop_all_null=False)
 
 
 def wide(spark, sf):
-    return model.full_detail(clean_viewings(spark, sf), listing(spark, sf))
+    fact = clean_viewings(spark, sf)
+    return model.full_detail(fact, listing(spark, sf), cube=fact_cube(viewings(spark, sf)))
+
+
+def time_cube(spark, sf):
+    """The cube without listing columns, for groups that need none: the listing tables are not touched."""
+    return fact_cube(viewings(spark, sf))
 
 
 def cube(spark, sf):
-    return model.engagement_cube(clean_viewings(spark, sf), listing(spark, sf))
+    return model.engagement_cube(viewings(spark, sf), cube_listing(spark, sf), None)
 
 
 def large_cube(spark, sf):
-    return model.engagement_cube(qa.clean_viewings(fx.large_viewings(spark, sf)), listing(spark, sf))
+    return model.engagement_cube(qa.clean_viewings(fx.large_viewings(spark, sf), drop_all_null=False),
+                                 cube_listing(spark, sf), None)
 
 
 # -- query builders ----------------------------------------------------------------
-def _on_cube(fn) -> Query:
-    return lambda spark, sf: fn(cube(spark, sf))
+def _on_cube(fn, of=cube) -> Query:
+    return lambda spark, sf: fn(of(spark, sf))
 
 
-def _views(keys, item) -> Query:
-    return _on_cube(lambda c: views_by(c, keys, item))
+def _views(keys, item, of=cube) -> Query:
+    return _on_cube(lambda c: views_by(c, keys, item), of)
 
 
 def _mode(keys, out) -> Query:
     return _on_cube(lambda c: mode_of(views_by(c, keys, "source"), keys, "source", out))
 
 
-def _top3(keys) -> Query:
+def _top3(keys, of=cube) -> Query:
     return _on_cube(lambda c: top_list(views_by(c, keys, "apartment_id"), keys, "apartment_id", 3,
-                                       "top_apartments"))
+                                       "top_apartments"), of)
 
 
 def _rate(keys) -> Query:
-    return _on_cube(lambda c: with_engagement_rate(engagement(c, keys)).select(*keys, "engagement_rate"))
+    return _on_cube(lambda c: with_engagement_rate(engagement(c, keys)).select(*keys, "engagement_rate"), time_cube)
 
 
 def _nan_attributes(spark, sf):
@@ -102,7 +121,7 @@ def _dedup_listings(spark, sf):
 
 
 def _listing_rank(spark, sf):
-    c = cube(spark, sf)
+    c = time_cube(spark, sf)
     return ranked_with_ties(views_by(c, HOUR, "apartment_id"), HOUR, "apartment_id", 3) \
         .select("view_hour", "apartment_id", "total_views", "rank", "row_num")
 
@@ -138,12 +157,12 @@ QUERIES: dict[str, Query] = {
     "listing_dim": listing,
     "full_detail": wide,
     "time_parts": lambda s, sf: model.with_time_parts(clean_viewings(s, sf)).drop("is_weekend"),
-    "weekend_split": _on_cube(kpis.weekend_split),
+    "weekend_split": _on_cube(kpis.weekend_split, time_cube),
     # aggregates
-    "engagement_by_listing": lambda s, sf: engagement(fact_cube(clean_viewings(s, sf)), ["apartment_id"]),
-    "engagement_by_hour": _on_cube(lambda c: engagement(c, HOUR)),
-    "engagement_by_day": _on_cube(lambda c: engagement(c, DAY)),
-    "engagement_by_calendar_hour": _on_cube(lambda c: engagement(c, CAL_HOUR)),
+    "engagement_by_listing": lambda s, sf: viewings(s, sf).groupBy("apartment_id").agg(*row_triple()),
+    "engagement_by_hour": _on_cube(lambda c: engagement(c, HOUR), time_cube),
+    "engagement_by_day": _on_cube(lambda c: engagement(c, DAY), time_cube),
+    "engagement_by_calendar_hour": _on_cube(lambda c: engagement(c, CAL_HOUR), time_cube),
     "engagement_by_city": _on_cube(lambda c: with_rates(c.groupBy(*CITY).agg(*triple(), *price_stats()))),
     "engagement_by_platform": _on_cube(
         lambda c: with_rates(c.groupBy("source").agg(*triple(), *price_stats(non_active=True)))),
@@ -151,9 +170,9 @@ QUERIES: dict[str, Query] = {
     "engagement_rate_by_day": _rate(DAY),
     "engagement_rate_by_calendar_hour": _rate(CAL_HOUR),
     "platform_views_by_hour": _views(HOUR, "source"),
-    "listing_views_by_hour": _views(HOUR, "apartment_id"),
+    "listing_views_by_hour": _views(HOUR, "apartment_id", time_cube),
     "platform_views_by_day": _views(DAY, "source"),
-    "listing_views_by_day": _views(DAY, "apartment_id"),
+    "listing_views_by_day": _views(DAY, "apartment_id", time_cube),
     "platform_views_by_city": _views(CITY, "source"),
     "listing_views_by_platform": _views(["source"], "apartment_id"),
     "platform_views_by_calendar_hour": _views(CAL_HOUR, "source"),
@@ -162,14 +181,14 @@ QUERIES: dict[str, Query] = {
     "top_platform_by_day": _mode(DAY, "most_viewed_platform"),
     "top_platform_by_city": _mode(CITY, "source"),
     "top_platform_by_calendar_hour": _mode(CAL_HOUR, "most_viewed_platform"),
-    "top3_listings_by_hour": _top3(HOUR),
-    "top3_listings_by_day": _top3(DAY),
+    "top3_listings_by_hour": _top3(HOUR, time_cube),
+    "top3_listings_by_day": _top3(DAY, time_cube),
     "top3_listings_by_platform": _top3(["source"]),
     "listing_rank_by_hour": _listing_rank,
     "top5_cities_by_state": _top5_cities,
     # KPI tables (Q1-Q7)
     "kpi_apartment_performance": lambda s, sf: kpis.apartment_performance(
-        fact_cube(clean_viewings(s, sf)), listing(s, sf)),
+        time_cube(s, sf), listing(s, sf)),
     "kpi_hour_summary": _on_cube(kpis.hour_summary),
     "kpi_calendar_hour": _on_cube(kpis.calendar_hour),
     "kpi_day_of_month": _on_cube(kpis.day_of_month_summary),
@@ -183,5 +202,6 @@ QUERIES: dict[str, Query] = {
 
 def _all_queries() -> dict[str, Query]:
     from viewstar.plans.io_queries import IO_QUERIES
+    from viewstar.plans.job_queries import JOB_QUERIES
     from viewstar.plans.stream_queries import STREAM_QUERIES
-    return {**QUERIES, **IO_QUERIES, **STREAM_QUERIES}
+    return {**QUERIES, **IO_QUERIES, **STREAM_QUERIES, **JOB_QUERIES}

@@ -1,7 +1,8 @@
-"""Registered streaming queries: the fixture viewings arrive as a time-
-ordered message log (five time ranges, as the producer replayed them), each
-range consumed by the streaming jobs with ``availableNow`` as it lands; the
-result tables are returned for comparison with their batch equivalents."""
+"""Registered streaming queries: the fixture viewings arrive as a message log
+of five time ranges, out of order (later ranges before earlier ones, so late
+rows occur), each range consumed by the streaming jobs with ``availableNow`` as
+it lands; the result tables are returned for comparison with their batch
+equivalents."""
 
 from __future__ import annotations
 
@@ -17,14 +18,13 @@ from viewstar.streaming import jobs
 
 
 def message_ranges(spark: SparkSession, sf: str, batches: int = 5):
-    """Raw viewings replayed as the producer sent them: in time order.
+    """Raw viewings replayed in time ranges, the ranges out of order.
 
     The log is cut into ``batches`` time ranges (bounds from one percentile
     aggregate: ``batches - 1`` values reach the driver); unparsed times go
     first.  Yields one folder per range, each written by a parallel job
-    (sorted within its files) just before it is yielded, so a stream run
-    after each yield sees the ranges arrive in time order without any range
-    having to sit in one file or one task.
+    (sorted within its files) just before it is yielded, so no range has to
+    sit in one file or one task.  Odd ranges come before even ones.
     """
     path = scratch_path(spark, "viewing_messages")
     raw = fx.raw_viewings(spark, sf).withColumn("_t", parse_timestamp(F.col("viewed_at")))
@@ -34,7 +34,8 @@ def message_ranges(spark: SparkSession, sf: str, batches: int = 5):
     micros = F.col("_m")
     cuts = raw.agg(F.percentile_approx(micros, [i / batches for i in range(1, batches)])).first()[0]
     bounds = [None, *cuts, None]
-    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+    ranges = list(enumerate(zip(bounds, bounds[1:])))
+    for i, (lo, hi) in [*ranges[1::2], *ranges[::2]]:
         cond = F.lit(True) if lo is None else (micros >= lo)
         if hi is not None:
             cond = cond & (micros < hi)
@@ -70,10 +71,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_hour_engagement(spark: SparkSession, sf: str) -> DataFrame:
-    out = _dedup(spark, sf)
-    hours = scratch_path(spark, "stream_hours")
-    jobs.hour_engagement_stream(spark, f"{out}/valid", hours, scratch_path(spark, "ckpt_hours"))
-    return jobs.read_hour_engagement(spark, hours)
+    return jobs.read_hour_engagement(spark, _dedup(spark, sf))
 
 
 STREAM_QUERIES = {

@@ -17,6 +17,17 @@ ATTRIBUTES_DDL = ("id STRING, category STRING, body STRING, amenities STRING, "
                   "square_feet INT, address STRING, cityname STRING, state STRING, "
                   "latitude DOUBLE, longitude DOUBLE")
 
+# Silver (cleaned) forms of the three tables and of the full-detail table.
+SILVER_VIEWINGS_DDL = ("user_id STRING, apartment_id STRING, viewed_at TIMESTAMP_NTZ, "
+                       "is_wishlisted BOOLEAN, call_to_action STRING")
+SILVER_APARTMENTS_DDL = ("id STRING, title STRING, source STRING, price INT, currency STRING, "
+                         "listing_created_on TIMESTAMP_NTZ, is_active BOOLEAN, "
+                         "last_modified_timestamp TIMESTAMP_NTZ")
+SILVER_ATTRIBUTES_DDL = ATTRIBUTES_DDL
+FULL_DETAIL_DDL = ", ".join([SILVER_VIEWINGS_DDL, SILVER_APARTMENTS_DDL,
+                             SILVER_ATTRIBUTES_DDL.removeprefix("id STRING, "),
+                             "view_hour INT, view_day INT, view_month INT, view_year INT, is_weekend BOOLEAN"])
+
 # Null fill values by column type.
 FILL_STRING = "Unknown"
 FILL_TIMESTAMP = "9999-12-31 23:59:59"
@@ -40,6 +51,7 @@ APARTMENT_PERFORMANCE_COLUMNS = (
 )
 # --- end of fixed values ----------------------------------------------------
 
+VIEWING_COLUMNS = ("user_id", "apartment_id", "viewed_at", "is_wishlisted", "call_to_action")
 TIME_PARTS = ("view_hour", "view_day", "view_month", "view_year")
 CALENDAR_HOUR_KEYS = ("view_year", "view_month", "view_day", "view_hour")
 CALENDAR_DAY_KEYS = ("view_year", "view_month", "view_day")

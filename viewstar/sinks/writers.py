@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSS]"
+ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -31,8 +32,9 @@ def write_json_batches(df: DataFrame, path: str, max_records: int = 1000) -> Non
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, no index column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header, no index column; quotes inside fields are doubled."""
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .csv(path))
 
 
 def write_time_batches(df: DataFrame, path: str, time_col: str, batches: int = 5,
@@ -91,17 +93,26 @@ def load_table(df: DataFrame, table: str, mode: str, path: str | None = None,
 def load_dated_table(spark: SparkSession, df: DataFrame, table: str, dt: str,
                      path: str | None = None, partition: str = "dt") -> None:
     """K7 made rerunnable: one table per KPI, partitioned by run date; a rerun
-    of a date replaces that date only."""
-    dated = df.withColumn(partition, F.lit(dt).cast("date"))
+    of a date replaces that date only.
+
+    The date's folder is written on its own and then named to the catalog, so
+    no session setting decides what is overwritten, and concurrent loads of
+    other dates or tables cannot wipe each other.
+    """
     if not spark.catalog.tableExists(table):
-        load_table(dated, table, "overwrite", path, [partition])
-        return
-    prior = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        dated.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prior)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        where = f" LOCATION '{path}'" if path else ""
+        try:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` DATE) USING parquet "
+                      f"PARTITIONED BY (`{partition}`){where}")
+        except AnalysisException:  # another thread made it meanwhile
+            if not spark.catalog.tableExists(table):
+                raise
+    columns = [c for c in spark.table(table).columns if c != partition]
+    root = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    df.select(*columns).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{partition}={dt}")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({partition} = DATE'{dt}')")
+    spark.catalog.refreshTable(table)
 
 
 # -- topic messages (K9) ------------------------------------------------------------
@@ -121,7 +132,7 @@ def topic_frame(df: DataFrame, order_by: Sequence[str], first_index: int = 0) ->
     """
     order = list(order_by) + [c for c in df.columns if c not in order_by]
     with_id = df.withColumn("_row", F.monotonically_increasing_id())
-    ordered = with_id.orderBy(*[F.col(c).asc_nulls_first() for c in order], "_row") \
+    ordered = with_id.orderBy(*[F.col(c).asc_nulls_last() for c in order], "_row") \
         .drop("_row").checkpoint()
     pid = F.spark_partition_id()
     sized = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))

@@ -124,10 +124,3 @@ def large_viewings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("call_to_action"),
     )
 
-
-RAW = {
-    "viewings": raw_viewings,
-    "apartments": raw_apartments,
-    "attributes": raw_attributes,
-    "large_viewings": large_viewings,
-}

@@ -1,11 +1,16 @@
 """Streaming forms of the ingestion path.
 
-T1 lands raw viewing messages in ``dt=`` folders (what the topic sink did),
-T2 cleans and de-duplicates them continuously, T3 keeps per-hour engagement
-up to date.  All three run with any trigger; tests and the registered
-queries use ``availableNow`` so a run ends when the input is consumed.
-Every sink is exactly-once: file sinks with a checkpoint, or ``foreachBatch``
-writes keyed by batch id, so a retried batch replaces its own output.
+T1 lands raw viewing messages in ``dt=`` folders, T2 cleans and de-duplicates
+them continuously, T3 keeps engagement per calendar hour current.  All run
+with any trigger; tests and the registered queries use ``availableNow`` so a
+run ends when the input is consumed.  Sinks are exactly-once: a file sink
+with a checkpoint, or ``foreachBatch`` writes keyed by batch id, so a retried
+batch replaces its own output.
+
+T2 and T3 keep no streaming state.  What earlier batches wrote *is* the state:
+a batch looks up its keys in the output folders of the event dates it touches,
+so a row may arrive any time late, nothing is dropped, and nothing has to
+expire.
 """
 
 from __future__ import annotations
@@ -16,13 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewstar import schemas
-from viewstar.functions.calendar import as_instant, as_wall_clock
+from viewstar.functions.calendar import time_parts
 from viewstar.functions.timestamps import parse_timestamp
 from viewstar.operators import quality as qa
-from viewstar.operators.engagement import row_counts
 
-def _sentinel():
-    return F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'")
+MEASURES = ("views", "wishlists", "contacts")
 
 
 def viewing_stream(spark: SparkSession, source: str, fmt: str = "json",
@@ -51,121 +54,106 @@ def _run(writer, available_now: bool = True):
 
 
 # -- T1 -------------------------------------------------------------------------------
-def land_by_date(stream: DataFrame, landing: str, checkpoint: str, available_now: bool = True):
-    """Append raw messages under ``landing/dt=<event date>/`` as JSON lines.
-
-    Rows whose time does not parse land in the default (null) partition;
-    they are kept, as the batch job expects to see and count them.
+def land_by_date(stream: DataFrame, landing: str, checkpoint: str, available_now: bool = True,
+                 arrival_date: str | None = None):
+    """Append raw messages under ``landing/dt=<date>/`` as JSON lines.
+
+    With ``arrival_date`` every message lands under that date: a dated run then
+    reads each message once, those with unreadable times included.  Without,
+    ``dt`` is the event date, and messages whose time does not parse land in
+    the default (null) partition, which no dated read covers.  A landing
+    folder belongs to one checkpoint: use the same one for every date.
     """
-    dated = stream.withColumn("dt", F.to_date(parse_timestamp(F.col("viewed_at"))))
-    writer = (dated.writeStream.format("json").outputMode("append").partitionBy("dt")
+    dt = F.lit(arrival_date).cast("date") if arrival_date else F.to_date(parse_timestamp(F.col("viewed_at")))
+    writer = (stream.withColumn("dt", dt).writeStream.format("json").outputMode("append").partitionBy("dt")
               .option("checkpointLocation", checkpoint).option("path", landing))
     return _run(writer, available_now)
 
 
-# -- T2 -------------------------------------------------------------------------------
+# -- T2 and T3 ------------------------------------------------------------------------
 def clean_stream(stream: DataFrame) -> DataFrame:
     """C1 -> C10 -> C7 on a stream (no all-null column drop: a stream's schema is fixed)."""
     df = qa.to_boolean(qa.normalise_timestamps(stream, ["viewed_at"]), ["is_wishlisted"])
     return qa.fill_nulls(df)
 
 
+def _ordered(columns: Sequence[str]):
+    """C9's order as one struct: the columns ascending, nulls last."""
+    parts = []
+    for c in columns:
+        parts += [F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(c)]
+    return F.struct(*parts)
+
+
+def _rows(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(f"{schemas.SILVER_VIEWINGS_DDL}, batch_id LONG, event_date DATE").parquet(f"{out}/rows")
+
+
 def dedup_stream(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str,
-                 keys: Sequence[str] = schemas.VIEWING_KEY, delay: str = "1 hour",
-                 available_now: bool = True):
-    """Clean and de-duplicate continuously.
-
-    Rows with a real time go through a watermark: duplicates within
-    ``delay`` of each other are dropped and dedup state older than the
-    watermark is released.  Rows holding the fill sentinel (time did not
-    parse) are split off first -- year 9999 would push the watermark past
-    every later row -- and folded per key by a streaming aggregate in update
-    mode: each batch writes only the keys it changed, under its own
-    ``batch_id=`` folder (a retried batch overwrites itself), so the work
-    per batch follows the batch, not the number of bad keys seen so far.
-    Output: ``out/valid`` (append) and ``out/unparsed`` (read with
-    :func:`read_deduped`, which keeps the newest row per key).
+                 keys: Sequence[str] = schemas.VIEWING_KEY, available_now: bool = True):
+    """Clean and de-duplicate continuously, and keep hour engagement current (T2 and T3, one read).
+
+    A batch is folded to one row per key (C9's order), then compared with what
+    earlier batches kept for those keys: a row is written if its key is new or
+    the row comes first in that order, so the kept row per key is always C9's,
+    however late its parts arrive.  Rows go to
+    ``out/rows/batch_id=/event_date=``; the lookup reads only the event dates
+    of the batch.  ``out/hours/batch_id=`` holds the batch's change of each
+    calendar hour's totals: a new key adds, a replaced row takes its old
+    counts back.
     """
+    keys = list(keys)
+    if "viewed_at" not in keys:
+        raise ValueError("viewed_at must be part of the key: it says which folders hold a key's earlier rows")
+    rest = [c for c in schemas.VIEWING_COLUMNS if c not in keys]
     cleaned = clean_stream(stream)
-    valid = cleaned.filter(F.col("viewed_at") != _sentinel())
-    unparsed = cleaned.filter(F.col("viewed_at") == _sentinel())
-
-    deduped = (valid.withColumn("_event_time", as_instant(F.col("viewed_at")))
-               .withWatermark("_event_time", delay)
-               .dropDuplicatesWithinWatermark(list(keys))
-               .drop("_event_time"))
-    q_valid = _run(deduped.writeStream.format("parquet").outputMode("append")
-                   .option("checkpointLocation", f"{checkpoint}/valid")
-                   .option("path", f"{out}/valid"), available_now)
-
-    rest = [c for c in cleaned.columns if c not in keys]
-    order = []
-    for c in rest:
-        order += [F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(c)]
-    folded = unparsed.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first")) \
-        .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*cleaned.columns)
-
-    def write_changed(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{out}/unparsed/batch_id={batch_id}"))
-
-    q_bad = _run(folded.writeStream.outputMode("update").foreachBatch(write_changed)
-                 .option("checkpointLocation", f"{checkpoint}/unparsed"), available_now)
-    return q_valid, q_bad
-
-
-def read_deduped(spark: SparkSession, out: str,
-                 keys: Sequence[str] = schemas.VIEWING_KEY) -> DataFrame:
-    """The de-duplicated stream output as one table.
-
-    Unparsed rows: the newest version of each key across batches, as one
-    aggregate (a key's later version is its min over more rows).
-    """
-    valid = spark.read.parquet(f"{out}/valid")
-    try:
-        updates = spark.read.parquet(f"{out}/unparsed")
-    except Exception:  # noqa: BLE001 - no unparsed rows were ever seen
-        return valid
-    rest = [c for c in valid.columns if c not in keys]
-    latest = updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_t"))
-    unparsed = latest.select(*keys, *[F.col(f"_t.{c}").alias(c) for c in rest])
-    return valid.unionByName(unparsed.select(*valid.columns))
-
-
-# -- T3 -------------------------------------------------------------------------------
-def hour_engagement_stream(spark: SparkSession, deduped_dir: str, out: str, checkpoint: str,
-                           delay: str = "1 hour", available_now: bool = True):
-    """Per calendar hour engagement, kept current as rows arrive.
-
-    A one-hour tumbling window on event time, update mode: each batch emits
-    the new totals of the windows it touched, written under its own
-    ``batch_id=`` folder (a retried batch overwrites itself).  Readers take
-    the newest row per window (:func:`read_hour_engagement`).
-    """
-    schema = spark.read.parquet(deduped_dir).schema
-    stream = spark.readStream.schema(schema).parquet(deduped_dir)
-    counts = (stream.withColumn("_event_time", as_instant(F.col("viewed_at")))
-              .withWatermark("_event_time", delay)
-              .groupBy(F.window("_event_time", "1 hour").alias("w"))
-              .agg(*row_counts()))
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        start = as_wall_clock(F.col("w.start"))
-        (batch.select(F.year(start).alias("view_year"), F.month(start).alias("view_month"),
-                      F.dayofmonth(start).alias("view_day"), F.hour(start).alias("view_hour"),
-                      "views", "wishlists", "contacts", F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
 
-    return _run(counts.writeStream.outputMode("update").foreachBatch(upsert)
-                .option("checkpointLocation", checkpoint), available_now)
+    def fold(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys, "event_date").agg(F.min(_ordered(rest)).alias("row"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = fold(batch.withColumn("event_date", F.to_date("viewed_at"))).persist()
+        try:
+            changed = fresh.withColumn("was", F.lit(None).cast(fresh.schema["row"].dataType))
+            if batch_id:
+                # A handful of dates: a batch's messages lie close together, late ones aside.
+                dates = [r[0] for r in fresh.select("event_date").distinct().collect()]
+                earlier = fold(_rows(spark, out).where((F.col("batch_id") < batch_id) & F.col("event_date").isin(dates))) \
+                    .withColumnRenamed("row", "was")
+                changed = fresh.join(earlier, [*keys, "event_date"], "left") \
+                    .where(F.col("was").isNull() | (F.col("row") < F.col("was")))
+            changed = changed.persist()
+            (changed.select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest], "event_date")
+             .select(*schemas.VIEWING_COLUMNS, "event_date")
+             .write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/rows/batch_id={batch_id}"))
+            (_hour_changes(changed).write.mode("overwrite").parquet(f"{out}/hours/batch_id={batch_id}"))
+            changed.unpersist()
+        finally:
+            fresh.unpersist()
+
+    return _run(cleaned.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now)
+
+
+def _hour_changes(changed: DataFrame) -> DataFrame:
+    """Change of each calendar hour's counts from rows (key, row, was)."""
+    def counts(row: str):
+        wished = F.coalesce(F.col(f"{row}.is_wishlisted"), F.lit(False)).cast("long")
+        contact = F.coalesce(F.col(f"{row}.call_to_action") == schemas.CONTACT_ACTION, F.lit(False)).cast("long")
+        return F.when(F.col(row).isNull(), 0).otherwise(1).cast("long"), wished, contact
+    new, old = counts("row"), counts("was")
+    return changed.withColumns(time_parts(F.col("viewed_at"))).groupBy(*schemas.CALENDAR_HOUR_KEYS).agg(
+        *[F.sum(a - b).alias(m) for m, a, b in zip(MEASURES, new, old)])
+
+
+def read_deduped(spark: SparkSession, out: str, keys: Sequence[str] = schemas.VIEWING_KEY) -> DataFrame:
+    """The de-duplicated stream output as one table: per key the row that comes first, one aggregate."""
+    return qa.dedup(_rows(spark, out).select(*schemas.VIEWING_COLUMNS), keys)
 
 
 def read_hour_engagement(spark: SparkSession, out: str) -> DataFrame:
-    """Latest totals per window: an aggregate, not a driver-side merge."""
-    keys = list(schemas.CALENDAR_HOUR_KEYS)
-    updates = spark.read.parquet(out)
-    latest = updates.groupBy(*keys).agg(
-        F.max_by(F.struct("views", "wishlists", "contacts"), "batch_id").alias("t"))
-    return latest.select(*keys, F.col("t.views").alias("total_views"),
-                         F.col("t.wishlists").alias("total_wishlists"),
-                         F.col("t.contacts").alias("total_contact_agent"))
+    """Totals per calendar hour: the sum of all batches' changes."""
+    types = ", ".join([*(f"{k} INT" for k in schemas.CALENDAR_HOUR_KEYS), *(f"{m} LONG" for m in MEASURES)])
+    changes = spark.read.schema(f"{types}, batch_id LONG").parquet(f"{out}/hours")
+    return changes.groupBy(*schemas.CALENDAR_HOUR_KEYS).agg(
+        F.sum("views").alias("total_views"), F.sum("wishlists").alias("total_wishlists"),
+        F.sum("contacts").alias("total_contact_agent"))
