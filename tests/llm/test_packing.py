@@ -13,7 +13,9 @@ from viewstar.llm import packing as pk
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    made.encode_special_tokens = True
+    return made
 
 
 def ids_of(library, text):

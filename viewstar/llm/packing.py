@@ -47,7 +47,8 @@ _SEPARATOR[0x20], _SEPARATOR[0x0A] = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 class Encoder:
     """Byte-level BPE ids of whole texts, by the public vocabulary files.
 
-    ``tokenizers`` defines the ids (file ``byte_bpe_50k.json``); the same
+    ``tokenizers`` defines the ids (file ``byte_bpe_50k.json``, no special
+    tokens added, their strings in a text being ordinary text); the same
     vocabulary as ranks gives equal ids several times faster through
     ``tiktoken`` (tests hold the two against each other).  Byte-level BPE never
     merges across its word pattern's cuts, and the pattern always cuts between
@@ -62,7 +63,6 @@ class Encoder:
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -72,21 +72,12 @@ class Encoder:
         self.spaced, self.broken = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
         self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.broken[[i for token, i in ranks.items() if token.startswith(b"\n")]] = True
-        self.special = sorted(t.content for t in Tokenizer.from_file(
-            public_tokenizers.path(f"{vocabulary}.json")).get_added_tokens_decoder().values())
-        self.vocabulary, self.library = vocabulary, None
         self.keys, self.flat = np.zeros(0, np.uint64), np.zeros(0, "<u4")
         self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def one(self, text: str) -> np.ndarray:
-        """ids of a whole text; by the defining library if it spells out a special token."""
-        if not any(s in text for s in self.special):
-            return self.fast.encode_to_numpy(text).astype("<u4")
-        import public_tokenizers
-        from tokenizers import Tokenizer
-        if self.library is None:
-            self.library = Tokenizer.from_file(public_tokenizers.path(f"{self.vocabulary}.json"))
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        """ids of a whole text."""
+        return self.fast.encode_to_numpy(text).astype("<u4")
 
     def _joined(self, chunks: list[bytes], lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the chunks in a row, where each begins); every chunk starts with its separator."""
@@ -109,11 +100,6 @@ class Encoder:
             opens = raw[np.minimum(lo, len(raw) - 1)]
             plain &= _GAP[opens] & _GAP[raw[np.maximum(hi, 1) - 1]]
         text = raw.tobytes()
-        for mark in self.special:
-            at = text.find(mark.encode())
-            while at >= 0:
-                plain[np.searchsorted(offsets, at, side="right") - 1] = False
-                at = text.find(mark.encode(), at + 1)
         out: list[np.ndarray | None] = [None] * n
         for i in np.flatnonzero(~plain):
             out[i] = self.one(text[lo[i]:hi[i]].decode())
