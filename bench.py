@@ -33,11 +33,11 @@ WARMUP_DIR = "/root/testdata/sf0.001"
 
 
 def _fact(spark, sf):
-    return qa.clean_viewings(fx.large_viewings(spark, sf))
+    return qa.clean_viewings(fx.large_viewings(spark, sf), drop_all_null=False)
 
 
 def _cube(spark, sf):
-    return model.engagement_cube(_fact(spark, sf), r.listing(spark, sf))
+    return r.large_cube(spark, sf)
 
 
 BENCH = {
