@@ -38,7 +38,7 @@ SIMILARITY = 80  # per cent
 CLASSES = (2, 16, 256)
 BUCKETS = 64     # of the suffix filter
 _KEEP = np.uint64(0x3FFFFFFFFFFFFFFF)  # n-gram hashes have 62 bits; the class stands above them
-_FLUSH = 4_000_000
+_FLUSH = 2_000_000  # n-grams a task gathers before it sends them on
 
 
 # -- n-grams of a slice of texts ----------------------------------------------------------
@@ -187,10 +187,14 @@ def _needed(a: Column, b: Column, similarity: int) -> Column:
 
 
 def _passes(n: Column, pos: Column, m: Column, qos: Column, similarity: int) -> Column:
-    """Length and positional filter for two sets that share the n-gram at ``pos`` and ``qos``."""
+    """Length and positional filter for two sets that share the n-gram at ``pos`` and ``qos``.
+
+    If it is their first common n-gram, nothing before it is shared and the
+    overlap is at most what follows.  At a later common n-gram the bound may
+    turn a pair away, but the pair stays if it passes at its first one.
+    """
     length = F.least(n, m) * 100 >= F.greatest(n, m) * similarity
-    at_most = F.least(pos, qos) + F.least(n - pos, m - qos)
-    return length & (at_most >= _needed(n, m, similarity))
+    return length & (F.least(n - pos, m - qos) >= _needed(n, m, similarity))
 
 
 def _suffix_filtered(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
@@ -220,8 +224,9 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: in
                      pa.array([key[first[i]:first[i + 1]].tobytes() for i in chosen], pa.binary())],
                     ["id", "sig1", "sig2", "grams"])
 
+    # Repeated rows give the same set; dropping them and the join share one shuffle.
     found = by_batch(docs, sets, "id long, sig1 long, sig2 long, grams binary") \
-        .join(wanted, ["id", "sig1", "sig2"]).select("uid", "grams").dropDuplicates(["uid"])
+        .dropDuplicates(["id", "sig1", "sig2"]).join(wanted, ["id", "sig1", "sig2"]).select("uid", "grams")
     found = written(found, "sets")
 
     def decide(batch):
@@ -246,7 +251,7 @@ def _with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
-                    text_column: str = "text", pivot_rounds: int = 4, pairs_per_row: int = 4) -> DataFrame:
+                    text_column: str = "text", pivot_rounds: int = 2, pairs_per_row: int = 8) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id, one row per input row.
 
     Texts are whole; A-Z are lower-cased and words are runs of non-space
