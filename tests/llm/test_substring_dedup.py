@@ -11,6 +11,7 @@ def test_sentences_add_up():
         pieces = sd.sentences(text)
         assert "".join(pieces) == text
         assert all(len(p.split()) <= sd.MAX_WORDS for p in pieces)
+        assert [w for p in pieces for w in p.split()] == text.split()
 
 
 def test_corpus_matches_brute_force(spark):

@@ -27,11 +27,12 @@ RUN, MIN_WORDS, MAX_WORDS = 3, 8, 16
 
 _CUT = re.compile(r"(?<=[.!?])[\x20\t\r]+|\n+")
 
+_WORD = re.compile(r"\S+")
+
 
 def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
     """The text in pieces that add up to it: a sentence each, with the white space that follows."""
     out, lo = [], 0
-    limit = re.compile(r"(?:\s*\S+){%d}" % max_words) if max_words else None
     for m in [*_CUT.finditer(text), None]:
         hi = m.end() if m else len(text)
         piece = text[lo:hi]
@@ -39,14 +40,8 @@ def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
         if not piece:
             continue
         if max_words and len(piece) > 2 * max_words and len(piece.split()) > max_words:
-            at = 0
-            while len(piece) > at:
-                cut = limit.match(piece, at)
-                end = cut.end() if cut else len(piece)
-                if not piece[end:].strip():
-                    end = len(piece)
-                out.append(piece[at:end])
-                at = end
+            edges = [0, *[m.start() for m in _WORD.finditer(piece)][max_words::max_words], len(piece)]
+            out += [piece[a:b] for a, b in zip(edges[:-1], edges[1:])]
         elif piece.strip() or not out:
             out.append(piece)
         else:
