@@ -167,7 +167,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns, as they are) that hold no test window."""
+    """The rows of ``docs`` (all columns, as they are) that hold no test window; rows that share an id
+    (or have none) stay or go together."""
     bad = overlaps(docs, items, id_column, text_column, item_column, item_text_column).where("n_hit > 0") \
         .select(F.col("doc_id").alias("__bad_id")).distinct()
     return docs.join(bad, F.col(id_column).cast("long").eqNullSafe(F.col("__bad_id")), "left_anti")
