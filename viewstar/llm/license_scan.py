@@ -4,9 +4,10 @@ A notice of n characters with at most k errors (insertions, deletions,
 substitutions) is cut into k + 1 parts; in any match at least one part occurs
 unchanged (pigeonhole).  One Aho-Corasick automaton over all parts of all
 notices finds these seeds in a single pass over a text; each seed fixes where
-its notice would lie, and the regex library's bounded-error matching decides
-inside that stretch and reports the span and its errors.  Short phrases are
-seeds without errors.
+its notice would lie.  A stretch that holds too few of the notice's trigrams
+for k errors (each error spoils three at most) is passed over; in the others
+the regex library's bounded-error matching decides and reports the span and
+its errors.  Short phrases are seeds without errors.
 
 Texts are compared word by word: A-Z folded, words joined by single spaces.
 """
@@ -63,7 +64,9 @@ class Scanner:
         self.patterns = {}
         for notice in self.notices:
             k = max(1, int(len(notice) * self.error_share))
-            self.patterns[notice] = (regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}"), k)
+            trigrams = [notice[i:i + 3] for i in range(len(notice) - 2)]
+            self.patterns[notice] = (regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}"), trigrams,
+                                     len(trigrams) - 3 * k)
             cuts = np.linspace(0, len(notice), k + 2).astype(int)
             for a, b in zip(cuts[:-1], cuts[1:]):
                 seeds.setdefault(notice[a:b], []).append((notice, k, int(a), int(b)))
@@ -88,7 +91,7 @@ class Scanner:
                     wanted.setdefault(name, []).append((start - a - k, start - a + len(name) + k))
         found = []
         for notice, stretches in wanted.items():
-            pattern, k = self.patterns[notice]
+            pattern, trigrams, least = self.patterns[notice]
             reach, done = -1, -1
             merged: list[list[int]] = []
             for lo, hi in sorted(stretches):
@@ -99,6 +102,15 @@ class Scanner:
                 reach = merged[-1][1]
             for lo, hi in merged:
                 at = max(lo, 0)
+                window = flat[at:max(hi, 0)]
+                if sum(g in window for g in trigrams) < least:
+                    continue
+                exact = window.find(notice)
+                if exact >= 0 and window.find(notice, exact + 1) < 0 and len(window) < 2 * len(notice):
+                    if at + exact >= done:  # nothing beats a match without errors, and no other fits beside it
+                        found.append((at + exact, at + exact + len(notice), self.notices[notice], 1.0))
+                        done = at + exact + len(notice)
+                    continue
                 while (m := pattern.search(flat, at, max(hi, 0))) is not None:
                     if m.start() >= done:
                         found.append((m.start(), m.end(), self.notices[notice], 1.0 - sum(m.fuzzy_counts) / len(notice)))
