@@ -218,30 +218,25 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: in
             first = np.searchsorted(owner, np.arange(hi - lo + 1))
             chosen = np.flatnonzero(shared.value.has(sig1) & (np.diff(first) > 0))
             if len(chosen):
+                size = np.diff(first)[chosen]
+                values = np.concatenate([key[first[i]:first[i + 1]] for i in chosen])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(lo, hi - lo).take(pa.array(chosen)), pa.array(tk.signed(sig1[chosen])),
                      pa.array(tk.signed(sig2[chosen])),
-                     pa.array([key[first[i]:first[i + 1]].tobytes() for i in chosen], pa.binary())],
-                    ["id", "sig1", "sig2", "grams"])
+                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)),
+                                              pa.array(tk.signed(values)))], ["id", "sig1", "sig2", "grams"])
 
     # Repeated rows give the same set; dropping them and the join share one shuffle.
-    found = by_batch(docs, sets, "id long, sig1 long, sig2 long, grams binary") \
+    found = by_batch(docs, sets, "id long, sig1 long, sig2 long, grams array<long>") \
         .dropDuplicates(["id", "sig1", "sig2"]).join(wanted, ["id", "sig1", "sig2"]).select("uid", "grams")
     found = written(found, "sets")
 
-    def decide(batch):
-        linked = []
-        for x, y in zip(batch.column("x"), batch.column("y")):
-            p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            small, large = (p, q) if len(p) <= len(q) else (q, p)
-            at = np.searchsorted(large, small)
-            both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            linked.append(100 * both >= similarity * (len(p) + len(q) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
-
+    # Row by row in the JVM: batches of whole sets would fill a Python worker.
+    both = F.size(F.array_intersect("x", "y"))
     sided = pairs.join(found.select(F.col("uid").alias("a"), F.col("grams").alias("x")), "a") \
-        .join(found.select(F.col("uid").alias("b"), F.col("grams").alias("y")), "b").select("a", "b", "x", "y")
-    return by_batch(sided, decide, "a long, b long, linked boolean")
+        .join(found.select(F.col("uid").alias("b"), F.col("grams").alias("y")), "b")
+    sided = sided.select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
+    return sided.select("a", "b", (F.col("both") * 100 >= (F.col("sizes") - F.col("both")) * similarity).alias("linked"))
 
 
 # -- 4. rounds ----------------------------------------------------------------------------
