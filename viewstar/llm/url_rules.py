@@ -109,6 +109,10 @@ def judge(pages: DataFrame, rules=LIST_RULES, min_support: float = 0.01, min_con
         .agg(F.count(F.lit(1)).alias("m")).where("m = size") \
         .groupBy("set", "tokens").agg(F.max(F.struct("confidence", "support", "size", "mined_rule", "verdict")).alias("best"))
     best = found.select("tokens", F.col("best.verdict").alias("mined"), "best.mined_rule", "best.confidence")
-    unlisted = F.when(F.col("listed").isNull(), F.col("d.tokens"))
-    return rows.alias("d").join(best.alias("m"), unlisted == F.col("m.tokens"), "left").select(
-        *out, F.coalesce("listed", "mined", F.lit(default)).alias("verdict"), "mined_rule", "confidence")
+    # Listed pages have no use for the join; with null keys they would all meet in one task.
+    listed = rows.where("listed IS NOT NULL").select(*out, F.col("listed").alias("verdict"),
+                                                     F.lit(None).cast("string").alias("mined_rule"),
+                                                     F.lit(None).cast("double").alias("confidence"))
+    others = rows.where("listed IS NULL").join(best, "tokens", "left").select(
+        *out, F.coalesce("mined", F.lit(default)).alias("verdict"), "mined_rule", "confidence")
+    return listed.unionByName(others)
