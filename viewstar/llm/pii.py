@@ -127,6 +127,24 @@ def _scan(docs: DataFrame, reach: int) -> DataFrame:
     return by_batch(docs, run, f"id long, key long, spans {_SPANS}, near array<struct<e: long, t: long>>, entities array<long>")
 
 
+def _document_counts(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
+    """(t, n_t): in how many rows a word that may be a candidate stands; each slice of texts sends sums."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batch):
+        for _, _, s in tk.slices(batch.column("text"), tk.ALNUM_WORDS):
+            h = s.hashes()
+            at = np.flatnonzero(shared.value.has(h))
+            if len(at):
+                owner, word = np.searchsorted(s.first, at, side="right") - 1, h[at]
+                order = np.lexsort((word, owner))
+                owner, word = owner[order], word[order]
+                new = np.append(True, (owner[1:] != owner[:-1]) | (word[1:] != word[:-1]))
+                word, n = np.unique(word[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tk.signed(word)), pa.array(n.astype(np.int64))], ["t", "n"])
+    return by_batch(docs, run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
+
+
 def _occurrences(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
     """Per row the places (code points) of words that may be candidate terms; rows without any are left out."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
@@ -170,16 +188,16 @@ def find(docs: DataFrame, reach: int = 8, support: int = 3, generalise_at: float
     joint = base.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et")) \
         .where(F.col("n_et") >= support)
     joint = written(joint, "pii-pairs")
-    bitmap = Bitmap.of(joint.select("t").distinct(), "t")
-    places = written(_occurrences(docs, bitmap), "pii-terms")
+    n_term = _document_counts(docs, Bitmap.of(joint.select("t").distinct(), "t"))
     n_entity = base.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    n_term = places.select(F.explode(F.array_distinct(F.transform("places", lambda p: p["t"]))).alias("t")) \
-        .groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
     n = F.lit(float(max(total, 1)))
     information = F.greatest(F.log2(n / F.col("n_e")), F.lit(1e-9))
     disclosure = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) / information
     risky = joint.join(n_entity, "e").join(n_term, "t").groupBy("t").agg(F.max(disclosure).alias("disclosure")) \
         .where((F.col("disclosure") >= generalise_at))
+    risky = written(risky, "pii-risky")
+    # Only now, with common words ruled out, are places looked up.
+    places = written(_occurrences(docs, Bitmap.of(risky, "t")), "pii-terms")
     hits = places.dropDuplicates(["id", "key"]).select("id", "key", F.explode("places").alias("p")) \
         .select("id", "key", F.col("p.t").alias("t"), F.col("p.start").alias("start"), F.col("p.end").alias("end")) \
         .join(risky, "t").groupBy("id", "key") \
