@@ -57,3 +57,58 @@ def test_repeated_rows_stay_defined(spark):
     passage = "Here stands the first line of it. Then comes another line of words! And a third one closes?"
     out = sd.dedup(docs(spark, [(1, passage, "en"), (1, passage, "en"), (2, passage, "en")])).collect()
     assert sorted((r.doc_id, r.n_removed) for r in out) == [(1, 0), (1, 0), (2, 3)]
+
+
+def left(spark, texts):
+    got = sd.dedup(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), lengthen=True).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_short_sentences_make_long_runs(spark):
+    """Sentences of one or two words: runs grow until they hold the minimum of words."""
+    shout = " ".join(f"W{k}!!" for k in range(60))
+    tail = "Eight words and more stand in this line. And so here it goes on again. One. Two. Three."
+    out = left(spark, [f"Start here. {shout} End.", shout, f"Other words come first here. {shout} Then the rest of it.",
+                       f"Alpha. {tail}", f"{tail} Beta gamma delta."])
+    assert out[1] == "" and out[2] == "Other words come first here. Then the rest of it."
+    assert out[4] == "Beta gamma delta."
+
+
+def test_small_texts_are_runs_of_their_own(spark):
+    texts = ["Only one sentence here.", "only  one sentence HERE.", "One. Two.", "One. Two.", "One.", "A. B. C. D.", "A. B. C. D.",
+             "Only one sentence here. But more follows it. And even more of it stands at the end.", " ", " "]
+    out = left(spark, texts)
+    assert [k for k, t in enumerate(out) if t != texts[k]] == [1, 3, 6] and out[1] == out[3] == out[6] == ""
+
+
+def plain_runs(size):
+    """(first sentence, end): long enough runs that are too short without their first or last sentence."""
+    if sum(map(bool, size)) < 3 or sum(size) < 8:
+        return {(0, len(size))} if any(size) else set()
+    enough = lambda a, b: b - a >= 3 and sum(size[a:b]) >= 8
+    out = set()
+    for a in range(len(size)):
+        b = next((b for b in range(a + 3, len(size) + 1) if enough(a, b)), None)
+        out |= {(a, b)} if b else set()
+        c = next((c for c in range(a, -1, -1) if enough(c, a + 1)), None)
+        out |= {(c, a + 1)} if c is not None else set()
+    return out
+
+
+def test_query_matches_brute_force_over_lengthened_runs(spark):
+    from viewstar.llm.queries import QUERIES
+    texts = {r.doc_id: r.text for r in sf_docs(spark, SF_TINY).collect()}
+    got = {r.doc_id: r for r in QUERIES["op1_substring_dedup"](spark, SF_TINY).collect()}
+    seen, longer = set(), 0
+    for i in sorted(texts):
+        pieces = sd.sentences(texts[i])
+        w = [tuple(p.translate(FOLD).split()) for p in pieces]
+        gone = set()
+        for a, b in sorted(plain_runs(list(map(len, w)))):
+            run = tuple(x for x in w[a:b] if x or b - a == 3)
+            if run in seen:
+                gone |= set(range(a, b))
+                longer += b - a > 3
+            seen.add(run)
+        assert got[i].text == "".join(p for k, p in enumerate(pieces) if k not in gone), i
+    assert longer

@@ -18,7 +18,7 @@ def held_out(column: str, buckets: int, bucket: int) -> Column:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), lengthen=True)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

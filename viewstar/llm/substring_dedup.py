@@ -3,8 +3,11 @@
 A text is cut into sentences (after . ! ? and white space, and at line feeds);
 a sentence of more than ``max_words`` words is cut every ``max_words`` words,
 so text without punctuation has spans too.  Every run of ``run`` consecutive
-sentences with at least ``min_words`` words is hashed (128 bits, A-Z folded,
-white space collapsed).  Runs are grouped over the whole corpus by partial
+sentences is hashed (96 bits, A-Z folded, white space collapsed).  With
+``lengthen``, a run of fewer than ``min_words`` words grows, forwards and
+backwards, until it holds them, and a text that is too small for any run is
+one run as a whole; without, such runs and texts are left out.
+Runs are grouped over the whole corpus by partial
 aggregation; of every run that occurs twice or more, the first occurrence
 (smallest document id, then position) stays, and sentences covered by any
 other occurrence are removed.
@@ -13,6 +16,7 @@ other occurrence are removed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +56,38 @@ def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
 _FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
-def _runs(docs: DataFrame, run: int, min_words: int, max_words: int) -> DataFrame:
-    """(h, h2, id, key, pos): every run of consecutive sentences."""
+def extents(size: list[int], run: int, min_words: int, lengthen: bool) -> dict[int, tuple[int, int]]:
+    """Place -> (first sentence, end) of every run, by the words of each sentence.
+
+    A run that starts at a sentence and is no longer than it must be has that
+    number as its place; of short runs lengthened backwards, those that are not
+    such runs too have minus their end.  Whether a run is the one or the other
+    depends on its own sentences alone, so all its occurrences agree.
+    """
+    if not lengthen:
+        return {a: (a, a + run) for a in range(len(size) - run + 1) if sum(size[a:a + run]) >= min_words}
+    if not any(size):
+        return {}
+    if sum(map(bool, size)) < run or sum(size) < min_words:
+        return {0: (0, len(size))}
+    before = [0]
+    for n in size:
+        before.append(before[-1] + n)
+    out = {}
+    for a in range(len(size) - run + 1):
+        b = max(a + run, bisect_left(before, before[a] + min_words))
+        if b <= len(size):
+            out[a] = (a, b)
+    for b in range(run, len(size) + 1):
+        if before[b] - before[b - run] < min_words <= before[b]:
+            a = bisect_right(before, before[b] - min_words) - 1
+            if out.get(a) != (a, b):
+                out[-b] = (a, b)
+    return out
+
+
+def _runs(docs: DataFrame, run: int, min_words: int, max_words: int, lengthen: bool) -> DataFrame:
+    """(h, h2, id, key, pos): every run of consecutive sentences, ``pos`` its place as in :func:`extents`."""
     def emit(batch):
         ids = batch.column("id").to_pylist()
         raw, offsets = tk.text_bytes(batch.column("text"))
@@ -62,19 +96,29 @@ def _runs(docs: DataFrame, run: int, min_words: int, max_words: int) -> DataFram
             for i in range(lo, hi):
                 data = raw[offsets[i]:offsets[i + 1]].tobytes()
                 words = [s.split() for s in sentences(data.decode(), max_words)]
-                m = len(words) - run + 1
-                if m < 1:
+                if not any(words):
                     continue
                 size = np.array([len(w) for w in words])
-                both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(" ".join(w).translate(_FOLD)) for w in words),
-                                     dtype=">u8").astype(np.uint64).reshape(-1, 2)
+                digests = [xxhash.xxh3_128_digest(" ".join(w).translate(_FOLD)) for w in words]
+                both = np.frombuffer(b"".join(digests), dtype=">u8").astype(np.uint64).reshape(-1, 2)
+                m = max(len(words) - run + 1, 0)
                 n = sum(size[k:k + m] for k in range(run))
-                use = np.flatnonzero(n >= min_words)
-                cols[0].append(tk.signed(tk.grams(both[:, 0].copy(), run)[use]))
-                cols[1].append(tk.signed(tk.grams(both[:, 1].copy(), run, 1)[use]).astype(np.int32))
-                cols[2] += [ids[i]] * len(use)
-                cols[3].append(np.full(len(use), np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64)))
-                cols[4].append(use.astype(np.int32))
+                h, h2 = tk.grams(both[:, 0].copy(), run), tk.grams(both[:, 1].copy(), run, 1)
+                pos = np.arange(m)
+                if np.count_nonzero(size) < run or (n < min_words).any():
+                    spans = extents(size.tolist(), run, min_words, lengthen)
+                    pos = np.array([k for k, (a, b) in spans.items() if b - a == run], dtype=np.int64)
+                    longer = [(k, a, b) for k, (a, b) in spans.items() if b - a != run]
+                    whole = [xxhash.xxh3_128_digest(b"".join(d for d, w in zip(digests[a:b], words[a:b]) if w))
+                             for _, a, b in longer]
+                    more = np.frombuffer(b"".join(whole), dtype=">u8").astype(np.uint64).reshape(-1, 2)
+                    h, h2 = np.append(h[pos], more[:, 0]), np.append(h2[pos], more[:, 1])
+                    pos = np.append(pos, np.array([k for k, _, _ in longer], dtype=np.int64))
+                cols[0].append(tk.signed(h))
+                cols[1].append(tk.signed(h2).astype(np.int32))
+                cols[2] += [ids[i]] * len(pos)
+                cols[3].append(np.full(len(pos), np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64)))
+                cols[4].append(pos.astype(np.int32))
             if cols[2]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(cols[0])), pa.array(np.concatenate(cols[1])), pa.array(cols[2], pa.int64()),
@@ -83,28 +127,30 @@ def _runs(docs: DataFrame, run: int, min_words: int, max_words: int) -> DataFram
     return by_batch(docs, emit, "h long, h2 int, id long, key long, pos int")
 
 
-def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS) -> DataFrame:
-    """(id, key, starts): per row of (id, text), the first sentences of its non-first repeated runs."""
-    spans = written(_runs(docs, run, min_words, max_words), "sentence-runs")
+def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
+                   lengthen: bool = False) -> DataFrame:
+    """(id, key, places): per row of (id, text), the places of its non-first repeated runs."""
+    spans = written(_runs(docs, run, min_words, max_words, lengthen), "sentence-runs")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "pos")
     firsts = spans.groupBy("h", "h2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("m")) \
         .where("m > 1").select("h", "h2", "first")
     later = spans.join(firsts, ["h", "h2"]).where(order != F.col("first"))
-    return later.groupBy("id", "key").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
+    return later.groupBy("id", "key").agg(F.array_sort(F.collect_set("pos")).alias("places"))
 
 
 def dedup(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
-          id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+          id_column: str = "doc_id", text_column: str = "text", lengthen: bool = False) -> DataFrame:
     """doc_id, text (what is left), n_sentences, n_removed, spans (removed sentence ranges start-end, end
     exclusive, comma-joined), one row per input row.
 
     A null or empty text has no sentence and comes back empty; a text of fewer
-    than ``run`` sentences is never cut.  Null ids sort last; rows that repeat
+    than ``run`` sentences or ``min_words`` words is cut only as a whole, as a
+    copy of another such text (never, without ``lengthen``).  Null ids sort last; rows that repeat
     id and text count as one occurrence each where they lie (they all keep
     what the first keeps).  Other columns are not read.
     """
     rows = texts(docs, id_column, text_column)
-    later = repeated_spans(rows, run, min_words, max_words)
+    later = repeated_spans(rows, run, min_words, max_words, lengthen)
 
     def key(batch):
         raw, offsets = tk.text_bytes(batch.column("text"))
@@ -115,15 +161,17 @@ def dedup(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words
 
     keyed = by_batch(rows, key, "id long, text string, key long").alias("d")
     same = F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.key") == F.col("r.key"))
-    joined = keyed.join(later.alias("r"), same, "left").select("d.id", "d.text", "r.starts")
+    joined = keyed.join(later.alias("r"), same, "left").select("d.id", "d.text", "r.places")
 
     def cut(batch):
         out: list[list] = [[], [], [], []]
-        for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
+        for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
             pieces = sentences(text or "", max_words)
             gone = np.zeros(len(pieces) + 1, dtype=bool)
-            for s in starts or ():
-                gone[s:s + run] = True
+            spans = extents([len(p.split()) for p in pieces], run, min_words, lengthen) if places else {}
+            for k in places or ():
+                a, b = spans[k]
+                gone[a:b] = True
             edge = np.flatnonzero(np.diff(np.append(False, gone)))
             out[0].append("".join(p for p, g in zip(pieces, gone) if not g))
             out[1].append(len(pieces))
