@@ -112,3 +112,19 @@ def test_query_matches_brute_force_over_lengthened_runs(spark):
             seen.add(run)
         assert got[i].text == "".join(p for k, p in enumerate(pieces) if k not in gone), i
     assert longer
+
+
+def test_passage_inside_long_sentences_is_cut_alike(spark):
+    """A passage of 50 words that begins anywhere in text without punctuation loses more than half its words."""
+    passage = [f"p{k * k % 97}x{k}" for k in range(50)]
+    rows = [" ".join([f"a{i}b{k}" for k in range(20 + i)] + passage + [f"c{i}d{k}" for k in range(30)]) for i in range(17)]
+    out = left(spark, rows)
+    assert out[0] == rows[0]
+    for text in out[1:]:
+        assert sum(w in passage for w in text.split()) < 25
+
+
+def test_cuts_of_equal_words_are_far_apart():
+    for text in ("w " * 100, "v w " * 100, "a b c " * 200):
+        pieces = sd.sentences(text)
+        assert len(pieces) <= len(text.split()) / 8 and all(len(p.split()) <= sd.MAX_WORDS for p in pieces)

@@ -1,8 +1,9 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences (after . ! ? and white space, and at line feeds);
-a sentence of more than ``max_words`` words is cut every ``max_words`` words,
-so text without punctuation has spans too.  Every run of ``run`` consecutive
+a sentence of more than ``max_words`` words is cut at words that its content
+names, so text without punctuation has spans too, and a passage is cut alike
+wherever it begins.  Every run of ``run`` consecutive
 sentences is hashed (96 bits, A-Z folded, white space collapsed).  With
 ``lengthen``, a run of fewer than ``min_words`` words grows, forwards and
 backwards, until it holds them, and a text that is too small for any run is
@@ -33,6 +34,29 @@ _CUT = re.compile(r"(?<=[.!?])[\x20\t\r]+|\n+")
 
 _WORD = re.compile(r"\S+")
 
+_FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def _cuts(words: list[str], reach: int) -> list[int]:
+    """Words (numbers) at which a long sentence is cut, at most ``reach`` apart: of every ``reach`` words
+    the one with the smallest hash of itself and the next word (a choice is kept while no smaller one
+    comes, so equal words do not all cut).  Between the first and the last choice that lies wholly in
+    a passage, the cuts are the passage's own."""
+    folded = [w.translate(_FOLD) for w in words] + [""]
+    g = [xxhash.xxh3_64_intdigest(f"{a} {b}") for a, b in zip(folded[:-1], folded[1:])]
+    out, lo, least = [], 0, 1 << 64
+    while lo < len(g):
+        near = g[lo:lo + reach]
+        at = next((k for k, x in enumerate(near) if x < least), None) if out else None
+        if at is None:
+            if len(near) < reach:
+                break
+            at = reach - 1 - near[::-1].index(min(near))
+        out.append(lo + at)
+        least = near[at]
+        lo += at + 1
+    return out
+
 
 def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
     """The text in pieces that add up to it: a sentence each, with the white space that follows."""
@@ -44,7 +68,9 @@ def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
         if not piece:
             continue
         if max_words and len(piece) > 2 * max_words and len(piece.split()) > max_words:
-            edges = [0, *[m.start() for m in _WORD.finditer(piece)][max_words::max_words], len(piece)]
+            begins = [m.start() for m in _WORD.finditer(piece)]
+            cuts = _cuts(piece.split(), max(max_words * 3 // 4, 1))
+            edges = [0, *[begins[k] for k in cuts if k], len(piece)]
             out += [piece[a:b] for a, b in zip(edges[:-1], edges[1:])]
         elif piece.strip() or not out:
             out.append(piece)
@@ -53,9 +79,6 @@ def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
     return out
 
 
-_FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-
-
 def extents(size: list[int], run: int, min_words: int, lengthen: bool) -> dict[int, tuple[int, int]]:
     """Place -> (first sentence, end) of every run, by the words of each sentence.
 
