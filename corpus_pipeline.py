@@ -32,7 +32,7 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data masked in their texts (operator 2)."""
-    return pii.sanitise(docs)
+    return pii.sanitise(docs, shrunk=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,3 +115,49 @@ def test_sanitise_keeps_rows_and_columns(spark):
     out = pii.sanitise(df)
     assert out.schema == df.schema and sorted(str(r.text) for r in out.collect()) == ["None", "[EMAIL] x", "[EMAIL] x"]
     assert pii.sanitise(docs(spark, [])).count() == 0
+
+
+def plain_shrunk(rows, reach=8, at=0.8):
+    """Risky terms by plain counts: values and their classes, shares shrunk by one document."""
+    joint, n_e, n_t, n = Counter(), Counter(), Counter(), len(rows)
+    for _, text in rows:
+        text = text or ""
+        spans = plain_spans(text)
+        words = [(m.group(), *m.span()) for m in ALNUM_WORDS.finditer(text.translate(FOLD))]
+        n_t.update({w for w, _, _ in words})
+        pairs, entities = set(), set()
+        for k, x, y in spans:
+            v = text[x:y].lower()
+            pooled = ("@" + v.split("@")[-1], v.rpartition(".")[0] + ".", re.sub("[^0-9]", "", v)[:6], re.sub("[^0-9]", "", v)[:6])
+            own = {(k, v), (k, "class", pooled[k])}
+            entities |= own
+            index = sum(a < x for _, a, _ in words)
+            free = lambda ws: [w for w, a, b in ws if not any(p < b and q > a for _, p, q in spans)]
+            near = free(words[max(0, index - 4 * reach):index])[-reach:] + free(words[index:index + 4 * reach])[:reach]
+            pairs |= {(e, w) for e in own for w in near}
+        joint.update(pairs)
+        n_e.update(entities)
+    share = {(e, t): (m + n_e[e] / n) / (n_t[t] + 1) for (e, t), m in joint.items()}
+    return {t for (e, t), p in share.items() if log2(p * n / n_e[e]) / max(log2(n / n_e[e]), 1e-9) >= at}
+
+
+def test_query_finds_terms_of_rare_values_on_the_given_tables(spark):
+    from conftest import SF_SMALL
+    from viewstar.llm.queries import QUERIES
+    for sf in (SF_TINY, SF_SMALL):
+        rows = [(r.doc_id, r.text) for r in sf_docs(spark, sf).select("doc_id", "text").collect()]
+        risky = plain_shrunk(rows)
+        got = {r.doc_id: r.n_terms for r in QUERIES["op2_pii"](spark, sf).collect()}
+        for i, text in rows:
+            spans = plain_spans(text or "")
+            want = [m for m in ALNUM_WORDS.finditer((text or "").translate(FOLD)) if m.group() in risky
+                    and not any(x < m.end() and y > m.start() for _, x, y in spans)]
+            assert got[i] == len(want), i
+        assert sum(got.values()) > 0
+
+
+def test_a_word_near_one_value_only_is_masked(spark):
+    rows = [(i, f"common words stand in every row {i % 7}", "en") for i in range(60)]
+    rows += [(90, "common words stand by zorblax a@b.cc in every row", "en")]
+    out = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows), shrunk=True).collect()}
+    assert out[90] == "common words stand [TERM] [TERM] [EMAIL] in every row" and out[0] == rows[0][1]

@@ -7,7 +7,10 @@ entity, and in how many the entity and the term occur at all.  The pointwise
 mutual information of a term and an entity, as a share of the entity's own
 information content, says how much of the entity the term discloses (1: the
 term occurs nowhere else).  Terms above ``generalise_at`` are generalised,
-those above ``remove_at`` removed, wherever they stand.
+those above ``remove_at`` removed, wherever they stand.  With ``shrunk``, no
+pair is too rare to count: the share of a term's documents that hold the
+entity is shrunk towards the entity's share of all documents by one document,
+and the class of a value (domain, network, first digits) is an entity too.
 
 Nothing of corpus size is collected or broadcast: candidate terms go into a
 bitmap of fixed size, what passes it is joined with the term table.
@@ -93,8 +96,18 @@ def _text_keys(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
 _SPANS = "array<struct<kind: int, start: long, end: long>>"
 
 
-def _scan(docs: DataFrame, reach: int) -> DataFrame:
-    """Per row its base spans, the entities in it and the terms within ``reach`` words of each."""
+def pool(kind: int, value: str) -> str:
+    """The class a value belongs to: an address's domain, an IP's network, a number's first six digits."""
+    if KINDS[kind] == "email":
+        return value[value.rindex("@"):]
+    if KINDS[kind] == "ip":
+        return value[:value.rindex(".") + 1]
+    return "".join(c for c in value if c.isdigit())[:6]
+
+
+def _scan(docs: DataFrame, reach: int, pooled: bool = False) -> DataFrame:
+    """Per row its base spans, the entities in it (classes too, if ``pooled``) and the terms within
+    ``reach`` words of each."""
     def run(batch):
         raw, offsets = tk.text_bytes(batch.column("text"))
         spans, near, entities = [], [], []
@@ -112,12 +125,14 @@ def _scan(docs: DataFrame, reach: int) -> DataFrame:
                 for x, y in edges:
                     free &= (s.end <= x) | (s.start >= y)
                 for (kind, x, y), (lo, hi) in zip(own, edges):
-                    e = xxhash.xxh3_64_intdigest(f"{kind}:{text[x:y].lower()}".encode()) - (1 << 63)
-                    seen.add(e)
+                    value = text[x:y].lower()
+                    names = [f"{kind}:{value}", f"{kind}::{pool(kind, value)}"] if pooled else [f"{kind}:{value}"]
+                    own_e = [xxhash.xxh3_64_intdigest(name.encode()) - (1 << 63) for name in names]
+                    seen.update(own_e)
                     k = int(np.searchsorted(s.start, lo))
                     before, after = np.flatnonzero(free[max(k - 4 * reach, 0):k]), np.flatnonzero(free[k:k + 4 * reach])
                     for t in [*(before[-reach:] + max(k - 4 * reach, 0)), *(after[:reach] + k)]:
-                        pairs.add((e, int(h[t])))
+                        pairs.update((e, int(h[t])) for e in own_e)
             near.append([{"e": e, "t": t} for e, t in sorted(pairs)])
             entities.append(sorted(seen))
         yield pa.RecordBatch.from_arrays(
@@ -173,26 +188,28 @@ def _occurrences(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
 
 
 def find(docs: DataFrame, reach: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95,
-         id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+         id_column: str = "doc_id", text_column: str = "text", shrunk: bool = False) -> DataFrame:
     """(id, key, spans, terms): base spans and risky terms of each row; ``key`` is the text's hash.
 
     ``terms`` holds (start, end, disclosure) in code points.  A term counts as
     risky with an entity near which it stands in at least ``support``
-    documents and of which it discloses at least ``generalise_at``.  A null
+    documents and of which it discloses at least ``generalise_at``; with
+    ``shrunk`` in any number of documents, by the shrunken estimate.  A null
     text is an empty one, without spans; repeated rows count as documents of
     their own and get equal spans; other columns are not read.
     """
     docs = texts(docs, id_column, text_column)
-    base = written(_scan(docs, reach), "pii-base")
+    base = written(_scan(docs, reach, shrunk), "pii-base")
     total = base.count()
     joint = base.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et")) \
-        .where(F.col("n_et") >= support)
+        .where(F.col("n_et") >= (1 if shrunk else support))
     joint = written(joint, "pii-pairs")
     n_term = _document_counts(docs, Bitmap.of(joint.select("t").distinct(), "t"))
     n_entity = base.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
     n = F.lit(float(max(total, 1)))
     information = F.greatest(F.log2(n / F.col("n_e")), F.lit(1e-9))
-    disclosure = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))) / information
+    share = F.col("n_et") / F.col("n_t") if not shrunk else (F.col("n_et") + F.col("n_e") / n) / (F.col("n_t") + 1)
+    disclosure = F.log2(share * n / F.col("n_e")) / information
     risky = joint.join(n_entity, "e").join(n_term, "t").groupBy("t").agg(F.max(disclosure).alias("disclosure")) \
         .where((F.col("disclosure") >= generalise_at))
     risky = written(risky, "pii-risky")
@@ -225,10 +242,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, reach: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95,
-             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+             id_column: str = "doc_id", text_column: str = "text", shrunk: bool = False) -> DataFrame:
     """``docs`` (all rows and columns) with base spans replaced by [KIND], risky terms by [TERM], and terms
     that disclose at least ``remove_at`` taken out.  Texts without either come back as they are (null: null)."""
-    found = find(docs, reach, support, generalise_at, remove_at, id_column, text_column) \
+    found = find(docs, reach, support, generalise_at, remove_at, id_column, text_column, shrunk) \
         .where((F.size("spans") > 0) | (F.size("terms") > 0)).dropDuplicates(["id", "key"]) \
         .select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans"),
                 F.col("terms").alias("__terms"))

@@ -22,7 +22,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+    return pii.digest(pii.find(table(spark, sf_dir, "documents"), shrunk=True))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
