@@ -97,3 +97,29 @@ def test_first_of_each_keeps_columns_and_one_row(spark):
     assert kept.columns == df.columns
     assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=key) == sorted(
         [(1, "a b c d e f"), (3, None), (None, "a b c d e f"), (4, ""), (5, "q r")], key=key)
+
+
+def links(rows):
+    """Links of each row, all pairs compared."""
+    sets = [shingles(t) for _, t in rows]
+    close = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    return sorted(((i, sum(k != j and rows[j][0] is not None and bool(close(sets[k], sets[j])) for j in range(len(rows)))
+                    if i is not None else 0) for k, (i, _) in enumerate(rows)), key=key)
+
+
+def test_every_link_is_counted(spark, monkeypatch):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(base[:40 + i] + [f"y{i}"])) for i in range(20)]  # many near copies of several lengths
+    rows += [(100 + i, " ".join(base[:55] + [f"z{i}"])) for i in range(10)] + [(100, " ".join(base[:55] + ["z0"]))] * 3
+    rows += [(200 + i, t) for i, t in enumerate(chain(6))] + [(None, rows[0][1]), (300, None), (301, "one two"), (302, "one TWO")]
+    df = docs(spark, [(i, t, "en") for i, t in rows])
+    for block in (nj.BLOCK_SETS, 4):
+        monkeypatch.setattr(nj, "BLOCK_SETS", block)
+        got = sorted(((r.doc_id, r.n_links) for r in nj.near_duplicates(df, pairs_per_row=0).collect()), key=key)
+        assert got == links(rows)
+
+
+def test_links_of_the_corpus(spark):
+    df = sf_docs(spark, SF_TINY)
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    assert sorted((r.doc_id, r.n_links) for r in nj.near_duplicates(df).collect()) == links(rows)

@@ -205,10 +205,9 @@ def _suffix_filtered(pairs: DataFrame, reps: DataFrame, similarity: int) -> Data
         .where(overlap >= _needed(F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """(a, b, linked): each pair of classes decided on the whole sets."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-                     .join(reps.select("uid", "id", "sig1", "sig2"), "uid"), "wanted-sets")
+def _whole_sets(uids: DataFrame, reps: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(uid, grams): the whole sets of some classes, made again from one of their texts."""
+    wanted = written(uids.distinct().join(reps.select("uid", "id", "sig1", "sig2"), "uid"), f"wanted-{name}")
     shared = docs.sparkSession.sparkContext.broadcast(Bitmap.of(wanted, "sig1"))
 
     def sets(batch):
@@ -229,7 +228,12 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: in
     # Repeated rows give the same set; dropping them and the join share one shuffle.
     found = by_batch(docs, sets, "id long, sig1 long, sig2 long, grams array<long>") \
         .dropDuplicates(["id", "sig1", "sig2"]).join(wanted, ["id", "sig1", "sig2"]).select("uid", "grams")
-    found = written(found, "sets")
+    return written(found, name)
+
+
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, linked): each pair of classes decided on the whole sets."""
+    found = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("uid")), reps, docs, "sets")
 
     # Row by row in the JVM: batches of whole sets would fill a Python worker.
     both = F.size(F.array_intersect("x", "y"))
@@ -239,7 +243,83 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: in
     return sided.select("a", "b", (F.col("both") * 100 >= (F.col("sizes") - F.col("both")) * similarity).alias("linked"))
 
 
-# -- 4. rounds ----------------------------------------------------------------------------
+# -- 4. links ------------------------------------------------------------------------------
+BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 19
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of common n-grams of every set on the left with every one on the right."""
+    grams = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    sides = []
+    for side in (left, right):
+        owner, key = np.repeat(np.arange(len(side)), [len(x) for x in side]), np.concatenate(side)
+        column = np.minimum(np.searchsorted(grams, key), max(len(grams) - 1, 0))
+        use = grams[column] == key if len(grams) else np.zeros(len(key), dtype=bool)
+        column, owner = column[use], owner[use]
+        order = np.argsort(column, kind="stable")
+        sides.append((column[order], owner[order]))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for lo in range(0, len(grams), 4096):
+        dense = []
+        for side, (column, owner) in zip((left, right), sides):
+            a, b = np.searchsorted(column, [lo, lo + 4096])
+            dense.append(np.zeros((len(side), 4096), dtype=np.float32))
+            dense[-1][owner[a:b], column[a:b] - lo] = 1
+        out += dense[0] @ dense[1].T
+    return out.astype(np.int64)
+
+
+def _links(labels: DataFrame, copies: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+    """(uid, links): rows of other classes that each class links to.
+
+    All links lie within components.  Classes of a component go by set size
+    into bands, so that links are within a band or between neighbours, and
+    bands into blocks of bounded size by a hash; each pair of blocks is one
+    group of rows, whose pairs of sets are compared as matrices.
+    """
+    sets = _whole_sets(labels.select(F.col("v").alias("uid")), reps, docs, "component-sets")
+    sized = sets.join(copies, "uid").join(labels.select(F.col("v").alias("uid"), "c"), "uid") \
+        .withColumn("n", F.size("grams")) \
+        .withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / similarity)) * 0.999999).cast("long"))
+    sized = written(sized, "component-classes")
+    blocks = written(sized.groupBy("c", "band").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("k")), "component-blocks")
+    above = blocks.select("c", (F.col("band") - 1).alias("band"), F.col("k").alias("k_up"))
+    below = blocks.select("c", (F.col("band") + 1).alias("band"), F.col("k").alias("k_down"))
+    around = blocks.join(above, ["c", "band"], "left").join(below, ["c", "band"], "left").fillna(0, ["k_up", "k_down"])
+    key = "struct<low: long, up: long, x: int, y: int, second: boolean>"
+    spread = sized.join(around, ["c", "band"]).withColumn("s", F.expr("cast(pmod(xxhash64(uid), k) as int)")) \
+        .withColumn("p", F.explode(F.expr(f"""concat(
+            transform(sequence(0, k - 1), o -> cast(struct(band, band, least(s, o), greatest(s, o), s > o) as {key})),
+            if(k_up > 0, transform(sequence(0, k_up - 1), o -> cast(struct(band, band + 1, s, o, false) as {key})), array()),
+            if(k_down > 0, transform(sequence(0, k_down - 1), o -> cast(struct(band - 1, band, o, s, true) as {key})), array())
+        )"""))).select("c", "p.*", "uid", "copies", "grams")
+
+    def count(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        uid, copies = group["uid"].to_numpy(), group["copies"].to_numpy()
+        second = group["second"].to_numpy(zero_copy_only=False)
+        grams = [np.asarray(g, dtype=np.int64) for g in group["grams"].chunk(0).to_numpy(zero_copy_only=False)]
+        one = group["low"][0] == group["up"][0] and group["x"][0] == group["y"][0]
+        left = np.flatnonzero(~second)
+        right = left if one else np.flatnonzero(second)
+        links = np.zeros(len(uid), dtype=np.int64)
+        if len(left) and len(right):
+            both = _shared([grams[i] for i in left], [grams[i] for i in right])
+            size = np.array([len(g) for g in grams])
+            linked = both * 100 >= (size[left][:, None] + size[right][None, :] - both) * similarity
+            if one:
+                np.fill_diagonal(linked, False)
+                links[left] = linked @ copies[left]
+            else:
+                links[left], links[right] = linked @ copies[right], copies[left] @ linked
+        return pa.table({"uid": uid, "links": links})
+
+    return spread.groupBy("c", "low", "up", "x", "y").applyInArrow(count, "uid long, links long") \
+        .groupBy("uid").agg(F.sum("links").alias("links"))
+
+
+# -- 5. rounds ----------------------------------------------------------------------------
 def _with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels.select(F.col("v").alias("uid"), "c"), "uid", "left") \
         .withColumn("c", F.coalesce("c", "uid"))
@@ -247,7 +327,7 @@ def _with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
                     text_column: str = "text", pivot_rounds: int = 2, pairs_per_row: int = 8) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id, one row per input row.
+    """doc_id, n_shingles, component_id, class_id, n_links, one row per input row.
 
     Texts are whole; A-Z are lower-cased and words are runs of non-space
     (ASCII white space).  Two rows link when their sets of distinct 5-word
@@ -255,7 +335,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: st
     text of 1 to 4 words has its whole word sequence as its one shingle.  A
     null, empty or wordless text has 0 shingles and links with nothing.
     ``component_id`` is the smallest doc_id reachable; ``class_id`` the
-    smallest among rows with an equal set.  Rows without id link with nothing
+    smallest among rows with an equal set; ``n_links`` is the number of rows it
+    links to, copies included.  Rows without id link with nothing
     and have a null component; repeated rows are copies of each other.  Other
     columns are not read.
 
@@ -267,8 +348,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: st
     classes = _frequency_classes(docs)
     rows = written(_prefixes(docs, classes, similarity), "prefixes")
     sets = rows.where("n > 0 AND id IS NOT NULL").groupBy("sig1", "sig2") \
-        .agg(F.min(F.struct("id", "uid")).alias("rep"))
-    sets = written(sets.select("sig1", "sig2", F.col("rep.id").alias("class_id"), F.col("rep.uid").alias("uid")), "classes")
+        .agg(F.min(F.struct("id", "uid")).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    sets = written(sets.select("sig1", "sig2", "copies", F.col("rep.id").alias("class_id"), F.col("rep.uid").alias("uid")), "classes")
     reps = written(rows.where(F.size("prefix") > 0).join(sets.select("uid"), "uid", "left_semi"), "representatives")
 
     entries = reps.select("uid", "n", F.explode("prefix").alias("e")).select("uid", "n", "e.key", "e.pos")
@@ -311,12 +392,15 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: st
     named = sets.join(labels.select(F.col("v").alias("uid"), "c"), "uid", "left") \
         .withColumn("c", F.coalesce("c", "uid"))
     smallest = named.groupBy("c").agg(F.min("class_id").alias("component_id"))
-    placed = written(named.join(smallest, "c").select("sig1", "sig2", "class_id", "component_id"), "components")
+    others = _links(written(labels, "labels"), sets.select("uid", "copies"), reps, docs, similarity)
+    n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0).cast("long"))
+    placed = written(named.join(smallest, "c").join(others, "uid", "left")
+                     .select("sig1", "sig2", "class_id", "component_id", n_links.alias("n_links")), "components")
     member = rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                          F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("sig1")).alias("sig1"), "sig2")
     return member.join(placed, ["sig1", "sig2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("class_id", "doc_id").alias("class_id"))
+        F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def first_of_each(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
