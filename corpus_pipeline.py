@@ -21,8 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (operator 3): the smallest id."""
-    return ngram_join.first_of_each(docs)
+    """One document of each group of near copies (operator 3): the smallest id, each row by its own text."""
+    return ngram_join.first_of_each(docs, by_row=True)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

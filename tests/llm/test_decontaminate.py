@@ -72,3 +72,12 @@ def test_clean_keeps_the_rest(spark):
     kept = dc.clean(df, bench)
     assert kept.columns == df.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in df.collect()} - bad and bad
+
+
+def test_clean_decides_every_row_by_its_own_text(spark):
+    ten = "a b c d e f g h i j"
+    bench = spark.createDataFrame([(1, ten)], "item_id long, text string")
+    rows = [(None, ten), (None, "fine words"), (None, None), (1, ten + " k"), (1, "fine too"), (2, ""), (None, "fine words")]
+    kept = dc.clean(docs(spark, [(i, t, "en") for i, t in rows]), bench)
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=key) == sorted(
+        [r for r in rows if not (r[1] or "").startswith(ten)], key=key)

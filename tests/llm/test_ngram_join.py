@@ -123,3 +123,11 @@ def test_links_of_the_corpus(spark):
     df = sf_docs(spark, SF_TINY)
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
     assert sorted((r.doc_id, r.n_links) for r in nj.near_duplicates(df).collect()) == links(rows)
+
+
+def test_first_of_each_by_row_decides_by_texts(spark):
+    rows = [(1, "a b c d e f"), (1, "other words stand in this row"), (2, "a b c d e f"), (None, "a b c d e f"),
+            (None, "no id but a text of its own"), (None, "no id but a text of its own"), (None, None), (3, None)]
+    kept = nj.first_of_each(docs(spark, [(i, t, "en") for i, t in rows]), by_row=True)
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=key) == sorted(
+        [rows[0], rows[1], rows[4], rows[6], rows[7]], key=key)

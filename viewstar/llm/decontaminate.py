@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewstar.llm import textkit as tk
 from viewstar.llm.tables import Bitmap, by_batch, texts, written
@@ -129,6 +130,12 @@ def overlaps(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_
     (null ids included) each get the same figures.  An empty benchmark hits
     nothing.  Other columns are not read.
     """
+    return _overlaps(docs, items, id_column, text_column, item_column, item_text_column).drop("key")
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, id_column: str, text_column: str, item_column: str,
+              item_text_column: str) -> DataFrame:
+    """:func:`overlaps` with the key of each text's words."""
     windows = written(_item_windows(texts(items, item_column, item_text_column)), "test-windows")
     bitmap = Bitmap.of(windows.select("fingerprint").where("fingerprint IS NOT NULL"), "fingerprint")
     short = sorted(r["size"] for r in windows.select("size").distinct().collect() if r["size"] < WINDOW)
@@ -153,7 +160,7 @@ def overlaps(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_
     left, right = found.drop("windows").alias("l"), per_doc.alias("r")
     same = F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.key") == F.col("r.key"))
     return left.join(right, same, "left").select(
-        F.col("l.id").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.col("l.id").alias("doc_id"), F.col("l.key").alias("key"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<long>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<start: long, end: long>>")).alias("spans"))
 
@@ -167,8 +174,17 @@ def digest(found: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns, as they are) that hold no test window; rows that share an id
-    (or have none) stay or go together."""
-    bad = overlaps(docs, items, id_column, text_column, item_column, item_text_column).where("n_hit > 0") \
-        .select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, F.col(id_column).cast("long").eqNullSafe(F.col("__bad_id")), "left_anti")
+    """The rows of ``docs`` (all columns, as they are) that hold no test window, each by its own text,
+    whatever rows share its id (or have none)."""
+    bad = _overlaps(docs, items, id_column, text_column, item_column, item_text_column).where("n_hit > 0") \
+        .select(F.col("doc_id").alias("__bad_id"), F.col("key").alias("__bad_key")).distinct()
+    at = docs.columns.index(text_column)
+
+    def key(batch):
+        keys = [tk.totals(s.hashes(), s.first) for _, _, s in tk.slices(batch.column(at), tk.ALNUM_WORDS)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tk.signed(np.concatenate(keys)))],
+                                         [*batch.schema.names, "__key"])
+
+    keyed = by_batch(docs, key, T.StructType([*docs.schema.fields, T.StructField("__key", T.LongType())]))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("__bad_id")) & (F.col("__key") == F.col("__bad_key"))
+    return keyed.join(bad, same, "left_anti").drop("__key")

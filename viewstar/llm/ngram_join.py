@@ -404,12 +404,22 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: st
 
 
 def first_of_each(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
-                  text_column: str = "text") -> DataFrame:
+                  text_column: str = "text", by_row: bool = False) -> DataFrame:
     """The rows of ``docs`` (all columns, as they are), one of each component: the one with the smallest id.
 
     Rows without id stay, and of rows that repeat an id one stays (the
-    smallest text).
+    smallest text).  With ``by_row``, every row is grouped by its own text:
+    rows that share an id without being near copies all stay, rows without id
+    are grouped like others (they come last), rows without words all stay.
     """
+    if by_row:
+        # Ids of rows, in the order of ids; the number before sorting keeps copies from one partition.
+        numbered = written(docs.withColumn("__n", F.monotonically_increasing_id())
+                           .orderBy(F.col(id_column).cast("long").asc_nulls_last(), F.col(text_column), "__n")
+                           .withColumn("__row", F.monotonically_increasing_id()).drop("__n"), "numbered-rows")
+        first = near_duplicates(numbered, similarity, "__row", text_column) \
+            .where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
+        return numbered.join(first, "__row", "left_semi").select(*docs.columns)
     keep = near_duplicates(docs, similarity, id_column, text_column) \
         .where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
     own = F.col(id_column).cast("long")
