@@ -37,7 +37,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens in packed sequences (operator 10)."""
-    return packing.pack(docs)
+    return packing.pack(docs, added_tokens=True)
 
 
 STAGES = [

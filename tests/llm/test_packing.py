@@ -103,3 +103,16 @@ def test_awkward_rows(spark, library):
                                                    (102, "long text " * 4000), (103, "w " * 7)]
     check(docs(spark, [(i, t, "en") for i, t in rows]), rows, library, window=64)
     assert pk.pack(docs(spark, [])).count() == 0
+
+
+def test_added_tokens_are_the_unmodified_librarys(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [*ODD, "a <|endoftext|> hi", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny z", "<|endoftext|", "a b c"]
+    expected = [ids_of(plain, t) for t in texts]
+    assert expected[len(ODD)] == [64, 220, 50256, 23105, 0]
+    made = [t.encode() for t in texts]
+    got = pk.Encoder(added_tokens=True)(np.frombuffer(b"".join(made), dtype=np.uint8),
+                                        np.append(0, np.cumsum([len(t) for t in made])))
+    assert [[*g.tolist(), 0] for g in got] == expected
+    pieces = pk.pack(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), with_ids=True, added_tokens=True).collect()
+    assert {p.doc_id: np.frombuffer(p.ids, "<u4").tolist() for p in pieces} == dict(enumerate(expected))

@@ -48,7 +48,8 @@ class Encoder:
     """Byte-level BPE ids of whole texts, by the public vocabulary files.
 
     ``tokenizers`` defines the ids (file ``byte_bpe_50k.json``, no special
-    tokens added, their strings in a text being ordinary text); the same
+    tokens added; with ``added_tokens`` their strings in a text are those
+    tokens, as the file has it, otherwise ordinary text); the same
     vocabulary as ranks gives equal ids several times faster through
     ``tiktoken`` (tests hold the two against each other).  Byte-level BPE never
     merges across its word pattern's cuts, and the pattern always cuts between
@@ -58,11 +59,12 @@ class Encoder:
     and numpy gathers the ids.
     """
 
-    def __init__(self, vocabulary: str = "byte_bpe_50k"):
+    def __init__(self, vocabulary: str = "byte_bpe_50k", added_tokens: bool = False):
         import base64
 
         import public_tokenizers
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -72,11 +74,15 @@ class Encoder:
         self.spaced, self.broken = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
         self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.broken[[i for token, i in ranks.items() if token.startswith(b"\n")]] = True
+        self.library = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")) if added_tokens else None
+        self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values()) if added_tokens else []
         self.keys, self.flat = np.zeros(0, np.uint64), np.zeros(0, "<u4")
         self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def one(self, text: str) -> np.ndarray:
-        """ids of a whole text."""
+        """ids of a whole text; by the defining library if it spells out an added token."""
+        if any(s in text for s in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return self.fast.encode_to_numpy(text).astype("<u4")
 
     def _joined(self, chunks: list[bytes], lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +106,11 @@ class Encoder:
             opens = raw[np.minimum(lo, len(raw) - 1)]
             plain &= _GAP[opens] & _GAP[raw[np.maximum(hi, 1) - 1]]
         text = raw.tobytes()
+        for mark in map(str.encode, self.added):
+            at = text.find(mark)
+            while at >= 0:
+                plain[np.searchsorted(offsets, at, side="right") - 1] = False
+                at = text.find(mark, at + 1)
         out: list[np.ndarray | None] = [None] * n
         for i in np.flatnonzero(~plain):
             out[i] = self.one(text[lo[i]:hi[i]].decode())
@@ -149,13 +160,14 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(vocabulary: str) -> Encoder:
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+def _encoder(vocabulary: str, added_tokens: bool = False) -> Encoder:
+    key = vocabulary, added_tokens
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 _TOKENS = ("part int, id long, doc_tokens long, n_full long, full_rank long, rest int, rest_rank long, "
@@ -163,10 +175,10 @@ _TOKENS = ("part int, id long, doc_tokens long, n_full long, full_rank long, res
 
 
 def tokenised(docs: DataFrame, window: int, vocabulary: str, with_ids: bool, id_column: str = "doc_id",
-              text_column: str = "text") -> DataFrame:
+              text_column: str = "text", added_tokens: bool = False) -> DataFrame:
     """A row per document with its piece sizes, checksums and ranks within its partition."""
     def run(batches):
-        encode, part = _encoder(vocabulary), TaskContext.get().partitionId()
+        encode, part = _encoder(vocabulary, added_tokens), TaskContext.get().partitionId()
         tail, ranks, full_rank = array("I", [END_OF_TEXT]).tobytes(), np.zeros(window, dtype=np.int64), 0
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
@@ -287,7 +299,7 @@ def best_fit_decreasing(counts: dict[int, int], window: int) -> Plan:
 
 # -- operator -----------------------------------------------------------------------------
 def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "byte_bpe_50k", with_ids: bool = False,
-         id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+         id_column: str = "doc_id", text_column: str = "text", added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked).
 
     Every document ends with id 0, so a null or empty text is one piece of one
@@ -297,7 +309,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "byte_bpe_50k"
     checksums and ranks (and ids, if asked) are written.
     """
     spark = docs.sparkSession
-    rows = written(tokenised(docs, window, vocabulary, with_ids, id_column, text_column), "tokens")
+    rows = written(tokenised(docs, window, vocabulary, with_ids, id_column, text_column, added_tokens), "tokens")
     sizes = (rows.select("part", F.explode(F.array(
         F.struct(F.lit(window).alias("length"), F.col("n_full").alias("n")),
         F.struct(F.col("rest").alias("length"), F.lit(1).cast("long").alias("n")))).alias("s"))

@@ -64,7 +64,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
