@@ -66,3 +66,12 @@ def test_notice_spans_and_labels(spark):
     assert (row.n_base, row.base_labels, row.labels) == (0, "", "mit") and 0.9 < row.score < 1
     label, span = row.notices.split(":")
     assert label == "mit" and span == "2-17"
+
+
+def test_notices_before_a_better_one_are_found():
+    scanner = ls.Scanner(ls.PHRASES, ls.NOTICES)
+    for notice, label in ls.NOTICES.items():
+        wrong = notice[:9] + "#" + notice[10:]
+        flat = f" {wrong} and {wrong} and {notice} and {wrong} "
+        at = [f[0] for f in scanner.scan(flat)[1] if f[2] == label and f[3] > 0.9]
+        assert at == [1 + j * (len(notice) + 5) for j in range(4)], notice

@@ -66,7 +66,7 @@ class Scanner:
             k = max(1, int(len(notice) * self.error_share))
             trigrams = [notice[i:i + 3] for i in range(len(notice) - 2)]
             self.patterns[notice] = (regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}"), trigrams,
-                                     len(trigrams) - 3 * k)
+                                     len(trigrams) - 3 * k, k)
             cuts = np.linspace(0, len(notice), k + 2).astype(int)
             for a, b in zip(cuts[:-1], cuts[1:]):
                 seeds.setdefault(notice[a:b], []).append((notice, k, int(a), int(b)))
@@ -91,7 +91,7 @@ class Scanner:
                     wanted.setdefault(name, []).append((start - a - k, start - a + len(name) + k))
         found = []
         for notice, stretches in wanted.items():
-            pattern, trigrams, least = self.patterns[notice]
+            pattern, trigrams, least, k = self.patterns[notice]
             reach, done = -1, -1
             merged: list[list[int]] = []
             for lo, hi in sorted(stretches):
@@ -106,16 +106,20 @@ class Scanner:
                 if sum(g in window for g in trigrams) < least:
                     continue
                 exact = window.find(notice)
-                if exact >= 0 and window.find(notice, exact + 1) < 0 and len(window) < 2 * len(notice):
+                if exact >= 0 and window.find(notice, exact + 1) < 0 and len(window) < 2 * len(notice) - k:
                     if at + exact >= done:  # nothing beats a match without errors, and no other fits beside it
                         found.append((at + exact, at + exact + len(notice), self.notices[notice], 1.0))
                         done = at + exact + len(notice)
                     continue
-                while (m := pattern.search(flat, at, max(hi, 0))) is not None:
-                    if m.start() >= done:
+                parts, end = [(max(at, done), max(hi, 0))], done
+                while parts:  # the best match, then the text on both sides of it
+                    lo, hi = parts.pop()
+                    m = pattern.search(flat, lo, hi) if hi - lo >= len(notice) - k else None
+                    if m is not None:
                         found.append((m.start(), m.end(), self.notices[notice], 1.0 - sum(m.fuzzy_counts) / len(notice)))
-                        done = m.end()
-                    at = max(m.end(), m.start() + 1)
+                        end = max(end, m.end())
+                        parts += [(lo, m.start()), (m.end(), hi)]
+                done = end
         return places, sorted(found)
 
 
