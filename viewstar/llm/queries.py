@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewstar.llm import (ann, decontaminate, langid, license_scan, ngram_join, packing, pii, substring_dedup, toxicity,
-                          url_rules)
+from viewstar.llm import (ann, decontaminate, exact_dedup, langid, license_scan, ngram_join, packing, pii, substring_dedup,
+                          toxicity, url_rules)
 from viewstar.llm.tables import crc_bucket, table
 
 
@@ -67,6 +67,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), added_tokens=True)
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -101,5 +107,13 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
+""",
+    "op12_exact_dedup": r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+r AS (SELECT doc_id, norm, row_number() OVER w AS k, first_value(doc_id) OVER w AS keep_id
+      FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, count(*) OVER (PARTITION BY norm) AS group_size, k = 1 AS kept, sha256(norm) AS text_sha256
+FROM r
 """,
 }
