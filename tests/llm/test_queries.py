@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 
 def test_one_query_per_operator_and_the_pipeline():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if re.match(rf"op{n}_", q)]) == 1
     assert "pipeline" in names
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewstar.llm import (ann, decontaminate, exact_dedup, langid, license_scan, ngram_join, packing, pii, substring_dedup,
-                          toxicity, url_rules)
+from viewstar.llm import (ann, decontaminate, exact_dedup, langid, license_scan, ngram_join, packing, pii,
+                          source_divergence, spelling, substring_dedup, toxicity, url_rules)
 from viewstar.llm.tables import crc_bucket, table
 
 
@@ -67,11 +67,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), added_tokens=True)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
@@ -83,7 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op11_source_divergence": op11_source_divergence,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_spelling": op13_spelling,
 }
 
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -107,6 +117,34 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
+""",
+    "op11_source_divergence": r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT lang, source, k, unnest(w) AS t FROM d),
+kept AS (SELECT lang, t FROM o GROUP BY lang, t HAVING count(DISTINCT k) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, t, count(*) AS c FROM o JOIN kept USING (lang, t) GROUP BY lang, source, t),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+lc AS (SELECT lang, t, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY lang) AS n FROM c GROUP BY lang, t),
+p AS (SELECT g.lang, g.source, kept.t, coalesce(c.c, 0) AS c,
+             1 + (1000000000 * (coalesce(c.c, 0)::HUGEINT + 2)) // (coalesce(n.n, 0) + 2 * v.v) AS p
+      FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = kept.t),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS f
+      FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.f, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, t AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+          FROM (SELECT p.lang, p.source, p.t, p.p, 1 + (1000000000 * (lc.c::HUGEINT + 2)) // (lc.n + 2 * v.v) AS q
+                FROM p JOIN lc ON lc.lang = p.lang AND lc.t = p.t JOIN v ON v.lang = p.lang WHERE p.c > 0) WHERE p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms)
+WHERE rank <= 10
 """,
     "op12_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
