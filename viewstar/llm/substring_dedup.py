@@ -1,24 +1,23 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences (after . ! ? and white space, and at line feeds);
-a sentence of more than ``max_words`` words is cut at words that its content
-names, so text without punctuation has spans too, and a passage is cut alike
-wherever it begins.  Every run of ``run`` consecutive
-sentences is hashed (96 bits, A-Z folded, white space collapsed).  With
-``lengthen``, a run of fewer than ``min_words`` words grows, forwards and
-backwards, until it holds them, and a text that is too small for any run is
-one run as a whole; without, such runs and texts are left out.
-Runs are grouped over the whole corpus by partial
-aggregation; of every run that occurs twice or more, the first occurrence
-(smallest document id, then position) stays, and sentences covered by any
-other occurrence are removed.
+A text is cut into sentences (after words ending in . ! or ?, and at line
+feeds); a sentence of more than ``max_words`` words is cut at words that its
+content names, so text without punctuation has spans too, and a passage is cut
+alike wherever it begins.  Every run of ``run`` consecutive sentences is hashed
+(96 bits of its words, A-Z folded).  A run of fewer than ``min_words`` words
+grows, forwards and backwards, until it holds them, and a text too small for
+any run is one run as a whole.  Runs are joined over the whole corpus: of every
+run that occurs twice or more, the first occurrence (smallest document id, then
+first sentence) stays, and sentences covered by any other are removed.
+
+What moves between tasks: counts of run hashes, delta-coded by range of hash
+space, from which a bitmap of fixed size is filled; the occurrences of runs
+that the bitmap says repeat; and the texts that lose something.  Words, cuts
+and hashes are numpy over a slice of texts at a time.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left, bisect_right
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,182 +25,240 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar.llm import textkit as tk
-from viewstar.llm.tables import by_batch, texts, written
+from viewstar.llm.tables import Bitmap, by_batch, repeated_hashes, texts, written
 
 RUN, MIN_WORDS, MAX_WORDS = 3, 8, 16
+#: A run counts as hot if it has over 1 / HOT_SHARE of all occurrences of repeated runs: at most so many are broadcast.
+HOT_SHARE = 10_000
 
-_CUT = re.compile(r"(?<=[.!?])[\x20\t\r]+|\n+")
+_STEP, _STEP2 = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_SENTENCE_ENDS = np.array([33, 46, 63], np.uint8)
 
-_WORD = re.compile(r"\S+")
 
-_FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+# -- sentences and runs of a slice of texts ------------------------------------------------
+def _cuts(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, reach: int) -> np.ndarray:
+    """Of the words of long sentences (word hashes, each word's sentence bounds), those that begin a piece.
+
+    A word is chosen if, of some ``reach`` consecutive words of its sentence,
+    it has the smallest hash of itself and the next word (the last of equal
+    ones): so cuts are at most ``reach`` apart, and inside a passage they are
+    the passage's own, but for its first and last ``reach`` words.  Of equal
+    choices close together, as in repeated words, one in ten words is kept.
+    """
+    at = np.arange(len(h))
+    g = tk.mix(h + np.where(at + 1 < hi, np.append(h[1:], np.uint64(0)), np.uint64(0)) * np.uint64(_STEP))
+    smaller_left, reached_right = np.full(len(h), reach), np.full(len(h), reach)
+    for j in range(reach - 1, 0, -1):
+        left, right = np.roll(g, j), np.roll(g, -j)
+        smaller_left[(at - j >= lo) & (left < g)] = j
+        reached_right[(at + j < hi) & (right <= g)] = j
+    first = np.maximum(lo, at - smaller_left + 1)
+    chosen = np.flatnonzero(first <= np.minimum(hi - reach, at + reached_right - reach))
+    if not len(chosen):
+        return chosen
+    close = np.append(False, (np.diff(chosen) <= 4) & (g[chosen[1:]] == g[chosen[:-1]]) & (lo[chosen[1:]] == lo[chosen[:-1]]))
+    group = np.cumsum(~close) - 1
+    begin = np.flatnonzero(~close)
+    cell = (chosen - chosen[begin][group]) // 10
+    keep = ~close | np.append(True, cell[1:] != cell[:-1])
+    last = np.append(~close[1:], True)
+    before = np.maximum.accumulate(np.where(keep, chosen, -1))
+    return chosen[keep | (last & (chosen - before >= 3))]
 
 
-def _cuts(words: list[str], reach: int) -> list[int]:
-    """Words (numbers) at which a long sentence is cut, at most ``reach`` apart: of every ``reach`` words
-    the one with the smallest hash of itself and the next word (a choice is kept while no smaller one
-    comes, so equal words do not all cut).  Between the first and the last choice that lies wholly in
-    a passage, the cuts are the passage's own."""
-    folded = [w.translate(_FOLD) for w in words] + [""]
-    g = [xxhash.xxh3_64_intdigest(f"{a} {b}") for a, b in zip(folded[:-1], folded[1:])]
-    out, lo, least = [], 0, 1 << 64
-    while lo < len(g):
-        near = g[lo:lo + reach]
-        at = next((k for k, x in enumerate(near) if x < least), None) if out else None
-        if at is None:
-            if len(near) < reach:
-                break
-            at = reach - 1 - near[::-1].index(min(near))
-        out.append(lo + at)
-        least = near[at]
-        lo += at + 1
-    return out
+def _pieces(s: tk.Slice, h: np.ndarray, max_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word of every piece, first piece of every text and the number of pieces)."""
+    n = len(s.start)
+    begin = np.zeros(n, dtype=bool)
+    if n:
+        begin[s.first[:-1][np.diff(s.first) > 0]] = True
+        feeds = np.append(0, np.cumsum(s.data == 10))
+        begin[1:] |= np.isin(s.data[s.end[:-1] - 1], _SENTENCE_ENDS) | (feeds[s.start[1:]] > feeds[s.end[:-1]])
+        at = np.flatnonzero(begin)
+        size = np.diff(np.append(at, n))
+        if max_words and (size > max_words).any():
+            long = np.repeat(size > max_words, size)
+            words = np.flatnonzero(long)
+            lengths = size[size > max_words]
+            ends = np.cumsum(lengths)
+            lo, hi = np.repeat(ends - lengths, lengths), np.repeat(ends, lengths)
+            begin[words[_cuts(h[words], lo, hi, max_words - 2)]] = True
+    piece = np.flatnonzero(begin)
+    return piece, np.searchsorted(piece, s.first)
+
+
+def _edges(s: tk.Slice, piece: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """Byte offsets at which text ``k`` of the slice is cut: its pieces add up to it."""
+    own = s.start[piece[first[k]:first[k + 1]]] - s.offsets[k]
+    size = s.offsets[k + 1] - s.offsets[k]
+    if not len(own):
+        return np.array([0, size] if size else [0])
+    return np.concatenate([[0], own[1:], [size]])
 
 
 def sentences(text: str, max_words: int = MAX_WORDS) -> list[str]:
     """The text in pieces that add up to it: a sentence each, with the white space that follows."""
-    out, lo = [], 0
-    for m in [*_CUT.finditer(text), None]:
-        hi = m.end() if m else len(text)
-        piece = text[lo:hi]
-        lo = hi
-        if not piece:
-            continue
-        if max_words and len(piece) > 2 * max_words and len(piece.split()) > max_words:
-            begins = [m.start() for m in _WORD.finditer(piece)]
-            cuts = _cuts(piece.split(), max(max_words * 3 // 4, 1))
-            edges = [0, *[begins[k] for k in cuts if k], len(piece)]
-            out += [piece[a:b] for a, b in zip(edges[:-1], edges[1:])]
-        elif piece.strip() or not out:
-            out.append(piece)
-        else:
-            out[-1] += piece
-    return out
-
-
-def extents(size: list[int], run: int, min_words: int, lengthen: bool) -> dict[int, tuple[int, int]]:
-    """Place -> (first sentence, end) of every run, by the words of each sentence.
-
-    A run that starts at a sentence and is no longer than it must be has that
-    number as its place; of short runs lengthened backwards, those that are not
-    such runs too have minus their end.  Whether a run is the one or the other
-    depends on its own sentences alone, so all its occurrences agree.
+    data = text.encode()
+    s = tk.Slice(np.frombuffer(data, np.uint8), np.array([0, len(data)]), tk.SPACE_WORDS)
+    piece, first = _pieces(s, s.hashes(), max_words)
+    at = _edges(s, piece, first, 0).tolist()
+    return [data[a:b].decode() for a, b in zip(at[:-1], at[1:])]
+
+
+def extents(piece: np.ndarray, first: np.ndarray, words: int, run: int, min_words: int) -> tuple[np.ndarray, ...]:
+    """(text, first piece, end piece) of every run, by the first words of pieces, sorted by text and first piece.
+
+    From every piece the shortest run forwards, up to every piece the shortest
+    run backwards, that has ``run`` pieces and ``min_words`` words.  Whether
+    pieces are a run depends on them alone, so all their occurrences agree.
     """
-    if not lengthen:
-        return {a: (a, a + run) for a in range(len(size) - run + 1) if sum(size[a:a + run]) >= min_words}
-    if not any(size):
-        return {}
-    if sum(map(bool, size)) < run or sum(size) < min_words:
-        return {0: (0, len(size))}
-    before = [0]
-    for n in size:
-        before.append(before[-1] + n)
-    out = {}
-    for a in range(len(size) - run + 1):
-        b = max(a + run, bisect_left(before, before[a] + min_words))
-        if b <= len(size):
-            out[a] = (a, b)
-    for b in range(run, len(size) + 1):
-        if before[b] - before[b - run] < min_words <= before[b]:
-            a = bisect_right(before, before[b] - min_words) - 1
-            if out.get(a) != (a, b):
-                out[-b] = (a, b)
-    return out
-
-
-def _runs(docs: DataFrame, run: int, min_words: int, max_words: int, lengthen: bool) -> DataFrame:
-    """(h, h2, id, key, pos): every run of consecutive sentences, ``pos`` its place as in :func:`extents`."""
+    bounds = np.append(piece, words)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    a = np.arange(len(piece))
+    forwards = np.maximum(a + run, np.searchsorted(bounds, piece + min_words))
+    ahead = forwards <= first[text + 1]
+    e = a + 1  # ends of runs: one past each piece
+    backwards = np.minimum(e - run, np.searchsorted(bounds, bounds[e] - min_words, side="right") - 1)
+    behind = backwards >= first[text]
+    behind &= ~(ahead[np.maximum(backwards, 0)] & (forwards[np.maximum(backwards, 0)] == e))
+    lo, hi = first[:-1], first[1:]
+    small = np.flatnonzero((hi > lo) & ((hi - lo < run) | (bounds[hi] - bounds[lo] < min_words)))
+    parts = (np.concatenate([text[ahead], text[behind], small]), np.concatenate([a[ahead], backwards[behind], lo[small]]),
+             np.concatenate([forwards[ahead], e[behind], hi[small]]))
+    order = np.lexsort((parts[2], parts[1], parts[0]))
+    return tuple(x[order] for x in parts)
+
+
+def _powers(step: int, n: int) -> np.ndarray:
+    return np.append(np.uint64(1), np.cumprod(np.full(n, step, dtype=np.uint64)))
+
+
+def _run_hashes(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, step: int) -> np.ndarray:
+    """Hash of the words lo..hi of each run, whatever its place: differences of prefix sums."""
+    up, down = _powers(step, len(h)), _powers(pow(step, -1, 1 << 64), len(h))
+    sums = np.append(np.uint64(0), np.cumsum(h * up[:-1], dtype=np.uint64))
+    return tk.mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64))
+
+
+def _keys(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64-bit hash of every whole text."""
+    return np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], np.uint64).view(np.int64)
+
+
+def _runs(docs: DataFrame, run: int, min_words: int, max_words: int) -> DataFrame:
+    """id, key and, per run of the text, its pieces a..b and its hash (h, g); texts without words are left out."""
     def emit(batch):
-        ids = batch.column("id").to_pylist()
         raw, offsets = tk.text_bytes(batch.column("text"))
-        for lo, hi in tk.bounds(offsets, 4 * tk.SLICE_BYTES):
-            cols: list[list] = [[], [], [], [], []]
-            for i in range(lo, hi):
-                data = raw[offsets[i]:offsets[i + 1]].tobytes()
-                words = [s.split() for s in sentences(data.decode(), max_words)]
-                if not any(words):
-                    continue
-                size = np.array([len(w) for w in words])
-                digests = [xxhash.xxh3_128_digest(" ".join(w).translate(_FOLD)) for w in words]
-                both = np.frombuffer(b"".join(digests), dtype=">u8").astype(np.uint64).reshape(-1, 2)
-                m = max(len(words) - run + 1, 0)
-                n = sum(size[k:k + m] for k in range(run))
-                h, h2 = tk.grams(both[:, 0].copy(), run), tk.grams(both[:, 1].copy(), run, 1)
-                pos = np.arange(m)
-                if np.count_nonzero(size) < run or (n < min_words).any():
-                    spans = extents(size.tolist(), run, min_words, lengthen)
-                    pos = np.array([k for k, (a, b) in spans.items() if b - a == run], dtype=np.int64)
-                    longer = [(k, a, b) for k, (a, b) in spans.items() if b - a != run]
-                    whole = [xxhash.xxh3_128_digest(b"".join(d for d, w in zip(digests[a:b], words[a:b]) if w))
-                             for _, a, b in longer]
-                    more = np.frombuffer(b"".join(whole), dtype=">u8").astype(np.uint64).reshape(-1, 2)
-                    h, h2 = np.append(h[pos], more[:, 0]), np.append(h2[pos], more[:, 1])
-                    pos = np.append(pos, np.array([k for k, _, _ in longer], dtype=np.int64))
-                cols[0].append(tk.signed(h))
-                cols[1].append(tk.signed(h2).astype(np.int32))
-                cols[2] += [ids[i]] * len(pos)
-                cols[3].append(np.full(len(pos), np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64)))
-                cols[4].append(pos.astype(np.int32))
-            if cols[2]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(cols[0])), pa.array(np.concatenate(cols[1])), pa.array(cols[2], pa.int64()),
-                     pa.array(np.concatenate(cols[3])), pa.array(np.concatenate(cols[4]))],
-                    ["h", "h2", "id", "key", "pos"])
-    return by_batch(docs, emit, "h long, h2 int, id long, key long, pos int")
-
-
-def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
-                   lengthen: bool = False) -> DataFrame:
-    """(id, key, places): per row of (id, text), the places of its non-first repeated runs."""
-    spans = written(_runs(docs, run, min_words, max_words, lengthen), "sentence-runs")
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "key", "pos")
-    firsts = spans.groupBy("h", "h2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("m")) \
-        .where("m > 1").select("h", "h2", "first")
-    later = spans.join(firsts, ["h", "h2"]).where(order != F.col("first"))
-    return later.groupBy("id", "key").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+        for lo, hi, s in tk.slices(batch.column("text"), tk.SPACE_WORDS):
+            h = s.hashes()
+            piece, first = _pieces(s, h, max_words)
+            text, a, b = extents(piece, first, len(h), run, min_words)
+            if not len(text):
+                continue
+            bounds = np.append(piece, len(h))
+            one = tk.signed(_run_hashes(h, bounds[a], bounds[b], _STEP))
+            two = tk.signed(_run_hashes(tk.mix(h + np.uint64(_STEP2)), bounds[a], bounds[b], _STEP2)).astype(np.int32)
+            some, counts = np.unique(text, return_counts=True)
+            ends = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+            key = _keys(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(lo, hi - lo).take(pa.array(some)), pa.array(key[some]),
+                 *[pa.ListArray.from_arrays(ends, pa.array(x)) for x in
+                   ((a - first[text]).astype(np.int32), (b - first[text]).astype(np.int32), one, two)]],
+                ["id", "key", "a", "b", "h", "g"])
+    return by_batch(docs, emit, "id long, key long, a array<int>, b array<int>, h array<long>, g array<int>")
+
+
+def _repeated(runs: DataFrame) -> DataFrame:
+    """h, g, id, key, a, b: the occurrences of runs that may repeat (all that do, and a few that the bitmap takes for such)."""
+    shared = runs.sparkSession.sparkContext.broadcast(Bitmap.of(repeated_hashes(runs, "h"), "h", 1 << 24))
+
+    def hits(batch):
+        lists = [batch.column(c) for c in ("a", "b", "h", "g")]
+        size = np.diff(lists[0].offsets.to_numpy())
+        a, b, h, g = (x.flatten().to_numpy() for x in lists)
+        use = np.flatnonzero(shared.value.has(tk.mix(h.view(np.uint64) >> np.uint64(24))))
+        rows = pa.array(np.repeat(np.arange(len(size)), size)[use])
+        yield pa.RecordBatch.from_arrays([pa.array(h[use]), pa.array(g[use]), batch.column("id").take(rows),
+                                          batch.column("key").take(rows), pa.array(a[use]), pa.array(b[use])],
+                                         ["h", "g", "id", "key", "a", "b"])
+    return by_batch(runs, hits, "h long, g int, id long, key long, a int, b int")
+
+
+def repeated_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS) -> DataFrame:
+    """(id, key, spans): per row of (id, text), the pieces a..b of its non-first repeated runs."""
+    found = written(_repeated(written(_runs(docs, run, min_words, max_words), "sentence-runs")), "repeated-runs")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "a", "b")
+    firsts = written(found.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("m"))
+                     .where("m > 1"), "first-runs")
+    total = firsts.agg(F.sum("m")).first()[0] or 0
+    # A run that holds a good part of all occurrences meets its first one by broadcast, so no task gets them all.
+    hot = F.broadcast(firsts.where(F.col("m") > total / HOT_SHARE).select("h", "g", F.col("first").alias("hot")))
+    marked = found.join(hot, ["h", "g"], "left")
+    cold = marked.where("hot IS NULL").drop("hot").join(
+        firsts.where(F.col("m") <= total / HOT_SHARE).select("h", "g", "first"), ["h", "g"])
+    later = cold.unionByName(marked.where("hot IS NOT NULL").withColumnRenamed("hot", "first")).where(place != F.col("first"))
+    return later.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
 def dedup(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
-          id_column: str = "doc_id", text_column: str = "text", lengthen: bool = False) -> DataFrame:
+          id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, text (what is left), n_sentences, n_removed, spans (removed sentence ranges start-end, end
     exclusive, comma-joined), one row per input row.
 
-    A null or empty text has no sentence and comes back empty; a text of fewer
-    than ``run`` sentences or ``min_words`` words is cut only as a whole, as a
-    copy of another such text (never, without ``lengthen``).  Null ids sort last; rows that repeat
-    id and text count as one occurrence each where they lie (they all keep
-    what the first keeps).  Other columns are not read.
+    A null or empty text has no sentence and comes back empty; one of white
+    space only is one sentence and stays.  A text of fewer than ``run``
+    sentences or ``min_words`` words is cut only as a whole, as a copy of
+    another such text.  Of a passage repeated inside one text the first copy
+    stays.  Null ids sort last; rows that repeat id and text count as one (they
+    all keep what the first keeps).  Other columns are not read.
     """
     rows = texts(docs, id_column, text_column)
-    later = repeated_spans(rows, run, min_words, max_words, lengthen)
+    later = written(repeated_spans(rows, run, min_words, max_words), "later-runs")
+    touched = docs.sparkSession.sparkContext.broadcast(Bitmap.of(later.select(F.col("key").alias("h")), "h", 1 << 24))
 
-    def key(batch):
-        raw, offsets = tk.text_bytes(batch.column("text"))
-        keys = [xxhash.xxh3_64_intdigest(raw[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("text"), pa.array(np.array(keys, dtype=np.uint64).view(np.int64))],
-            ["id", "text", "key"])
-
-    keyed = by_batch(rows, key, "id long, text string, key long").alias("d")
+    def keyed(wanted: bool):
+        def key(batch):
+            raw, offsets = tk.text_bytes(batch.column("text"))
+            keys = _keys(raw, offsets)
+            chosen = np.flatnonzero(touched.value.has(keys.view(np.uint64)) == wanted)
+            if len(chosen):
+                taken = pa.array(chosen)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(taken), batch.column("text").take(taken),
+                                                  pa.array(keys[chosen])], ["id", "text", "key"])
+        return by_batch(rows, key, "id long, text string, key long")
     same = F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.key") == F.col("r.key"))
-    joined = keyed.join(later.alias("r"), same, "left").select("d.id", "d.text", "r.places")
+    # Only texts that may lose something go through the join.
+    joined = keyed(True).alias("d").join(later.alias("r"), same, "left").select("d.id", "d.text", "r.spans") \
+        .unionByName(keyed(False).select("id", "text", F.lit(None).cast("array<struct<a: int, b: int>>").alias("spans")))
 
     def cut(batch):
-        out: list[list] = [[], [], [], []]
-        for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
-            pieces = sentences(text or "", max_words)
-            gone = np.zeros(len(pieces) + 1, dtype=bool)
-            spans = extents([len(p.split()) for p in pieces], run, min_words, lengthen) if places else {}
-            for k in places or ():
-                a, b = spans[k]
-                gone[a:b] = True
-            edge = np.flatnonzero(np.diff(np.append(False, gone)))
-            out[0].append("".join(p for p, g in zip(pieces, gone) if not g))
-            out[1].append(len(pieces))
-            out[2].append(int(gone[:-1].sum()))
-            out[3].append(",".join(f"{a}-{b}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()),
-             pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())],
-            ["doc_id", "text", "n_sentences", "n_removed", "spans"])
+        spans = batch.column("spans")
+        for lo, hi, s in tk.slices(batch.column("text"), tk.SPACE_WORDS):
+            piece, first = _pieces(s, s.hashes(), max_words)
+            whole = batch.column("text").slice(lo, hi - lo).to_pylist()
+            out: list[list] = [[], [], [], []]
+            for k, text in enumerate(whole):
+                n, own = int(first[k + 1] - first[k]), spans[lo + k].as_py()
+                if not own:
+                    out[0].append(text or "")
+                    out[1].append(n or int(bool(text)))
+                    out[2].append(0)
+                    out[3].append("")
+                    continue
+                gone = np.zeros(n + 2, dtype=np.int64)
+                np.add.at(gone, [x["a"] for x in own], 1)
+                np.add.at(gone, [x["b"] for x in own], -1)
+                gone = np.append(False, np.cumsum(gone)[:n + 1] > 0)
+                edge = np.flatnonzero(np.diff(gone))
+                at, data = _edges(s, piece, first, k), text.encode()
+                stay = np.flatnonzero(~gone[1:n + 1])
+                out[0].append(b"".join(data[at[j]:at[j + 1]] for j in stay).decode())
+                out[1].append(n)
+                out[2].append(int(gone[1:n + 1].sum()))
+                out[3].append(",".join(f"{a}-{b}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(lo, hi - lo), pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()),
+                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())],
+                ["doc_id", "text", "n_sentences", "n_removed", "spans"])
     return by_batch(joined, cut, "doc_id long, text string, n_sentences long, n_removed long, spans string")

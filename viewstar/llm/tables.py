@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewstar.llm import textkit as tk
 from viewstar.session import scratch_path
 
 
@@ -61,6 +62,49 @@ def hash_share(df: DataFrame, key: Column, wanted: Column, total: Column) -> Dat
     return df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(1_000_000.0) * wanted / F.greatest(total, F.lit(1)))
 
 
+def repeated_hashes(rows: DataFrame, column: str, flush: int = 2_000_000) -> DataFrame:
+    """(h): of the 64-bit hashes in an array column, the mixed upper 40 bits that occur twice or more.
+
+    Every task sends its sorted, distinct keys per range of hash space, delta-coded
+    (about 4 bytes a key), and one group per range merges them.
+    """
+    spark = rows.sparkSession
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = min(-(-(1 << 40) // ranges), (1 << 32) - 1)  # deltas are 32-bit
+    ranges = -(-(1 << 40) // width)
+    importable(spark)
+
+    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(held), return_counts=True)
+        at = np.searchsorted(key, np.arange(ranges + 1, dtype=np.int64) * width)
+        parts = [(r, tk.planes(np.diff(key[a:b], prepend=r * width)), (n[a:b] > 1).tobytes())
+                 for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in parts], pa.int32()), pa.array([x[1] for x in parts], pa.binary()),
+                                           pa.array([x[2] for x in parts], pa.binary())], ["r", "deltas", "twice"])
+
+    def count(batches):
+        held, size = [], 0
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy().view(np.uint64)
+            held.append((values >> np.uint64(24)).astype(np.int64))
+            size += len(values)
+            if size >= flush:
+                yield emit(held)
+                held, size = [], 0
+        if size:
+            yield emit(held)
+
+    def merge(group: pa.Table) -> pa.Table:
+        key = np.concatenate([np.cumsum(tk.unplanes(d.as_py()), dtype=np.int64) for d in group.column("deltas")])
+        twice = np.concatenate([np.frombuffer(d.as_py(), dtype=bool) for d in group.column("twice")])
+        order = np.argsort(key, kind="stable")
+        key, twice = key[order] + group.column("r")[0].as_py() * width, twice[order]
+        same = np.append(key[1:] == key[:-1], False)
+        again = np.unique(key[same | twice])
+        return pa.table({"h": tk.signed(tk.mix(again.astype(np.uint64)))})
+    return rows.select(column).mapInArrow(count, "r int, deltas binary, twice binary").groupBy("r").applyInArrow(merge, "h long")
+
+
 class Bitmap:
     """A fixed-size set of 64-bit hashes that may say yes wrongly, never no wrongly.
 

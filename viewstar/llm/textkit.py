@@ -146,3 +146,12 @@ def totals(h: np.ndarray, first: np.ndarray, salt: int = 0) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """uint32 values byte plane by byte plane, which the shuffle's compression shrinks."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
