@@ -1,12 +1,12 @@
 import hashlib
 import re
-from collections import Counter, defaultdict
-from math import log2
+from collections import Counter
+from math import log2, sqrt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import SF_TINY
+from conftest import SF_SMALL, SF_TINY
 from llm.helpers import ALNUM_WORDS, FOLD, docs, sf_docs
 from viewstar.llm import pii
 
@@ -46,38 +46,52 @@ def test_known_values():
     assert pii.base_spans("1" * 200_000) == [] and pii.base_spans("1." * 50_000 + "@" * 1000)
 
 
-def brute(rows, reach, support, at):
-    """spans text of each row, from plain counts."""
-    joint, n_e, n_t, kept = Counter(), Counter(), Counter(), []
+def bound(m, n, z=1.645):
+    p = m / n
+    return (p + z * z / (2 * n) - z * sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def plain_counts(rows, reach=8):
+    """Documents per entity (values and classes), per term, and per term near an entity."""
+    joint, n_e, n_t = Counter(), Counter(), Counter()
     for _, text in rows:
         text = text or ""
         spans = plain_spans(text)
         words = [(m.group(), *m.span()) for m in ALNUM_WORDS.finditer(text.translate(FOLD))]
-        free = [(w, a, b) for w, a, b in words if not any(x < b and y > a for _, x, y in spans)]
         n_t.update({w for w, _, _ in words})
-        pairs = set()
-        entities = set()
+        pairs, entities = set(), set()
         for k, x, y in spans:
-            e = (k, text[x:y].lower())
-            entities.add(e)
+            v = text[x:y].lower()
+            pooled = ("@" + v.split("@")[-1], v.rpartition(".")[0] + ".", re.sub("[^0-9]", "", v)[:6], re.sub("[^0-9]", "", v)[:6])
+            own = {(k, v), (k, "class", pooled[k])}
+            entities |= own
             index = sum(a < x for _, a, _ in words)
-            window = words[max(0, index - 4 * reach):index], words[index:index + 4 * reach]
-            before = [w for w in window[0] if w in free][-reach:]
-            after = [w for w in window[1] if w in free][:reach]
-            pairs |= {(e, w) for w, _, _ in before + after}
+            free = lambda ws: [w for w, a, b in ws if not any(p < b and q > a for _, p, q in spans)]
+            near = free(words[max(0, index - 4 * reach):index])[-reach:] + free(words[index:index + 4 * reach])[:reach]
+            pairs |= {(e, w) for e in own for w in near}
         joint.update(pairs)
         n_e.update(entities)
-        kept.append((text, spans, free))
-    risky = defaultdict(float)
-    n = len(rows)
+    return joint, n_e, n_t
+
+
+def plain_risky(rows, at=0.4, bits=3):
+    joint, n_e, n_t = plain_counts(rows)
+    risky = {}
     for (e, t), m in joint.items():
-        if m >= support:
-            share = log2(m * n / (n_e[e] * n_t[t])) / max(log2(n / n_e[e]), 1e-9)
-            if share >= at:
-                risky[t] = max(risky[t], share)
-    out = []
-    for text, spans, free in kept:
-        terms = [f"term:{a}:{b}" for w, a, b in free if w in risky]
+        share = bound(m, n_t[t])
+        if share >= at and log2(share * len(rows) / n_e[e]) >= bits:
+            risky[t] = max(risky.get(t, 0), share)
+    return risky
+
+
+def brute(rows):
+    """(base hash, spans text) of each row, from plain counts."""
+    risky, out = plain_risky(rows), []
+    for _, text in rows:
+        text = text or ""
+        spans = plain_spans(text)
+        words = [(m.group(), *m.span()) for m in ALNUM_WORDS.finditer(text.translate(FOLD))]
+        terms = [f"term:{a}:{b}" for w, a, b in words if w in risky and not any(x < b and y > a for _, x, y in spans)]
         base = [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans]
         out.append((hashlib.sha256(",".join(base).encode()).hexdigest(), ",".join(base + terms)))
     return out
@@ -85,12 +99,13 @@ def brute(rows, reach, support, at):
 
 def check(df, rows):
     got = pii.digest(pii.find(df)).collect()
-    expected = [(i, *b) for (i, _), b in zip(rows, brute(rows, 8, 3, 0.8))]
+    expected = [(i, *b) for (i, _), b in zip(rows, brute(rows))]
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted([(r.doc_id, r.base_sha256, r.spans) for r in got], key=key) == sorted(expected, key=key)
     for r in got:
         kinds = Counter(s.split(":")[0] for s in r.spans.split(",") if s)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone, r.n_terms] == [kinds[k] for k in (*pii.KINDS, pii.TERM)]
+    return sum(r.n_terms for r in got)
 
 
 def test_awkward_rows(spark):
@@ -106,8 +121,11 @@ def test_awkward_rows(spark):
 
 
 def test_corpus(spark):
-    df = sf_docs(spark, SF_TINY)
-    check(df, [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+    """Values are rare on the given tables; terms are found all the same."""
+    for sf in (SF_TINY, SF_SMALL):
+        df = sf_docs(spark, sf)
+        terms = check(df, [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
+    assert terms > 0
 
 
 def test_sanitise_keeps_rows_and_columns(spark):
@@ -117,47 +135,37 @@ def test_sanitise_keeps_rows_and_columns(spark):
     assert pii.sanitise(docs(spark, [])).count() == 0
 
 
-def plain_shrunk(rows, reach=8, at=0.8):
-    """Risky terms by plain counts: values and their classes, shares shrunk by one document."""
-    joint, n_e, n_t, n = Counter(), Counter(), Counter(), len(rows)
-    for _, text in rows:
-        text = text or ""
-        spans = plain_spans(text)
-        words = [(m.group(), *m.span()) for m in ALNUM_WORDS.finditer(text.translate(FOLD))]
-        n_t.update({w for w, _, _ in words})
-        pairs, entities = set(), set()
-        for k, x, y in spans:
-            v = text[x:y].lower()
-            pooled = ("@" + v.split("@")[-1], v.rpartition(".")[0] + ".", re.sub("[^0-9]", "", v)[:6], re.sub("[^0-9]", "", v)[:6])
-            own = {(k, v), (k, "class", pooled[k])}
-            entities |= own
-            index = sum(a < x for _, a, _ in words)
-            free = lambda ws: [w for w, a, b in ws if not any(p < b and q > a for _, p, q in spans)]
-            near = free(words[max(0, index - 4 * reach):index])[-reach:] + free(words[index:index + 4 * reach])[:reach]
-            pairs |= {(e, w) for e in own for w in near}
-        joint.update(pairs)
-        n_e.update(entities)
-    share = {(e, t): (m + n_e[e] / n) / (n_t[t] + 1) for (e, t), m in joint.items()}
-    return {t for (e, t), p in share.items() if log2(p * n / n_e[e]) / max(log2(n / n_e[e]), 1e-9) >= at}
-
-
-def test_query_finds_terms_of_rare_values_on_the_given_tables(spark):
-    from conftest import SF_SMALL
-    from viewstar.llm.queries import QUERIES
-    for sf in (SF_TINY, SF_SMALL):
-        rows = [(r.doc_id, r.text) for r in sf_docs(spark, sf).select("doc_id", "text").collect()]
-        risky = plain_shrunk(rows)
-        got = {r.doc_id: r.n_terms for r in QUERIES["op2_pii"](spark, sf).collect()}
-        for i, text in rows:
-            spans = plain_spans(text or "")
-            want = [m for m in ALNUM_WORDS.finditer((text or "").translate(FOLD)) if m.group() in risky
-                    and not any(x < m.end() and y > m.start() for _, x, y in spans)]
-            assert got[i] == len(want), i
-        assert sum(got.values()) > 0
-
-
-def test_a_word_near_one_value_only_is_masked(spark):
-    rows = [(i, f"common words stand in every row {i % 7}", "en") for i in range(60)]
-    rows += [(90, "common words stand by zorblax a@b.cc in every row", "en")]
-    out = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows), shrunk=True).collect()}
-    assert out[90] == "common words stand [TERM] [TERM] [EMAIL] in every row" and out[0] == rows[0][1]
+def masked(spark, rows):
+    df = docs(spark, [(i, t, "en") for i, t in rows])
+    return {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+
+
+def test_one_meeting_is_no_evidence(spark):
+    """A word seen once beside a value stays; seen twice, both times beside it, it goes; elsewhere too, it stays."""
+    rows = [(i, f"common words stand in every row {i % 7}") for i in range(60)]
+    once = [(90, "common words stand by zorblax a@b.cc in every row")]
+    assert masked(spark, rows + once)[90] == "common words stand by zorblax [EMAIL] in every row"
+    twice = once + [(91, "here is zorblax a@b.cc again in every row")]
+    out = masked(spark, rows + twice)
+    assert "zorblax" not in out[90] and "zorblax" not in out[91] and out[0] == rows[0][1]
+    often = twice + [(92 + k, f"zorblax is a word of its own {k}") for k in range(3)]
+    assert "zorblax" in masked(spark, rows + often)[90]
+
+
+def test_decisions_do_not_drift_with_the_corpus(spark):
+    """Unrelated rows, as many again or ten times, change no decision."""
+    rows = [(r.doc_id, r.text) for r in sf_docs(spark, SF_TINY).select("doc_id", "text").collect()]
+    rows += [(5000 + k, f"zorblax keeper of a@b.cc stands here, number {k}") for k in range(4)]
+    few = plain_risky(rows)
+    many = plain_risky(rows + [(10_000 + k, f"unrelated{k} text") for k in range(10 * len(rows))])
+    assert "zorblax" in few and few == many
+    small = {i: t for i, t in masked(spark, rows).items()}
+    large = masked(spark, rows + [(10_000 + k, f"unrelated{k} text") for k in range(len(rows))])
+    assert all(large[i] == t for i, t in small.items())
+
+
+def test_values_of_a_class_pool_their_evidence(spark):
+    rows = [(i, f"common words stand in every row {i % 7}") for i in range(60)]
+    rows += [(80 + k, f"the qwertix person{k}{k}x@corp.example is here") for k in range(5)]
+    out = masked(spark, rows)
+    assert all("qwertix" not in out[80 + k] and "here" not in out[80 + k] for k in range(5))

@@ -1,16 +1,18 @@
 """Personal data: exact patterns, and terms that give a protected value away.
 
 Patterns find e-mail addresses, IPv4 addresses, payment cards (Luhn) and
-international phone numbers.  Every such value is a protected entity.  Over
-the whole corpus, Spark counts in how many documents a term stands near an
-entity, and in how many the entity and the term occur at all.  The pointwise
-mutual information of a term and an entity, as a share of the entity's own
-information content, says how much of the entity the term discloses (1: the
-term occurs nowhere else).  Terms above ``generalise_at`` are generalised,
-those above ``remove_at`` removed, wherever they stand.  With ``shrunk``, no
-pair is too rare to count: the share of a term's documents that hold the
-entity is shrunk towards the entity's share of all documents by one document,
-and the class of a value (domain, network, first digits) is an entity too.
+international phone numbers.  Every such value is a protected entity, and so is
+its class (domain, network, first digits), which pools what rare values lack.
+Over the whole corpus, Spark counts in how many documents a term stands near
+an entity, and in how many the entity and the term occur at all.  A term
+discloses an entity as far as a document with the term surely holds it: the
+lower confidence bound of P(entity | term), so two documents say more than
+one and one alone never enough.  -log2 of it is what remains unknown of the
+entity; the term must also tell at least ``MIN_BITS`` more than P(entity)
+does.  Terms above ``generalise_at`` are generalised, those above
+``remove_at`` removed, wherever they stand.  Documents without the term and
+the entity change nothing but P(entity), so decisions do not drift as the
+corpus grows.
 
 Nothing of corpus size is collected or broadcast: candidate terms go into a
 bitmap of fixed size, what passes it is joined with the term table.
@@ -23,7 +25,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,10 @@ from viewstar.llm.tables import Bitmap, by_batch, texts, written
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
+#: Bounds of P(entity | term) from which a term is generalised or removed; quantile of the confidence bound (95 %,
+#: one-sided), and bits a term must tell about an entity beyond its share of all documents.
+GENERALISE_AT, REMOVE_AT, Z, MIN_BITS = 0.4, 0.6, 1.645, 3.0
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
@@ -105,9 +111,8 @@ def pool(kind: int, value: str) -> str:
     return "".join(c for c in value if c.isdigit())[:6]
 
 
-def _scan(docs: DataFrame, reach: int, pooled: bool = False) -> DataFrame:
-    """Per row its base spans, the entities in it (classes too, if ``pooled``) and the terms within
-    ``reach`` words of each."""
+def _scan(docs: DataFrame, reach: int) -> DataFrame:
+    """Per row its base spans, the entities in it (values and classes) and the terms within ``reach`` words of each."""
     def run(batch):
         raw, offsets = tk.text_bytes(batch.column("text"))
         spans, near, entities = [], [], []
@@ -126,7 +131,7 @@ def _scan(docs: DataFrame, reach: int, pooled: bool = False) -> DataFrame:
                     free &= (s.end <= x) | (s.start >= y)
                 for (kind, x, y), (lo, hi) in zip(own, edges):
                     value = text[x:y].lower()
-                    names = [f"{kind}:{value}", f"{kind}::{pool(kind, value)}"] if pooled else [f"{kind}:{value}"]
+                    names = [f"{kind}:{value}", f"{kind}::{pool(kind, value)}"]
                     own_e = [xxhash.xxh3_64_intdigest(name.encode()) - (1 << 63) for name in names]
                     seen.update(own_e)
                     k = int(np.searchsorted(s.start, lo))
@@ -187,31 +192,34 @@ def _occurrences(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
     return by_batch(docs, run, "id long, key long, places array<struct<t: long, start: long, end: long>>")
 
 
-def find(docs: DataFrame, reach: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95,
-         id_column: str = "doc_id", text_column: str = "text", shrunk: bool = False) -> DataFrame:
+def lower_bound(hits: Column, of: Column, z: float = Z) -> Column:
+    """Lower end of the Wilson interval of the share ``hits / of``."""
+    p, n = hits / of, of.cast("double")
+    return (p + F.lit(z * z) / (2 * n) - z * F.sqrt(p * (1 - p) / n + F.lit(z * z) / (4 * n * n))) / (1 + F.lit(z * z) / n)
+
+
+def find(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_AT, id_column: str = "doc_id",
+         text_column: str = "text") -> DataFrame:
     """(id, key, spans, terms): base spans and risky terms of each row; ``key`` is the text's hash.
 
-    ``terms`` holds (start, end, disclosure) in code points.  A term counts as
-    risky with an entity near which it stands in at least ``support``
-    documents and of which it discloses at least ``generalise_at``; with
-    ``shrunk`` in any number of documents, by the shrunken estimate.  A null
-    text is an empty one, without spans; repeated rows count as documents of
-    their own and get equal spans; other columns are not read.
+    ``terms`` holds (start, end, disclosure) in code points.  A term is risky
+    if for an entity near which it stands the lower bound of P(entity | term)
+    is at least ``generalise_at``.  A null text is an empty one, without spans;
+    repeated rows count as documents of their own and get equal spans; other
+    columns are not read.
     """
     docs = texts(docs, id_column, text_column)
-    base = written(_scan(docs, reach, shrunk), "pii-base")
+    base = written(_scan(docs, reach), "pii-base")
     total = base.count()
-    joint = base.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et")) \
-        .where(F.col("n_et") >= (1 if shrunk else support))
-    joint = written(joint, "pii-pairs")
+    joint = base.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et"))
+    # What could not pass if the term stood nowhere else need not be looked for elsewhere.
+    joint = written(joint.where(lower_bound(F.col("n_et"), F.col("n_et")) >= generalise_at), "pii-pairs")
     n_term = _document_counts(docs, Bitmap.of(joint.select("t").distinct(), "t"))
     n_entity = base.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    n = F.lit(float(max(total, 1)))
-    information = F.greatest(F.log2(n / F.col("n_e")), F.lit(1e-9))
-    share = F.col("n_et") / F.col("n_t") if not shrunk else (F.col("n_et") + F.col("n_e") / n) / (F.col("n_t") + 1)
-    disclosure = F.log2(share * n / F.col("n_e")) / information
-    risky = joint.join(n_entity, "e").join(n_term, "t").groupBy("t").agg(F.max(disclosure).alias("disclosure")) \
-        .where((F.col("disclosure") >= generalise_at))
+    bound = lower_bound(F.col("n_et"), F.greatest("n_t", "n_et"))
+    told = F.log2(bound * F.lit(float(max(total, 1))) / F.col("n_e"))
+    risky = joint.join(n_entity, "e").join(n_term, "t").where((bound >= generalise_at) & (told >= MIN_BITS)) \
+        .groupBy("t").agg(F.max(bound).alias("disclosure"))
     risky = written(risky, "pii-risky")
     # Only now, with common words ruled out, are places looked up.
     places = written(_occurrences(docs, Bitmap.of(risky, "t")), "pii-terms")
@@ -241,11 +249,11 @@ def digest(found: DataFrame) -> DataFrame:
         F.array_join(F.concat(base, terms), ",").alias("spans"), F.size("terms").cast("long").alias("n_terms"))
 
 
-def sanitise(docs: DataFrame, reach: int = 8, support: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95,
-             id_column: str = "doc_id", text_column: str = "text", shrunk: bool = False) -> DataFrame:
+def sanitise(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT,
+             id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` (all rows and columns) with base spans replaced by [KIND], risky terms by [TERM], and terms
     that disclose at least ``remove_at`` taken out.  Texts without either come back as they are (null: null)."""
-    found = find(docs, reach, support, generalise_at, remove_at, id_column, text_column, shrunk) \
+    found = find(docs, reach, generalise_at, id_column, text_column) \
         .where((F.size("spans") > 0) | (F.size("terms") > 0)).dropDuplicates(["id", "key"]) \
         .select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans"),
                 F.col("terms").alias("__terms"))
