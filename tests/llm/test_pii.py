@@ -74,7 +74,7 @@ def plain_counts(rows, reach=8):
     return joint, n_e, n_t
 
 
-def plain_risky(rows, at=0.4, bits=3):
+def plain_risky(rows, at=0.4, bits=1):
     joint, n_e, n_t = plain_counts(rows)
     risky = {}
     for (e, t), m in joint.items():

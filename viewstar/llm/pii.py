@@ -38,7 +38,7 @@ TERM = "term"
 
 #: Bounds of P(entity | term) from which a term is generalised or removed; quantile of the confidence bound (95 %,
 #: one-sided), and bits a term must tell about an entity beyond its share of all documents.
-GENERALISE_AT, REMOVE_AT, Z, MIN_BITS = 0.4, 0.6, 1.645, 3.0
+GENERALISE_AT, REMOVE_AT, Z, MIN_BITS = 0.4, 0.6, 1.645, 1.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -212,8 +212,13 @@ def find(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_AT,
     base = written(_scan(docs, reach), "pii-base")
     total = base.count()
     joint = base.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et"))
-    # What could not pass if the term stood nowhere else need not be looked for elsewhere.
-    joint = written(joint.where(lower_bound(F.col("n_et"), F.col("n_et")) >= generalise_at), "pii-pairs")
+    # What could not pass if the term stood nowhere but near entities need not be looked for elsewhere: common words,
+    # which stand near many, go here.
+    joint = written(joint.where(lower_bound(F.col("n_et"), F.col("n_et")) >= generalise_at), "pii-met")
+    beside = written(base.select(F.explode(F.array_distinct(F.transform("near", lambda p: p["t"]))).alias("t"))
+                     .groupBy("t").agg(F.count(F.lit(1)).alias("n_near")), "pii-beside")
+    joint = written(joint.join(beside, "t").where(lower_bound(F.col("n_et"), F.col("n_near")) >= generalise_at)
+                    .select("e", "t", "n_et"), "pii-pairs")
     n_term = _document_counts(docs, Bitmap.of(joint.select("t").distinct(), "t"))
     n_entity = base.select(F.explode("entities").alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
     bound = lower_bound(F.col("n_et"), F.greatest("n_t", "n_et"))
