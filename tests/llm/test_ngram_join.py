@@ -45,8 +45,8 @@ def key(r):
     return tuple((x is None, x) for x in r)
 
 
-def check(df, rows, **options):
-    got = [tuple(r) for r in nj.near_duplicates(df, **options).select("doc_id", "n_shingles", "component_id").collect()]
+def check(df, rows):
+    got = [tuple(r) for r in nj.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()]
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
 
 
@@ -69,8 +69,8 @@ def test_awkward_rows(spark):
     check(docs(spark, [(i, t, "en") for i, t in rows]), rows)
 
 
-def test_exact_at_the_border_and_in_every_round(spark):
-    """A hub of near copies that miss each other: all pivot rounds and the last round are used."""
+def test_exact_at_the_border_and_in_every_round(spark, monkeypatch):
+    """A hub of near copies that miss each other, whether pairs are all taken at once or round by round."""
     base = [f"w{k}" for k in range(45)]
     rows = []
     for i in range(24):
@@ -81,8 +81,30 @@ def test_exact_at_the_border_and_in_every_round(spark):
         rows.append((i, " ".join(w)))
     rows += [(50 + i, t) for i, t in enumerate(chain(6))]
     df = docs(spark, [(i, t, "en") for i, t in rows])
-    check(df, rows)
-    check(df, rows, pivot_rounds=2, pairs_per_row=0)
+    for pairs, rounds in ((100, 8), (0, 8), (0, 1), (0, 0)):
+        monkeypatch.setattr(nj, "PAIRS_LEFT", pairs)
+        monkeypatch.setattr(nj, "ROUNDS", rounds)
+        check(df, rows)
+
+
+def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """400 near copies of one text, mostly similar to each other: pairs looked at grow with the group, not its square."""
+    import random
+    rnd = random.Random(3)
+    rows, seen = [], []
+    for i in range(400):
+        w = [f"w{k}" for k in range(120)]
+        w[rnd.randrange(120)] = f"y{i % 40}"
+        rows.append((i, " ".join(w)))
+    real = nj._candidates
+
+    def counted(placed, per_key, turn, every):
+        both = real(placed, per_key, turn, every)
+        seen.append(both.count())
+        return both
+    monkeypatch.setattr(nj, "_candidates", counted)
+    check(docs(spark, [(i, t, "en") for i, t in rows]), rows)
+    assert seen and sum(seen) < 400 * 400 / 4
 
 
 def test_empty_table(spark):
@@ -96,7 +118,8 @@ def test_first_of_each_keeps_columns_and_one_row(spark):
     kept = nj.first_of_each(df)
     assert kept.columns == df.columns
     assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=key) == sorted(
-        [(1, "a b c d e f"), (3, None), (None, "a b c d e f"), (4, ""), (5, "q r")], key=key)
+        [(1, "a b c d e f"), (3, None), (4, ""), (5, "q r")], key=key)
+    assert nj.first_of_each(docs(spark, [])).count() == 0
 
 
 def links(rows):
@@ -115,8 +138,9 @@ def test_every_link_is_counted(spark, monkeypatch):
     df = docs(spark, [(i, t, "en") for i, t in rows])
     for block in (nj.BLOCK_SETS, 4):
         monkeypatch.setattr(nj, "BLOCK_SETS", block)
-        got = sorted(((r.doc_id, r.n_links) for r in nj.near_duplicates(df, pairs_per_row=0).collect()), key=key)
-        assert got == links(rows)
+        for pairs in (0, 100):  # links known from the rounds, and counted beside them
+            monkeypatch.setattr(nj, "PAIRS_LEFT", pairs)
+            assert sorted(((r.doc_id, r.n_links) for r in nj.near_duplicates(df).collect()), key=key) == links(rows)
 
 
 def test_links_of_the_corpus(spark):
@@ -128,6 +152,31 @@ def test_links_of_the_corpus(spark):
 def test_first_of_each_by_row_decides_by_texts(spark):
     rows = [(1, "a b c d e f"), (1, "other words stand in this row"), (2, "a b c d e f"), (None, "a b c d e f"),
             (None, "no id but a text of its own"), (None, "no id but a text of its own"), (None, None), (3, None)]
-    kept = nj.first_of_each(docs(spark, [(i, t, "en") for i, t in rows]), by_row=True)
+    kept = nj.first_of_each(docs(spark, [(i, t, "en") for i, t in rows]))
     assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=key) == sorted(
         [rows[0], rows[1], rows[4], rows[6], rows[7]], key=key)
+
+
+def test_components_of_any_graph(spark):
+    import random
+
+    from viewstar.llm.components import components
+    rnd = random.Random(9)
+    graphs = [[(k, k + 1) for k in range(60)], [(0, k) for k in range(1, 50)] + [(100, k) for k in range(101, 120)],
+              [(rnd.randrange(80), rnd.randrange(80)) for _ in range(70)], [(3, 3)], []]
+    for edges in graphs:
+        near = {v: {v} for e in edges for v in e}
+        for a, b in edges:
+            near[a].add(b)
+            near[b].add(a)
+        want = {}
+        for v in near:
+            reach, todo = {v}, [v]
+            while todo:
+                for x in near[todo.pop()] - reach:
+                    reach.add(x)
+                    todo.append(x)
+            if len(reach) > 1:
+                want[v] = min(reach)
+        got = components(spark.createDataFrame(edges, "a long, b long"))
+        assert {r.v: r.c for r in got.collect()} == want

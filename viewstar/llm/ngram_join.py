@@ -13,11 +13,13 @@
    n-grams with length and positional filters, then a suffix filter (the
    overlap is at most the sum of the smaller counts per hash bucket), and each
    remaining pair of classes is verified once on the whole sets.
-4. To stay clear of all pairs inside a large group of near copies, a prefix
-   n-gram first links its classes to one pivot; classes already connected need
-   no further pair, so later rounds only look at n-grams that still hold
-   different components, and the last round takes every pair of those.  Links
-   that could join two components are all found: components are exact.
+4. To stay clear of all pairs inside a large group of near copies, a round
+   takes of every prefix n-gram one class per component and pairs it with the
+   largest component's; links merge components at once, and classes already
+   connected need no further pair, so each round is linear in the entries and
+   leaves fewer components.  When few pairs are left, or a round links
+   nothing, every pair still between components is taken.  Links that could
+   join two components are all found: components are exact.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from viewstar.llm import textkit as tk
 from viewstar.llm.components import components
-from viewstar.llm.tables import Bitmap, by_batch, importable, texts, written
+from viewstar.llm.tables import Bitmap, by_batch, forget, importable, texts, written
 
 N = 5
 SIMILARITY = 80  # per cent
@@ -75,15 +77,6 @@ def _signatures(owner: np.ndarray, key: np.ndarray, rows: int) -> tuple[np.ndarr
 
 
 # -- 1. document frequencies --------------------------------------------------------------
-def _planes(x: np.ndarray) -> bytes:
-    """uint32 values byte plane by byte plane, which the shuffle's compression shrinks."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _unplanes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-
-
 def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
     """For each class bound, the bitmap of n-grams (by their upper 40 bits) in that many documents."""
     spark = docs.sparkSession
@@ -97,7 +90,7 @@ def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
     def emit(keys: list[np.ndarray]):
         key, n = np.unique(np.concatenate(keys), return_counts=True)
         at = np.searchsorted(key, np.arange(ranges + 1, dtype=np.int64) * width)
-        rows = [(r, _planes(np.diff(key[a:b], prepend=r * width)), _planes(n[a:b]))
+        rows = [(r, tk.planes(np.diff(key[a:b], prepend=r * width)), tk.planes(n[a:b]))
                 for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()),
                                            pa.array([x[1] for x in rows], pa.binary()),
@@ -117,9 +110,9 @@ def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
             yield emit(held)
 
     def add(group: pa.Table) -> pa.Table:
-        keys = [np.cumsum(_unplanes(d.as_py()), dtype=np.int64) for d in group.column("deltas")]
+        keys = [np.cumsum(tk.unplanes(d.as_py()), dtype=np.int64) for d in group.column("deltas")]
         key = np.concatenate(keys) + group.column("r")[0].as_py() * width
-        n = np.concatenate([_unplanes(d.as_py()) for d in group.column("n")]).astype(np.int64)
+        n = np.concatenate([tk.unplanes(d.as_py()) for d in group.column("n")]).astype(np.int64)
         order = np.argsort(key, kind="stable")
         key, n = key[order], n[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
@@ -206,39 +199,36 @@ def _suffix_filtered(pairs: DataFrame, reps: DataFrame, similarity: int) -> Data
 
 
 def _whole_sets(uids: DataFrame, reps: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """(uid, grams): the whole sets of some classes, made again from one of their texts."""
+    """(uid, grams): the whole sets of some classes, made again from one of their texts; other texts are passed over."""
     wanted = written(uids.distinct().join(reps.select("uid", "id", "sig1", "sig2"), "uid"), f"wanted-{name}")
-    shared = docs.sparkSession.sparkContext.broadcast(Bitmap.of(wanted, "sig1"))
+    shared = docs.sparkSession.sparkContext.broadcast(Bitmap.of(wanted.select(F.xxhash64("id").alias("h")), "h"))
 
     def sets(batch):
+        batch = batch.filter(pa.array(shared.value.has(batch.column("h").to_numpy().view(np.uint64))))
         for lo, hi, s in tk.slices(batch.column("text"), tk.SPACE_WORDS):
             owner, key = _distinct(*_shingles(s))
             sig1, sig2 = _signatures(owner, key, hi - lo)
-            first = np.searchsorted(owner, np.arange(hi - lo + 1))
-            chosen = np.flatnonzero(shared.value.has(sig1) & (np.diff(first) > 0))
-            if len(chosen):
-                size = np.diff(first)[chosen]
-                values = np.concatenate([key[first[i]:first[i + 1]] for i in chosen])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(lo, hi - lo).take(pa.array(chosen)), pa.array(tk.signed(sig1[chosen])),
-                     pa.array(tk.signed(sig2[chosen])),
-                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)),
-                                              pa.array(tk.signed(values)))], ["id", "sig1", "sig2", "grams"])
+            ends = np.searchsorted(owner, np.arange(hi - lo + 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(lo, hi - lo), pa.array(tk.signed(sig1)), pa.array(tk.signed(sig2)),
+                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(tk.signed(key)))],
+                ["id", "sig1", "sig2", "grams"])
 
     # Repeated rows give the same set; dropping them and the join share one shuffle.
-    found = by_batch(docs, sets, "id long, sig1 long, sig2 long, grams array<long>") \
+    found = by_batch(docs.where("id IS NOT NULL").select("id", "text", F.xxhash64("id").alias("h")), sets,
+                     "id long, sig1 long, sig2 long, grams array<long>") \
         .dropDuplicates(["id", "sig1", "sig2"]).join(wanted, ["id", "sig1", "sig2"]).select("uid", "grams")
-    return written(found, name)
+    out = written(found, name)
+    forget(wanted)
+    return out
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """(a, b, linked): each pair of classes decided on the whole sets."""
-    found = _whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("uid")), reps, docs, "sets")
-
     # Row by row in the JVM: batches of whole sets would fill a Python worker.
     both = F.size(F.array_intersect("x", "y"))
-    sided = pairs.join(found.select(F.col("uid").alias("a"), F.col("grams").alias("x")), "a") \
-        .join(found.select(F.col("uid").alias("b"), F.col("grams").alias("y")), "b")
+    sided = pairs.join(sets.select(F.col("uid").alias("a"), F.col("grams").alias("x")), "a") \
+        .join(sets.select(F.col("uid").alias("b"), F.col("grams").alias("y")), "b")
     sided = sided.select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
     return sided.select("a", "b", (F.col("both") * 100 >= (F.col("sizes") - F.col("both")) * similarity).alias("linked"))
 
@@ -269,15 +259,41 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _links(labels: DataFrame, copies: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+def _links(labels: DataFrame, copies: DataFrame, verified: DataFrame, sets: DataFrame, reps: DataFrame, docs: DataFrame,
+           similarity: int) -> DataFrame:
     """(uid, links): rows of other classes that each class links to.
 
-    All links lie within components.  Classes of a component go by set size
-    into bands, so that links are within a band or between neighbours, and
-    bands into blocks of bounded size by a hash; each pair of blocks is one
-    group of rows, whose pairs of sets are compared as matrices.
+    All links lie within components.  Where every pair of a component's
+    classes has been verified, its links are known; the others' are counted
+    on whole sets.
     """
-    sets = _whole_sets(labels.select(F.col("v").alias("uid")), reps, docs, "component-sets")
+    classes = labels.groupBy("c").agg(F.count(F.lit(1)).alias("k"))
+    inside = verified.join(labels.select(F.col("v").alias("a"), "c"), "a") \
+        .join(labels.select(F.col("v").alias("b"), F.col("c").alias("c_b")), "b").where("c = c_b")
+    tested = inside.groupBy("c").agg(F.count(F.lit(1)).alias("pairs"))
+    known = written(classes.join(tested, "c").select("c", (2 * F.col("pairs") == F.col("k") * (F.col("k") - 1)).alias("known")),
+                    "known-components")
+    sure = inside.join(known.where("known").select("c"), "c").where("linked").select("a", "b")
+    sure = sure.union(sure.select("b", "a")).join(copies.select(F.col("uid").alias("b"), "copies"), "b") \
+        .groupBy(F.col("a").alias("uid")).agg(F.sum("copies").alias("links"))
+    rest = labels.join(known.where("NOT known").select("c"), "c").select("v", "c")
+    if rest.isEmpty():
+        return sure
+    return sure.unionByName(_counted_links(rest, copies, sets, reps, docs, similarity))
+
+
+def _counted_links(labels: DataFrame, copies: DataFrame, have: DataFrame, reps: DataFrame, docs: DataFrame,
+                   similarity: int) -> DataFrame:
+    """:func:`_links` by comparing all sets of a component.
+
+    Classes of a component go by set size into bands, so that links are within
+    a band or between neighbours, and bands into blocks of bounded size by a
+    hash; each pair of blocks is one group of rows, whose pairs of sets are
+    compared as matrices.
+    """
+    members = labels.select(F.col("v").alias("uid"))
+    more = _whole_sets(members.join(have.select("uid"), "uid", "left_anti"), reps, docs, "component-sets")
+    sets = have.join(members, "uid", "left_semi").unionByName(more)
     sized = sets.join(copies, "uid").join(labels.select(F.col("v").alias("uid"), "c"), "uid") \
         .withColumn("n", F.size("grams")) \
         .withColumn("band", F.floor(F.log("n") / F.log(F.lit(100 / similarity)) * 0.999999).cast("long"))
@@ -325,26 +341,40 @@ def _with_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
         .withColumn("c", F.coalesce("c", "uid"))
 
 
-def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
-                    text_column: str = "text", pivot_rounds: int = 2, pairs_per_row: int = 8) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id, n_links, one row per input row.
-
-    Texts are whole; A-Z are lower-cased and words are runs of non-space
-    (ASCII white space).  Two rows link when their sets of distinct 5-word
-    shingles have a Jaccard similarity of at least ``similarity`` per cent; a
-    text of 1 to 4 words has its whole word sequence as its one shingle.  A
-    null, empty or wordless text has 0 shingles and links with nothing.
-    ``component_id`` is the smallest doc_id reachable; ``class_id`` the
-    smallest among rows with an equal set; ``n_links`` is the number of rows it
-    links to, copies included.  Rows without id link with nothing
-    and have a null component; repeated rows are copies of each other.  Other
-    columns are not read.
-
-    Pivot rounds go on while the pairs left between components exceed
-    ``pairs_per_row`` times the rows, at most ``pivot_rounds`` times; the last
-    round is always over every pair left.
-    """
-    docs = texts(docs, id_column, text_column)
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (v, c) once the links ``found`` (a, b) hold too: only links between components are looked at."""
+    ends = found.join(labels.select(F.col("v").alias("a"), F.col("c").alias("c_a")), "a", "left") \
+        .join(labels.select(F.col("v").alias("b"), F.col("c").alias("c_b")), "b", "left") \
+        .select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    small = components(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    known = labels.unionByName(found.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+                               .join(labels.select("v"), "v", "left_anti").select("v", F.col("v").alias("c")))
+    out = written(known.join(small.select(F.col("v").alias("c"), F.col("c").alias("to")), "c", "left")
+                  .select("v", F.coalesce("to", "c").alias("c")), "labels")
+    forget(small)
+    return out
+
+
+def _candidates(placed: DataFrame, per_key: DataFrame, turn: int, every: bool) -> DataFrame:
+    """Pairs of entries of one n-gram in different components: all, or one class of each component with one of the largest."""
+    mixed = placed.join(per_key.select("key"), "key")
+    entry = ("uid", "n", "pos", "c")
+    if every:
+        x, y = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in entry]) for side in "xy")
+        return x.join(y, "key").where("uid_x < uid_y AND c_x <> c_y")
+    of_each = mixed.groupBy("key", "c").agg(F.min_by(F.struct(*entry), F.xxhash64("uid", F.lit(turn))).alias("x"),
+                                            F.count(F.lit(1)).alias("m"))
+    largest = of_each.groupBy("key").agg(F.min_by("x", F.struct(-F.col("m"), F.xxhash64("c", F.lit(turn)))).alias("y"))
+    return of_each.join(largest, "key").where("x.c <> y.c").select(
+        *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "xy" for c in entry])
+
+
+#: Rounds go on until at most so many pairs per row are left, or for so many rounds; then all pairs left are taken.
+PAIRS_LEFT, ROUNDS = 0.5, 8
+
+
+def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, DataFrame]:
+    """Every row with its set's signature, and per set its class, component and (with ``links``) number of linked rows."""
     classes = _frequency_classes(docs)
     rows = written(_prefixes(docs, classes, similarity), "prefixes")
     sets = rows.where("n > 0 AND id IS NOT NULL").groupBy("sig1", "sig2") \
@@ -357,45 +387,70 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: st
     entries = written(entries.join(keys, "key"), "prefix-entries")
     spark, total = docs.sparkSession, rows.count()
     labels = spark.createDataFrame([], "v long, c long")
-    tried = links = spark.createDataFrame([], "a long, b long")
-    for turn in range(pivot_rounds + 1):
+    whole = spark.createDataFrame([], "uid long, grams array<long>")
+    verified = spark.createDataFrame([], "a long, b long, linked boolean")
+    stalled, turn = False, 0
+    while True:
         placed = written(_with_components(entries, labels), "placed")
-        per_key = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm")) \
-            .where("parts > 1")
+        per_key = written(placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
+            F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
+            .where("parts > 1"), "mixed-keys")
         left = per_key.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2)).first()[0] or 0
-        if not left:
-            break
-        last = turn == pivot_rounds or left <= pairs_per_row * total
-        mixed = placed.join(per_key.select("key"), "key")
-        x = mixed.select("key", *[F.col(c).alias(f"{c}_x") for c in ("uid", "n", "pos", "c")])
-        if last:
-            y = mixed.select("key", *[F.col(c).alias(f"{c}_y") for c in ("uid", "n", "pos", "c")])
-            both = x.join(y, "key").where("uid_x < uid_y AND c_x <> c_y")
-        else:
-            pivot = mixed.groupBy("key").agg(F.min_by(F.struct("uid", "n", "pos", "c"),
-                                                      F.xxhash64("uid", F.lit(turn))).alias("p"))
-            both = x.join(pivot, "key").select("*", *[F.col(f"p.{c}").alias(f"{c}_y") for c in ("uid", "n", "pos", "c")]) \
-                .where("c_x <> c_y")
-        close = both.where(_passes(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), similarity)) \
-            .select(F.least("uid_x", "uid_y").alias("a"), F.greatest("uid_x", "uid_y").alias("b")).distinct()
-        fresh = close.join(tried, ["a", "b"], "left_anti") if turn else close
-        pairs = written(_suffix_filtered(fresh, reps, similarity), "pairs")
-        verified = written(_verified(pairs, reps, docs, similarity), "verified")
-        tried = verified.select("a", "b").union(tried) if turn else verified.select("a", "b")
-        found = verified.where("linked").select("a", "b")
-        links = links.union(found) if turn else found
-        labels = components(links)
-        if last:
+        every = stalled or turn == ROUNDS or left <= PAIRS_LEFT * total
+        if left:
+            both = _candidates(placed, per_key, turn, every)
+            close = both.where(_passes(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), similarity)) \
+                .select(F.least("uid_x", "uid_y").alias("a"), F.greatest("uid_x", "uid_y").alias("b")).distinct()
+            pairs = written(_suffix_filtered(close.join(verified, ["a", "b"], "left_anti"), reps, similarity), "pairs")
+            missing = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(whole.select("uid"), "uid", "left_anti")
+            whole = whole.unionByName(_whole_sets(missing, reps, docs, "sets"))
+            fresh = written(_verified(pairs, whole, similarity), "verified")
+            verified = verified.unionByName(fresh)
+            found = fresh.where("linked").select("a", "b")
+            stalled = found.isEmpty()
+            if not stalled:
+                old, labels = labels, _merged(labels, found)
+                forget(old)
+            forget(pairs)
+        forget(placed, per_key)
+        turn += 1
+        if every or not left:
             break
 
     named = sets.join(labels.select(F.col("v").alias("uid"), "c"), "uid", "left") \
         .withColumn("c", F.coalesce("c", "uid"))
     smallest = named.groupBy("c").agg(F.min("class_id").alias("component_id"))
-    others = _links(written(labels, "labels"), sets.select("uid", "copies"), reps, docs, similarity)
-    n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0).cast("long"))
-    placed = written(named.join(smallest, "c").join(others, "uid", "left")
-                     .select("sig1", "sig2", "class_id", "component_id", n_links.alias("n_links")), "components")
+    n_links = F.lit(None).cast("long")
+    if links:
+        others = _links(labels, sets.select("uid", "copies"), verified, whole, reps, docs, similarity)
+        named = named.join(others, "uid", "left")
+        n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0).cast("long"))
+    placed = written(named.join(smallest, "c").select("sig1", "sig2", "class_id", "component_id", n_links.alias("n_links")),
+                     "components")
+    forget(sets, reps, entries, labels)
+    return rows, placed
+
+
+def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
+                    text_column: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id, n_links, one row per input row.
+
+    Texts are whole; A-Z are lower-cased and words are runs of non-space
+    (ASCII white space).  Two rows link when their sets of distinct 5-word
+    shingles have a Jaccard similarity of at least ``similarity`` per cent; a
+    text of 1 to 4 words has its whole word sequence as its one shingle.  A
+    null, empty or wordless text has 0 shingles and links with nothing.
+    ``component_id`` is the smallest doc_id reachable; ``class_id`` the
+    smallest among rows with an equal set; ``n_links`` is the number of rows it
+    links to, copies included.  Rows without id link with nothing
+    and have a null component; repeated rows are copies of each other.  Other
+    columns are not read.
+    """
+    rows, placed = _components(texts(docs, id_column, text_column), similarity, True)
+    return _members(rows, placed).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+
+
+def _members(rows: DataFrame, placed: DataFrame) -> DataFrame:
     member = rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
                          F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("sig1")).alias("sig1"), "sig2")
     return member.join(placed, ["sig1", "sig2"], "left").select(
@@ -404,37 +459,18 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, id_column: st
 
 
 def first_of_each(docs: DataFrame, similarity: int = SIMILARITY, id_column: str = "doc_id",
-                  text_column: str = "text", by_row: bool = False) -> DataFrame:
-    """The rows of ``docs`` (all columns, as they are), one of each component: the one with the smallest id.
+                  text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns, as they are), one of each component, each row by its own text.
 
-    Rows without id stay, and of rows that repeat an id one stays (the
-    smallest text).  With ``by_row``, every row is grouped by its own text:
-    rows that share an id without being near copies all stay, rows without id
-    are grouped like others (they come last), rows without words all stay.
+    Of a component the row with the smallest id stays (no id: last), then the
+    first one read.  Rows that share an id without being near copies all stay;
+    rows without words all stay.
     """
-    if by_row:
-        # Ids of rows, in the order of ids; the number before sorting keeps copies from one partition.
-        numbered = written(docs.withColumn("__n", F.monotonically_increasing_id())
-                           .orderBy(F.col(id_column).cast("long").asc_nulls_last(), F.col(text_column), "__n")
-                           .withColumn("__row", F.monotonically_increasing_id()).drop("__n"), "numbered-rows")
-        first = near_duplicates(numbered, similarity, "__row", text_column) \
-            .where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
-        return numbered.join(first, "__row", "left_semi").select(*docs.columns)
-    keep = near_duplicates(docs, similarity, id_column, text_column) \
-        .where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    own = F.col(id_column).cast("long")
-    kept = docs.join(keep, own.eqNullSafe(F.col("__kept_id")), "left_semi")
-    repeated = docs.where(own.isNotNull()).groupBy(own.alias("__id")).agg(
-        F.count(F.lit(1)).alias("__m")).where("__m > 1").select("__id")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(F.broadcast(repeated) if repeated.count() < 100_000 else repeated,
-                     own.eqNullSafe(F.col("__id")), "left_anti")
-    again = kept.join(repeated, own.eqNullSafe(F.col("__id")), "left_semi")
-    rank = F.row_number().over(_first_text(id_column, text_column))
-    return once.unionByName(again.withColumn("__rank", rank).where("__rank = 1").drop("__rank"))
-
-
-def _first_text(id_column: str, text_column: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(id_column).orderBy(F.col(text_column).asc_nulls_last())
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    rows, placed = _components(numbered.select(F.col("__row").alias("id"), F.col(text_column).cast("string").alias("text")),
+                               similarity, False)
+    member = _members(rows, placed).select(F.col("doc_id").alias("__row"), "component_id") \
+        .join(numbered.select("__row", F.col(id_column).cast("long").alias("__id")), "__row")
+    first = member.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__row")).alias("f"))
+    kept = written(first.select(F.col("f.__row").alias("__row")), "kept-rows")
+    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)

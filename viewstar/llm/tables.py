@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewstar.llm import textkit as tk
-from viewstar.session import scratch_path
+from viewstar.session import remove_path, scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -20,7 +20,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` whose last reader is done (frames derived from one are not known here)."""
+    for df in tables:
+        if path := getattr(df, "scratch", None):
+            remove_path(df.sparkSession, path)
 
 
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -58,7 +67,9 @@ def by_batch(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordB
 
 
 def hash_share(df: DataFrame, key: Column, wanted: Column, total: Column) -> DataFrame:
-    """About ``wanted`` of ``total`` rows, chosen by the hash of ``key`` (no shuffle, the same every time)."""
+    """About ``wanted`` of ``total`` rows, chosen by the hash of ``key`` (no shuffle, the same every time).
+
+    Rows of one key are taken or left together, so give a key that few rows share."""
     return df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(1_000_000.0) * wanted / F.greatest(total, F.lit(1)))
 
 
