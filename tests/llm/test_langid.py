@@ -93,3 +93,24 @@ def test_held_out_accuracy(spark):
     got = langid.identify(df, model).withColumnRenamed("id", "doc_id").join(df.select("doc_id", "lang"), "doc_id") \
         .where(held_out("doc_id", 3, 1)).collect()
     assert len(got) > 200 and sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
+
+
+def test_depth_does_not_depend_on_the_alphabet(spark):
+    """Many symbols and languages: the depth asked for is the depth used, and code lengths are those of the trees."""
+    import numpy as np
+    train = TRAIN + [(100 + k, " ".join(chr(0x400 + (7 * k + j) % 256) * (1 + j % 3) for j in range(90)), f"l{k % 9}") for k in range(40)]
+    model = langid.train(docs(spark, train), order=3)
+    assert model.order == 3 and model.size > 80 and len(model.languages) == 11
+    data = "der hund Ԁђ the Ж".encode()
+    got = model.code_lengths(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    for j, lang in enumerate(model.languages):
+        assert abs(got[0, j] - plain_bits(train, lang, data.decode(), model)) < 1e-3 * (1 + got[0, j])
+
+
+def test_rows_of_codes_are_found():
+    import numpy as np
+    codes = np.unique(np.random.default_rng(5).integers(0, 1 << 40, 5000))
+    rows = langid._Rows(codes)
+    assert (rows.of(codes) == np.arange(len(codes))).all()
+    assert (rows.of(codes[codes < (1 << 40) - 2] + 1)[~np.isin(codes[codes < (1 << 40) - 2] + 1, codes)] == -1).all()
+    assert len(langid._Rows(codes[:0]).of(codes)) == len(codes) and (langid._Rows(codes[:0]).of(codes) == -1).all()

@@ -3,15 +3,17 @@
 Per language a variable-order byte context tree with escape probabilities
 (method C) is learned from a bounded sample and then frozen.  A byte's code
 length is -log2 of its probability in the longest context in which it was
-seen, each shorter context costing an escape.  The frozen trees are unrolled
-into one table of exact code lengths, (context, byte) x language, so a text
-of any length is scored with one lookup per byte; the language with the
-shortest total code wins.
+seen, each shorter context costing an escape.  The trees are kept sparse: per
+depth, a hash table of the grams (context and byte) that any language has
+seen, with their exact code lengths under every language, and one of the
+contexts with their escapes.  So a text is scored with about one lookup per
+byte at any depth and alphabet, and the language with the shortest total code
+wins.
 
 Symbols: the 26 letters with case folded, one for every other ASCII byte, and
 one for each byte above 127 seen in training (one more for all unseen ones).
-The tree's depth is the largest up to ``max_order`` whose table has at most
-``MAX_CELLS`` rows, so the model's size does not depend on the data.
+The depth is a parameter (3) and never changes by itself; the model holds the
+grams of the sample, so it is bounded by the sample.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from viewstar.llm import textkit as tk
 from viewstar.llm.tables import by_batch, hash_share, texts
 
 UNDETERMINED = "und"
-MAX_CELLS = 1 << 22
+ORDER = 3
 _SPAN = 1 << 20  # bytes scored at once
 
 _LETTERS = np.zeros(256, dtype=bool)
@@ -37,13 +39,74 @@ _RAW = np.where(_LETTERS | (np.arange(256) > 127), np.arange(256), 32).astype(np
 _RAW[65:91] += 32
 
 
+class _Rows:
+    """Row numbers of distinct codes (their places in the array given): open addressing over numpy arrays."""
+
+    def __init__(self, codes: np.ndarray):
+        self.shift = 64 - max(int(2 * len(codes)).bit_length(), 4)
+        mask = (1 << (64 - self.shift)) - 1
+        self.code = np.full(mask + 1, -1, dtype=np.int64)
+        self.row = np.zeros(mask + 1, dtype=np.int32)
+        left, at = np.arange(len(codes)), self._slot(codes)
+        while len(left):
+            free = self.code[at] < 0
+            _, one = np.unique(at[free], return_index=True)
+            taken = np.flatnonzero(free)[one]
+            self.code[at[taken]] = codes[left[taken]]
+            self.row[at[taken]] = left[taken]
+            rest = np.ones(len(left), dtype=bool)
+            rest[taken] = False
+            left, at = left[rest], (at[rest] + 1) & mask
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """Row of each code, -1 for one that is not there."""
+        at, mask = self._slot(codes), len(self.code) - 1
+        there = self.code[at]
+        out = np.where(there == codes, self.row[at], -1)
+        left = np.flatnonzero((there != codes) & (there >= 0))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & mask
+            there = self.code[at]
+            same = there == codes[left]
+            out[left[same]] = self.row[at[same]]
+            more = ~same & (there >= 0)
+            left, at = left[more], at[more]
+        return out
+
+
 @dataclass
 class Model:
     languages: list[str]
     symbol: np.ndarray   # byte -> symbol
     size: int            # number of symbols
     order: int
-    cost: np.ndarray     # (size ** (order + 1), languages) code lengths in bits, float32
+    first: np.ndarray    # (size, languages) code lengths in bits without context, float32
+    grams: list[tuple[_Rows, np.ndarray]]    # per depth from 1: grams seen by any language, their code lengths
+    escapes: list[tuple[_Rows, np.ndarray]]  # per depth from 1: contexts seen by any language, bits of their escape
+
+    def _bits(self, code: np.ndarray) -> np.ndarray:
+        """Code lengths of grams of full depth (a byte per symbol, the last one lowest); (grams, languages)."""
+        out = np.zeros((len(code), len(self.languages)), dtype=np.float32)
+        left = np.arange(len(code))
+        for depth in range(self.order, 0, -1):
+            own = code[left] & ((1 << 8 * (depth + 1)) - 1)
+            rows, cost = self.grams[depth - 1]
+            row = rows.of(own)
+            hit = row >= 0
+            out[left[hit]] += cost[row[hit]]
+            left, own = left[~hit], own[~hit]
+            if not len(left):
+                return out
+            rows, cost = self.escapes[depth - 1]
+            row = rows.of(own >> 8)
+            known = row >= 0  # a context no language has seen costs nothing to leave
+            out[left[known]] += cost[row[known]]
+        out[left] += self.first[code[left] & 255]
+        return out
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Total bits of each text under each language; (texts, languages), float64."""
@@ -51,7 +114,7 @@ class Model:
         sym = self.symbol[data]
         for lo in range(0, len(sym), _SPAN):
             hi = min(lo + _SPAN, len(sym))
-            index = sym[lo:hi].astype(np.int64)
+            code = sym[lo:hi].astype(np.int64)
             starts = offsets[(offsets >= lo - self.order) & (offsets < hi)]
             for back in range(1, self.order + 1):
                 before = np.zeros(hi - lo, dtype=np.int64)
@@ -61,8 +124,8 @@ class Model:
                 for k in range(back):  # what lies before a text's start counts as a space
                     at = starts + k - lo
                     before[at[(at >= 0) & (at < hi - lo)]] = 0
-                index += before * self.size ** back
-            bits = self.cost[index]
+                code += before << 8 * back
+            bits = self._bits(code)
             first = np.searchsorted(offsets, lo, side="right") - 1
             last = np.searchsorted(offsets, hi, side="left")
             rows = np.arange(first, last)
@@ -117,28 +180,44 @@ def _gram_counts(labelled: DataFrame, order: int) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def _tree_costs(counts: np.ndarray) -> np.ndarray:
-    """Code length of every (context, symbol) from full-depth counts, PPM method C."""
-    depth, size = counts.ndim, counts.shape[0]
-    probability = np.full((size,) * depth, 1.0 / size)
-    for order in range(depth):
-        seen = counts.sum(axis=tuple(range(depth - order - 1)))  # contexts of the last `order` symbols
-        total = seen.sum(axis=-1, keepdims=True)
-        kinds = np.count_nonzero(seen, axis=-1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, kinds / (total + kinds), 1.0)
-            found = np.where(seen > 0, seen / (total + kinds), 0.0)
-        if order == 0:
-            level = np.where(found > 0, found, escape / size)
-        else:
-            level = np.where(found > 0, found, escape * level)
-    return -np.log2(level).astype(np.float32)
+def _sums(code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and the sums of their rows."""
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(counts[order], first, axis=0) if len(first) else counts[:0]
+
+
+def _trees(code: np.ndarray, counts: np.ndarray, size: int, order: int):
+    """(first, grams, escapes) of :class:`Model` from counts (grams of full depth, languages): PPM method C."""
+    bits = lambda p: -np.log2(p).astype(np.float32)
+    total, kinds, dense = counts.sum(axis=0), np.zeros(counts.shape[1]), np.zeros((size, counts.shape[1]))
+    symbols, times = _sums(code & 255, counts)
+    dense[symbols] = times
+    kinds = np.count_nonzero(dense, axis=0)
+    all_ = np.maximum(total + kinds, 1)
+    escape = np.where(total > 0, kinds / all_, 1.0)
+    level = np.where(dense > 0, dense / all_, escape / size)
+    first, grams, escapes = bits(level), [], []
+    below = np.arange(size)
+    for depth in range(1, order + 1):
+        own, n = _sums(code & ((1 << 8 * (depth + 1)) - 1), counts)
+        context, total = _sums(own >> 8, n)
+        _, kinds = _sums(own >> 8, (n > 0).astype(np.float64))
+        all_ = np.maximum(total + kinds, 1)
+        escape = np.where(total > 0, kinds / all_, 1.0)
+        of = np.searchsorted(context, own >> 8)
+        shorter = level[np.searchsorted(below, own & ((1 << 8 * depth) - 1))]
+        level, below = np.where(n > 0, n / all_[of], escape[of] * shorter), own
+        grams.append((_Rows(own), bits(level)))
+        escapes.append((_Rows(context), bits(escape)))
+    return first, grams, escapes
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-          sample_docs: int = 1500, max_order: int = 3) -> Model:
+          sample_docs: int = 1500, order: int = ORDER) -> Model:
     """Learn from about ``sample_docs`` documents of each language (all, if there are fewer),
-    chosen by the hash of their id.  Rows without text or language are not used.
+    chosen by the hash of id and text.  Rows without text or language are not used.
 
     Only gram counts come to the driver.
     """
@@ -147,33 +226,26 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         .where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
-        return Model([], np.zeros(256, np.int16), 1, 0, np.zeros((1, 0), np.float32))
+        return Model([], np.zeros(256, np.int16), 1, 0, np.zeros((1, 0), np.float32), [], [])
     languages = sorted(sizes)
     many = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])
-    sample = hash_share(labelled, F.col("id"), F.lit(float(sample_docs)), many[F.col("lang")])
-    grams = _gram_counts(sample, max_order).toPandas()
+    sample = hash_share(labelled, F.struct("id", "text"), F.lit(float(sample_docs)), many[F.col("lang")])
+    grams = _gram_counts(sample, order).toPandas()
     codes = grams["gram"].to_numpy(dtype=np.int64)
-    raw = np.stack([(codes >> (8 * (max_order - k))) & 255 for k in range(max_order + 1)])
+    raw = np.stack([(codes >> (8 * (order - k))) & 255 for k in range(order + 1)])
     high = np.unique(raw[raw > 127])
     symbol = np.zeros(256, dtype=np.int16)
     symbol[65:91] = symbol[97:123] = np.arange(1, 27)
     symbol[128:] = 27 + len(high)
     symbol[high] = 27 + np.arange(len(high))
     size = 28 + len(high)
-    order = max_order
-    while order and size ** (order + 1) * max(1, len(languages) / 8) > MAX_CELLS:
-        order -= 1
-    cost = np.empty((size ** (order + 1), len(languages)), dtype=np.float32)
-    sym = symbol[raw[max_order - order:]].astype(np.int64)
-    index = np.zeros(len(codes), dtype=np.int64)
-    for row in sym:
-        index = index * size + row
-    owner, n = grams["lang"].to_numpy(), grams["n"].to_numpy(dtype=np.float64)
-    for j, lang in enumerate(languages):
-        mine = owner == lang
-        counts = np.bincount(index[mine], weights=n[mine], minlength=len(cost)).reshape((size,) * (order + 1))
-        cost[:, j] = _tree_costs(counts).ravel()
-    return Model(languages, symbol, size, order, cost)
+    code = np.zeros(len(codes), dtype=np.int64)
+    for row in raw:
+        code = code << 8 | symbol[row]
+    owner = np.searchsorted(np.array(languages), grams["lang"].to_numpy().astype(str))
+    counts = np.zeros((len(codes), len(languages)))
+    counts[np.arange(len(codes)), owner] = grams["n"].to_numpy(dtype=np.float64)
+    return Model(languages, symbol, size, order, *_trees(*_sums(code, counts), size, order))
 
 
 def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
