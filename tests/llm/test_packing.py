@@ -14,7 +14,6 @@ from viewstar.llm import packing as pk
 @pytest.fixture(scope="module")
 def library():
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
     return made
 
 
@@ -111,8 +110,7 @@ def test_added_tokens_are_the_unmodified_librarys(spark):
     expected = [ids_of(plain, t) for t in texts]
     assert expected[len(ODD)] == [64, 220, 50256, 23105, 0]
     made = [t.encode() for t in texts]
-    got = pk.Encoder(added_tokens=True)(np.frombuffer(b"".join(made), dtype=np.uint8),
-                                        np.append(0, np.cumsum([len(t) for t in made])))
+    got = pk.Encoder()(np.frombuffer(b"".join(made), dtype=np.uint8), np.append(0, np.cumsum([len(t) for t in made])))
     assert [[*g.tolist(), 0] for g in got] == expected
-    pieces = pk.pack(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), with_ids=True, added_tokens=True).collect()
+    pieces = pk.pack(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), with_ids=True).collect()
     assert {p.doc_id: np.frombuffer(p.ids, "<u4").tolist() for p in pieces} == dict(enumerate(expected))

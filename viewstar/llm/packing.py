@@ -48,9 +48,8 @@ class Encoder:
     """Byte-level BPE ids of whole texts, by the public vocabulary files.
 
     ``tokenizers`` defines the ids (file ``byte_bpe_50k.json``, no special
-    tokens added; with ``added_tokens`` their strings in a text are those
-    tokens, as the file has it, otherwise ordinary text); the same
-    vocabulary as ranks gives equal ids several times faster through
+    tokens added; a text that spells out an added token holds that token, as
+    the file has it); the same vocabulary as ranks gives equal ids several times faster through
     ``tiktoken`` (tests hold the two against each other).  Byte-level BPE never
     merges across its word pattern's cuts, and the pattern always cuts between
     a character that is no white space and a single space or line feed
@@ -59,7 +58,7 @@ class Encoder:
     and numpy gathers the ids.
     """
 
-    def __init__(self, vocabulary: str = "byte_bpe_50k", added_tokens: bool = False):
+    def __init__(self, vocabulary: str = "byte_bpe_50k"):
         import base64
 
         import public_tokenizers
@@ -74,8 +73,8 @@ class Encoder:
         self.spaced, self.broken = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
         self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.broken[[i for token, i in ranks.items() if token.startswith(b"\n")]] = True
-        self.library = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")) if added_tokens else None
-        self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values()) if added_tokens else []
+        self.library = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+        self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values())
         self.keys, self.flat = np.zeros(0, np.uint64), np.zeros(0, "<u4")
         self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -160,14 +159,13 @@ class Encoder:
         return out
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def _encoder(vocabulary: str, added_tokens: bool = False) -> Encoder:
-    key = vocabulary, added_tokens
-    if key not in _encoders:
-        _encoders[key] = Encoder(*key)
-    return _encoders[key]
+def _encoder(vocabulary: str) -> Encoder:
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
 
 
 _TOKENS = ("part int, id long, doc_tokens long, n_full long, full_rank long, rest int, rest_rank long, "
@@ -175,10 +173,10 @@ _TOKENS = ("part int, id long, doc_tokens long, n_full long, full_rank long, res
 
 
 def tokenised(docs: DataFrame, window: int, vocabulary: str, with_ids: bool, id_column: str = "doc_id",
-              text_column: str = "text", added_tokens: bool = False) -> DataFrame:
+              text_column: str = "text") -> DataFrame:
     """A row per document with its piece sizes, checksums and ranks within its partition."""
     def run(batches):
-        encode, part = _encoder(vocabulary, added_tokens), TaskContext.get().partitionId()
+        encode, part = _encoder(vocabulary), TaskContext.get().partitionId()
         tail, ranks, full_rank = array("I", [END_OF_TEXT]).tobytes(), np.zeros(window, dtype=np.int64), 0
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
@@ -299,7 +297,7 @@ def best_fit_decreasing(counts: dict[int, int], window: int) -> Plan:
 
 # -- operator -----------------------------------------------------------------------------
 def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "byte_bpe_50k", with_ids: bool = False,
-         id_column: str = "doc_id", text_column: str = "text", added_tokens: bool = False) -> DataFrame:
+         id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked).
 
     Every document ends with id 0, so a null or empty text is one piece of one
@@ -309,7 +307,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "byte_bpe_50k"
     checksums and ranks (and ids, if asked) are written.
     """
     spark = docs.sparkSession
-    rows = written(tokenised(docs, window, vocabulary, with_ids, id_column, text_column, added_tokens), "tokens")
+    rows = written(tokenised(docs, window, vocabulary, with_ids, id_column, text_column), "tokens")
     sizes = (rows.select("part", F.explode(F.array(
         F.struct(F.lit(window).alias("length"), F.col("n_full").alias("n")),
         F.struct(F.col("rest").alias("length"), F.lit(1).cast("long").alias("n")))).alias("s"))

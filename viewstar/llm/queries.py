@@ -52,7 +52,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted; labels come from the rows that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    language = langid.train(docs.where(~held_out("doc_id", 5, 0)), sample_docs=300, max_order=2)
+    language = langid.train(docs.where(~held_out("doc_id", 5, 0)), sample_docs=300, order=2)
     model = toxicity.train(docs, labels.where(~held_out("doc_id", 5, 0)), language)
     return toxicity.score(docs, model).select(
         F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), "score", "predicted")
@@ -64,7 +64,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), added_tokens=True)
+    return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +100,22 @@ _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_FOLD.format('text')}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [w]
+               ELSE list_transform(range(1, len(w) - 3), lambda k: w[k:k + 4]) END) AS g FROM d WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id
+           GROUP BY ALL),
+links AS (SELECT a, b, c = m.n AND c = k.n AS equal FROM common JOIN sizes m ON m.doc_id = a JOIN sizes k ON k.doc_id = b
+          WHERE 100 * c >= 80 * (m.n + k.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
+linked AS (SELECT a AS doc_id, count(*) AS n_links, min(b) FILTER (WHERE equal) AS same FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, least(d.doc_id, coalesce(same, d.doc_id)) AS class_id,
+       coalesce(n_links, 0) AS n_links
+FROM d LEFT JOIN sizes USING (doc_id) JOIN components USING (doc_id) LEFT JOIN linked USING (doc_id)
+""",
     "op9_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format(_FOLD.format('text'))} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS.format(_FOLD.format('text'))} AS w FROM benchmark),
@@ -153,5 +169,36 @@ r AS (SELECT doc_id, norm, row_number() OVER w AS k, first_value(doc_id) OVER w
       FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, count(*) OVER (PARTITION BY norm) AS group_size, k = 1 AS kept, sha256(norm) AS text_sha256
 FROM r
+""",
+    "op13_spelling": """
+WITH RECURSIVE table256 AS (
+  SELECT list(list_reduce([i] || [0, 1, 2, 3, 4, 5, 6, 7],
+                          lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END) ORDER BY i) AS crc
+  FROM range(256) r(i)),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                     'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00c0-\u00ff]+')) AS run
+  FROM documents) WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(
+    string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)),
+    lambda a, b: xor(a // 256, crc[xor(a % 256, b) + 1]))) AS h
+  FROM runs, table256),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+open_at AS (SELECT word, n, k, word[:k] || '?' || word[k + 2:] AS pattern, word[:k] || word[k + 2:] AS shorter
+            FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM open_at a JOIN open_at b ON a.pattern = b.pattern AND a.word <> b.word
+  UNION SELECT o.word, w.word, w.n FROM open_at o JOIN words w ON o.shorter = w.word
+  UNION SELECT w.word, o.word, o.n FROM open_at o JOIN words w ON o.shorter = w.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+                  CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+chains AS (SELECT word, word AS at FROM formed
+           UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chains c ON c.word = f.word JOIN formed e ON e.word = c.at WHERE e.form IS NULL
 """,
 }
