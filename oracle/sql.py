@@ -457,3 +457,41 @@ ORACLE_SQL.update({
         "'\"' || p_name || '\",' || chr(10) || '\"\"' || CAST(p_partkey AS VARCHAR) END AS body, "
         "CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size + 0.5 AS DOUBLE) END AS fee, CAST(NULL AS VARCHAR) AS corrupt FROM part"),
 })
+
+# -- kept tables: the second date brings the first date's viewings of users ending in 0 again ---
+_ALL_HOURS = f"(SELECT *, {time_parts()} FROM filled_viewings)"
+_BROKEN = ("CASE CAST(user_id AS BIGINT) % 10 WHEN 3 THEN '{\"user_id\": \"' || user_id WHEN 5 THEN 'no message ' || user_id "
+           "WHEN 7 THEN '[' || user_id || ']' END")
+_DAY_OF = "CASE CAST(user_id AS BIGINT) % 2 WHEN 0 THEN DATE '2025-06-27' ELSE DATE '2025-06-28' END"
+
+
+def displayed(body: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({body})"
+
+
+ORACLE_SQL.update({
+    "dedup_across_dates": ORACLE_SQL["job_silver_viewings"],
+    "kpi_hour_summary_merged": ORACLE_SQL["kpi_hour_summary"],
+    "kpi_apartment_performance_merged": ORACLE_SQL["kpi_apartment_performance"],
+    # 2025-06-27 is a Friday, 2025-06-28 a Saturday.
+    "dates_from_calendar": q("SELECT *, DATE '2025-06-28' AS dt FROM clean_viewings WHERE CAST(user_id AS BIGINT) % 2 = 1"),
+    "full_detail_bucketed": q("SELECT * FROM wide"),
+    "silver_value_counts": q(
+        f"SELECT {_DAY_OF} AS dt, count(*) AS \"rows\", count(user_id) AS user_id, count(apartment_id) AS apartment_id, "
+        "count(viewed_at) AS viewed_at, count(is_wishlisted) AS is_wishlisted, count(call_to_action) AS call_to_action "
+        "FROM clean_viewings GROUP BY 1"),
+    "landing_quarantine": q(
+        "SELECT " + ", ".join(f"CASE WHEN line IS NULL THEN {c} END AS {c}" for c in VIEWING_COLS.split(", "))
+        + f", line, CASE WHEN line IS NULL THEN 'viewing' ELSE 'malformed' END AS kind, dt "
+        f"FROM (SELECT *, {_BROKEN} AS line, {_DAY_OF} AS dt FROM raw_viewings)"),
+    "stream_hour_windows": q(f"SELECT {CAL_HOUR}, {TRIPLE} FROM {_ALL_HOURS} GROUP BY {CAL_HOUR}"),
+    "kpi_failed_load": q(f"SELECT *, DATE '2025-06-27' AS dt FROM ({time_summary('view_hour')})"),
+    "display_hour_summary": q(displayed(time_summary("view_hour"), "view_hour NULLS LAST")),
+    "display_dayofmonth_summary": q(displayed(time_summary("view_day"), "view_day NULLS LAST")),
+    "display_calendar_hour": q(displayed(time_summary(CAL_HOUR, with_top=False), "view_year DESC NULLS LAST, "
+                                         "view_month DESC NULLS LAST, view_day NULLS LAST, view_hour NULLS LAST")),
+    "display_daily": q(displayed(time_summary(CAL_DAY, with_top=False),
+                                 "view_year DESC NULLS LAST, view_month DESC NULLS LAST, view_day NULLS LAST")),
+    "display_state": q(displayed(state_city(), "state NULLS LAST, rank_city NULLS LAST")),
+    "display_platform": q(displayed(platform(), "total_views DESC NULLS LAST, source NULLS LAST")),
+})

@@ -71,3 +71,110 @@ def test_arrival_date_landing_loses_nothing(spark):
     counts = [rd.read_viewings_for_date(spark, landing, dt).count() for dt in ("2025-06-27", "2025-06-28")]
     assert counts == [len(BATCHES[0]), len(BATCHES[1])]
     assert rd.read_viewings_for_date(spark, landing).count() == sum(counts)
+
+
+def test_files_read_per_batch_stay_flat_over_200_batches(spark, monkeypatch):
+    """200 small batches, keys repeated and replaced, a date that keeps growing: lookups read a bounded number of
+    files, folders do not pile up, and rows and hours equal the batch job's."""
+    import random
+
+    from pyspark.sql import functions as F
+    from viewstar.session import list_names
+    from viewstar.streaming import store
+    rnd, out, read = random.Random(4), scratch_path(spark, "t_compact"), []
+    monkeypatch.setattr(jobs.store, "earlier_rows", _counting(store.earlier_rows, read))
+    write = jobs.batch_writer(spark, out, compact_after=8, bucket_rows=50)
+    raw = []
+    for n in range(200):
+        batch = [(str(rnd.randrange(6)), rnd.choice("ab"), rnd.choice([f"2024-06-01 {rnd.randrange(24):02d}:00:00", "bad",
+                  f"2024-06-{1 + n // 20:02d} 10:00:00"]), rnd.choice("yn"), rnd.choice(["contact_agent", "reported"]))
+                 for _ in range(3)] + [(f"u{n}", "a", "bad", "y", "reported")]
+        raw += batch
+        df = spark.createDataFrame(batch, ", ".join(f"{c} string" for c in COLUMNS)).coalesce(1)
+        write(jobs.clean_stream(df), n)
+    assert max(read[100:]) <= max(read[:100]) + 4 and max(read) <= 40
+    assert len(list_names(spark, f"{out}/rows")) <= 16 and len(list_names(spark, f"{out}/hours")) <= 16
+    held = store.manifest(spark, out)
+    assert held.upto >= 190 and held.dates["9999-12-31"]["buckets"] > 1
+    clean = qa.clean_viewings(spark.createDataFrame(raw, ", ".join(f"{c} string" for c in COLUMNS)), drop_all_null=False)
+    got = jobs.read_deduped(spark, out)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, clean.select(*got.columns).collect()), key=str)
+    hours = {tuple(r)[:4]: r.total_views for r in jobs.read_hour_engagement(spark, out).collect() if r.total_views}
+    from viewstar.functions.calendar import time_parts
+    from viewstar import schemas
+    plain = clean.withColumns(time_parts(F.col("viewed_at"))).groupBy(*schemas.CALENDAR_HOUR_KEYS).count().collect()
+    assert hours == {tuple(r)[:4]: r["count"] for r in plain}
+
+
+def _counting(lookup, read):
+    def counted(*args, **options):
+        df = lookup(*args, **options)
+        read.append(len(df.inputFiles()))
+        return df
+    return counted
+
+
+def test_a_merge_that_failed_is_done_again(spark, monkeypatch):
+    from viewstar.streaming import store
+    out = scratch_path(spark, "t_merge")
+    write = jobs.batch_writer(spark, out, compact_after=2)
+    rows = [tuple(r) for b in BATCHES for r in b]
+    schema = ", ".join(f"{c} string" for c in COLUMNS)
+
+    def batch(n):
+        write(jobs.clean_stream(spark.createDataFrame(BATCHES[n % 3], schema)), n)
+    batch(0)
+    batch(1)
+    real = store.put_text
+    monkeypatch.setattr(store, "put_text", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        batch(2)  # the merged files are written, the manifest is not
+    monkeypatch.setattr(store, "put_text", real)
+    assert store.manifest(spark, out).upto == -1
+    batch(2)
+    assert store.manifest(spark, out).upto == 1
+    for n in range(3, 9):
+        batch(n)
+        batch(n)  # a batch done twice replaces itself
+    clean = qa.clean_viewings(spark.createDataFrame(rows, schema), drop_all_null=False)
+    got = jobs.read_deduped(spark, out)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, clean.select(*got.columns).collect()), key=str)
+    assert sum(r.total_views for r in jobs.read_hour_engagement(spark, out).collect()) == clean.count()
+
+
+def test_malformed_lines_land_apart_and_every_line_lands(spark):
+    src, landing = scratch_path(spark, "t_lines"), scratch_path(spark, "t_lines_landed")
+    lines = ['{"user_id": "1", "apartment_id": "a", "viewed_at": "2024-06-01 15:00:00"}', '{"user_id": "1", "apar', "", "[]",
+             "null", "{}", '{"other": 1}', '{"user_id": 5}', '[{"user_id": "6"}, 3]', "text", '{"user_id": "7"} trailing']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{src}/b0")
+    for _ in range(2):  # the second run has nothing new
+        jobs.land_lines(spark, f"{src}/b*", landing, f"{landing}_ckpt", "2025-06-27")
+    bad = [r.line for r in jobs.read_landed(spark, landing, jobs.MALFORMED).collect()]
+    good = [r.user_id for r in jobs.read_landed(spark, landing, jobs.VIEWING, "2025-06-27").collect()]
+    assert len(bad) + len(good) == len(lines) and "1" in good and "5" in good
+    assert {'{"user_id": "1", "apar', "text", "{}", '{"other": 1}', "null"} <= set(bad)
+    assert jobs.read_landed(spark, landing, dt="2025-06-28").count() == 0
+
+
+def test_hour_windows_with_late_unreadable_and_future_times(spark):
+    """Late rows go beside and count; state drops nothing; a rerun of a batch changes nothing."""
+    from pyspark.sql import functions as F
+    from viewstar.functions.calendar import time_parts
+    from viewstar import schemas
+    from viewstar.session import list_names, path_exists
+    from viewstar.streaming import windows
+    src, out = scratch_path(spark, "t_win_src"), scratch_path(spark, "t_win")
+    batches = [BATCHES[2], BATCHES[0], [("1", "a", "2024-06-01 20:10:00", "y", "contact_agent"), ("1", "a", "2024-06-01 13:10:00", "n", "x")],
+               [("2", "a", "2024-06-01 18:30:00", "y", "x"), ("2", "b", "2024-06-01 17:59:00", "y", "x")],
+               [("3", "a", "2031-01-01 00:00:00", "y", "x")], BATCHES[1]]
+    for n, rows in enumerate(batches):
+        _write_batch(spark, src, rows, n)
+        windows.split_by_lateness(spark, jobs.viewing_stream(spark, f"{src}/b*"), out, f"{out}_ckpt/split")
+        windows.count_windows(spark, out, f"{out}_ckpt/windows")
+    raw = spark.createDataFrame([r for b in batches for r in b], ", ".join(f"{c} string" for c in COLUMNS))
+    clean = qa.fill_nulls(qa.to_boolean(qa.normalise_timestamps(raw, ["viewed_at"]), ["is_wishlisted"]))
+    from viewstar.operators.engagement import row_triple
+    plain = clean.withColumns(time_parts(F.col("viewed_at"))).groupBy(*schemas.CALENDAR_HOUR_KEYS).agg(*row_triple())
+    got = windows.read_hour_windows(spark, out)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.select(*got.columns).collect()))
+    assert path_exists(spark, f"{out}/late_rows") and len(list_names(spark, f"{out}/windows")) == 2

@@ -7,9 +7,10 @@ all rows is folded map-side instead of landing whole in one task.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,11 +124,15 @@ def fill_nulls(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def handle_nulls(df: DataFrame, drop_all_null: bool = True, keep: Sequence[str] = ()) -> DataFrame:
-    """C4-C7 in order: drop columns with no value (but those in ``keep``), then fill the rest by type."""
-    if drop_all_null:
-        df = drop_all_null_columns(df, keep)
-    return fill_nulls(df)
+def handle_nulls(df: DataFrame, drop_all_null: bool = True, keep: Sequence[str] = (),
+                 watch: Watch | None = None) -> DataFrame:
+    """C4-C7 in order: drop columns with no value (but those in ``keep``), then fill the rest by type.
+
+    ``watch`` sees the rows after the all-null test's own reads and before the fill."""
+    dead = [c for c in all_null_columns(df) if c not in keep] if drop_all_null else []
+    if watch:
+        df = watch.on_read(df)
+    return fill_nulls(df.drop(*dead) if dead else df)
 
 
 # -- C8 / A12 -------------------------------------------------------------------
@@ -171,6 +176,47 @@ def quality_report(df: DataFrame, table: str, keys: Sequence[str], time_columns:
         "e.nulls", "e.invalid", F.col("_duplicates").alias("duplicates"))
 
 
+class Watch:
+    """Quality counts of one table, taken while its clean form is written: no second pass over the raw rows.
+
+    Rows and nulls are observed where the parsed rows are read.  That is
+    before the fold's shuffle, where a task run again after a lost executor
+    counts its rows again; so the fold carries each key's number of rows, and
+    they are summed in the write's own tasks, which Spark counts once each.
+    If the two row counts differ, the first ones are not used and
+    :meth:`report` gives None: count with :func:`quality_report` then.
+    """
+
+    COPIES = "_copies"
+
+    def __init__(self, table: str, time_columns: Sequence[str] = ()):
+        self.table, self.time_columns, self.columns = table, tuple(time_columns), []
+        self.read, self.folded = Observation(), Observation()
+
+    def on_read(self, df: DataFrame) -> DataFrame:
+        """``df``: parsed, unfilled rows (an action on them before the write would use the observation up)."""
+        self.columns = df.columns
+        return df.observe(self.read, F.count(F.lit(1)).alias("rows"),
+                          *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{k}") for k, c in enumerate(self.columns)])
+
+    def on_folded(self, df: DataFrame) -> DataFrame:
+        """``df``: one row per key, with the number of its rows in ``COPIES``, which goes here."""
+        return df.observe(self.folded, F.coalesce(F.sum(self.COPIES), F.lit(0)).alias("rows"),
+                          F.count(F.lit(1)).alias("keys")).drop(self.COPIES)
+
+    def report(self, dt: str | None = None) -> list[tuple] | None:
+        """Rows of REPORT_DDL once the write is done; None if tasks ran twice."""
+        read, folded = self.read.get, self.folded.get
+        if read["rows"] != folded["rows"]:
+            return None
+        day = None if dt is None else datetime.date.fromisoformat(dt)
+        return [(day, self.table, c, read["rows"], read[f"nulls_{k}"], read[f"nulls_{k}"] if c in self.time_columns else 0,
+                 folded["rows"] - folded["keys"]) for k, c in enumerate(self.columns)]
+
+
+REPORT_DDL = "dt DATE, table STRING, column STRING, rows LONG, nulls LONG, invalid LONG, duplicates LONG"
+
+
 def _fills(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     out = []
     for c in columns:
@@ -180,23 +226,29 @@ def _fills(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 
 
 # -- C9 -------------------------------------------------------------------------
-def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], copies: str | None = None) -> DataFrame:
     """One row per key: the first by the other columns, ascending, nulls last.
 
     The original keeps an arbitrary row; this keeps a fixed one, so reruns
     agree.  Built as ``min(struct)`` per key, which Spark aggregates
-    partially before the shuffle: a hot key is folded map-side.
+    partially before the shuffle: a hot key is folded map-side.  ``copies``
+    names a column for the number of rows the key had.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
+    if not rest and not copies:
         return df.dropDuplicates(keys)
     order = []
     for c in rest:
         order += [F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(c)]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    return first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]) \
-        .select(*df.columns)
+    aggs = [F.min(F.struct(*order)).alias("_first")] if rest else []
+    first = df.groupBy(*keys).agg(*aggs, *([F.count(F.lit(1)).alias(copies)] if copies else []))
+    return first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest], *([copies] if copies else [])) \
+        .select(*df.columns, *([copies] if copies else []))
+
+
+def _folded(df: DataFrame, keys: Sequence[str], watch: Watch | None) -> DataFrame:
+    return watch.on_folded(dedup(df, keys, Watch.COPIES)) if watch else dedup(df, keys)
 
 
 # -- C10 / C12 ------------------------------------------------------------------
@@ -216,26 +268,29 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 # -- The three cleaning chains (C1 -> C10 -> C6/C7 -> C9) -----------------------
+#: Time columns of the listing table.
+LISTING_TIMES = ("listing_created_on", "last_modified_timestamp")
+
+
 def clean_viewings(raw: DataFrame, keys: Sequence[str] = schemas.VIEWING_KEY,
-                   drop_all_null: bool = True, drop_sentinel: bool = False) -> DataFrame:
+                   drop_all_null: bool = True, drop_sentinel: bool = False, watch: Watch | None = None) -> DataFrame:
     df = normalise_timestamps(raw, ["viewed_at"])
     df = to_boolean(df, ["is_wishlisted"])
-    df = handle_nulls(df, drop_all_null, (*keys, "viewed_at"))
-    df = dedup(df, keys)
+    df = handle_nulls(df, drop_all_null, (*keys, "viewed_at"), watch)
+    df = _folded(df, keys, watch)
     if drop_sentinel and "viewed_at" in df.columns:
         df = df.filter(F.col("viewed_at") != F.expr(f"TIMESTAMP_NTZ '{schemas.FILL_TIMESTAMP}'"))
     return df
 
 
 def clean_apartments(raw: DataFrame, drop_all_null: bool = True,
-                     keep_fraction: bool = False) -> DataFrame:
-    df = normalise_timestamps(raw, ["listing_created_on", "last_modified_timestamp"],
-                              keep_fraction=keep_fraction)
+                     keep_fraction: bool = False, watch: Watch | None = None) -> DataFrame:
+    df = normalise_timestamps(raw, LISTING_TIMES, keep_fraction=keep_fraction)
     df = to_boolean(df, ["is_active"])
-    df = handle_nulls(df, drop_all_null, schemas.LISTING_KEY)
-    return dedup(df, schemas.LISTING_KEY)
+    df = handle_nulls(df, drop_all_null, schemas.LISTING_KEY, watch)
+    return _folded(df, schemas.LISTING_KEY, watch)
 
 
-def clean_attributes(raw: DataFrame, drop_all_null: bool = True) -> DataFrame:
-    df = handle_nulls(raw, drop_all_null, schemas.LISTING_KEY)
-    return dedup(df, schemas.LISTING_KEY)
+def clean_attributes(raw: DataFrame, drop_all_null: bool = True, watch: Watch | None = None) -> DataFrame:
+    df = handle_nulls(raw, drop_all_null, schemas.LISTING_KEY, watch)
+    return _folded(df, schemas.LISTING_KEY, watch)

@@ -33,7 +33,8 @@ from viewstar import schemas
 from viewstar.session import get_session, remove_path, scratch_path
 from viewstar.operators import quality as qa
 from viewstar.operators.joins import DEFAULT_BROADCAST_BYTES
-from viewstar.plans import kpis, model
+from viewstar.operators.engagement import fact_cube
+from viewstar.plans import history, kpis, model
 from viewstar.sinks import writers as w
 from viewstar.sources import readers as rd
 
@@ -48,6 +49,10 @@ class JobOptions:
     # Independent outputs written at once (1 = one after another).
     parallel_writes: int = 4
     write_quality_report: bool = True
+    # Leave out viewings whose key an earlier date's silver already holds (dated runs).
+    across_dates: bool = False
+    # Keep the date's engagement cube, so KPIs over many dates read no viewing (history.kpi_over_dates).
+    write_cube: bool = False
 
 
 def run_all(steps: dict[str, Callable[[], None]], workers: int) -> None:
@@ -62,15 +67,23 @@ def run_all(steps: dict[str, Callable[[], None]], workers: int) -> None:
 
 def quality_reports(raw_viewings: DataFrame, raw_apartments: DataFrame, raw_attributes: DataFrame,
                     dt: str | None, dedup_keys: Sequence[str] = schemas.VIEWING_KEY) -> DataFrame:
-    """The run's quality report: a row per table and column, one aggregate per table."""
-    times = ["listing_created_on", "last_modified_timestamp"]
+    """The run's quality report from the raw tables alone: a row per table and column, one aggregate per table."""
     viewings = qa.to_boolean(qa.normalise_timestamps(raw_viewings, ["viewed_at"]), ["is_wishlisted"])
-    apartments = qa.to_boolean(qa.normalise_timestamps(raw_apartments, times), ["is_active"])
+    apartments = qa.to_boolean(qa.normalise_timestamps(raw_apartments, qa.LISTING_TIMES), ["is_active"])
     return (qa.quality_report(viewings, "user_viewings", dedup_keys, ["viewed_at"], dt)
-            .unionByName(qa.quality_report(apartments, "apartments", schemas.LISTING_KEY, times, dt))
+            .unionByName(qa.quality_report(apartments, "apartments", schemas.LISTING_KEY, qa.LISTING_TIMES, dt))
             .unionByName(qa.quality_report(raw_attributes, "apartment_attributes", schemas.LISTING_KEY, (), dt)))
 
 
+def _watched_report(spark: SparkSession, watches: Sequence[qa.Watch], dt: str | None,
+                    recount: Callable[[], DataFrame]) -> DataFrame:
+    """The report the silver writes took along; counted again from the raw tables if a lost executor spoilt it."""
+    reports = [w.report(dt) for w in watches]
+    if any(rows is None for rows in reports):
+        return recount()
+    return spark.createDataFrame([row for rows in reports for row in rows], qa.REPORT_DDL)
+
+
 def clean_to_silver(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
                     raw_attributes: DataFrame, silver: str, dt: str | None,
                     opts: JobOptions) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -78,22 +91,35 @@ def clean_to_silver(spark: SparkSession, raw_viewings: DataFrame, raw_apartments
 
     A column null throughout is dropped from what this run writes (C6); the
     declared schema reads it as null, on this date and beside other dates.
+    The quality report is counted while the tables are written, so each raw
+    table is parsed once.
     """
-    steps = {}
-    if opts.write_quality_report:
-        steps["quality_report"] = lambda: _write(
-            quality_reports(raw_viewings, raw_apartments, raw_attributes, dt, opts.dedup_keys).drop("dt"),
-            f"{silver}/quality_report", dt)
-
-    run_all(steps | {
-        "user_viewings_cleaned": lambda: _write(
-            qa.clean_viewings(raw_viewings, opts.dedup_keys, drop_sentinel=opts.drop_sentinel),
-            f"{silver}/user_viewings_cleaned", dt),
+    watches = [qa.Watch("user_viewings", ["viewed_at"]), qa.Watch("apartments", qa.LISTING_TIMES),
+               qa.Watch("apartment_attributes")] if opts.write_quality_report else [None] * 3
+
+    def viewings_step():
+        clean = qa.clean_viewings(raw_viewings, opts.dedup_keys, drop_sentinel=opts.drop_sentinel, watch=watches[0])
+        path = f"{silver}/user_viewings_cleaned"
+        if not (opts.across_dates and dt):
+            return _write(clean, path, dt)
+        staged = scratch_path(spark, "day")
+        try:
+            w.write_dated(clean, staged, dt)
+            day = rd.read_silver(spark, staged, schemas.SILVER_VIEWINGS_DDL, dt).select(*clean.columns)
+            _write(history.new_viewings(spark, day, path, dt, opts.dedup_keys), path, dt)
+        finally:
+            remove_path(spark, staged)
+    run_all({
+        "user_viewings_cleaned": viewings_step,
         "apartments_cleaned": lambda: w.write_parquet(
-            qa.clean_apartments(raw_apartments), f"{silver}/apartments_cleaned"),
+            qa.clean_apartments(raw_apartments, watch=watches[1]), f"{silver}/apartments_cleaned"),
         "apartment_attributes_cleaned": lambda: w.write_parquet(
-            qa.clean_attributes(raw_attributes), f"{silver}/apartment_attributes_cleaned"),
+            qa.clean_attributes(raw_attributes, watch=watches[2]), f"{silver}/apartment_attributes_cleaned"),
     }, opts.parallel_writes)
+    if opts.write_quality_report:
+        report = _watched_report(spark, watches, dt, lambda: quality_reports(
+            raw_viewings, raw_apartments, raw_attributes, dt, opts.dedup_keys))
+        _write(report.drop("dt"), f"{silver}/quality_report", dt)
     fact = rd.read_silver(spark, f"{silver}/user_viewings_cleaned", schemas.SILVER_VIEWINGS_DDL, dt, dt is not None)
     return (fact.drop("dt"),
             rd.read_silver(spark, f"{silver}/apartments_cleaned", schemas.SILVER_APARTMENTS_DDL, dated=False),
@@ -120,7 +146,13 @@ def run(spark: SparkSession, raw_viewings: DataFrame, raw_apartments: DataFrame,
         listing = model.listing_dim(apartments, attributes, None)
         w.write_parquet(listing, f"{scratch}/listing")
         listing = spark.read.schema(listing.schema).parquet(f"{scratch}/listing")
-        cube = model.engagement_cube(fact, listing, opts.max_broadcast_bytes)
+        if opts.write_cube:
+            path = f"{silver}/engagement_cube"
+            _write(fact_cube(fact), path, dt)
+            kept = rd.read_silver(spark, path, history.CUBE_DDL, dt, dt is not None).drop("dt")
+            cube = model.with_listing(kept, listing, opts.max_broadcast_bytes)
+        else:
+            cube = model.engagement_cube(fact, listing, opts.max_broadcast_bytes)
         w.write_parquet(cube, f"{scratch}/cube")
         return _outputs(spark, fact, listing, spark.read.schema(cube.schema).parquet(f"{scratch}/cube"), silver, dt, opts)
     finally:
@@ -136,6 +168,8 @@ def _outputs(spark: SparkSession, fact: DataFrame, listing: DataFrame, cube: Dat
     }
     if opts.write_quality_report:
         written["quality_report"] = f"{silver}/quality_report"
+    if opts.write_cube:
+        written["engagement_cube"] = f"{silver}/engagement_cube"
     # Plans are built inside the steps, so their analysis overlaps too; the
     # longest write (the row-level full detail) starts first.
     steps: dict[str, Callable[[], None]] = {}
@@ -176,6 +210,9 @@ def load_warehouse(spark: SparkSession, silver: str, database: str, dt: str, loc
     """The warehouse step after a dated run, as one call: two dimensions truncated and loaded, the two
     facts' date replaced, each KPI's date replaced.  Returns the table names.
 
+    Every table is written beside what readers see and then switched, so a
+    load that fails leaves that table as it was.
+
     The facts are loaded per date, so loading a date again leaves one copy
     (plain appending, as the original did, is ``load_table(..., "append")``).
     """
@@ -186,8 +223,8 @@ def load_warehouse(spark: SparkSession, silver: str, database: str, dt: str, loc
              "fact_viewings_full_detail": ("viewings_full_detail", schemas.FULL_DETAIL_DDL)}
     steps: dict[str, Callable[[], None]] = {}
     for table, (name, ddl) in dims.items():
-        steps[table] = lambda table=table, name=name, ddl=ddl: w.load_table(
-            rd.read_silver(spark, f"{silver}/{name}", ddl, dated=False), f"{database}.{table}", "overwrite")
+        steps[table] = lambda table=table, name=name, ddl=ddl: w.replace_table(
+            spark, rd.read_silver(spark, f"{silver}/{name}", ddl, dated=False), f"{database}.{table}")
     for table, (name, ddl) in facts.items():
         steps[table] = lambda table=table, name=name, ddl=ddl: w.load_dated_table(
             spark, rd.read_silver(spark, f"{silver}/{name}", ddl, dt).drop("dt"), f"{database}.{table}", dt)

@@ -48,6 +48,11 @@ def engagement_cube(fact: DataFrame, listing: DataFrame,
     The join runs on the folded fact: a hot listing id is one row per hour
     by then, and the dimension side carries five narrow columns only.
     """
-    cube = fact_cube(fact)
+    return with_listing(fact_cube(fact), listing, max_broadcast_bytes)
+
+
+def with_listing(cube: DataFrame, listing: DataFrame,
+                 max_broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """The listing columns that KPIs group by, joined to a folded fact."""
     dim = listing.select("id", *[c for c in CUBE_LISTING_COLUMNS if c in listing.columns])
     return left_join_dim(cube, dim, "apartment_id", "id", max_broadcast_bytes).drop("id")

@@ -201,7 +201,8 @@ QUERIES: dict[str, Query] = {
 
 
 def _all_queries() -> dict[str, Query]:
+    from viewstar.plans.history_queries import HISTORY_QUERIES
     from viewstar.plans.io_queries import IO_QUERIES
     from viewstar.plans.job_queries import JOB_QUERIES
     from viewstar.plans.stream_queries import STREAM_QUERIES
-    return {**QUERIES, **IO_QUERIES, **STREAM_QUERIES, **JOB_QUERIES}
+    return {**QUERIES, **IO_QUERIES, **STREAM_QUERIES, **JOB_QUERIES, **HISTORY_QUERIES}

@@ -3,12 +3,17 @@ that date's rows (dynamic partition overwrite) instead of adding to them."""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewstar.operators.ordering import number_rows
+from viewstar.session import list_names, path_exists, put_text, remove_path
+
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
@@ -73,6 +78,12 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "overwrite",
 
 
 # -- warehouse tables (K5-K8) ---------------------------------------------------
+#: Folder of a table's loads; its name keeps it out of partition discovery.
+LOADS = "_loads"
+#: Marks a load that another one has replaced.
+REPLACED = "_REPLACED"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """K8: create the dataset if absent."""
     where = f" LOCATION '{location}'" if location else ""
@@ -90,58 +101,109 @@ def load_table(df: DataFrame, table: str, mode: str, path: str | None = None,
     writer.saveAsTable(table)
 
 
+def _columns_ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _make_table(spark: SparkSession, table: str, ddl: str) -> None:
+    try:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} {ddl}")
+    except AnalysisException:  # another thread made it meanwhile
+        if not spark.catalog.tableExists(table):
+            raise
+
+
+def _described(spark: SparkSession, table: str, partition: str = "") -> str:
+    """Location of a table or of one of its partitions."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table} {partition}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _stage(df: DataFrame, root: str, group: str) -> str:
+    """``df`` written whole to a folder no reader looks at yet; a failed write leaves nothing but that folder."""
+    spark, folder = df.sparkSession, f"{root}/{LOADS}/{group}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    try:
+        df.write.mode("errorifexists").parquet(folder)
+    except BaseException:
+        remove_path(spark, folder)
+        raise
+    return folder
+
+
+def _retire(spark: SparkSession, root: str, group: str, before: str | None) -> None:
+    """Drop a group's loads that were replaced earlier.  The one replaced just now is marked and stays until the
+    next load, for readers still in it; loads never replaced (the current one, others under way) are not touched."""
+    for name in list_names(spark, f"{root}/{LOADS}/{group}"):
+        folder = f"{root}/{LOADS}/{group}/{name}"
+        if path_exists(spark, f"{folder}/{REPLACED}"):
+            remove_path(spark, folder)
+    if before and f"/{LOADS}/" in before:
+        put_text(spark, f"{before}/{REPLACED}", "")
+
+
 def load_dated_table(spark: SparkSession, df: DataFrame, table: str, dt: str,
                      path: str | None = None, partition: str = "dt") -> None:
     """K7 made rerunnable: one table per KPI, partitioned by run date; a rerun
-    of a date replaces that date only.
-
-    The date's folder is written on its own and then named to the catalog, so
-    no session setting decides what is overwritten, and concurrent loads of
-    other dates or tables cannot wipe each other.
+    of a date replaces that date only, whole or not at all.
+
+    The date's rows are written to a folder of their own under ``_loads``;
+    naming that folder to the catalog as the date's location is the commit.  A
+    load that fails before it leaves the date as it was, readers never meet a
+    date half written, and no session setting decides what is overwritten.
+    Concurrent loads of other dates or tables do not touch each other; of two
+    loads of one date the one that commits last stays.
     """
     if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         where = f" LOCATION '{path}'" if path else ""
-        try:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` DATE) USING parquet "
-                      f"PARTITIONED BY (`{partition}`){where}")
-        except AnalysisException:  # another thread made it meanwhile
-            if not spark.catalog.tableExists(table):
-                raise
+        _make_table(spark, table, f"({_columns_ddl(df)}, `{partition}` DATE) USING parquet PARTITIONED BY (`{partition}`){where}")
     columns = [c for c in spark.table(table).columns if c != partition]
-    root = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
-    df.select(*columns).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{partition}={dt}")
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({partition} = DATE'{dt}')")
+    root, spec = _described(spark, table), f"PARTITION (`{partition}` = DATE'{dt}')"
+    folder = _stage(df.select(*columns), root, dt)
+    before = None
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
+    else:
+        before = _described(spark, table, spec)
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    _retire(spark, root, dt, before)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, table: str, path: str | None = None) -> None:
+    """K5 without a moment in which the table is empty: the rows are written beside, then the table's
+    location moves to them.  Other columns than before make the table anew once its rows are written."""
+    columns = _columns_ddl(df)
+    if spark.catalog.tableExists(table):
+        root = _described(spark, table)
+        root = root.split(f"/{LOADS}/")[0]
+    else:
+        root = path or f"{_database_location(spark, table)}/{table.rsplit('.', 1)[-1].strip('`')}"
+    folder = _stage(df, root, "all")
+    before = None
+    if spark.catalog.tableExists(table) and _columns_ddl(spark.table(table)) == columns:
+        before = _described(spark, table)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
+    _retire(spark, root, "all", before)
+
+
+def _database_location(spark: SparkSession, table: str) -> str:
+    database = table.rsplit(".", 1)[0] if "." in table else spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(database.strip("`")).locationUri.rstrip("/")
 
 
 # -- topic messages (K9) ------------------------------------------------------------
 def topic_frame(df: DataFrame, order_by: Sequence[str], first_index: int = 0) -> DataFrame:
     """K9: ``key`` = running index as text, ``value`` = the row as JSON.
 
-    Rows are range-partitioned by the order (no single-partition window);
-    the sorted frame is checkpointed so partition boundaries are fixed, then
-    each row's index is its partition's offset plus its place inside it.
-    Offsets come from one row per partition, so the broadcast is bounded
-    by the partition count, not the data.
-
-    A row id from the input ends the sort key: equal rows (one group of
-    copies may hold a third of the data) then still spread over many range
-    partitions instead of landing in one task.  Equal rows give equal
+    Rows are sorted once, distributed (``number_rows``).  Equal rows give equal
     values, so which copy takes which index changes no message.
     """
     order = list(order_by) + [c for c in df.columns if c not in order_by]
-    with_id = df.withColumn("_row", F.monotonically_increasing_id())
-    ordered = with_id.orderBy(*[F.col(c).asc_nulls_last() for c in order], "_row") \
-        .drop("_row").checkpoint()
-    pid = F.spark_partition_id()
-    sized = ordered.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sized.withColumn(
-        "_start", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    numbered = ordered.withColumns({"_pid": pid, "_local": local})
-    keyed = numbered.join(F.broadcast(offsets), "_pid")
-    index = F.coalesce(F.col("_start"), F.lit(0)) + F.col("_local") + F.lit(first_index)
-    return keyed.select(
-        index.cast("string").alias("key"),
-        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    numbered = number_rows(df, [F.col(f"`{c}`").asc_nulls_last() for c in order], "_index", first_index)
+    return numbered.select(
+        F.col("_index").cast("string").alias("key"),
+        F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
