@@ -12,7 +12,8 @@ The index has two levels.  A kd-tree fitted on a bounded sample cuts the
 projected space into regions (blocks of bounded size, large regions being
 salted); inside a block a kd-tree over all its vectors gives leaves in the
 order of their distance.  A query first searches its own region, which gives
-d_k, then only the regions that the chi-square test leaves open.
+d_k, then only the regions that the chi-square test leaves open; in a leaf it
+verifies only the vectors that the test leaves open one by one.
 """
 
 from __future__ import annotations
@@ -114,7 +115,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _search(ids: np.ndarray, data: np.ndarray, near: np.ndarray, q_ids: np.ndarray, queries: np.ndarray,
             q_near: np.ndarray, bound: np.ndarray, k: int, quantile: float, leaf: int):
-    """(query row, data row) of the candidates kept: per query the best found in this block.
+    """(query row, data row) of the candidates kept, and the number of pairs verified: per query the best found
+    in this block.
 
     ``bound`` is the squared distance of the k-th best known from elsewhere.
     """
@@ -129,7 +131,7 @@ def _search(ids: np.ndarray, data: np.ndarray, near: np.ndarray, q_ids: np.ndarr
     order = np.argsort(far, axis=1, kind="stable")
     best = np.full((len(q_ids), spare), -np.inf)
     where = np.full((len(q_ids), spare), -1)
-    active = np.arange(len(q_ids))
+    active, verified = np.arange(len(q_ids)), 0
     for step in range(len(leaves)):
         # The k-th best is sought among others than the query itself, which may be in the block.
         own = np.partition(best, spare - k - 1, axis=1)[:, spare - k - 1] if spare > k else best[:, 0]
@@ -140,17 +142,25 @@ def _search(ids: np.ndarray, data: np.ndarray, near: np.ndarray, q_ids: np.ndarr
         chosen = order[active, step]
         for one in np.unique(chosen):
             q, rows = active[chosen == one], leaves[one]
-            merged = np.concatenate([best[q], queries[q] @ data[rows].T], axis=1)
+            apart = (q_near[q] ** 2).sum(1)[:, None] + (near[rows] ** 2).sum(1) - 2 * (q_near[q] @ near[rows].T)
+            open_ = apart <= quantile * limit[q][:, None] + 1e-9
+            rows, open_ = rows[open_.any(axis=0)], open_[:, open_.any(axis=0)]
+            verified += int(open_.sum())
+            merged = np.concatenate([best[q], np.where(open_, queries[q] @ data[rows].T, -np.inf)], axis=1)
             from_rows = np.concatenate([where[q], np.broadcast_to(rows, (len(q), len(rows)))], axis=1)
             top = np.argpartition(-merged, spare - 1, axis=1)[:, :spare]
             best[q] = np.take_along_axis(merged, top, axis=1)
             where[q] = np.take_along_axis(from_rows, top, axis=1)
-    q, c = np.nonzero(where >= 0)
-    return q, where[q, c]
+    q, c = np.nonzero((where >= 0) & np.isfinite(best))
+    return q, where[q, c], verified
 
 
-def neighbours(vectors: DataFrame, k: int = 5, every: int = 50, dims: int = 8, confidence: float = 0.99,
-               block_rows: int = 4096, sample_rows: int = 20_000, query_rows: int = 20_000, leaf: int = 64,
+#: Projections, confidence of the stopping test, and rows a block may have before it is salted.
+DIMS, CONFIDENCE, MOST_BLOCK_ROWS = 32, 0.9, 65_536
+
+
+def neighbours(vectors: DataFrame, k: int = 5, every: int = 50, dims: int = DIMS, confidence: float = CONFIDENCE,
+               block_rows: int = 4096, sample_rows: int = 50_000, query_rows: int = 20_000, leaf: int = 64,
                id_column: str = "vec_id", vector_column: str = "embedding", seed: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine): the ``k`` nearest found of every row whose id is
     divisible by ``every``, among all other rows; ties go to the smaller id.
@@ -161,8 +171,11 @@ def neighbours(vectors: DataFrame, k: int = 5, every: int = 50, dims: int = 8, c
     the k + 1 smallest ids can be anyone's k nearest, so the rest is left out
     of the blocks.  An empty table gives no rows.  Other columns are not read.
 
-    Bounds: the regions are fitted on about ``sample_rows`` projected vectors;
-    a task holds about ``block_rows`` vectors and ``query_rows`` queries.
+    Bounds: the regions are fitted on about ``sample_rows`` projected vectors
+    (every vector is indexed); a task holds about ``block_rows`` vectors, at
+    most about MOST_BLOCK_ROWS once the regions are as many as the sample
+    allows, and ``query_rows`` queries.  Only blocks with more queries are
+    copied, once per portion of them.
     """
     spark = vectors.sparkSession
     importable(spark)
@@ -200,8 +213,7 @@ def neighbours(vectors: DataFrame, k: int = 5, every: int = 50, dims: int = 8, c
     depth = min(depth, max(0, int(math.log2(max(len(sample) / 8, 1)))))
     regions = Regions.fit(sample, depth, dims)
     shared = spark.sparkContext.broadcast(regions)
-    salts = max(1, math.ceil(total / (block_rows << depth)))
-    chunks = max(1, math.ceil(n_queries / query_rows))
+    salts = max(1, math.ceil(total / (max(block_rows, MOST_BLOCK_ROWS) << depth)))
     quantile = chi_square_quantile(confidence, dims)
 
     def locate(batch):
@@ -219,7 +231,7 @@ def neighbours(vectors: DataFrame, k: int = 5, every: int = 50, dims: int = 8, c
         u, w = _unit(x), _unit(y)
         ids, q_ids = left["id"].to_numpy(), right["id"].to_numpy()
         bound = right["bound"].to_numpy()
-        q, c = _search(ids, u, _matrix(left["p"], left.num_rows), q_ids, w, _matrix(right["p"], right.num_rows),
+        q, c, _ = _search(ids, u, _matrix(left["p"], left.num_rows), q_ids, w, _matrix(right["p"], right.num_rows),
                        bound, k, quantile, leaf)
         keep = ids[c] != q_ids[q]
         q, c = q[keep], c[keep]
@@ -233,9 +245,12 @@ def neighbours(vectors: DataFrame, k: int = 5, every: int = 50, dims: int = 8, c
 
     def searched(targets: DataFrame) -> DataFrame:
         """``targets``: id, v, p, bound, block.  The best of each block a query goes to."""
-        right = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))) \
-            .withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int"))
-        left = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        targets = written(targets, "targets")
+        portions = targets.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("portions"))
+        portions = F.broadcast(portions)  # one row per region at most, and regions are bounded by the sample
+        right = targets.join(portions, "block").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))) \
+            .withColumn("chunk", F.expr("cast(pmod(xxhash64(id), portions) as int)")).drop("portions")
+        left = blocks.join(portions, "block").withColumn("chunk", F.explode(F.expr("sequence(0, portions - 1)"))).drop("portions")
         return left.groupBy("block", "salt", "chunk").cogroup(right.groupBy("block", "salt", "chunk")) \
             .applyInArrow(find, "query_id long, vec_id long, score double")
 
