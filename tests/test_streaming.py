@@ -83,6 +83,7 @@ def test_files_read_per_batch_stay_flat_over_200_batches(spark, monkeypatch):
     from viewstar.streaming import store
     rnd, out, read = random.Random(4), scratch_path(spark, "t_compact"), []
     monkeypatch.setattr(jobs.store, "earlier_rows", _counting(store.earlier_rows, read))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # four rows a batch
     write = jobs.batch_writer(spark, out, compact_after=8, bucket_rows=50)
     raw = []
     for n in range(200):
@@ -103,6 +104,7 @@ def test_files_read_per_batch_stay_flat_over_200_batches(spark, monkeypatch):
     from viewstar.functions.calendar import time_parts
     from viewstar import schemas
     plain = clean.withColumns(time_parts(F.col("viewed_at"))).groupBy(*schemas.CALENDAR_HOUR_KEYS).count().collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert hours == {tuple(r)[:4]: r["count"] for r in plain}
 
 
