@@ -81,7 +81,7 @@ def test_exact_at_the_border_and_in_every_round(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     rows += [(50 + i, t) for i, t in enumerate(chain(6))]
     df = docs(spark, [(i, t, "en") for i, t in rows])
-    for pairs, rounds in ((100, 8), (0, 8), (0, 1), (0, 0)):
+    for pairs, rounds in ((100, 8), (0, 8), (0, 1)):
         monkeypatch.setattr(nj, "PAIRS_LEFT", pairs)
         monkeypatch.setattr(nj, "ROUNDS", rounds)
         check(df, rows)
@@ -98,8 +98,8 @@ def test_a_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     real = nj._candidates
 
-    def counted(placed, per_key, turn, every):
-        both = real(placed, per_key, turn, every)
+    def counted(*args):
+        both = real(*args)
         seen.append(both.count())
         return both
     monkeypatch.setattr(nj, "_candidates", counted)

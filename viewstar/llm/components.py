@@ -18,13 +18,16 @@ def components(edges: DataFrame) -> DataFrame:
     both = written(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a"))
                    .toDF("v", "w").distinct(), "edges")
     near = written(both.groupBy("v").agg(F.least(F.first("v"), F.min("w")).alias("m")), "drawn")
-    drawn = both.where("v < w").join(near.select("v", F.col("m").alias("a")), "v") \
+    drawn = written(both.where("v < w").join(near.select("v", F.col("m").alias("a")), "v") \
         .join(near.select(F.col("v").alias("w"), F.col("m").alias("b")), "w") \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "drawn-edges")
+    if drawn.isEmpty():  # every group fell together at once
+        forget(both, drawn)
+        return near.withColumnRenamed("m", "c")
     inner = _rounds(drawn)
     out = near.join(inner.select(F.col("v").alias("m"), "c"), "m", "left").select("v", F.coalesce("c", "m").alias("c"))
     out = written(out, "components")
-    forget(both, near, inner)
+    forget(both, near, drawn, inner)
     return out
 
 

@@ -17,8 +17,8 @@
    takes of every prefix n-gram one class per component and pairs it with the
    largest component's; links merge components at once, and classes already
    connected need no further pair, so each round is linear in the entries and
-   leaves fewer components.  When few pairs are left, or a round links
-   nothing, every pair still between components is taken.  Links that could
+   leaves fewer components.  When few pairs are left, or rounds no longer
+   lower their number, every pair still between components is taken.  Links that could
    join two components are all found: components are exact.
 """
 
@@ -190,12 +190,16 @@ def _passes(n: Column, pos: Column, m: Column, qos: Column, similarity: int) ->
     return length & (F.least(n - pos, m - qos) >= _needed(n, m, similarity))
 
 
+def _overlap(p: Column, q: Column) -> Column:
+    """At most so many common n-grams, by the counts per hash bucket (suffix filter)."""
+    return F.aggregate(F.zip_with(p, q, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+
+
 def _suffix_filtered(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
     one = reps.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("profile").alias("p_a"))
     two = reps.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("profile").alias("p_b"))
-    overlap = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
     return pairs.join(one, "a").join(two, "b") \
-        .where(overlap >= _needed(F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
+        .where(_overlap(F.col("p_a"), F.col("p_b")) >= _needed(F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
 
 
 def _whole_sets(uids: DataFrame, reps: DataFrame, docs: DataFrame, name: str) -> DataFrame:
@@ -355,22 +359,36 @@ def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
     return out
 
 
-def _candidates(placed: DataFrame, per_key: DataFrame, turn: int, every: bool) -> DataFrame:
-    """Pairs of entries of one n-gram in different components: all, or one class of each component with one of the largest."""
+def _candidates(placed: DataFrame, per_key: DataFrame, reps: DataFrame, turn: int, every: bool, similarity: int) -> DataFrame:
+    """(a, b): pairs of classes in different components that share an n-gram and pass the filters.
+
+    One class of each component with one of the n-gram's largest component; or
+    (``every``) all pairs, each at its first common prefix n-gram only, with
+    the suffix filter in the join, so no more pairs leave it than are verified.
+    """
     mixed = placed.join(per_key.select("key"), "key")
-    entry = ("uid", "n", "pos", "c")
+    entry = ["uid", "n", "pos", "c"]
     if every:
-        x, y = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in entry]) for side in "xy")
-        return x.join(y, "key").where("uid_x < uid_y AND c_x <> c_y")
+        mixed = mixed.join(reps.select("uid", "profile", F.transform("prefix", lambda e: e["key"]).alias("keys")), "uid")
+        x, y = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in (*entry, "profile", "keys")]) for side in "xy")
+        need = _needed(F.col("n_x"), F.col("n_y"), similarity)
+        filters = (F.col("uid_x") < F.col("uid_y")) & (F.col("c_x") != F.col("c_y")) \
+            & _passes(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), similarity) \
+            & (_overlap(F.col("profile_x"), F.col("profile_y")) >= need) \
+            & (F.element_at(F.array_intersect("keys_x", "keys_y"), 1) == F.col("x.key"))
+        return x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & filters) \
+            .select(F.col("uid_x").alias("a"), F.col("uid_y").alias("b"))
     of_each = mixed.groupBy("key", "c").agg(F.min_by(F.struct(*entry), F.xxhash64("uid", F.lit(turn))).alias("x"),
                                             F.count(F.lit(1)).alias("m"))
     largest = of_each.groupBy("key").agg(F.min_by("x", F.struct(-F.col("m"), F.xxhash64("c", F.lit(turn)))).alias("y"))
-    return of_each.join(largest, "key").where("x.c <> y.c").select(
-        *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "xy" for c in entry])
+    both = of_each.join(largest, "key").where("x.c <> y.c") \
+        .where(_passes(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), similarity))
+    return both.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct()
 
 
-#: Rounds go on until at most so many pairs per row are left, or for so many rounds; then all pairs left are taken.
-PAIRS_LEFT, ROUNDS = 0.5, 8
+#: Rounds go on while pairs between components exceed so many per row and the last round left at most this share of
+#: them, for so many rounds at most; then all pairs left are taken.
+PAIRS_LEFT, SHRUNK, ROUNDS = 4, 0.7, 8
 
 
 def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, DataFrame]:
@@ -389,31 +407,29 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
     labels = spark.createDataFrame([], "v long, c long")
     whole = spark.createDataFrame([], "uid long, grams array<long>")
     verified = spark.createDataFrame([], "a long, b long, linked boolean")
-    stalled, turn = False, 0
+    before, turn = float("inf"), 0
     while True:
         placed = written(_with_components(entries, labels), "placed")
         per_key = written(placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
             F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
             .where("parts > 1"), "mixed-keys")
         left = per_key.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2)).first()[0] or 0
-        every = stalled or turn == ROUNDS or left <= PAIRS_LEFT * total
+        every = turn == ROUNDS or left <= PAIRS_LEFT * total or left > SHRUNK * before
         if left:
-            both = _candidates(placed, per_key, turn, every)
-            close = both.where(_passes(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), similarity)) \
-                .select(F.least("uid_x", "uid_y").alias("a"), F.greatest("uid_x", "uid_y").alias("b")).distinct()
+            close = _candidates(placed, per_key, reps, turn, every, similarity)
             pairs = written(_suffix_filtered(close.join(verified, ["a", "b"], "left_anti"), reps, similarity), "pairs")
             missing = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(whole.select("uid"), "uid", "left_anti")
-            whole = whole.unionByName(_whole_sets(missing, reps, docs, "sets"))
+            if not missing.isEmpty():
+                whole = whole.unionByName(_whole_sets(missing, reps, docs, "sets"))
             fresh = written(_verified(pairs, whole, similarity), "verified")
             verified = verified.unionByName(fresh)
             found = fresh.where("linked").select("a", "b")
-            stalled = found.isEmpty()
-            if not stalled:
+            if not found.isEmpty():
                 old, labels = labels, _merged(labels, found)
                 forget(old)
             forget(pairs)
         forget(placed, per_key)
-        turn += 1
+        before, turn = left, turn + 1
         if every or not left:
             break
 
