@@ -81,7 +81,7 @@ def test_exact_at_the_border_and_in_every_round(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     rows += [(50 + i, t) for i, t in enumerate(chain(6))]
     df = docs(spark, [(i, t, "en") for i, t in rows])
-    for pairs, rounds in ((100, 8), (0, 8), (0, 1)):
+    for pairs, rounds in ((100, 8), (0, 8)):
         monkeypatch.setattr(nj, "PAIRS_LEFT", pairs)
         monkeypatch.setattr(nj, "ROUNDS", rounds)
         check(df, rows)
@@ -136,11 +136,10 @@ def test_every_link_is_counted(spark, monkeypatch):
     rows += [(100 + i, " ".join(base[:55] + [f"z{i}"])) for i in range(10)] + [(100, " ".join(base[:55] + ["z0"]))] * 3
     rows += [(200 + i, t) for i, t in enumerate(chain(6))] + [(None, rows[0][1]), (300, None), (301, "one two"), (302, "one TWO")]
     df = docs(spark, [(i, t, "en") for i, t in rows])
-    for block in (nj.BLOCK_SETS, 4):
+    for block, pairs in ((4, 0), (nj.BLOCK_SETS, 100)):  # links counted beside the rounds, and known from them
         monkeypatch.setattr(nj, "BLOCK_SETS", block)
-        for pairs in (0, 100):  # links known from the rounds, and counted beside them
-            monkeypatch.setattr(nj, "PAIRS_LEFT", pairs)
-            assert sorted(((r.doc_id, r.n_links) for r in nj.near_duplicates(df).collect()), key=key) == links(rows)
+        monkeypatch.setattr(nj, "PAIRS_LEFT", pairs)
+        assert sorted(((r.doc_id, r.n_links) for r in nj.near_duplicates(df).collect()), key=key) == links(rows)
 
 
 def test_links_of_the_corpus(spark):
