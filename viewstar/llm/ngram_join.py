@@ -268,8 +268,8 @@ def _links(labels: DataFrame, copies: DataFrame, verified: DataFrame, sets: Data
     """(uid, links): rows of other classes that each class links to.
 
     All links lie within components.  Where every pair of a component's
-    classes has been verified, its links are known; the others' are counted
-    on whole sets.
+    classes is among ``verified``, its links are known; the others' are
+    counted on whole sets.
     """
     classes = labels.groupBy("c").agg(F.count(F.lit(1)).alias("k"))
     inside = verified.join(labels.select(F.col("v").alias("a"), "c"), "a") \
@@ -386,9 +386,9 @@ def _candidates(placed: DataFrame, per_key: DataFrame, reps: DataFrame, turn: in
     return both.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")).distinct()
 
 
-#: Rounds go on while pairs between components exceed so many per row and the last round left at most this share of
-#: them, for so many rounds at most; then all pairs left are taken.
-PAIRS_LEFT, SHRUNK, ROUNDS = 4, 0.7, 8
+#: Rounds go on while pairs between components exceed so many per row and, after the least number of rounds, the last
+#: one left at most this share of them, for so many rounds at most; then all pairs left are taken.
+PAIRS_LEFT, SHRUNK, LEAST_ROUNDS, ROUNDS = 4, 0.7, 3, 8
 
 
 def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, DataFrame]:
@@ -399,6 +399,8 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
         .agg(F.min(F.struct("id", "uid")).alias("rep"), F.count(F.lit(1)).alias("copies"))
     sets = written(sets.select("sig1", "sig2", "copies", F.col("rep.id").alias("class_id"), F.col("rep.uid").alias("uid")), "classes")
     reps = written(rows.where(F.size("prefix") > 0).join(sets.select("uid"), "uid", "left_semi"), "representatives")
+    whole_rows, rows = rows, written(rows.select("uid", "id", "n", "sig1", "sig2"), "rows")
+    forget(whole_rows)
 
     entries = reps.select("uid", "n", F.explode("prefix").alias("e")).select("uid", "n", "e.key", "e.pos")
     keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
@@ -406,7 +408,7 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
     spark, total = docs.sparkSession, rows.count()
     labels = spark.createDataFrame([], "v long, c long")
     whole = spark.createDataFrame([], "uid long, grams array<long>")
-    verified = spark.createDataFrame([], "a long, b long, linked boolean")
+    tested = spark.createDataFrame([], "a long, b long, linked boolean")
     before, turn = float("inf"), 0
     while True:
         placed = written(_with_components(entries, labels), "placed")
@@ -414,16 +416,18 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
             F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
             .where("parts > 1"), "mixed-keys")
         left = per_key.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2)).first()[0] or 0
-        every = turn == ROUNDS or left <= PAIRS_LEFT * total or left > SHRUNK * before
+        every = turn == ROUNDS or left <= PAIRS_LEFT * total or (turn >= LEAST_ROUNDS and left > SHRUNK * before)
         if left:
             close = _candidates(placed, per_key, reps, turn, every, similarity)
-            pairs = written(_suffix_filtered(close.join(verified, ["a", "b"], "left_anti"), reps, similarity), "pairs")
+            pairs = close.join(tested, ["a", "b"], "left_anti")
+            pairs = written(pairs if every else _suffix_filtered(pairs, reps, similarity), "pairs")
             missing = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(whole.select("uid"), "uid", "left_anti")
             if not missing.isEmpty():
                 whole = whole.unionByName(_whole_sets(missing, reps, docs, "sets"))
             fresh = written(_verified(pairs, whole, similarity), "verified")
-            verified = verified.unionByName(fresh)
             found = fresh.where("linked").select("a", "b")
+            # Of the last round, whose pairs lay in different components, only links say anything about one component.
+            tested = tested.unionByName(fresh.where("linked") if every else fresh)
             if not found.isEmpty():
                 old, labels = labels, _merged(labels, found)
                 forget(old)
@@ -438,7 +442,7 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
     smallest = named.groupBy("c").agg(F.min("class_id").alias("component_id"))
     n_links = F.lit(None).cast("long")
     if links:
-        others = _links(labels, sets.select("uid", "copies"), verified, whole, reps, docs, similarity)
+        others = _links(labels, sets.select("uid", "copies"), tested, whole, reps, docs, similarity)
         named = named.join(others, "uid", "left")
         n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0).cast("long"))
     placed = written(named.join(smallest, "c").select("sig1", "sig2", "class_id", "component_id", n_links.alias("n_links")),
