@@ -102,3 +102,34 @@ def test_query_matches_a_plain_scoring(spark):
         assert abs(got[r.doc_id].score - score) < 1e-3 and got[r.doc_id].held_out == (r.doc_id in held)
         assert got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
     assert len(got) == df.count()
+
+
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    """More documents than one shard holds, long ones too: three quarters are counted and trained on."""
+    monkeypatch.setattr(toxicity, "SHARD_DOCS", 200)
+    tail = " ".join(["calm"] * 5000)
+    rows = [(i, f"the word{i} {'gruesome vile' if i % 4 == 0 else 'mild kind'} {tail if i % 100 == 3 else ''}", "en") for i in range(1200)]
+    # One word decides a few documents that any sample may miss.
+    rows += [(2000 + i, f"the word{i} mild kind zounds", "en") for i in range(8)]
+    marks = labels(spark, [(i, 1, int(i % 4 == 0 or i >= 2000), "x") for i, _, _ in rows])
+    counted = []
+    real = toxicity._Training.begin.__func__
+    monkeypatch.setattr(toxicity._Training, "begin",
+                        classmethod(lambda cls, seen, n, *a: (counted.append((seen, n)), real(cls, seen, n, *a))[1]))
+    twice = rows + rows[:50] + [(None, "no id", "en"), (5000, "no label", "en")]
+    model = toxicity.train(docs(spark, twice), marks)
+    (seen, n), = counted
+    total = len(rows)
+    assert n.sum() == seen[0].sum(axis=0).max() and 0.74 * total < n.sum() < 0.78 * total
+    got = {r.id: r.predicted for r in toxicity.score(docs(spark, rows), model).collect()}
+    assert all(got[i] == int(i % 4 == 0 or i >= 2000) for i, _, _ in rows)
+
+
+def test_one_shard_trains_as_one_machine_does(spark):
+    """The shards' path on one shard gives the model of the plain trainer on the same rows."""
+    bad, good = "you are a stupid idiot", "what a fine and sunny day"
+    train = [(i, f"{bad if i % 3 == 0 else good} word{i} word{i // 2}", "en") for i in range(160)]
+    marks = labels(spark, [(i, 1, int(i % 3 == 0), "x") for i in range(160)])
+    one, plain = (toxicity.train(docs(spark, train), marks, sample_docs=k, epochs=2) for k in (None, 10_000))
+    assert np.array_equal(one.tables, plain.tables) and np.array_equal(one.out, plain.out)
+    assert abs(one.threshold - plain.threshold) < 2 / toxicity._STEPS

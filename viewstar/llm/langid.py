@@ -215,8 +215,8 @@ def _trees(code: np.ndarray, counts: np.ndarray, size: int, order: int):
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
-          sample_docs: int = 1500, order: int = ORDER) -> Model:
-    """Learn from about ``sample_docs`` documents of each language (all, if there are fewer),
+          sample_docs: int | None = 1500, order: int = ORDER) -> Model:
+    """Learn from about ``sample_docs`` documents of each language (all, if there are fewer, or for None),
     chosen by the hash of id and text.  Rows without text or language are not used.
 
     Only gram counts come to the driver.
@@ -228,9 +228,11 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     if not sizes:
         return Model([], np.zeros(256, np.int16), 1, 0, np.zeros((1, 0), np.float32), [], [])
     languages = sorted(sizes)
-    many = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])
-    sample = hash_share(labelled, F.struct("id", "text"), F.lit(float(sample_docs)), many[F.col("lang")])
-    grams = _gram_counts(sample, order).toPandas()
+    learned = labelled
+    if sample_docs is not None:
+        many = F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(v))])
+        learned = hash_share(labelled, F.struct("id", "text"), F.lit(float(sample_docs)), many[F.col("lang")])
+    grams = _gram_counts(learned, order).toPandas()
     codes = grams["gram"].to_numpy(dtype=np.int64)
     raw = np.stack([(codes >> (8 * (order - k))) & 255 for k in range(order + 1)])
     high = np.unique(raw[raw > 127])

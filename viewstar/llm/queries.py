@@ -52,7 +52,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted; labels come from the rows that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    language = langid.train(docs.where(~held_out("doc_id", 5, 0)), sample_docs=300, order=2)
+    language = langid.train(docs.where(~held_out("doc_id", 5, 0)), sample_docs=None, order=2)
     model = toxicity.train(docs, labels.where(~held_out("doc_id", 5, 0)), language)
     return toxicity.score(docs, model).select(
         F.col("id").alias("doc_id"), held_out("id", 5, 0).alias("held_out"), "score", "predicted")
