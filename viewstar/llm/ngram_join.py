@@ -403,18 +403,21 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
     forget(whole_rows)
 
     entries = reps.select("uid", "n", F.explode("prefix").alias("e")).select("uid", "n", "e.key", "e.pos")
-    keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    entries = written(entries.join(keys, "key"), "prefix-entries")
+    keys = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared-keys")
+    entries = written(entries.join(keys.select("key"), "key").select("uid", "n", "key", "pos"), "prefix-entries")
     spark, total = docs.sparkSession, rows.count()
     labels = spark.createDataFrame([], "v long, c long")
     whole = spark.createDataFrame([], "uid long, grams array<long>")
     tested = spark.createDataFrame([], "a long, b long, linked boolean")
     before, turn = float("inf"), 0
     while True:
-        placed = written(_with_components(entries, labels), "placed")
-        per_key = written(placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
-            .where("parts > 1"), "mixed-keys")
+        if turn:
+            placed = written(_with_components(entries, labels), "placed")
+            per_key = written(placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
+                F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
+                .where("parts > 1"), "mixed-keys")
+        else:  # every class is a component, and has an n-gram once: the counts are there
+            placed, per_key = entries.withColumn("c", F.col("uid")), keys.withColumn("mm", F.col("m"))
         left = per_key.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2)).first()[0] or 0
         every = turn == ROUNDS or left <= PAIRS_LEFT * total or (turn >= LEAST_ROUNDS and left > SHRUNK * before)
         if left:
@@ -432,7 +435,7 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
                 old, labels = labels, _merged(labels, found)
                 forget(old)
             forget(pairs)
-        forget(placed, per_key)
+        forget(*((placed, per_key) if turn else (keys,)))
         before, turn = left, turn + 1
         if every or not left:
             break
