@@ -179,3 +179,19 @@ def test_components_of_any_graph(spark):
                 want[v] = min(reach)
         got = components(spark.createDataFrame(edges, "a long, b long"))
         assert {r.v: r.c for r in got.collect()} == want
+
+
+def test_near_misses_are_ruled_out_before_whole_sets(spark, monkeypatch):
+    """140 texts, each with 4 of 16 passages changed, any two alike in at most 2 of them: 2,520 pairs at 0.76, no link."""
+    changed = [{a, b, c, a ^ b ^ c} for a in range(16) for b in range(a) for c in range(b) if a ^ b ^ c < c]
+    rows = [(i, " ".join(f"v{k}" if k % 9 == 4 and k // 9 in four else f"w{k}" for k in range(150)))
+            for i, four in enumerate(changed)]
+    seen, real = [], nj._verified
+
+    def counted(pairs, sets, similarity):
+        seen.append(pairs.count())
+        return real(pairs, sets, similarity)
+    monkeypatch.setattr(nj, "_verified", counted)
+    monkeypatch.setattr(nj, "PAIRS_LEFT", 10 ** 6)  # all pairs at once
+    check(docs(spark, [(i, t, "en") for i, t in rows]), rows)
+    assert len(rows) == 140 and sum(seen) < 250

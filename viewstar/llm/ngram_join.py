@@ -10,9 +10,10 @@
    exact.  Two sets of similarity t share an n-gram among their first
    n - ceil(t n) + 1; those that occur in no other document are not sent at all.
 3. Documents with equal sets are one class; classes are joined on prefix
-   n-grams with length and positional filters, then a suffix filter (the
-   overlap is at most the sum of the smaller counts per hash bucket), and each
-   remaining pair of classes is verified once on the whole sets.
+   n-grams with length and positional filters, then a sketch filter (a sketch
+   holds per hash bucket whether a set has an odd number of n-grams there; sets
+   differ in at least one n-gram per bucket in which their sketches differ), and
+   each remaining pair of classes is verified once on the whole sets.
 4. To stay clear of all pairs inside a large group of near copies, a round
    takes of every prefix n-gram one class per component and pairs it with the
    largest component's; links merge components at once, and classes already
@@ -24,6 +25,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -38,7 +42,7 @@ N = 5
 SIMILARITY = 80  # per cent
 #: Document frequencies from which an n-gram is in class 1, 2, 3 (class 0: one document).
 CLASSES = (2, 16, 256)
-BUCKETS = 64     # of the suffix filter
+BUCKETS = 1024   # of the sketch filter, a bit each
 _KEEP = np.uint64(0x3FFFFFFFFFFFFFFF)  # n-gram hashes have 62 bits; the class stands above them
 _FLUSH = 2_000_000  # n-grams a task gathers before it sends them on
 
@@ -76,6 +80,12 @@ def _signatures(owner: np.ndarray, key: np.ndarray, rows: int) -> tuple[np.ndarr
     return out[0], out[1]
 
 
+def _sketches(owner: np.ndarray, key: np.ndarray, rows: int) -> np.ndarray:
+    """Per set, a bit for each hash bucket that holds an odd number of its n-grams, as rows of 64-bit words."""
+    counts = np.bincount(owner * BUCKETS + (key & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=rows * BUCKETS)
+    return np.packbits((counts & 1).astype(bool), bitorder="little").view("<i8").reshape(rows, BUCKETS // 64)
+
+
 # -- 1. document frequencies --------------------------------------------------------------
 def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
     """For each class bound, the bitmap of n-grams (by their upper 40 bits) in that many documents."""
@@ -135,7 +145,7 @@ def _levels(key: np.ndarray, classes: list[Bitmap]) -> np.ndarray:
 
 # -- 2. prefixes --------------------------------------------------------------------------
 def _prefixes(docs: DataFrame, classes: list[Bitmap], similarity: int) -> DataFrame:
-    """uid, id, n, sig1, sig2 per row, with prefix n-grams (shared ones only) and bucket counts."""
+    """uid, id, n, sig1, sig2 per row, with prefix n-grams (shared ones only) and sketch."""
     importable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(classes)
     entry = pa.struct([("key", pa.int64()), ("pos", pa.int32())])
@@ -157,20 +167,19 @@ def _prefixes(docs: DataFrame, classes: list[Bitmap], similarity: int) -> DataFr
                 use = (pos < np.repeat(length, n)) & (o_level > 0)
                 cut = np.append(0, np.cumsum(np.bincount(owner[use], minlength=rows)))
                 joined = np.diff(cut) > 0
-                profile = np.bincount(owner * BUCKETS + (key & np.uint64(BUCKETS - 1)).astype(np.int64),
-                                      minlength=rows * BUCKETS).reshape(rows, BUCKETS)[joined].astype(np.int32)
+                sketch = _sketches(owner, key, rows)[joined]
                 entries = pa.StructArray.from_arrays(
                     [pa.array(tk.signed(o_key[use])), pa.array(pos[use].astype(np.int32))], fields=list(entry))
-                ends = np.append(0, np.cumsum(joined) * BUCKETS).astype(np.int32)
+                ends = np.append(0, np.cumsum(joined) * (BUCKETS // 64)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uid + np.arange(rows)), batch.column("id").slice(lo, rows), pa.array(n.astype(np.int64)),
                      pa.array(tk.signed(sig1)), pa.array(tk.signed(sig2)),
                      pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), entries),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(profile.ravel()))],
-                    ["uid", "id", "n", "sig1", "sig2", "prefix", "profile"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(sketch.ravel()))],
+                    ["uid", "id", "n", "sig1", "sig2", "prefix", "sketch"])
                 uid += rows
     return docs.mapInArrow(run, "uid long, id long, n long, sig1 long, sig2 long, "
-                                "prefix array<struct<key: long, pos: int>>, profile array<int>")
+                                "prefix array<struct<key: long, pos: int>>, sketch array<long>")
 
 
 # -- 3. filters and verification ----------------------------------------------------------
@@ -190,16 +199,17 @@ def _passes(n: Column, pos: Column, m: Column, qos: Column, similarity: int) ->
     return length & (F.least(n - pos, m - qos) >= _needed(n, m, similarity))
 
 
-def _overlap(p: Column, q: Column) -> Column:
-    """At most so many common n-grams, by the counts per hash bucket (suffix filter)."""
-    return F.aggregate(F.zip_with(p, q, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+def _close(n: Column, p: Column, m: Column, q: Column, similarity: int) -> Column:
+    """Whether two sets of these sizes and sketches may be similar enough (sketch filter)."""
+    apart = reduce(add, [F.bit_count(p[k].bitwiseXOR(q[k])) for k in range(BUCKETS // 64)])
+    return apart <= n + m - 2 * _needed(n, m, similarity)
 
 
-def _suffix_filtered(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
-    one = reps.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("profile").alias("p_a"))
-    two = reps.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("profile").alias("p_b"))
+def _sketch_filtered(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
+    one = reps.select(F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("p_a"))
+    two = reps.select(F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("p_b"))
     return pairs.join(one, "a").join(two, "b") \
-        .where(_overlap(F.col("p_a"), F.col("p_b")) >= _needed(F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
+        .where(_close(F.col("n_a"), F.col("p_a"), F.col("n_b"), F.col("p_b"), similarity)).select("a", "b")
 
 
 def _whole_sets(uids: DataFrame, reps: DataFrame, docs: DataFrame, name: str) -> DataFrame:
@@ -359,23 +369,28 @@ def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
     return out
 
 
-def _candidates(placed: DataFrame, per_key: DataFrame, reps: DataFrame, turn: int, every: bool, similarity: int) -> DataFrame:
+def _candidates(mixed: DataFrame, reps: DataFrame, turn: int, every: bool, similarity: int) -> DataFrame:
     """(a, b): pairs of classes in different components that share an n-gram and pass the filters.
 
+    ``mixed`` holds the entries of the n-grams that occur in several components.
+
     One class of each component with one of the n-gram's largest component; or
     (``every``) all pairs, each at its first common prefix n-gram only, with
-    the suffix filter in the join, so no more pairs leave it than are verified.
+    the sketch filter in the join, so no more pairs leave it than are verified.
     """
-    mixed = placed.join(per_key.select("key"), "key")
     entry = ["uid", "n", "pos", "c"]
     if every:
-        mixed = mixed.join(reps.select("uid", "profile", F.transform("prefix", lambda e: e["key"]).alias("keys")), "uid")
-        x, y = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in (*entry, "profile", "keys")]) for side in "xy")
-        need = _needed(F.col("n_x"), F.col("n_y"), similarity)
+        # All n-grams that two classes of different components share are mixed, so the others need no place in a row.
+        ordered = mixed.groupBy("uid").agg(F.first("n").alias("n"), F.first("c").alias("c"),
+                                           F.sort_array(F.collect_list(F.struct("pos", "key"))).alias("at"))
+        mixed = ordered.join(reps.select("uid", "sketch"), "uid") \
+            .select("uid", "n", "c", "sketch", F.col("at.key").alias("keys"), F.posexplode("at").alias("i", "e")) \
+            .select("uid", "n", "c", "sketch", "e.pos", "e.key", F.slice("keys", F.lit(1), F.col("i")).alias("before"))
+        x, y = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in (*entry, "sketch", "before")]) for side in "xy")
         filters = (F.col("uid_x") < F.col("uid_y")) & (F.col("c_x") != F.col("c_y")) \
             & _passes(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), similarity) \
-            & (_overlap(F.col("profile_x"), F.col("profile_y")) >= need) \
-            & (F.element_at(F.array_intersect("keys_x", "keys_y"), 1) == F.col("x.key"))
+            & _close(F.col("n_x"), F.col("sketch_x"), F.col("n_y"), F.col("sketch_y"), similarity) \
+            & ~F.arrays_overlap("before_x", "before_y")
         return x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & filters) \
             .select(F.col("uid_x").alias("a"), F.col("uid_y").alias("b"))
     of_each = mixed.groupBy("key", "c").agg(F.min_by(F.struct(*entry), F.xxhash64("uid", F.lit(turn))).alias("x"),
@@ -404,7 +419,7 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
 
     entries = reps.select("uid", "n", F.explode("prefix").alias("e")).select("uid", "n", "e.key", "e.pos")
     keys = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared-keys")
-    entries = written(entries.join(keys.select("key"), "key").select("uid", "n", "key", "pos"), "prefix-entries")
+    entries = stored = written(entries.join(keys.select("key"), "key").select("uid", "n", "key", "pos"), "prefix-entries")
     spark, total = docs.sparkSession, rows.count()
     labels = spark.createDataFrame([], "v long, c long")
     whole = spark.createDataFrame([], "uid long, grams array<long>")
@@ -417,13 +432,19 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
                 F.count(F.lit(1)).alias("parts"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("mm"))
                 .where("parts > 1"), "mixed-keys")
         else:  # every class is a component, and has an n-gram once: the counts are there
-            placed, per_key = entries.withColumn("c", F.col("uid")), keys.withColumn("mm", F.col("m"))
+            mixed, per_key = entries.withColumn("c", F.col("uid")), keys.withColumn("mm", F.col("m"))
         left = per_key.agg(F.sum((F.col("m") * F.col("m") - F.col("mm")) / 2)).first()[0] or 0
         every = turn == ROUNDS or left <= PAIRS_LEFT * total or (turn >= LEAST_ROUNDS and left > SHRUNK * before)
+        if turn:  # an n-gram within one component stays so: its entries have no part in later rounds either
+            mixed = placed.join(per_key.select("key"), "key")
+            if not every:
+                forget(stored)
+                mixed = stored = written(mixed, "mixed-entries")
+                entries = mixed.select("uid", "n", "key", "pos")
         if left:
-            close = _candidates(placed, per_key, reps, turn, every, similarity)
+            close = _candidates(mixed, reps, turn, every, similarity)
             pairs = close.join(tested, ["a", "b"], "left_anti")
-            pairs = written(pairs if every else _suffix_filtered(pairs, reps, similarity), "pairs")
+            pairs = written(pairs if every else _sketch_filtered(pairs, reps, similarity), "pairs")
             missing = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(whole.select("uid"), "uid", "left_anti")
             if not missing.isEmpty():
                 whole = whole.unionByName(_whole_sets(missing, reps, docs, "sets"))
@@ -450,7 +471,7 @@ def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFram
         n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0).cast("long"))
     placed = written(named.join(smallest, "c").select("sig1", "sig2", "class_id", "component_id", n_links.alias("n_links")),
                      "components")
-    forget(sets, reps, entries, labels)
+    forget(sets, reps, stored, labels)
     return rows, placed
 
 
