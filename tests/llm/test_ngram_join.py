@@ -195,3 +195,15 @@ def test_near_misses_are_ruled_out_before_whole_sets(spark, monkeypatch):
     monkeypatch.setattr(nj, "PAIRS_LEFT", 10 ** 6)  # all pairs at once
     check(docs(spark, [(i, t, "en") for i, t in rows]), rows)
     assert len(rows) == 140 and sum(seen) < 250
+
+
+def test_python_tasks_get_small_batches(spark, monkeypatch):
+    name, seen, real = "spark.sql.execution.arrow.maxRecordsPerBatch", [], nj._whole_sets
+    before = spark.conf.get(name)
+
+    def spied(*args):
+        seen.append(int(spark.conf.get(name)))
+        return real(*args)
+    monkeypatch.setattr(nj, "_whole_sets", spied)
+    nj.first_of_each(docs(spark, [(i, " ".join(f"w{k}" for k in range(40 + i)), "en") for i in range(4)]))
+    assert seen and max(seen) <= 500 and spark.conf.get(name) == before

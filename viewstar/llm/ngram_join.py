@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from viewstar.llm import textkit as tk
 from viewstar.llm.components import components
-from viewstar.llm.tables import Bitmap, by_batch, forget, importable, texts, written
+from viewstar.llm.tables import Bitmap, by_batch, forget, importable, small_batches, texts, written
 
 N = 5
 SIMILARITY = 80  # per cent
@@ -408,6 +408,11 @@ PAIRS_LEFT, SHRUNK, LEAST_ROUNDS, ROUNDS = 4, 0.7, 3, 8
 
 def _components(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, DataFrame]:
     """Every row with its set's signature, and per set its class, component and (with ``links``) number of linked rows."""
+    with small_batches(docs.sparkSession):  # every Python task of it has run when it returns
+        return _joined(docs, similarity, links)
+
+
+def _joined(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, DataFrame]:
     classes = _frequency_classes(docs)
     rows = written(_prefixes(docs, classes, similarity), "prefixes")
     sets = rows.where("n > 0 AND id IS NOT NULL").groupBy("sig1", "sig2") \

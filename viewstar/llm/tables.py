@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -66,6 +67,19 @@ def by_batch(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordB
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Python tasks that run inside get at most so many rows at once: the default of 10,000 is counted in
+    rows, and whole texts of that many fill both sides of the pipe."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def hash_share(df: DataFrame, key: Column, wanted: Column, total: Column) -> DataFrame:
     """About ``wanted`` of ``total`` rows, chosen by the hash of ``key`` (no shuffle, the same every time).
 
