@@ -207,3 +207,25 @@ def test_python_tasks_get_small_batches(spark, monkeypatch):
     monkeypatch.setattr(nj, "_whole_sets", spied)
     nj.first_of_each(docs(spark, [(i, " ".join(f"w{k}" for k in range(40 + i)), "en") for i in range(4)]))
     assert seen and max(seen) <= 500 and spark.conf.get(name) == before
+
+
+def test_rounds_move_only_the_sets_of_their_pairs(spark, monkeypatch):
+    seen, real = [], nj._verified
+
+    def counted(pairs, sets, similarity):
+        ends = {x for r in pairs.select("a", "b").collect() for x in r}
+        seen.append(({r.uid for r in sets.select("uid").collect()}, ends))
+        return real(pairs, sets, similarity)
+    monkeypatch.setattr(nj, "_verified", counted)
+    monkeypatch.setattr(nj, "PAIRS_LEFT", 0)
+    rows = list(enumerate(chain(12)))
+    check(docs(spark, [(i, t, "en") for i, t in rows]), rows)
+    assert len(seen) > 2 and all(sets == ends for sets, ends in seen)
+
+
+def test_last_round_takes_entries_with_a_partner_only(spark):
+    """(key, uid, n, pos, c): lengths 10 and 9 go together; 100 has none at its n-gram; a component alone has none."""
+    rows = [(1, 11, 10, 0, 11), (1, 12, 9, 0, 12), (1, 13, 100, 0, 13), (2, 14, 50, 0, 14), (2, 15, 50, 0, 14),
+            (3, 16, 10, 2, 16), (3, 17, 10, 9, 17)]
+    mixed = spark.createDataFrame(rows, "key long, uid long, n long, pos int, c long")
+    assert {r.uid for r in nj._with_partner(mixed, 80).collect()} == {11, 12}

@@ -369,6 +369,19 @@ def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
     return out
 
 
+def _with_partner(mixed: DataFrame, similarity: int) -> DataFrame:
+    """The entries that pass the length and positional filters with one of another component at their n-gram.
+
+    The others are part of no link: a linked pair passes at its first common
+    n-gram, where both its entries stay.
+    """
+    entry = ["uid", "n", "pos", "c"]
+    x, y = (mixed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in entry]).alias(side) for side in "xy")
+    passes = (F.col("c_x") != F.col("c_y")) & _passes(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"), similarity)
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & passes, "left_semi") \
+        .select("key", *[F.col(f"{c}_x").alias(c) for c in entry])
+
+
 def _candidates(mixed: DataFrame, reps: DataFrame, turn: int, every: bool, similarity: int) -> DataFrame:
     """(a, b): pairs of classes in different components that share an n-gram and pass the filters.
 
@@ -380,7 +393,8 @@ def _candidates(mixed: DataFrame, reps: DataFrame, turn: int, every: bool, simil
     """
     entry = ["uid", "n", "pos", "c"]
     if every:
-        # All n-grams that two classes of different components share are mixed, so the others need no place in a row.
+        mixed = _with_partner(mixed, similarity)
+        # Every n-gram at which a pair passes is here for both of its classes, so the others need no place in a row.
         ordered = mixed.groupBy("uid").agg(F.first("n").alias("n"), F.first("c").alias("c"),
                                            F.sort_array(F.collect_list(F.struct("pos", "key"))).alias("at"))
         mixed = ordered.join(reps.select("uid", "sketch"), "uid") \
@@ -393,8 +407,11 @@ def _candidates(mixed: DataFrame, reps: DataFrame, turn: int, every: bool, simil
             & ~F.arrays_overlap("before_x", "before_y")
         return x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & filters) \
             .select(F.col("uid_x").alias("a"), F.col("uid_y").alias("b"))
-    of_each = mixed.groupBy("key", "c").agg(F.min_by(F.struct(*entry), F.xxhash64("uid", F.lit(turn))).alias("x"),
-                                            F.count(F.lit(1)).alias("m"))
+    if turn:
+        of_each = written(mixed.groupBy("key", "c").agg(F.min_by(F.struct(*entry), F.xxhash64("uid", F.lit(turn))).alias("x"),
+                                                        F.count(F.lit(1)).alias("m")), "one-of-each")
+    else:  # nothing is linked yet: a component has an n-gram once
+        of_each = mixed.select("key", "c", F.struct(*entry).alias("x"), F.lit(1).alias("m"))
     largest = of_each.groupBy("key").agg(F.min_by("x", F.struct(-F.col("m"), F.xxhash64("c", F.lit(turn)))).alias("y"))
     both = of_each.join(largest, "key").where("x.c <> y.c") \
         .where(_passes(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), similarity))
@@ -450,17 +467,20 @@ def _joined(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, D
             close = _candidates(mixed, reps, turn, every, similarity)
             pairs = close.join(tested, ["a", "b"], "left_anti")
             pairs = written(pairs if every else _sketch_filtered(pairs, reps, similarity), "pairs")
-            missing = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct().join(whole.select("uid"), "uid", "left_anti")
+            ends = written(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "ends-of-pairs")
+            used = whole.join(ends, "uid", "left_semi")  # a round moves only the sets of its own pairs
+            missing = ends.join(whole.select("uid"), "uid", "left_anti")
             if not missing.isEmpty():
-                whole = whole.unionByName(_whole_sets(missing, reps, docs, "sets"))
-            fresh = written(_verified(pairs, whole, similarity), "verified")
+                more = _whole_sets(missing, reps, docs, "sets")
+                whole, used = whole.unionByName(more), used.unionByName(more)
+            fresh = written(_verified(pairs, used, similarity), "verified")
             found = fresh.where("linked").select("a", "b")
             # Of the last round, whose pairs lay in different components, only links say anything about one component.
             tested = tested.unionByName(fresh.where("linked") if every else fresh)
             if not found.isEmpty():
                 old, labels = labels, _merged(labels, found)
                 forget(old)
-            forget(pairs)
+            forget(pairs, ends)
         forget(*((placed, per_key) if turn else (keys,)))
         before, turn = left, turn + 1
         if every or not left:
