@@ -229,3 +229,42 @@ def test_last_round_takes_entries_with_a_partner_only(spark):
             (3, 16, 10, 2, 16), (3, 17, 10, 9, 17)]
     mixed = spark.createDataFrame(rows, "key long, uid long, n long, pos int, c long")
     assert {r.uid for r in nj._with_partner(mixed, 80).collect()} == {11, 12}
+
+
+def test_rows_that_stay_need_no_exact_join(spark):
+    """Only rows whose bit is set meet the dropped ones; with few bits that is every row, and the result is the same."""
+    from pyspark.sql import functions as F
+    from viewstar.llm.tables import without
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("text"))
+    for share in (0, 7, 2, 1):
+        dropped = df.where(F.col("id") % share == 0 if share else F.lit(False)).select("id")
+        want = {i for i in range(1000) if not share or i % share}
+        for bits in (64, 1 << 12, 1 << 23):
+            assert {r.id for r in without(df, dropped, "id", bits).collect()} == want
+
+
+def test_first_of_each_starts_no_plain_python_tables(spark, monkeypatch):
+    """Empty tables of the rounds come from the JVM: Python row tasks would hold workers beside those of the texts."""
+    df = docs(spark, [(i, " ".join(f"w{k}" for k in range(40 + i)), "en") for i in range(4)])
+
+    def refused(*args, **kwargs):
+        raise AssertionError("createDataFrame")
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    assert [r.doc_id for r in nj.first_of_each(df).collect()] == [0]
+
+
+def test_workers_give_freed_memory_back():
+    """Small pieces freed around ones that stay are kept by the C library until it is told to return them."""
+    import re
+    from pathlib import Path
+    from viewstar.llm.tables import lean
+
+    def held():
+        return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()).group(1)) >> 10
+    import numpy as np
+    pieces = [np.ones(2000) for _ in range(10_000)]  # 160 MB, each too small for a mapping of its own
+    stay = pieces[-1]
+    before = held()
+    del pieces
+    lean()
+    assert before - held() > 100 and len(stay) == 2000

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from viewstar.llm import textkit as tk
 from viewstar.llm.components import components
-from viewstar.llm.tables import Bitmap, by_batch, forget, importable, small_batches, texts, written
+from viewstar.llm.tables import Bitmap, by_batch, forget, importable, lean, small_batches, texts, without, written
 
 N = 5
 SIMILARITY = 80  # per cent
@@ -98,7 +98,12 @@ def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
     importable(spark)
 
     def emit(keys: list[np.ndarray]):
-        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        key = np.concatenate(keys)
+        keys.clear()
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        n = np.diff(first, append=len(key)).astype(np.uint32)
+        key = key[first]
         at = np.searchsorted(key, np.arange(ranges + 1, dtype=np.int64) * width)
         rows = [(r, tk.planes(np.diff(key[a:b], prepend=r * width)), tk.planes(n[a:b]))
                 for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
@@ -107,6 +112,7 @@ def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
                                            pa.array([x[2] for x in rows], pa.binary())], ["r", "deltas", "n"])
 
     def count(batches):
+        lean()
         held, size = [], 0
         for batch in batches:
             for _, _, s in tk.slices(batch.column("text"), tk.SPACE_WORDS):
@@ -115,9 +121,11 @@ def _frequency_classes(docs: DataFrame) -> list[Bitmap]:
                 size += len(key)
                 if size >= _FLUSH:
                     yield emit(held)
-                    held, size = [], 0
+                    size = 0
         if size:
             yield emit(held)
+        batch = s = key = None
+        lean()
 
     def add(group: pa.Table) -> pa.Table:
         keys = [np.cumsum(tk.unplanes(d.as_py()), dtype=np.int64) for d in group.column("deltas")]
@@ -151,6 +159,7 @@ def _prefixes(docs: DataFrame, classes: list[Bitmap], similarity: int) -> DataFr
     entry = pa.struct([("key", pa.int64()), ("pos", pa.int32())])
 
     def run(batches):
+        lean()
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi, s in tk.slices(batch.column("text"), tk.SPACE_WORDS):
@@ -443,9 +452,10 @@ def _joined(docs: DataFrame, similarity: int, links: bool) -> tuple[DataFrame, D
     keys = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared-keys")
     entries = stored = written(entries.join(keys.select("key"), "key").select("uid", "n", "key", "pos"), "prefix-entries")
     spark, total = docs.sparkSession, rows.count()
-    labels = spark.createDataFrame([], "v long, c long")
-    whole = spark.createDataFrame([], "uid long, grams array<long>")
-    tested = spark.createDataFrame([], "a long, b long, linked boolean")
+    none = spark.range(0)  # empty tables without a Python task
+    labels = none.select(F.col("id").alias("v"), F.col("id").alias("c"))
+    whole = none.select(F.col("id").alias("uid"), F.array("id").alias("grams"))
+    tested = none.select(F.col("id").alias("a"), F.col("id").alias("b"), (F.col("id") > 0).alias("linked"))
     before, turn = float("inf"), 0
     while True:
         if turn:
@@ -542,4 +552,5 @@ def first_of_each(docs: DataFrame, similarity: int = SIMILARITY, id_column: str
         .join(numbered.select("__row", F.col(id_column).cast("long").alias("__id")), "__row")
     first = member.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__row")).alias("f"))
     kept = written(first.select(F.col("f.__row").alias("__row")), "kept-rows")
-    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
+    dropped = written(rows.select(F.col("id").alias("__row")).join(kept, "__row", "left_anti"), "dropped-rows")
+    return without(numbered, dropped, "__row").select(*docs.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -56,14 +57,27 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+def lean() -> None:
+    """Give back what this Python worker has freed: Spark keeps workers for later tasks, and neither Arrow's pool
+    nor the C library returns memory of finished ones by itself."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
 def by_batch(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow over every batch."""
     importable(df.sparkSession)
 
     def run(batches):
+        lean()
         for batch in batches:
             if batch.num_rows:
                 yield from each(batch)
+        batch = None
+        lean()
     return df.mapInArrow(run, schema)
 
 
@@ -80,6 +94,22 @@ def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def without(df: DataFrame, dropped: DataFrame, key: str, bits: int = 1 << 23) -> DataFrame:
+    """``df`` less the rows whose ``key`` is in ``dropped`` (no nulls there); whole rows are shuffled only where needed.
+
+    A table of at most ``bits / 64`` words, whatever the size of ``dropped``,
+    says for most rows that they stay; the others take an exact join.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = dropped.select(slot.alias("__slot")).groupBy(F.expr("__slot div 64").alias("__word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(__slot % 64 as int))")).alias("__bits"))
+    marked = df.withColumn("__slot", slot).withColumn("__word", F.expr("__slot div 64")) \
+        .join(F.broadcast(words), "__word", "left") \
+        .withColumn("__maybe", F.coalesce(F.expr("shiftright(__bits, cast(__slot % 64 as int)) & 1L"), F.lit(0)) == 1)
+    stay = marked.where("NOT __maybe").select(*df.columns)
+    return stay.unionByName(marked.where("__maybe").select(*df.columns).join(dropped, key, "left_anti").select(*df.columns))
+
+
 def hash_share(df: DataFrame, key: Column, wanted: Column, total: Column) -> DataFrame:
     """About ``wanted`` of ``total`` rows, chosen by the hash of ``key`` (no shuffle, the same every time).
 
