@@ -81,3 +81,10 @@ def test_clean_decides_every_row_by_its_own_text(spark):
     kept = dc.clean(docs(spark, [(i, t, "en") for i, t in rows]), bench)
     assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=key) == sorted(
         [r for r in rows if not (r[1] or "").startswith(ten)], key=key)
+
+
+def test_clean_takes_whole_rows_past_python(spark):
+    """Texts are read in Python once, for their windows; the rows themselves are told apart by Spark."""
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    kept = dc.clean(docs(spark, [(1, "a b c d e f g h i j k", "en"), (2, "fine", "en")]), bench)
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString() and [r.doc_id for r in kept.collect()] == [2]

@@ -114,3 +114,37 @@ def test_rows_of_codes_are_found():
     assert (rows.of(codes) == np.arange(len(codes))).all()
     assert (rows.of(codes[codes < (1 << 40) - 2] + 1)[~np.isin(codes[codes < (1 << 40) - 2] + 1, codes)] == -1).all()
     assert len(langid._Rows(codes[:0]).of(codes)) == len(codes) and (langid._Rows(codes[:0]).of(codes) == -1).all()
+
+
+def test_whole_texts_are_handled_in_small_pieces(spark):
+    """However many rows a batch has, what works on texts gets about so many bytes at once, and every row."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from viewstar.llm.tables import by_batch
+
+    def count(batch):
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+    df = spark.range(2000, numPartitions=1).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    got = by_batch(df, count, "n long, size long", 100_000).collect()
+    assert sum(r.n for r in got) == 2000 and max(r.size for r in got) < 120_000
+    assert [r.n for r in by_batch(df.limit(3), count, "n long, size long", 10).collect()] == [1, 1, 1]
+    assert sum(r.n for r in by_batch(df, count, "n long, size long").collect()) == 2000
+
+
+def test_spoken_takes_whole_rows_past_python(spark):
+    """Texts are scored in small batches that end with the call; the rows themselves are told apart by Spark."""
+    model = langid.train(docs(spark, TRAIN))
+    kept = langid.spoken(docs(spark, [(1, "der hund und die katze", "zz"), (2, None, "zz"), (3, "12 3", "zz")]), model)
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString() and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_scoring_takes_little_memory_beside_the_texts(spark):
+    import tracemalloc
+    import pyarrow as pa
+    model = langid.train(docs(spark, TRAIN))
+    texts = pa.array(["the dog and the cat " * 100] * 500)  # 1 MB
+    tracemalloc.start()
+    model.predict(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20

@@ -114,3 +114,27 @@ def test_added_tokens_are_the_unmodified_librarys(spark):
     assert [[*g.tolist(), 0] for g in got] == expected
     pieces = pk.pack(docs(spark, [(i, t, "en") for i, t in enumerate(texts)]), with_ids=True).collect()
     assert {p.doc_id: np.frombuffer(p.ids, "<u4").tolist() for p in pieces} == dict(enumerate(expected))
+
+
+def test_texts_reach_the_encoder_in_small_batches(spark, monkeypatch):
+    """Tokens are made while Python tasks get few rows at once; the session's own setting is back afterwards."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    before, real = spark.conf.get(name), pk.written
+
+    def watched(df, to):
+        seen[to] = int(spark.conf.get(name))
+        return real(df, to)
+    monkeypatch.setattr(pk, "written", watched)
+    rows = [(i, f"row {i} " * (i % 50)) for i in range(1200)]
+    pieces = pk.pack(docs(spark, [(i, t, "en") for i, t in rows]).coalesce(1), window=64).collect()
+    assert seen["tokens"] == 500 and spark.conf.get(name) == before
+    assert {p.doc_id for p in pieces} == set(range(1200))
+
+
+def test_library_is_kept_only_once_a_text_needs_it(library):
+    encoder = pk.Encoder()
+    encoder.one("plain text")
+    assert not any(isinstance(x, Tokenizer) for x in vars(encoder).values())
+    text = "a <|endoftext|> b"
+    assert encoder.one(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert any(isinstance(x, Tokenizer) for x in vars(encoder).values())

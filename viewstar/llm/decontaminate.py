@@ -18,10 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from viewstar.llm import textkit as tk
-from viewstar.llm.tables import Bitmap, by_batch, texts, written
+from viewstar.llm.tables import Bitmap, by_batch, row_key, small_batches, texts, without, written
 
 WINDOW = 10
 K, GUARD = 5, 6
@@ -112,10 +111,11 @@ def _candidates(docs: DataFrame, bitmap: Bitmap, short: list[int]) -> DataFrame:
                 [pa.array(own.astype(np.int64)), pa.array(size.astype(np.int32)),
                  pa.array(tk.signed(a)), pa.array(tk.signed(b))], fields=list(struct))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(lo, hi - lo), pa.array(tk.signed(tk.totals(h, s.first))), pa.array(np.diff(s.first)),
+                [batch.column("id").slice(lo, hi - lo), batch.column("key").slice(lo, hi - lo), pa.array(np.diff(s.first)),
                  pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), values)],
                 ["id", "key", "n_words", "windows"])
-    return by_batch(docs, run, "id long, key long, n_words long, "
+    keyed = docs.withColumn("key", row_key("id", "text"))
+    return by_batch(keyed, run, "id long, key string, n_words long, "
                                "windows array<struct<pos: long, size: int, a: long, b: long>>")
 
 
@@ -135,11 +135,12 @@ def overlaps(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_
 
 def _overlaps(docs: DataFrame, items: DataFrame, id_column: str, text_column: str, item_column: str,
               item_text_column: str) -> DataFrame:
-    """:func:`overlaps` with the key of each text's words."""
+    """:func:`overlaps` with each row's key."""
     windows = written(_item_windows(texts(items, item_column, item_text_column)), "test-windows")
     bitmap = Bitmap.of(windows.select("fingerprint").where("fingerprint IS NOT NULL"), "fingerprint")
     short = sorted(r["size"] for r in windows.select("size").distinct().collect() if r["size"] < WINDOW)
-    found = written(_candidates(texts(docs, id_column, text_column), bitmap, short), "candidates")
+    with small_batches(docs.sparkSession):
+        found = written(_candidates(texts(docs, id_column, text_column), bitmap, short), "candidates")
     tests = windows.select("item", "size", "a", "b").distinct() \
         .groupBy("size", "a", "b").agg(F.collect_set("item").alias("items"))
     hits = found.where(F.size("windows") > 0).select("id", "key", F.explode("windows").alias("w")) \
@@ -177,14 +178,6 @@ def clean(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_col
     """The rows of ``docs`` (all columns, as they are) that hold no test window, each by its own text,
     whatever rows share its id (or have none)."""
     bad = _overlaps(docs, items, id_column, text_column, item_column, item_text_column).where("n_hit > 0") \
-        .select(F.col("doc_id").alias("__bad_id"), F.col("key").alias("__bad_key")).distinct()
-    at = docs.columns.index(text_column)
-
-    def key(batch):
-        keys = [tk.totals(s.hashes(), s.first) for _, _, s in tk.slices(batch.column(at), tk.ALNUM_WORDS)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tk.signed(np.concatenate(keys)))],
-                                         [*batch.schema.names, "__key"])
-
-    keyed = by_batch(docs, key, T.StructType([*docs.schema.fields, T.StructField("__key", T.LongType())]))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("__bad_id")) & (F.col("__key") == F.col("__bad_key"))
-    return keyed.join(bad, same, "left_anti").drop("__key")
+        .select(F.col("key").alias("__key")).distinct()
+    keyed = docs.withColumn("__key", row_key(id_column, text_column))
+    return without(keyed, written(bad, "overlapping"), "__key").select(*docs.columns)

@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewstar.llm import textkit as tk
-from viewstar.llm.tables import by_batch, hash_share, texts
+from viewstar.llm.tables import TEXT_BYTES, by_batch, hash_share, small_batches, text_key, texts, without, written
 
 UNDETERMINED = "und"
 ORDER = 3
-_SPAN = 1 << 20  # bytes scored at once
+_TEXTS = 64  # texts of a language whose grams are held apart
+_SPAN = 1 << 17  # bytes scored at once (a hundred times as much is taken for them)
 
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[65:91] = _LETTERS[97:123] = True
@@ -158,6 +159,11 @@ class Model:
 
 def _gram_counts(labelled: DataFrame, order: int) -> DataFrame:
     """(lang, gram, n): folded byte grams of ``order`` context bytes and one more, counted by Spark."""
+    def merged(parts: list[np.ndarray]) -> np.ndarray:
+        both = np.concatenate(parts, axis=1)
+        grams, inverse = np.unique(both[0], return_inverse=True)
+        return np.stack([grams, np.bincount(inverse, weights=both[1]).astype(np.int64)])
+
     def count(batch):
         langs = batch.column("lang").to_pylist()
         raw, offsets = tk.text_bytes(batch.column("text"))
@@ -169,13 +175,14 @@ def _gram_counts(labelled: DataFrame, order: int) -> DataFrame:
                 gram = np.zeros(len(data), dtype=np.int64)
                 for k in range(order + 1):
                     gram = gram * 256 + padded[k:k + len(data)]
-                groups.setdefault(lang, []).append(np.stack(np.unique(gram, return_counts=True)))
+                own = groups.setdefault(lang, [])
+                own.append(np.stack(np.unique(gram, return_counts=True)))
+                if len(own) >= _TEXTS:
+                    groups[lang] = [merged(own)]
         for lang, parts in groups.items():
-            both = np.concatenate(parts, axis=1)
-            grams, inverse = np.unique(both[0], return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams)), pa.array(grams),
-                 pa.array(np.bincount(inverse, weights=both[1]).astype(np.int64))], ["lang", "gram", "n"])
+            grams, n = merged(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams), pa.array(n)],
+                                             ["lang", "gram", "n"])
     return (by_batch(labelled, count, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
@@ -264,7 +271,8 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
         names, scores = shared.value.predict(batch.column("text"))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.string()), pa.array(scores)],
                                          ["id", "lang_pred", "score"])
-    return by_batch(texts(docs, id_column, text_column), score, "id long, lang_pred string, score double")
+    return by_batch(texts(docs, id_column, text_column), score, "id long, lang_pred string, score double",
+                    TEXT_BYTES)
 
 
 def spoken(docs: DataFrame, model: Model, min_score: float = 0.5, text_column: str = "text") -> DataFrame:
@@ -274,10 +282,12 @@ def spoken(docs: DataFrame, model: Model, min_score: float = 0.5, text_column: s
     ``min_score`` (no language explains them better than the rest together).
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_column)
 
-    def keep(batch):
-        names, scores = shared.value.predict(batch.column(at))
-        mask = pa.array([n != UNDETERMINED and s >= min_score for n, s in zip(names, scores)])
-        yield batch.filter(mask)
-    return by_batch(docs, keep, docs.schema)
+    def unlikely(batch):
+        names, scores = shared.value.predict(batch.column("text"))
+        yield batch.select(["key"]).filter(pa.array([n == UNDETERMINED or s < min_score for n, s in zip(names, scores)]))
+    keyed = docs.withColumn("__key", text_key(text_column))
+    with small_batches(docs.sparkSession):
+        gone = written(by_batch(keyed.select(F.col("__key").alias("key"), F.col(text_column).cast("string").alias("text")),
+                                unlikely, "key string").select(F.col("key").alias("__key")).distinct(), "without-language")
+    return without(keyed, gone, "__key").select(*docs.columns)

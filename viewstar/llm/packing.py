@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewstar.llm.tables import by_batch, importable, texts, written
+from viewstar.llm.tables import by_batch, importable, lean, small_batches, texts, written
 from viewstar.llm.textkit import Slice, bounds, text_bytes
 
 WINDOW = 1024
 END_OF_TEXT = 0
-_SLICE = 6 << 20  # bytes of text encoded at once
+_SLICE = 1 << 20  # bytes of text encoded at once (the work on them takes some 20 times as much)
 _CACHE_IDS = 2_500_000  # ids of known chunks that a worker keeps
 
 
@@ -63,8 +64,8 @@ class Encoder:
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
+        self.vocabulary = vocabulary
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
@@ -73,11 +74,21 @@ class Encoder:
         self.spaced, self.broken = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
         self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.broken[[i for token, i in ranks.items() if token.startswith(b"\n")]] = True
-        self.library = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-        self.added = sorted(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.added = sorted(t.content for t in self._defining().get_added_tokens_decoder().values())
         self.keys, self.flat = np.zeros(0, np.uint64), np.zeros(0, "<u4")
         self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _defining(self):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(public_tokenizers.path(f"{self.vocabulary}.json"))
+
+    @cached_property
+    def library(self):
+        """The defining library, kept from the first text that needs it: it is as large as all the rest."""
+        return self._defining()
+
     def one(self, text: str) -> np.ndarray:
         """ids of a whole text; by the defining library if it spells out an added token."""
         if any(s in text for s in self.added):
@@ -177,6 +188,7 @@ def tokenised(docs: DataFrame, window: int, vocabulary: str, with_ids: bool, id_
     """A row per document with its piece sizes, checksums and ranks within its partition."""
     def run(batches):
         encode, part = _encoder(vocabulary), TaskContext.get().partitionId()
+        lean()
         tail, ranks, full_rank = array("I", [END_OF_TEXT]).tobytes(), np.zeros(window, dtype=np.int64), 0
         for batch in batches:
             raw, offsets = text_bytes(batch.column(1))
@@ -195,6 +207,8 @@ def tokenised(docs: DataFrame, window: int, vocabulary: str, with_ids: bool, id_
                     if rest:
                         ranks[rest] += 1
                 yield _tokens_batch(rows)
+        batch = raw = found = rows = own = ids = None
+        lean()
     importable(docs.sparkSession)
     return texts(docs, id_column, text_column).mapInArrow(run, _TOKENS)
 
@@ -307,7 +321,8 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "byte_bpe_50k"
     checksums and ranks (and ids, if asked) are written.
     """
     spark = docs.sparkSession
-    rows = written(tokenised(docs, window, vocabulary, with_ids, id_column, text_column), "tokens")
+    with small_batches(spark):  # the table is written when it ends
+        rows = written(tokenised(docs, window, vocabulary, with_ids, id_column, text_column), "tokens")
     sizes = (rows.select("part", F.explode(F.array(
         F.struct(F.lit(window).alias("length"), F.col("n_full").alias("n")),
         F.struct(F.col("rest").alias("length"), F.lit(1).cast("long").alias("n")))).alias("s"))

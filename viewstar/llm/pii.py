@@ -27,10 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from viewstar.llm import textkit as tk
-from viewstar.llm.tables import Bitmap, by_batch, texts, written
+from viewstar.llm.tables import TEXT_BYTES, Bitmap, by_batch, row_key, small_batches, split, texts, written
 
 # The kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -94,11 +93,6 @@ def _span_arrays(rows: list[list[tuple[int, int, int]]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int32)), values)
 
 
-def _text_keys(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    keys = [xxhash.xxh3_64_intdigest(raw[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-    return pa.array(np.array(keys, dtype=np.uint64).view(np.int64))
-
-
 _SPANS = "array<struct<kind: int, start: long, end: long>>"
 
 
@@ -141,10 +135,10 @@ def _scan(docs: DataFrame, reach: int) -> DataFrame:
             near.append([{"e": e, "t": t} for e, t in sorted(pairs)])
             entities.append(sorted(seen))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), _text_keys(raw, offsets), _span_arrays(spans),
+            [batch.column("id"), batch.column("key"), _span_arrays(spans),
              pa.array(near, pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64())]))),
              pa.array(entities, pa.list_(pa.int64()))], ["id", "key", "spans", "near", "entities"])
-    return by_batch(docs, run, f"id long, key long, spans {_SPANS}, near array<struct<e: long, t: long>>, entities array<long>")
+    return by_batch(docs, run, f"id long, key string, spans {_SPANS}, near array<struct<e: long, t: long>>, entities array<long>")
 
 
 def _document_counts(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
@@ -171,8 +165,6 @@ def _occurrences(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
     kind = pa.struct([("t", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batch):
-        ids = batch.column("id")
-        raw, offsets = tk.text_bytes(batch.column("text"))
         for lo, hi, s in tk.slices(batch.column("text"), tk.ALNUM_WORDS):
             h = s.hashes()
             at = np.flatnonzero(shared.value.has(h))
@@ -185,11 +177,11 @@ def _occurrences(docs: DataFrame, bitmap: Bitmap) -> DataFrame:
             cut = np.append(np.searchsorted(owner, rows), len(owner))
             values = pa.StructArray.from_arrays([pa.array(tk.signed(h[at])), pa.array(point[s.start[at]] - base),
                                                  pa.array(point[s.end[at]] - base)], fields=list(kind))
-            keys = [xxhash.xxh3_64_intdigest(raw[offsets[lo + i]:offsets[lo + i + 1]].tobytes()) for i in rows]
+            mine = pa.array(rows + lo)
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(rows + lo)), pa.array(np.array(keys, dtype=np.uint64).view(np.int64)),
+                [batch.column("id").take(mine), batch.column("key").take(mine),
                  pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), values)], ["id", "key", "places"])
-    return by_batch(docs, run, "id long, key long, places array<struct<t: long, start: long, end: long>>")
+    return by_batch(docs, run, "id long, key string, places array<struct<t: long, start: long, end: long>>")
 
 
 def lower_bound(hits: Column, of: Column, z: float = Z) -> Column:
@@ -200,7 +192,7 @@ def lower_bound(hits: Column, of: Column, z: float = Z) -> Column:
 
 def find(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_AT, id_column: str = "doc_id",
          text_column: str = "text") -> DataFrame:
-    """(id, key, spans, terms): base spans and risky terms of each row; ``key`` is the text's hash.
+    """(id, key, spans, terms): base spans and risky terms of each row; ``key`` is its :func:`row_key`.
 
     ``terms`` holds (start, end, disclosure) in code points.  A term is risky
     if for an entity near which it stands the lower bound of P(entity | term)
@@ -208,8 +200,10 @@ def find(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_AT,
     repeated rows count as documents of their own and get equal spans; other
     columns are not read.
     """
-    docs = texts(docs, id_column, text_column)
-    base = written(_scan(docs, reach), "pii-base")
+    spark = docs.sparkSession
+    docs = texts(docs, id_column, text_column).withColumn("key", row_key("id", "text"))
+    with small_batches(spark):
+        base = written(_scan(docs, reach), "pii-base")
     total = base.count()
     joint = base.select(F.explode("near").alias("p")).groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et"))
     # What could not pass if the term stood nowhere but near entities need not be looked for elsewhere: common words,
@@ -225,9 +219,12 @@ def find(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_AT,
     told = F.log2(bound * F.lit(float(max(total, 1))) / F.col("n_e"))
     risky = joint.join(n_entity, "e").join(n_term, "t").where((bound >= generalise_at) & (told >= MIN_BITS)) \
         .groupBy("t").agg(F.max(bound).alias("disclosure"))
-    risky = written(risky, "pii-risky")
+    with small_batches(spark):
+        risky = written(risky, "pii-risky")
     # Only now, with common words ruled out, are places looked up.
-    places = written(_occurrences(docs, Bitmap.of(risky, "t")), "pii-terms")
+    bitmap = Bitmap.of(risky, "t")
+    with small_batches(spark):
+        places = written(_occurrences(docs, bitmap), "pii-terms")
     hits = places.dropDuplicates(["id", "key"]).select("id", "key", F.explode("places").alias("p")) \
         .select("id", "key", F.col("p.t").alias("t"), F.col("p.start").alias("start"), F.col("p.end").alias("end")) \
         .join(risky, "t").groupBy("id", "key") \
@@ -259,18 +256,12 @@ def sanitise(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_
     """``docs`` (all rows and columns) with base spans replaced by [KIND], risky terms by [TERM], and terms
     that disclose at least ``remove_at`` taken out.  Texts without either come back as they are (null: null)."""
     found = find(docs, reach, generalise_at, id_column, text_column) \
-        .where((F.size("spans") > 0) | (F.size("terms") > 0)).dropDuplicates(["id", "key"]) \
-        .select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans"),
-                F.col("terms").alias("__terms"))
+        .where((F.size("spans") > 0) | (F.size("terms") > 0)).dropDuplicates(["key"]) \
+        .select(F.col("key").alias("__key"), F.col("spans").alias("__spans"), F.col("terms").alias("__terms"))
+    found = written(found, "pii-found")
     at = docs.columns.index(text_column)
-
-    def key(batch):
-        keys = _text_keys(*tk.text_bytes(batch.column(at)))
-        yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "__key_own"])
-
-    keyed = by_batch(docs, key, T.StructType([*docs.schema.fields, T.StructField("__key_own", T.LongType())]))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("__id")) & (F.col("__key_own") == F.col("__key"))
-    joined = keyed.join(found, same, "left").select(*docs.columns, "__spans", "__terms")
+    as_is, others = split(docs.withColumn("__key", row_key(id_column, text_column)), found, "__key")
+    joined = others.join(found, "__key", "left").select(*docs.columns, "__spans", "__terms")
 
     def replace(batch):
         column = batch.column(at)
@@ -289,5 +280,5 @@ def sanitise(docs: DataFrame, reach: int = 8, generalise_at: float = GENERALISE_
         columns = list(batch.columns[:-2])
         columns[at] = pa.array(texts_of, column.type)
         yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-2])
-    return by_batch(joined, replace, docs.schema)
+    return as_is.select(*docs.columns).unionByName(by_batch(joined, replace, docs.schema, TEXT_BYTES))
 

@@ -57,6 +57,10 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+#: Bytes of whole texts that a Python task works on at once, see :func:`by_batch`.
+TEXT_BYTES = 2 << 20
+
+
 def lean() -> None:
     """Give back what this Python worker has freed: Spark keeps workers for later tasks, and neither Arrow's pool
     nor the C library returns memory of finished ones by itself."""
@@ -67,15 +71,19 @@ def lean() -> None:
         pass
 
 
-def by_batch(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow over every batch."""
+def by_batch(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str,
+             limit: int | None = None) -> DataFrame:
+    """mapInArrow over every batch; with a ``limit`` over pieces of about so many bytes (one row at least), so that
+    what ``each`` makes of whole texts, and what the JVM reads back at once, is as small."""
     importable(df.sparkSession)
 
     def run(batches):
         lean()
         for batch in batches:
-            if batch.num_rows:
-                yield from each(batch)
+            rows = batch.num_rows
+            step = max(1, min(rows, rows * limit // max(batch.nbytes, 1))) if limit else max(rows, 1)
+            for lo in range(0, rows, step):
+                yield from each(batch.slice(lo, step))
         batch = None
         lean()
     return df.mapInArrow(run, schema)
@@ -94,20 +102,38 @@ def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def without(df: DataFrame, dropped: DataFrame, key: str, bits: int = 1 << 23) -> DataFrame:
-    """``df`` less the rows whose ``key`` is in ``dropped`` (no nulls there); whole rows are shuffled only where needed.
+def text_key(text_column: str) -> Column:
+    """128 bits of a text, as a string; a null has a key as well."""
+    text = F.col(text_column).cast("string")
+    return F.concat_ws(":", F.xxhash64(text).cast("string"), F.xxhash64(F.lit(1), text).cast("string"))
+
+
+def row_key(id_column: str, text_column: str) -> Column:
+    """A row's id (null is one too) and the hash of its text, as :func:`texts` has both."""
+    return F.concat_ws(":", F.coalesce(F.col(id_column).cast("long").cast("string"), F.lit("")),
+                       F.xxhash64(F.col(text_column).cast("string")).cast("string"))
 
-    A table of at most ``bits / 64`` words, whatever the size of ``dropped``,
-    says for most rows that they stay; the others take an exact join.
+
+def split(df: DataFrame, keys: DataFrame, key: str, bits: int = 1 << 23) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``df`` whose ``key`` is surely not in ``keys``, the others); no key of ``keys`` is null.
+
+    A table of at most ``bits / 64`` words, whatever the size of ``keys``,
+    tells them apart, so no row is shuffled.
     """
     slot = F.pmod(F.xxhash64(key), F.lit(bits))
-    words = dropped.select(slot.alias("__slot")).groupBy(F.expr("__slot div 64").alias("__word")) \
+    words = keys.select(slot.alias("__slot")).groupBy(F.expr("__slot div 64").alias("__word")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(__slot % 64 as int))")).alias("__bits"))
     marked = df.withColumn("__slot", slot).withColumn("__word", F.expr("__slot div 64")) \
         .join(F.broadcast(words), "__word", "left") \
         .withColumn("__maybe", F.coalesce(F.expr("shiftright(__bits, cast(__slot % 64 as int)) & 1L"), F.lit(0)) == 1)
-    stay = marked.where("NOT __maybe").select(*df.columns)
-    return stay.unionByName(marked.where("__maybe").select(*df.columns).join(dropped, key, "left_anti").select(*df.columns))
+    return marked.where("NOT __maybe").select(*df.columns), marked.where("__maybe").select(*df.columns)
+
+
+def without(df: DataFrame, dropped: DataFrame, key: str, bits: int = 1 << 23) -> DataFrame:
+    """``df`` less the rows whose ``key`` is in ``dropped`` (no nulls there); whole rows are shuffled only where
+    :func:`split` cannot tell that they stay."""
+    stay, maybe = split(df, dropped, key, bits)
+    return stay.unionByName(maybe.join(dropped, key, "left_anti").select(*df.columns))
 
 
 def hash_share(df: DataFrame, key: Column, wanted: Column, total: Column) -> DataFrame:
