@@ -545,7 +545,7 @@ def first_of_each(docs: DataFrame, similarity: int = SIMILARITY, id_column: str
     first one read.  Rows that share an id without being near copies all stay;
     rows without words all stay.
     """
-    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows", "zstd")
     rows, placed = _components(numbered.select(F.col("__row").alias("id"), F.col(text_column).cast("string").alias("text")),
                                similarity, False)
     member = _members(rows, placed).select(F.col("doc_id").alias("__row"), "component_id") \

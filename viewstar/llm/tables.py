@@ -16,12 +16,12 @@ from viewstar.llm import textkit as tk
 from viewstar.session import remove_path, scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared scratch folder, read back: the lineage is cut there,
-    and a lost executor costs a re-read of files."""
+    and a lost executor costs a re-read of files.  For whole texts, codec ``zstd`` takes less disk."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch = path
     return back
